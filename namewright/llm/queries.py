@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grammar, tokens, warc
+from . import grammar, jaccard_tree, tokens, warc
 from .common import table
 
 BPE = "byte_bpe_50k.json"
@@ -20,9 +20,13 @@ def op3_token_id_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.encode_corpus(table(spark, sf_dir, "documents"), tokens.vocabulary(BPE))
 
 
+def op4_jaccard_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tree.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.vocabulary(BPE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op3_token_id_grammar, op5_token_counts)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
