@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grammar, jaccard_tree, tokens, warc
+from . import decontaminate, grammar, jaccard_tree, packing, quality, tokens, warc
 from .common import table
 
 BPE = "byte_bpe_50k.json"
@@ -28,5 +28,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.vocabulary(BPE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts)}
+def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_conflict_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts, op7_benchmark_containment, op9_conflict_best_fit, op10_risk_controlled_quality)}
 ORACLE_SQL: dict[str, str] = {}
