@@ -47,7 +47,7 @@ def item_shingles(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """(item_id, len, gram, hash, n): an item's distinct shingles, n of them, each of len words."""
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), words_of().alias("w")).where(F.size("w") > 0)
     length = F.least(F.size("w"), F.lit(size))
-    own = F.transform(F.sequence(F.lit(1), F.size("w") - length + 1), lambda i: F.struct(length.alias("len"), gram(F.col("w"), i, length).alias("gram"))
+    own = F.transform(F.sequence(F.lit(1), F.size("w") - length + 1), lambda i: F.struct(length.alias("len"), gram(F.col("w"), i, length).alias("gram")))
     rows = items.select("item_id", F.explode(own).alias("e")).select("item_id", "e.len", "e.gram").groupBy("item_id", "len", "gram").count().drop("count")
     parts = F.split("gram", " ")
     by_length = F.coalesce(*[F.when(F.col("len") == k, F.xxhash64(*[F.get(parts, F.lit(j)) for j in range(k)])) for k in range(1, size + 1)])
