@@ -88,32 +88,53 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words seen last; at most `limit` are held."""
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\r\x0b\x0c")] = True
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+_LONG = 256
 
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def hashed_words(texts: list[bytes], hashes: WordHashes, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def span_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of raw[start:end] for each span: eight bytes at a time, all spans at once; long ones by xxHash."""
+    padded = np.frombuffer(raw + bytes(8), np.uint8)
+    eight = np.ndarray((len(raw) + 1,), "<u8", buffer=padded, strides=(1,))
+    lengths = ends - starts
+    with np.errstate(over="ignore"):
+        value = lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        at, left, which = starts, lengths, None
+        for k in range(_LONG // 8):
+            if which is None:
+                value = mix(value + (eight[at] & _KEEP[np.minimum(left, 8)]))
+                which = np.flatnonzero(left > 8)
+            else:
+                value[which] = mix(value[which] * np.uint64(0xD6E8FEB86659FD93) + (eight[at] & _KEEP[np.minimum(left, 8)]))
+                which = which[left > 8]
+            if not len(which):
+                break
+            at, left = starts[which] + 8 * (k + 1), lengths[which] - 8 * (k + 1)
+    for i in np.flatnonzero(lengths > _LONG).tolist():
+        value[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : ends[i]])
+    return value
+
+
+def word_spans(texts: list[bytes], lower: bool = True) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one buffer, where its words start and end, and how many words each text has."""
+    raw = b"\n".join(texts)
+    if lower:
+        raw = raw.translate(LOWER)
+    space = _SPACE[np.frombuffer(raw, np.uint8)]
+    edge = np.flatnonzero(np.diff(np.r_[True, space, True].view(np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    stops = np.cumsum(np.array([len(x) + 1 for x in texts], np.int64))
+    return raw, starts, ends, np.diff(np.r_[0, np.searchsorted(starts, stops)])
+
+
+def hashed_words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The word hashes of all texts in a row, and how many words each text has."""
-    words: list[bytes] = []
-    counts = np.empty(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        own = (text.translate(LOWER) if lower else text).split()
-        counts[i] = len(own)
-        words += own
-    return hashes.of(words), counts
+    if not texts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    raw, starts, ends, counts = word_spans(texts, lower)
+    return span_hashes(raw, starts, ends), counts
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh_path, fs_and_path, materialize, prepare, slices
-from .tokens import CachedByteBpe
+from .tokens import held_bpe
 
 MAGIC = b"NWRP1\n"
 BLOCK_IDS = 4 << 20
@@ -132,14 +132,14 @@ def pack_block(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray,
 
 def _writer(folder: str, path: str, end_id: int, block_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part = CachedByteBpe(path), TaskContext.get().partitionId()
-        vocab = bpe.encoder.tok.get_vocab_size()
+        bpe, part = held_bpe(path), TaskContext.get().partitionId()
+        vocab = bpe.vocab
         fs, top = fs_and_path(folder)
         fs.create_dir(top, recursive=True)
-        end = np.array([end_id], "<u2").tobytes()
         name, rows, at, out = f"{uuid.uuid4().hex}.nwrp", [], len(MAGIC), None
         doc_ids: list = []
-        held: list[bytes] = []
+        counts: list[int] = []
+        held: list[np.ndarray] = []
         n = 0
 
         def flush() -> None:
@@ -147,21 +147,25 @@ def _writer(folder: str, path: str, end_id: int, block_ids: int):
             if out is None:
                 out = fs.open_output_stream(f"{top}/{name}", compression=None)
                 out.write(MAGIC)
-            raw = pack_block(doc_ids, np.array([len(x) // 2 for x in held], np.int64), np.frombuffer(b"".join(held), "<u2").astype(np.uint32), vocab, end_id)
+            raw = pack_block(doc_ids, np.array(counts, np.int64), np.concatenate(held).astype(np.uint32), vocab, end_id)
             out.write(raw)
             rows.append((part, len(rows), f"{folder}/{name}", at, len(raw), n, len(doc_ids)))
             at += len(raw)
             doc_ids.clear()
             held.clear()
+            counts.clear()
             n = 0
 
         for batch in slices(batches, "text", 4 << 20):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), bpe.encode([x or "" for x in batch.column("text").to_pylist()]), strict=True):
-                doc_ids.append(doc_id)
-                held.append(ids + end)
-                n += len(ids) // 2 + 1
-                if n >= block_ids:
-                    flush()
+            ids, own = bpe.encode([x or "" for x in batch.column("text").to_pylist()])
+            ends = np.cumsum(own)
+            ids = np.insert(ids, ends, np.uint16(end_id))
+            doc_ids += batch.column("doc_id").to_pylist()
+            counts += (own + 1).tolist()
+            held.append(ids)
+            n += len(ids)
+            if n >= block_ids:
+                flush()
         if held:
             flush()
         if out is not None:

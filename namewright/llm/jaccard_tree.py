@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, as_bytes, hashed_words, materialize, mix, prepare, signed, slices, windows
+from .common import as_bytes, hashed_words, materialize, mix, prepare, signed, slices, windows
 
 BITMAP_WORDS = 8  # of 64 bits
 FANOUT = 8
@@ -37,9 +37,9 @@ FLUSH = 1 << 20
 BROADCAST_NODES = 2_000_000
 
 
-def shingle_sets(texts: list[bytes], hashes: WordHashes, size: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct shingle hashes of each text, one text after the other, and their counts."""
-    words, counts = hashed_words(texts, hashes)
+    words, counts = hashed_words(texts)
     value, starts = windows(words, counts, size)
     owner = np.repeat(np.arange(len(texts)), counts)
     parts = [(value, owner[starts])]
@@ -104,9 +104,8 @@ def roots(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarr
 
 def _nodes(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in slices(batches, "text"):
-            values, sizes = shingle_sets(as_bytes(batch.column("text")), hashes, size)
+            values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(signed(set_keys(values, sizes)))], names=["doc_id", "n_shingles", "node"])
 
     return run
@@ -116,7 +115,7 @@ def _roots(size: int, percent: int):
     """Rows (root, node, hub, deal): hub is set where the task has paired the node already; deal spreads those rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, n = WordHashes(), [], 0
+        held, n = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             root, node = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
@@ -133,7 +132,7 @@ def _roots(size: int, percent: int):
                 yield pa.RecordBatch.from_arrays([pa.array(signed(root[s])), pa.array(signed(node[s])), pa.array(signed(hub[s]), mask=first[s]), pa.array(signed(deal[s]))], names=["root", "node", "hub", "deal"])
 
         for batch in slices(batches, "text"):
-            values, sizes = shingle_sets(as_bytes(batch.column("text")), hashes, size)
+            values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
             root, owner = roots(values, sizes, percent)
             if len(root):
                 held.append((root, set_keys(values, sizes)[owner]))
@@ -169,10 +168,10 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets_of(size: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        seen = set()
         keys = wanted.value if wanted is not None else None
         for batch in slices(batches, "text"):
-            values, sizes = shingle_sets(as_bytes(batch.column("text")), hashes, size)
+            values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
             node = signed(set_keys(values, sizes))
             if keys is not None:
                 at = np.minimum(np.searchsorted(keys, node), len(keys) - 1)

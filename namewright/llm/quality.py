@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, as_bytes, hashed_words, materialize, mix, prepare, slices, windows
+from .common import as_bytes, hashed_words, materialize, mix, prepare, slices, windows
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -66,10 +66,9 @@ def repeated_words(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in slices(batches, "text", 4 << 20):
         texts = as_bytes(batch.column("text"))
-        words, counts = hashed_words(texts, hashes, lower=False)
+        words, counts = hashed_words(texts, lower=False)
         raw = np.frombuffer(b"".join(texts), np.uint8)
         ends = np.cumsum([len(x) for x in texts])
         starts = np.r_[0, ends[:-1]]

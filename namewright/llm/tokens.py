@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
-from .common import prepare, slices
+from .common import prepare, slices, span_hashes
 
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 14, 1 << 8
 STABLE = re.compile(r"(?<=\S)\s")
@@ -53,12 +53,14 @@ class Encoder:
             self.tok.no_truncation()
             with open(path) as f:
                 spec = json.load(f)
+            pre = spec.get("pre_tokenizer") or {}
+            self.byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer") and self.tok.get_vocab_size() <= 1 << 16
             # only byte-level and word-end pre-tokenizers have the proven boundary; others encode whole texts
-            self.stable = (spec.get("pre_tokenizer") or {}).get("type") in ("ByteLevel", "Sequence", "Split") and not any(re.search(r"\s", x["content"]) or x["lstrip"] or x["rstrip"] for x in spec.get("added_tokens") or [])
+            self.stable = pre.get("type") in ("ByteLevel", "Sequence", "Split") and not any(re.search(r"\s", x["content"]) or x["lstrip"] or x["rstrip"] for x in spec.get("added_tokens") or [])
         else:
             import sentencepiece
 
-            self.tok, self.piece, self.stable = None, sentencepiece.SentencePieceProcessor(model_file=path), False
+            self.tok, self.piece, self.stable, self.byte_level = None, sentencepiece.SentencePieceProcessor(model_file=path), False, False
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         if self.piece is not None:
@@ -106,48 +108,145 @@ class Encoder:
         return out
 
 
+#: Classes of characters up to U+024F: white space, letter, number, other, the break between texts, and unusual ones.
+SPACE, LETTER, NUMBER, OTHER, BREAK, ODD = range(6)
+
+
+def _classes() -> np.ndarray:
+    import unicodedata
+
+    out = np.full(0x251, ODD, np.uint8)
+    for c in range(0x250):
+        if not UNUSUAL.match(chr(c)):
+            kind = unicodedata.category(chr(c))[0]
+            out[c] = SPACE if chr(c) in "\t\n\r " else LETTER if kind == "L" else NUMBER if kind == "N" else OTHER
+    out[0] = BREAK
+    return out
+
+
+CLASSES = _classes()
+
+
+def pre_tokens(chars: np.ndarray) -> np.ndarray:
+    """Whether a pre-token of GPT2_PATTERN starts at each character.  chars: code points; texts stand between zeros."""
+    kind = CLASSES[np.minimum(chars, 0x250)]
+    before, after = np.r_[np.uint8(BREAK), kind[:-1]], np.r_[kind[1:], np.uint8(BREAK)]
+    blank_before = np.r_[False, chars[:-1] == 0x20]
+    space = kind == SPACE
+    start = np.where(space, (before != SPACE) | ((after != SPACE) & (after != BREAK)), (kind != before) & ~blank_before)
+    start |= kind == BREAK
+    for i in np.flatnonzero((chars == 0x27) & start & (after == LETTER)).tolist():
+        tail = "".join(map(chr, chars[i + 1 : i + 3].tolist()))
+        n = 2 if tail[:1] in ("s", "t", "m", "d") else 3 if tail in ("re", "ve", "ll") else 0
+        if n:
+            start[i + 1 : i + n] = False
+            if i + n < len(start):
+                start[i + n] = True
+    return start
+
+
 class CachedByteBpe:
-    """Ids of byte-level BPE as little-endian 16-bit integers.
+    """Ids of byte-level BPE as 16-bit integers.
 
-    The library encodes each distinct pre-token once; texts with unusual characters or with a special token's string are
-    given to it whole.  A pre-token's ids don't depend on its neighbours, so the result is the library's own.
+    The library encodes each distinct pre-token once, as long as it is among the last `limit` ones; texts with unusual
+    characters or with a special token's string are given to it whole.  A pre-token's ids don't depend on its neighbours,
+    so the result is the library's own.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
-        import regex
-
-        self.encoder, self.limit, self.cache = Encoder(path), limit, {}
-        self.split = regex.compile(GPT2_PATTERN).findall
+    def __init__(self, path: str, limit: int = 2_000_000):
+        self.encoder, self.limit = Encoder(path), limit
         self.special = [x.content for x in self.encoder.tok.get_added_tokens_decoder().values()]
-        assert self.encoder.tok.get_vocab_size() <= 1 << 16
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > self.limit:
-            cache.clear()
-        pieces = [None if UNUSUAL.search(x) or any(s in x for s in self.special) else self.split(x) for x in texts]
-        fresh: set[str] = set()
-        for own in pieces:
-            if own is not None:
-                fresh.update(own)
-        fresh -= cache.keys()
-        if fresh:
-            new = list(fresh)
-            for a in range(0, len(new), 20_000):
-                part = new[a : a + 20_000]
-                for word, ids in zip(part, self.encoder.ids(part), strict=True):
-                    cache[word] = np.array(ids, "<u2").tobytes()
-        whole = [i for i, own in enumerate(pieces) if own is None]
-        rest = dict(zip(whole, self.encoder.ids([texts[i] for i in whole]), strict=True))
-        return [np.array(rest[i], "<u2").tobytes() if own is None else b"".join(map(cache.__getitem__, own)) for i, own in enumerate(pieces)]
+        self.vocab = self.encoder.tok.get_vocab_size()
+        assert self.vocab <= 1 << 16
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.at, self.n = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat, self.used = np.empty(1 << 16, np.uint16), 0
+
+    def learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Adds sorted new keys, whose pre-tokens are words."""
+        got, owner = [], []
+        for a in range(0, len(words), 5000):
+            e = self.encoder.tok.encode(words[a : a + 5000], is_pretokenized=True, add_special_tokens=False)
+            got.append(np.array(e.ids, np.uint16))
+            owner.append(np.array(e.word_ids, np.int64) + a)
+        ids, owner = np.concatenate(got), np.concatenate(owner)
+        n = np.bincount(owner, minlength=len(words))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.r_[self.flat, np.empty_like(self.flat)]
+        self.flat[self.used : self.used + len(ids)] = ids
+        at = self.used + np.cumsum(n) - n
+        self.used += len(ids)
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.at, self.n = np.insert(self.keys, place, keys), np.insert(self.at, place, at), np.insert(self.n, place, n)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        if len(self.keys) > self.limit:
+            self.clear()
+        chars = np.frombuffer(("\0" + "\0".join(x.replace("\0", "\x01") for x in texts) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
+        breaks = np.flatnonzero(chars == 0)
+        odd_at = np.flatnonzero(CLASSES[np.minimum(chars, 0x250)] == ODD)
+        odd = np.zeros(len(texts), bool)
+        odd[np.searchsorted(breaks, odd_at) - 1] = True
+        for s in self.special:
+            for i, x in enumerate(texts):
+                if s in x:
+                    odd[i] = True
+        if odd.any():
+            return self._mixed(texts, odd)
+        starts = np.flatnonzero(pre_tokens(chars))
+        bytes_at = np.r_[0, np.cumsum(1 + (chars >= 0x80))]
+        raw = ("\0" + "\0".join(texts) + "\0").encode()
+        begin, end = bytes_at[starts], np.r_[bytes_at[starts[1:]], len(raw)]
+        real = chars[starts] != 0
+        begin, end, owner = begin[real], end[real], np.searchsorted(breaks, starts[real]) - 1
+        keys, first, where = np.unique(span_hashes(raw, begin, end), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        new = np.flatnonzero(self.keys[place] != keys) if len(self.keys) else np.arange(len(keys))
+        if len(new):
+            self.learn(keys[new], [raw[a:b].decode() for a, b in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+        if not len(keys):
+            return np.empty(0, np.uint16), np.zeros(len(texts), np.int64)
+        place = np.searchsorted(self.keys, keys)[where]
+        n = self.n[place]
+        ids = self.flat[np.repeat(self.at[place] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        return ids, np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64)
+
+    def _mixed(self, texts: list[str], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = [i for i in range(len(texts)) if not odd[i]]
+        ids, n = self.encode([texts[i] for i in plain]) if plain else (np.empty(0, np.uint16), np.empty(0, np.int64))
+        parts: dict[int, np.ndarray] = dict(zip(plain, np.split(ids, np.cumsum(n)[:-1]), strict=True)) if plain else {}
+        whole = np.flatnonzero(odd).tolist()
+        for i in whole:
+            parts[i] = np.concatenate([np.array(p, np.uint16) for p in self.encoder.spliced(texts[i])])
+        return np.concatenate([parts[i] for i in range(len(texts))]), np.array([len(parts[i]) for i in range(len(texts))], np.int64)
+
+
+_HELD: dict[str, CachedByteBpe] = {}
+
+
+def held_bpe(path: str) -> CachedByteBpe:
+    """This worker process's encoder, kept from task to task with the pre-tokens that it has seen."""
+    if path not in _HELD:
+        _HELD[path] = CachedByteBpe(path)
+    return _HELD[path]
 
 
 def _counter(path: str, limit: int):
+    def counts(encoder: Encoder, texts: list[str]) -> list[int]:
+        if not encoder.byte_level:
+            return encoder.counts(texts)
+        short = [i for i, x in enumerate(texts) if len(x) <= encoder.chunk]
+        out = dict(zip(short, held_bpe(path).encode([texts[i] for i in short])[1].tolist(), strict=True)) if short else {}
+        return [out[i] if i in out else sum(map(len, encoder.spliced(x))) for i, x in enumerate(texts)]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for batch in slices(batches, "text", 4 << 20, 500):
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            n = pa.array(encoder.counts(texts), pa.int64())
+            n = pa.array(counts(encoder, texts), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x.encode()) for x in texts], pa.int64()), n, pa.compute.greater(n, limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return count
