@@ -13,6 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Maps A-Z to a-z and leaves every other byte alone.
 LOWER = bytes(range(256)).lower()
 #: The white space that separates words: [\x20\x09-\x0D]; bytes.split() splits on exactly these.
@@ -49,7 +51,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that Python workers get: rows can be long texts."""
+    """Gives workers the package, and bounds the Arrow batches that they get: rows can be long texts."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 2000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE_CLASS, materialize  # noqa: F401
+from .common import SPACE_CLASS, materialize, prepare
 
 CAPACITY, PER_SOURCE, SHARD_PIECES = 2048, 4, 4096
 SCHEMA = "doc_id long, piece int, length int, shard int, bin int, offset int"
@@ -78,6 +78,7 @@ def _pack(capacity: int, per_source: int):
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, cluster: Column | None = None, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """doc_id, piece, length, shard, bin and offset of each piece.  cluster: names a document's copies; by default a hash of its words."""
+    prepare(docs.sparkSession)
     if cluster is None:
         cluster = F.xxhash64(F.array_join(F.filter(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), f"{SPACE_CLASS}+"), lambda w: w != ""), " "))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), length_of().cast("long").alias("n"), cluster.alias("cluster"))
