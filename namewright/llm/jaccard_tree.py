@@ -8,7 +8,7 @@
    as members.  Pairs are verified exactly and give first components.
 4. Roots that still hold several components get signature trees: nodes carry OR-combined token bitmaps and size ranges; a
    dual traversal drops node pairs whose largest possible overlap is too small or whose leaves are all one component
-   already, and verifies what is left exactly.  Roots of many members are cut into blocks, joined block by block.
+   already.  What is left is verified exactly.  Roots of many members are cut into blocks, joined block by block.
 
 Defined results: a text without words, or null, has an empty set, is linked with nothing and is its own component; a text
 with fewer words than a shingle has is one shingle; rows of one doc_id are one document; null ids count as documents
@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, hashed_words, materialize, mix, prepare, signed, slices, windows
 
-BITMAP_WORDS = 8  # of 64 bits
-FANOUT = 8
+FANOUT = 32
 BLOCK = 512
 FLUSH = 1 << 20
 #: Node keys of at most this many nodes are broadcast (8 bytes each); more are joined.
@@ -76,9 +75,16 @@ def bands(percent: int, largest: int = 1 << 40, ratio: float = 1.5) -> tuple[np.
     return np.array(low[:-1], np.int64), np.array(parts, np.int64)
 
 
+def spare_parts(parts: np.ndarray) -> np.ndarray:
+    """Parts beyond those that must be: with s of them linked sets agree on 1 + s parts, so that up to s parts which hold next to nothing need no root."""
+    return np.maximum(2, parts // 12)
+
+
 def roots(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Root keys of each set and the set's number, for its band and for the next one if a linked set can be there."""
     low, parts = bands(percent, int(sizes.max(initial=1)) + 1)
+    spare = spare_parts(parts)
+    parts = parts + spare
     band = np.searchsorted(low, sizes, "right") - 1
     out, owners = [], []
     mixed = mix(values + np.uint64(0xD1B54A32D192ED03))
@@ -94,9 +100,14 @@ def roots(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarr
         sel = use[owner]
         part = ((values[sel] >> np.uint64(32)) * n_parts[owner[sel]].astype(np.uint64)) >> np.uint64(32)
         with np.errstate(over="ignore"):
-            np.add.at(sums, at[owner[sel]] + part.astype(np.int64), mixed[sel])
+            place = at[owner[sel]] + part.astype(np.int64)
+            np.add.at(sums, place, mixed[sel])
             whose = np.repeat(np.arange(len(sizes)), n_parts)
             number = np.arange(len(sums)) - at[whose]
+            # parts of one token or none are shared by unlike sets; a set with more of them than are spare keeps all
+            light = np.bincount(place, minlength=len(sums)) < 2
+            keep = ~light | (np.bincount(whose[light], minlength=len(sizes)) > spare[np.clip(own_band, 0, len(low) - 1)])[whose]
+            whose, number, sums = whose[keep], number[keep], sums[keep]
             out.append(mix(sums + mix((own_band[whose] * 1_000_003 + number).astype(np.uint64) + np.uint64(77))))
         owners.append(whose)
     return np.concatenate(out), np.concatenate(owners)
@@ -189,7 +200,7 @@ def _sets_of(size: int, wanted):
             if rows:
                 flat = signed(np.concatenate([values[ends[i] - sizes[i] : ends[i]] for i in rows]))
                 offsets = np.r_[0, np.cumsum(sizes[rows])].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(signatures(flat.view(np.uint64), sizes[rows]), pa.binary())], names=["node", "tokens", "bits"])
 
     return run
 
@@ -213,93 +224,98 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-class Tree:
-    """A signature tree over sets: levels of nodes with OR-combined (and AND-combined) token bitmaps and size ranges."""
-
-    def __init__(self, sets: list[np.ndarray], labels: np.ndarray):
-        sizes = np.array([len(x) for x in sets], np.int64)
-        bits = np.zeros((len(sets), BITMAP_WORDS), np.uint64)
-        for i, x in enumerate(sets):
-            u = x.view(np.uint64) >> np.uint64(8)
-            np.bitwise_or.at(bits[i], (u % np.uint64(BITMAP_WORDS)).astype(np.int64), np.uint64(1) << ((u >> np.uint64(4)) % np.uint64(64)))
-        # size first, then the bitmap: neighbours are alike
-        self.order = np.lexsort((*bits.T, sizes))
-        self.sets, self.labels = [sets[i] for i in self.order], labels[self.order]
-        level = (bits[self.order], sizes[self.order], sizes[self.order], bits[self.order])
-        self.levels = [level]
-        while len(self.levels[-1][0]) > 1:
-            b, lo, hi, both = self.levels[-1]
-            at = np.arange(0, len(b), FANOUT)
-            self.levels.append((np.bitwise_or.reduceat(b, at), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.bitwise_and.reduceat(both, at)))
+def signatures(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """A token bitmap of each set: at least two bits a token, a power of two in all."""
+    ends, out = np.cumsum(sizes), []
+    for n, e in zip(sizes.tolist(), ends.tolist(), strict=True):
+        width = max(512, 1 << (2 * max(n, 1) - 1).bit_length())
+        bits = np.zeros(width, np.uint8)
+        bits[(values[e - n : e] >> np.uint64(8)) & np.uint64(width - 1)] = 1
+        out.append(np.packbits(bits, bitorder="little").tobytes())
+    return out
 
-    def children(self, level: int, k: int) -> range:
-        return range(k * FANOUT, min((k + 1) * FANOUT, len(self.levels[level - 1][0])))
 
-    def leaves(self, level: int, k: int) -> slice:
-        return slice(k * FANOUT**level, (k + 1) * FANOUT**level)
+def folded(bitmaps: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps of one width (bytes): a wider one's bits fall on the bits they have in a narrower one."""
+    out = np.zeros((len(bitmaps), width), np.uint8)
+    for i, x in enumerate(bitmaps):
+        out[i] = np.bitwise_or.reduce(np.frombuffer(x, np.uint8).reshape(-1, width))
+    return out.view(np.uint64)
 
 
-def may_link(one: tuple, i: int, two: tuple, j: int, percent: int) -> bool:
-    """Whether sets below the two nodes can link.  Each bit that all sets of one side have and none of the other's is a token that isn't common."""
-    ors, lo, hi, ands = one
-    ors2, lo2, hi2, ands2 = two
-    least, most = int(max(lo[i], lo2[j])), int(min(hi[i], hi2[j]))
-    if most * 100 < percent * least:  # even a subset would be too small
-        return False
-    overlap = min(int(hi[i]) - int(np.bitwise_count(ands[i] & ~ors2[j]).sum()), int(hi2[j]) - int(np.bitwise_count(ands2[j] & ~ors[i]).sum()))
-    return (100 + percent) * overlap >= percent * int(lo[i] + lo2[j])
-
-
-def tree_links(one: Tree, two: Tree, percent: int) -> Iterator[tuple[int, int]]:
-    """Verified links that join components, as positions in the trees' original orders."""
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while parent.get(x, x) != x:
-            parent[x] = parent.get(parent[x], parent[x])
-            x = parent[x]
-        return x
+class Tree:
+    """A signature tree over sets: levels of nodes with OR- and AND-combined token bitmaps, size ranges and component ranges."""
 
-    stack = [(len(one.levels) - 1, 0, len(two.levels) - 1, 0)]
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
+        # size first, then the bitmap: neighbours are alike
+        self.order = np.lexsort((bits[:, 1], bits[:, 0], sizes))
+        bits, sizes, labels = bits[self.order], sizes[self.order], labels[self.order]
+        self.levels = [(bits, bits, sizes, sizes, labels, labels)]
+        while len(self.levels[-1][0]) > 1:
+            at = np.arange(0, len(self.levels[-1][0]), FANOUT)
+            how = (np.bitwise_or, np.bitwise_and, np.minimum, np.maximum, np.minimum, np.maximum)
+            self.levels.append(tuple(f.reduceat(x, at) for f, x in zip(how, self.levels[-1], strict=True)))
+
+    def below(self, level: int, k: int) -> tuple[int, np.ndarray]:
+        """The level of the node's children and their numbers; a leaf is its own child."""
+        if level == 0:
+            return 0, np.array([k])
+        return level - 1, np.arange(k * FANOUT, min((k + 1) * FANOUT, len(self.levels[level - 1][0])))
+
+
+def may_link(one: tuple, i: np.ndarray, two: tuple, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of nodes i and j can have a link of two components below them.
+
+    Each bit that all sets of one side have and none of the other side's is a token that isn't common, which bounds the
+    overlap; sizes bound it too.
+    """
+    ors, ands, lo, hi, first, last = (x[i] for x in one)
+    ors2, ands2, lo2, hi2, first2, last2 = (x[j] for x in two)
+    only, only2 = np.zeros((len(i), len(j)), np.int64), np.zeros((len(i), len(j)), np.int64)
+    for w in range(ors.shape[1]):
+        only += np.bitwise_count(ands[:, None, w] & ~ors2[None, :, w])
+        only2 += np.bitwise_count(ands2[None, :, w] & ~ors[:, None, w])
+    overlap = np.minimum(hi[:, None] - only, hi2[None, :] - only2)
+    fits = (100 + percent) * overlap >= percent * (lo[:, None] + lo2[None, :])
+    same = (first[:, None] == last2[None, :]) & (last[:, None] == first2[None, :])
+    return fits & ~same
+
+
+def tree_pairs(one: Tree, two: Tree, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of different components that the bitmaps and sizes can't rule out, as positions in the trees' original orders."""
+    out, stack = [], [(len(one.levels) - 1, 0, len(two.levels) - 1, 0)]
     while stack:
-        p, i, q, j = stack.pop()
-        if one is two and p == q and i > j:
-            continue
-        if not may_link(one.levels[p], i, two.levels[q], j, percent):
-            continue
-        if p == 0 and q == 0:
-            a, b = find(int(one.labels[i])), find(int(two.labels[j]))
-            if a != b:
-                common = len(np.intersect1d(one.sets[i], two.sets[j], assume_unique=True))
-                if 100 * common >= percent * (len(one.sets[i]) + len(two.sets[j]) - common):
-                    parent[a] = b
-                    yield int(one.order[i]), int(two.order[j])
-            continue
-        mine = {find(int(x)) for x in one.labels[one.leaves(p, i)]}
-        if len(mine) == 1 and mine == {find(int(x)) for x in two.labels[two.leaves(q, j)]}:
-            continue
-        if p >= q:
-            stack.extend((p - 1, c, q, j) for c in one.children(p, i)) if p != q or one is not two else stack.extend((p - 1, c, q - 1, d) for c in one.children(p, i) for d in two.children(q, j))
+        p, k, q, m = stack.pop()
+        (p2, i), (q2, j) = one.below(p, k), two.below(q, m)
+        hit = may_link(one.levels[p2], i, two.levels[q2], j, percent)
+        if one is two and p2 == q2:
+            hit &= i[:, None] <= j[None, :] if p2 else i[:, None] < j[None, :]
+        a, b = np.nonzero(hit)
+        if p2 == 0 and q2 == 0:
+            if len(a):
+                out.append((one.order[i[a]], two.order[j[b]]))
         else:
-            stack.extend((p, i, q - 1, d) for d in two.children(q, j))
+            stack.extend((p2, x, q2, y) for x, y in zip(i[a].tolist(), j[b].tolist(), strict=True))
+    return out
 
 
 def _tree_join(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = int(pdf["x"].iloc[0]), int(pdf["y"].iloc[0])
-
-        def tree(part: pd.DataFrame) -> Tree:
-            return Tree([np.asarray(t, np.int64) for t in part["tokens"]], part["component"].to_numpy())
-
         mine = pdf if x == y else pdf[pdf["block"] == x]
         other = mine if x == y else pdf[pdf["block"] == y]
         if not len(mine) or not len(other):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        width = int(pdf["bits"].map(len).min())
+
+        def tree(part: pd.DataFrame) -> Tree:
+            return Tree(folded(part["bits"].tolist(), width), part["size"].to_numpy(np.int64), part["component"].to_numpy(np.int64))
+
         one = tree(mine)
-        two = one if x == y else tree(other)
-        links = list(tree_links(one, two, percent))
+        found = tree_pairs(one, one if x == y else tree(other), percent)
         a, b = mine["node"].to_numpy(), other["node"].to_numpy()
-        return pd.DataFrame({"a": a[[i for i, _ in links]], "b": b[[j for _, j in links]]}, dtype="int64")
+        a, b = (np.concatenate([c[f[k]] for f in found]) if found else np.empty(0, np.int64) for k, c in enumerate((a, b)))
+        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
     return run
 
@@ -328,11 +344,11 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-wanted")
         if wanted.count() <= BROADCAST_NODES:
             keys = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.toLocalIterator()], np.int64)))
-            sets = text.mapInArrow(_sets_of(size, keys), "node long, tokens array<long>")
+            sets = text.mapInArrow(_sets_of(size, keys), "node long, tokens array<long>, bits binary")
         else:
             chosen = materialize(members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).drop("node"), "jaccard-chosen")
-            sets = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(size, None), "node long, tokens array<long>")
-        sets = materialize(sets.groupBy("node").agg(F.any_value("tokens").alias("tokens")), "jaccard-sets")
+            sets = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(size, None), "node long, tokens array<long>, bits binary")
+        sets = materialize(sets.groupBy("node").agg(F.any_value("tokens").alias("tokens"), F.any_value("bits").alias("bits")), "jaccard-sets")
         links = materialize(verified(pairs, sets, percent), "jaccard-links")
         first = materialize(components(links), "jaccard-first")
         label = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
@@ -347,8 +363,10 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
             held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
             dealt = held.select("root", "node", "component", "block", F.explode(both).alias("k")).select("root", "node", "component", "block", "k.x", "k.y")
-            more = dealt.join(sets, "node").groupBy("root", "x", "y").applyInPandas(_tree_join(percent), "a long, b long")
-            links = materialize(links.unionByName(more), "jaccard-links")
+            flat = sets.select("node", F.size("tokens").alias("size"), "bits")
+            more = dealt.join(flat, "node").groupBy("root", "x", "y").applyInPandas(_tree_join(percent), "a long, b long")
+            more = materialize(more.groupBy("a", "b").count().drop("count"), "jaccard-more")
+            links = materialize(links.unionByName(verified(more, sets, percent)), "jaccard-links")
         on = lambda c: named.select(F.col("node").alias(c), F.col("component").alias(f"d{c}"))
         edges = links.join(on("a"), "a").join(on("b"), "b").where("da is not null and db is not null").select(F.col("da").alias("a"), F.col("db").alias("b"))
         reach = components(edges).select(F.col("node").alias("component"), F.col("component").alias("reached"))
