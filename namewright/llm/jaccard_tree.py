@@ -31,6 +31,7 @@ from .common import as_bytes, hashed_words, materialize, mix, prepare, signed, s
 
 FANOUT = 32
 BLOCK = 512
+DEAL_ROWS = 4096
 FLUSH = 1 << 20
 #: Node keys of at most this many nodes are broadcast (8 bytes each); more are joined.
 BROADCAST_NODES = 2_000_000
@@ -225,10 +226,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def signatures(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """A token bitmap of each set: at least two bits a token, a power of two in all."""
+    """A token bitmap of each set: at least eight bits a token, a power of two in all."""
     ends, out = np.cumsum(sizes), []
     for n, e in zip(sizes.tolist(), ends.tolist(), strict=True):
-        width = max(512, 1 << (2 * max(n, 1) - 1).bit_length())
+        width = max(512, 1 << (8 * max(n, 1) - 1).bit_length())
         bits = np.zeros(width, np.uint8)
         bits[(values[e - n : e] >> np.uint64(8)) & np.uint64(width - 1)] = 1
         out.append(np.packbits(bits, bitorder="little").tobytes())
@@ -300,22 +301,29 @@ def tree_pairs(one: Tree, two: Tree, percent: int) -> list[tuple[np.ndarray, np.
 
 
 def _tree_join(percent: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def pairs(pdf: pd.DataFrame) -> np.ndarray:
+        """Of the members of one root's two blocks (or of one block, twice)."""
+        node, block = pdf["node"].to_numpy(), pdf["block"].to_numpy()
+        bits = folded(pdf["bits"].tolist(), int(pdf["bits"].map(len).min()))
+        sizes, labels = pdf["size"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
         x, y = int(pdf["x"].iloc[0]), int(pdf["y"].iloc[0])
-        mine = pdf if x == y else pdf[pdf["block"] == x]
-        other = mine if x == y else pdf[pdf["block"] == y]
+        mine, other = np.flatnonzero(block == x), np.flatnonzero(block == y)
         if not len(mine) or not len(other):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        width = int(pdf["bits"].map(len).min())
-
-        def tree(part: pd.DataFrame) -> Tree:
-            return Tree(folded(part["bits"].tolist(), width), part["size"].to_numpy(np.int64), part["component"].to_numpy(np.int64))
+            return np.empty((0, 2), np.int64)
+        one = Tree(bits[mine], sizes[mine], labels[mine])
+        two = one if x == y else Tree(bits[other], sizes[other], labels[other])
+        found = tree_pairs(one, two, percent)
+        if not found:
+            return np.empty((0, 2), np.int64)
+        a, b = node[mine[np.concatenate([f[0] for f in found])]], node[other[np.concatenate([f[1] for f in found])]]
+        return np.stack([np.maximum(a, b), np.minimum(a, b)], 1)
 
-        one = tree(mine)
-        found = tree_pairs(one, one if x == y else tree(other), percent)
-        a, b = mine["node"].to_numpy(), other["node"].to_numpy()
-        a, b = (np.concatenate([c[f[k]] for f in found]) if found else np.empty(0, np.int64) for k, c in enumerate((a, b)))
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["root", "x", "y"], kind="stable")
+        key = pdf[["root", "x", "y"]].to_numpy()
+        cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(pdf)]
+        found = np.unique(np.concatenate([pairs(pdf.iloc[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]), axis=0)
+        return pd.DataFrame(found, columns=["a", "b"])
 
     return run
 
@@ -362,9 +370,11 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
             blocks = F.ceil((F.col("n") + 1) / BLOCK).cast("int")
             held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
-            dealt = held.select("root", "node", "component", "block", F.explode(both).alias("k")).select("root", "node", "component", "block", "k.x", "k.y")
+            dealt = materialize(held.select("root", "node", "component", "block", F.explode(both).alias("k")).select("root", "node", "component", "block", "k.x", "k.y"), "jaccard-dealt")
             flat = sets.select("node", F.size("tokens").alias("size"), "bits")
-            more = dealt.join(flat, "node").groupBy("root", "x", "y").applyInPandas(_tree_join(percent), "a long, b long")
+            # some roots together, as many as are a bounded number of rows
+            deal = F.pmod(F.xxhash64("root", "x", "y"), F.lit(max(1, dealt.count() // DEAL_ROWS))).alias("deal")
+            more = dealt.join(flat, "node").groupBy(deal).applyInPandas(_tree_join(percent), "a long, b long")
             more = materialize(more.groupBy("a", "b").count().drop("count"), "jaccard-more")
             links = materialize(links.unionByName(verified(more, sets, percent)), "jaccard-links")
         on = lambda c: named.select(F.col("node").alias(c), F.col("component").alias(f"d{c}"))
