@@ -31,7 +31,7 @@ from .common import as_bytes, hashed_words, materialize, mix, prepare, signed, s
 
 FANOUT = 32
 BLOCK = 512
-DEAL_ROWS = 4096
+DEAL_TOKENS = 8 << 20
 FLUSH = 1 << 20
 #: Node keys of at most this many nodes are broadcast (8 bytes each); more are joined.
 BROADCAST_NODES = 2_000_000
@@ -201,7 +201,7 @@ def _sets_of(size: int, wanted):
             if rows:
                 flat = signed(np.concatenate([values[ends[i] - sizes[i] : ends[i]] for i in rows]))
                 offsets = np.r_[0, np.cumsum(sizes[rows])].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(signatures(flat.view(np.uint64), sizes[rows]), pa.binary())], names=["node", "tokens", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "tokens"])
 
     return run
 
@@ -301,29 +301,51 @@ def tree_pairs(one: Tree, two: Tree, percent: int) -> list[tuple[np.ndarray, np.
 
 
 def _tree_join(percent: int):
-    def pairs(pdf: pd.DataFrame) -> np.ndarray:
-        """Of the members of one root's two blocks (or of one block, twice)."""
-        node, block = pdf["node"].to_numpy(), pdf["block"].to_numpy()
-        bits = folded(pdf["bits"].tolist(), int(pdf["bits"].map(len).min()))
-        sizes, labels = pdf["size"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
-        x, y = int(pdf["x"].iloc[0]), int(pdf["y"].iloc[0])
-        mine, other = np.flatnonzero(block == x), np.flatnonzero(block == y)
-        if not len(mine) or not len(other):
-            return np.empty((0, 2), np.int64)
-        one = Tree(bits[mine], sizes[mine], labels[mine])
-        two = one if x == y else Tree(bits[other], sizes[other], labels[other])
-        found = tree_pairs(one, two, percent)
-        if not found:
-            return np.empty((0, 2), np.int64)
-        a, b = node[mine[np.concatenate([f[0] for f in found])]], node[other[np.concatenate([f[1] for f in found])]]
-        return np.stack([np.maximum(a, b), np.minimum(a, b)], 1)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["root", "x", "y"], kind="stable")
-        key = pdf[["root", "x", "y"]].to_numpy()
-        cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(pdf)]
-        found = np.unique(np.concatenate([pairs(pdf.iloc[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]), axis=0)
-        return pd.DataFrame(found, columns=["a", "b"])
+    """Of roots' members and their sets: verified links, no more than join the components that the members are of."""
+
+    def run(members: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        nodes = sets["key"].to_numpy(np.int64)
+        order = np.argsort(nodes)
+        nodes, tokens = nodes[order], [np.asarray(sets["tokens"].iloc[i], np.int64) for i in order.tolist()]
+        sizes = np.array([len(x) for x in tokens], np.int64)
+        bits = signatures(np.concatenate(tokens).view(np.uint64), sizes)
+        members = members.sort_values(["root", "x", "y"], kind="stable")
+        key = members[["root", "x", "y"]].to_numpy()
+        which = np.searchsorted(nodes, members["node"].to_numpy())
+        block, label = members["block"].to_numpy(), np.zeros(len(nodes), np.int64)
+        label[which] = members["component"].to_numpy()
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(key)]
+        links, unlike = [], set()
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            x, y = key[a, 1], key[a, 2]
+            mine, other = which[a:b][block[a:b] == x], which[a:b][block[a:b] == y]
+            if not len(mine) or not len(other):
+                continue
+            width = min(len(bits[i]) for i in which[a:b].tolist())
+            now = lambda own: np.array([find(c) for c in label[own].tolist()], np.int64)
+            one = Tree(folded([bits[i] for i in mine.tolist()], width), sizes[mine], now(mine))
+            two = one if x == y else Tree(folded([bits[i] for i in other.tolist()], width), sizes[other], now(other))
+            for i, j in tree_pairs(one, two, percent):
+                for u, v in zip(mine[i].tolist(), other[j].tolist(), strict=True):
+                    cu, cv = find(int(label[u])), find(int(label[v]))
+                    pair = (u, v) if u < v else (v, u)
+                    if cu == cv or pair in unlike:
+                        continue
+                    common = len(np.intersect1d(tokens[u], tokens[v], assume_unique=True))
+                    if 100 * common >= percent * (len(tokens[u]) + len(tokens[v]) - common):
+                        parent[cu] = cv
+                        links.append((nodes[u], nodes[v]))
+                    else:
+                        unlike.add(pair)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -352,31 +374,35 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-wanted")
         if wanted.count() <= BROADCAST_NODES:
             keys = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.toLocalIterator()], np.int64)))
-            sets = text.mapInArrow(_sets_of(size, keys), "node long, tokens array<long>, bits binary")
+            sets = text.mapInArrow(_sets_of(size, keys), "node long, tokens array<long>")
         else:
             chosen = materialize(members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).drop("node"), "jaccard-chosen")
-            sets = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(size, None), "node long, tokens array<long>, bits binary")
-        sets = materialize(sets.groupBy("node").agg(F.any_value("tokens").alias("tokens"), F.any_value("bits").alias("bits")), "jaccard-sets")
+            sets = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(size, None), "node long, tokens array<long>")
+        sets = materialize(sets.groupBy("node").agg(F.any_value("tokens").alias("tokens")), "jaccard-sets")
         links = materialize(verified(pairs, sets, percent), "jaccard-links")
         first = materialize(components(links), "jaccard-first")
         label = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
         seen = stars.join(label("a"), "a", "left").join(label("b"), "b", "left").select("root", "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
         seen = materialize(seen, "jaccard-seen")
         # a root of one pair is decided; so is one whose members are all one component
-        open_roots = materialize(seen.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("ca") != F.col("cb")).cast("int")).alias("open")).where("open = 1 and n > 1").select("root", "n"), "jaccard-open")
+        open_roots = materialize(seen.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("ca", "cb")).alias("family"), F.max((F.col("ca") != F.col("cb")).cast("int")).alias("open")).where("open = 1 and n > 1").select("root", "n", "family"), "jaccard-open")
         if not open_roots.isEmpty():
             ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("component")), F.struct(F.col("b").alias("node"), F.col("cb").alias("component"))))
-            held = seen.join(open_roots, "root").select("root", "n", ends.alias("e")).select("root", "n", "e.*").distinct()
+            held = seen.join(open_roots, "root").select("root", "n", "family", ends.alias("e")).select("root", "n", "family", "e.*").distinct()
             blocks = F.ceil((F.col("n") + 1) / BLOCK).cast("int")
             held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
-            dealt = materialize(held.select("root", "node", "component", "block", F.explode(both).alias("k")).select("root", "node", "component", "block", "k.x", "k.y"), "jaccard-dealt")
-            flat = sets.select("node", F.size("tokens").alias("size"), "bits")
-            # some roots together, as many as are a bounded number of rows
-            deal = F.pmod(F.xxhash64("root", "x", "y"), F.lit(max(1, dealt.count() // DEAL_ROWS))).alias("deal")
-            more = dealt.join(flat, "node").groupBy(deal).applyInPandas(_tree_join(percent), "a long, b long")
-            more = materialize(more.groupBy("a", "b").count().drop("count"), "jaccard-more")
-            links = materialize(links.unionByName(verified(more, sets, percent)), "jaccard-links")
+            dealt = held.join(sets.select("node", F.size("tokens").alias("size")), "node")
+            dealt = materialize(dealt.select("root", "family", "node", "component", "block", "size", F.explode(both).alias("k")).select("root", "family", "node", "component", "block", "size", "k.x", "k.y"), "jaccard-dealt")
+            # roots of one family go together, as its sets are needed in each of them, as far as a bounded size allows
+            weights = materialize(dealt.groupBy("family").agg(F.ceil(F.sum("size") / DEAL_TOKENS).alias("cuts"), F.sum("size").alias("size")), "jaccard-families")
+            deals = max(1, (weights.agg(F.sum("size")).first()[0] or 0) // DEAL_TOKENS)
+            cut = F.pmod(F.xxhash64("root", "x", "y"), F.col("cuts"))
+            deal = F.when(F.col("cuts") > 1, F.xxhash64("family", cut)).otherwise(F.pmod(F.xxhash64("family"), F.lit(deals)))
+            dealt = materialize(dealt.join(weights.select("family", "cuts"), "family").select("root", "node", "component", "block", "x", "y", deal.alias("deal")), "jaccard-deals")
+            shipped = dealt.select(F.col("deal").alias("at"), F.col("node").alias("key")).distinct().join(sets.select(F.col("node").alias("key"), "tokens"), "key")
+            more = dealt.groupBy("deal").cogroup(shipped.groupBy("at")).applyInPandas(_tree_join(percent), "a long, b long")
+            links = materialize(links.unionByName(more), "jaccard-links")
         on = lambda c: named.select(F.col("node").alias(c), F.col("component").alias(f"d{c}"))
         edges = links.join(on("a"), "a").join(on("b"), "b").where("da is not null and db is not null").select(F.col("da").alias("a"), F.col("db").alias("b"))
         reach = components(edges).select(F.col("node").alias("component"), F.col("component").alias("reached"))
