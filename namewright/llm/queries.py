@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, grammar, jaccard_tree, lm, packing, quality, tokens, warc
+from . import decontaminate, grammar, jaccard_tree, language_mix, lm, packing, quality, tokens, warc
 from .common import table
 
 BPE = "byte_bpe_50k.json"
@@ -32,6 +32,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.vocabulary(BPE))
 
 
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mix.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,5 +48,5 @@ def op10_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op2_log_frequency_bloom_lm, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts, op7_benchmark_containment, op9_conflict_best_fit, op10_risk_controlled_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op2_log_frequency_bloom_lm, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts, op6_language_mixture, op7_benchmark_containment, op9_conflict_best_fit, op10_risk_controlled_quality)}
 ORACLE_SQL: dict[str, str] = {}
