@@ -87,3 +87,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, perce
     wanted = shingles.select("item_id", "len", "gram", F.col("n").alias("n_shingles"))
     exact = held.join(F.broadcast(wanted) if small else wanted, ["len", "gram"]).groupBy("doc_id", "item_id", "n_shingles").agg(F.countDistinct("gram").alias("n_found"))
     return exact.where(100 * F.col("n_found") >= percent * F.col("n_shingles")).join(pairs, ["doc_id", "item_id"], "left_semi").select("doc_id", "item_id", "n_shingles", "n_found")
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, whole, that hold no item."""
+    bad = materialize(contamination(docs, benchmark, size, percent).select("doc_id").distinct(), "bench-documents")
+    return docs.join(bad.withColumnRenamed("doc_id", "_bad"), F.col("doc_id") == F.col("_bad"), "left_anti")

@@ -410,3 +410,15 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     named = materialize(named, "jaccard-named")
     joined = members.join(named.withColumnRenamed("component", "found"), "node", "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, whole: of each component the document of smallest id; of rows of one id (or of equal texts without an id) one."""
+    found = materialize(jaccard_components(docs, size, percent), "jaccard-components")
+    lost = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "jaccard-lost")
+    kept = docs.join(lost.withColumnRenamed("doc_id", "_lost"), F.col("doc_id") == F.col("_lost"), "left_anti")
+    counts = found.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
+    if counts[0] == counts[1]:
+        return kept
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
+    return kept.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")

@@ -157,25 +157,43 @@ def proportions(like: np.ndarray, owner: np.ndarray, texts: int, rounds: int = R
     return out
 
 
+def predictions(text: pa.Array, names: list[str], table: np.ndarray) -> tuple[list[str], np.ndarray]:
+    texts = as_bytes(text)
+    letters = np.asarray(pa.compute.fill_null(pa.compute.match_substring_regex(text, r"\p{L}"), False))
+    top, score = np.zeros(len(texts), int), np.zeros(len(texts))
+    if names:
+        folds, starts = folded(texts)
+        like, owner = word_likelihoods(folds, starts, table)
+        if len(owner):
+            share = proportions(like, owner, len(texts))
+            top, score = share.argmax(axis=1), share.max(axis=1)
+    known = letters & (score > 0)
+    return [names[t] if ok else "und" for t, ok in zip(top.tolist(), known.tolist(), strict=True)], np.where(known, np.clip(score, 0, 1), 0.0)
+
+
 def _predictor(names: list[str], table: np.ndarray, held: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            texts = as_bytes(batch.column("text"))
-            letters = np.asarray(pa.compute.fill_null(pa.compute.match_substring_regex(batch.column("text"), r"\p{L}"), False))
-            if names:
-                text, starts = folded(texts)
-                like, owner = word_likelihoods(text, starts, table)
-                share = proportions(like, owner, len(texts)) if len(owner) else np.zeros((len(texts), len(names)))
-                top, score = share.argmax(axis=1), share.max(axis=1)
-            else:
-                top, score = np.zeros(len(texts), int), np.zeros(len(texts))
-            known = letters & (score > 0)
-            pred = [names[t] if ok else "und" for t, ok in zip(top.tolist(), known.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.compute.equal(batch.column("part"), held), pa.array(pred, pa.string()), pa.array(np.where(known, np.clip(score, 0, 1), 0.0))], names=["doc_id", "held_out", "lang_pred", "score"])
+            pred, score = predictions(batch.column("text"), names, table)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.compute.equal(batch.column("part"), held), pa.array(pred, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return run
 
 
+def with_language(docs: DataFrame, least_share: float = 0.4, modulus: int = 3, held: int = 1) -> DataFrame:
+    """The rows of docs, whole, that have a language: one that holds least_share of the text."""
+    prepare(docs.sparkSession)
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), crc_mod(F.col("doc_id"), modulus).alias("part"))
+    names, table = learn(rows.where(F.col("part") != held))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            pred, score = predictions(batch.column("text"), names, table)
+            yield batch.filter(pa.array([p != "und" and s >= least_share for p, s in zip(pred, score.tolist(), strict=True)]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
     """Learns from the rows whose crc32(doc_id as text) mod `modulus` is not `held`; predicts for all rows."""
     prepare(docs.sparkSession)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, grammar, jaccard_tree, language_mix, lm, packing, quality, tokens, warc
+from . import decontaminate, grammar, jaccard_tree, language_mix, lm, packing, quality, tokens, toxicity, warc
 from .common import table
 
 BPE = "byte_bpe_50k.json"
@@ -40,6 +40,10 @@ def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_conflict_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op10_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op2_log_frequency_bloom_lm, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts, op6_language_mixture, op7_benchmark_containment, op9_conflict_best_fit, op10_risk_controlled_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op2_log_frequency_bloom_lm, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts, op6_language_mixture, op7_benchmark_containment, op8_toxicity_bigru, op9_conflict_best_fit, op10_risk_controlled_quality)}
 ORACLE_SQL: dict[str, str] = {}
