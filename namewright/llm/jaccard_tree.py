@@ -124,7 +124,7 @@ def _nodes(size: int):
 
 
 def _roots(size: int, percent: int):
-    """Rows (root, node, hub, deal): hub is set where the task has paired the node already; deal spreads those rows."""
+    """Rows (root, node, hub): hub is set where the task has paired the node already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -138,10 +138,9 @@ def _roots(size: int, percent: int):
             hub = node[np.maximum.accumulate(np.where(first, np.arange(len(root)), 0))]
             keep = ~again
             root, node, hub, first = root[keep], node[keep], hub[keep], first[keep]
-            deal = np.where(first, root, mix(root ^ (node * np.uint64(3))))
             for a in range(0, len(root), 200_000):
                 s = slice(a, a + 200_000)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(root[s])), pa.array(signed(node[s])), pa.array(signed(hub[s]), mask=first[s]), pa.array(signed(deal[s]))], names=["root", "node", "hub", "deal"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(root[s])), pa.array(signed(node[s])), pa.array(signed(hub[s]), mask=first[s])], names=["root", "node", "hub"])
 
         for batch in slices(batches, "text"):
             values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
@@ -178,7 +177,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(root[use]), pa.array(node[use]), pa.array(hub[use])], names=["root", "a", "b"])
 
 
-def _sets_of(size: int, wanted):
+def _sets_of(size: int, wanted, bitmaps: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         keys = wanted.value if wanted is not None else None
@@ -199,9 +198,10 @@ def _sets_of(size: int, wanted):
                     seen.add(key)
                     rows.append(i)
             if rows:
-                flat = signed(np.concatenate([values[ends[i] - sizes[i] : ends[i]] for i in rows]))
-                offsets = np.r_[0, np.cumsum(sizes[rows])].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "tokens"])
+                flat = np.concatenate([values[ends[i] - sizes[i] : ends[i]] for i in rows])
+                own = flat if not bitmaps else np.concatenate(parts := [np.frombuffer(x, np.uint64) for x in signatures(flat, sizes[rows], 1)])
+                offsets = np.r_[0, np.cumsum([len(x) for x in parts] if bitmaps else sizes[rows])].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(sizes[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(own)))], names=["node", "size", "tokens"])
 
     return run
 
@@ -225,11 +225,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def signatures(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """A token bitmap of each set: at least eight bits a token, a power of two in all."""
+def signatures(values: np.ndarray, sizes: np.ndarray, each: int = 8) -> list[bytes]:
+    """A token bitmap of each set: at least `each` bits a token, a power of two in all."""
     ends, out = np.cumsum(sizes), []
     for n, e in zip(sizes.tolist(), ends.tolist(), strict=True):
-        width = max(512, 1 << (8 * max(n, 1) - 1).bit_length())
+        width = max(512, 1 << (each * max(n, 1) - 1).bit_length())
         bits = np.zeros(width, np.uint8)
         bits[(values[e - n : e] >> np.uint64(8)) & np.uint64(width - 1)] = 1
         out.append(np.packbits(bits, bitorder="little").tobytes())
@@ -300,16 +300,19 @@ def tree_pairs(one: Tree, two: Tree, percent: int) -> list[tuple[np.ndarray, np.
     return out
 
 
-def _tree_join(percent: int):
-    """Of roots' members and their sets: verified links, no more than join the components that the members are of."""
+def _tree_join(percent: int, bitmaps: bool):
+    """Of roots' members and their sets: verified links, no more than join the components that the members are of.
+
+    bitmaps: sets are bitmaps; returns the members, as pairs of themselves, that can have a link.
+    """
 
     def run(members: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
         nodes = sets["key"].to_numpy(np.int64)
         order = np.argsort(nodes)
         nodes, tokens = nodes[order], [np.asarray(sets["tokens"].iloc[i], np.int64) for i in order.tolist()]
-        sizes = np.array([len(x) for x in tokens], np.int64)
-        bits = signatures(np.concatenate(tokens).view(np.uint64), sizes)
-        members = members.sort_values(["root", "x", "y"], kind="stable")
+        sizes = sets["size"].to_numpy(np.int64)[order]
+        bits = [x.tobytes() for x in tokens] if bitmaps else signatures(np.concatenate(tokens).view(np.uint64), sizes) if tokens else []
+        members = members[members["node"].isin(nodes)].sort_values(["root", "x", "y"], kind="stable")
         key = members[["root", "x", "y"]].to_numpy()
         which = np.searchsorted(nodes, members["node"].to_numpy())
         block, label = members["block"].to_numpy(), np.zeros(len(nodes), np.int64)
@@ -322,8 +325,8 @@ def _tree_join(percent: int):
                 x = up
             return x
 
-        cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(key)]
-        links, unlike = [], set()
+        cuts = np.unique(np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(key)])
+        links, unlike, hit = [], set(), np.zeros(len(nodes), bool)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             x, y = key[a, 1], key[a, 2]
             mine, other = which[a:b][block[a:b] == x], which[a:b][block[a:b] == y]
@@ -334,6 +337,10 @@ def _tree_join(percent: int):
             one = Tree(folded([bits[i] for i in mine.tolist()], width), sizes[mine], now(mine))
             two = one if x == y else Tree(folded([bits[i] for i in other.tolist()], width), sizes[other], now(other))
             for i, j in tree_pairs(one, two, percent):
+                if bitmaps:
+                    hit[mine[i]] = True
+                    hit[other[j]] = True
+                    continue
                 for u, v in zip(mine[i].tolist(), other[j].tolist(), strict=True):
                     cu, cv = find(int(label[u])), find(int(label[v]))
                     pair = (u, v) if u < v else (v, u)
@@ -345,11 +352,23 @@ def _tree_join(percent: int):
                         links.append((nodes[u], nodes[v]))
                     else:
                         unlike.add(pair)
+        if bitmaps:
+            return pd.DataFrame({"deal": members["deal"].iloc[0] if len(members) else 0, "node": nodes[hit]})
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def plausible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps don't rule out.  Bitmaps of different widths are compared by sizes alone."""
+    one = pairs.join(bitmaps.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("tokens").alias("ta")), "a").where("na is not null")
+    two = one.join(bitmaps.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("tokens").alias("tb")), "b")
+    only = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))), F.lit(0), lambda t, n: t + n)
+    same = F.size("ta") == F.size("tb")
+    overlap = F.least(F.col("na") - F.when(same, only("ta", "tb")).otherwise(0), F.col("nb") - F.when(same, only("tb", "ta")).otherwise(0))
+    return two.where((100 + percent) * overlap >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
@@ -365,21 +384,31 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     members = materialize(rows.mapInArrow(_nodes(size), "doc_id long, n_shingles long, node long"), "jaccard-members")
     text = rows.select("text").where("text is not null")
-    dealt = text.mapInArrow(_roots(size, percent), "root long, node long, hub long, deal long")
-    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "deal").sortWithinPartitions("root", "node")
+    dealt = text.mapInArrow(_roots(size, percent), "root long, node long, hub long")
+    # rows that are paired already needn't meet others of their root
+    deal = F.when(F.col("hub").isNull(), F.col("root")).otherwise(F.xxhash64("root", "node"))
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), deal).sortWithinPartitions("root", "node")
     stars = materialize(dealt.mapInArrow(_stars, "root long, a long, b long"), "jaccard-stars")
     pairs = materialize(stars.groupBy("a", "b").count().drop("count"), "jaccard-pairs")
     named = members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("component"))
     if not pairs.isEmpty():
-        wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-wanted")
-        if wanted.count() <= BROADCAST_NODES:
-            keys = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.toLocalIterator()], np.int64)))
-            sets = text.mapInArrow(_sets_of(size, keys), "node long, tokens array<long>")
-        else:
-            chosen = materialize(members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).drop("node"), "jaccard-chosen")
-            sets = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(size, None), "node long, tokens array<long>")
-        sets = materialize(sets.groupBy("node").agg(F.any_value("tokens").alias("tokens")), "jaccard-sets")
-        links = materialize(verified(pairs, sets, percent), "jaccard-links")
+        nodes_of = lambda df: df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+        def looked_up(wanted: DataFrame, bitmaps: bool) -> DataFrame:
+            """(node, size, tokens) of the wanted nodes; tokens: the set or its bitmap."""
+            wanted = materialize(wanted, "jaccard-wanted")
+            if wanted.count() <= BROADCAST_NODES:
+                keys = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.toLocalIterator()], np.int64)))
+                found = text.mapInArrow(_sets_of(size, keys, bitmaps), "node long, size long, tokens array<long>")
+            else:
+                chosen = materialize(members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).drop("node"), "jaccard-chosen")
+                found = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(size, None, bitmaps), "node long, size long, tokens array<long>")
+            return materialize(found.groupBy("node").agg(F.any_value("size").alias("size"), F.any_value("tokens").alias("tokens")), "jaccard-sets")
+
+        bitmaps = looked_up(nodes_of(pairs), True)
+        near = materialize(plausible(pairs, bitmaps, percent), "jaccard-near")
+        sets = looked_up(nodes_of(near), False)
+        links = materialize(verified(near, sets, percent), "jaccard-links")
         first = materialize(components(links), "jaccard-first")
         label = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
         seen = stars.join(label("a"), "a", "left").join(label("b"), "b", "left").select("root", "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
@@ -392,7 +421,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
             blocks = F.ceil((F.col("n") + 1) / BLOCK).cast("int")
             held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
-            dealt = held.join(sets.select("node", F.size("tokens").alias("size")), "node")
+            dealt = held.join(bitmaps.select("node", "size"), "node")
             dealt = materialize(dealt.select("root", "family", "node", "component", "block", "size", F.explode(both).alias("k")).select("root", "family", "node", "component", "block", "size", "k.x", "k.y"), "jaccard-dealt")
             # roots of one family go together, as its sets are needed in each of them, as far as a bounded size allows
             weights = materialize(dealt.groupBy("family").agg(F.ceil(F.sum("size") / DEAL_TOKENS).alias("cuts"), F.sum("size").alias("size")), "jaccard-families")
@@ -400,9 +429,15 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
             cut = F.pmod(F.xxhash64("root", "x", "y"), F.col("cuts"))
             deal = F.when(F.col("cuts") > 1, F.xxhash64("family", cut)).otherwise(F.pmod(F.xxhash64("family"), F.lit(deals)))
             dealt = materialize(dealt.join(weights.select("family", "cuts"), "family").select("root", "node", "component", "block", "x", "y", deal.alias("deal")), "jaccard-deals")
-            shipped = dealt.select(F.col("deal").alias("at"), F.col("node").alias("key")).distinct().join(sets.select(F.col("node").alias("key"), "tokens"), "key")
-            more = dealt.groupBy("deal").cogroup(shipped.groupBy("at")).applyInPandas(_tree_join(percent), "a long, b long")
-            links = materialize(links.unionByName(more), "jaccard-links")
+            shipped = lambda at, sets: at.select(F.col("deal").alias("at"), F.col("node").alias("key")).distinct().join(sets.select(F.col("node").alias("key"), "size", "tokens"), "key")
+            # bitmaps first: most members can't have a link, and their sets aren't sent
+            can = dealt.groupBy("deal").cogroup(shipped(dealt, bitmaps).groupBy("at")).applyInPandas(_tree_join(percent, True), "deal long, node long")
+            can = materialize(can, "jaccard-can")
+            if not can.isEmpty():
+                sets = looked_up(can.select("node").distinct(), False)
+                left = materialize(dealt.join(can.distinct(), ["deal", "node"], "left_semi"), "jaccard-left")
+                more = left.groupBy("deal").cogroup(shipped(can, sets).groupBy("at")).applyInPandas(_tree_join(percent, False), "a long, b long")
+                links = materialize(links.unionByName(more), "jaccard-links")
         on = lambda c: named.select(F.col("node").alias(c), F.col("component").alias(f"d{c}"))
         edges = links.join(on("a"), "a").join(on("b"), "b").where("da is not null and db is not null").select(F.col("da").alias("a"), F.col("db").alias("b"))
         reach = components(edges).select(F.col("node").alias("component"), F.col("component").alias("reached"))
