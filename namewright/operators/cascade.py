@@ -1,0 +1,39 @@
+"""Keep-if-any filters over row-local candidate arrays: no shuffle, order is kept, an empty narrowing keeps all."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def keep_if_any(items: Column, hit: Callable[[Column], Column]) -> Column:
+    kept = F.filter(items, hit)
+    return F.when(F.size(kept) > 0, kept).otherwise(items)
+
+
+def most_specific(variants: Column) -> Column:
+    """Drops variants whose words are some of another's."""
+    words = lambda v: F.split(v, " ")
+    below = lambda v: F.exists(variants, lambda o: (o != v) & (F.size(F.array_except(words(v), words(o))) == 0))
+    return F.filter(variants, lambda v: ~below(v))
+
+
+def closest_pack(items: Column, pack: Column) -> Column:
+    """Equal packs, else unpacked items, else the closest within half or twenty, else all."""
+    gap = lambda i: F.abs(i["pack_num"] - pack)
+    equal, bare = F.filter(items, lambda i: i["pack_num"] == pack), F.filter(items, lambda i: i["pack_num"].isNull())
+    least = F.array_min(F.transform(items, gap))
+    near = F.filter(items, lambda i: (gap(i) == least) & ((least <= pack * 0.5) | (least <= 20)))
+    smallest = F.array_min(F.transform(items, lambda i: i["pack_num"]))
+    none = F.when(F.size(bare) > 0, bare).when(smallest.isNotNull(), F.slice(F.filter(items, lambda i: i["pack_num"] == smallest), 1, 1)).otherwise(items)
+    return F.when(pack.isNull(), none).when(F.size(equal) > 0, equal).when(F.size(bare) > 0, bare).when(F.size(near) > 0, near).otherwise(items)
+
+
+def rank(candidates: DataFrame, score: str = "score") -> DataFrame:
+    """Candidates by score, then catalogue order; HIGH for one candidate, or at least 90 with a lead of 8."""
+    w = Window.partitionBy("row_id").orderBy(F.desc(score), "ord")
+    out = candidates.withColumn("place", F.row_number().over(w)).withColumn("next", F.lead(score).over(w))
+    sure = F.col("next").isNull() | (F.col(score) - F.col("next") >= 8)
+    return out.withColumn("confidence", F.when((F.col("place") == 1) & (((F.col(score) >= 90) & sure) | F.col("next").isNull()), "HIGH").otherwise("LOW"))

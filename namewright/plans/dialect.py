@@ -1,0 +1,102 @@
+"""The few spots where Spark's and DuckDB's SQL differ, so that a plan is one text for both."""
+
+from __future__ import annotations
+
+
+class Spark:
+    name = "spark"
+
+    def compact(self, x: str) -> str:
+        return f"regexp_replace(upper({x}), '[^A-Z0-9]+', '')"
+
+    def replace(self, x: str, pattern: str, to: str) -> str:
+        return f"regexp_replace({x}, '{pattern}', '{to}')"
+
+    def tokens(self, x: str) -> str:
+        return f"regexp_extract_all(upper({x}), '[A-Z0-9]+', 0)"
+
+    def letter_runs(self, x: str) -> str:
+        """Runs of letters."""
+        return f"regexp_extract_all(upper({x}), '[A-Z]+', 0)"
+
+    def like(self, x: str, pattern: str) -> str:
+        return f"({x} rlike '{pattern}')"
+
+    def extract(self, x: str, pattern: str, group: int = 1) -> str:
+        return f"nullif(regexp_extract({x}, '{pattern}', {group}), '')"
+
+    def size(self, a: str) -> str:
+        return f"size({a})"
+
+    def part(self, a: str, i: str, j: str) -> str:
+        return f"array_join(slice({a}, {i}, {j} - {i} + 1), '')"
+
+    def upto(self, n: str, start: str = "1") -> str:
+        return f"explode(sequence({start}, {n}))"
+
+    def every(self, a: str, cond: str) -> str:
+        return f"forall({a}, t -> {cond})"
+
+    def joined(self, x: str, order: str) -> str:
+        return f"array_join(transform(array_sort(collect_list(struct({order} as o, {x} as x))), s -> cast(s.x as string)), ',')"
+
+    def first_by(self, x: str, order: str) -> str:
+        return f"min_by({x}, {order})"
+
+    def letters(self, x: str) -> str:
+        return f"array_distinct(split({x}, ''))"
+
+    def lacking(self, a: str, b: str) -> str:
+        return f"size(array_except({a}, {b}))"
+
+    def real(self, x: str) -> str:
+        return f"try_cast({x} as double)"
+
+    def row(self, *xs: str) -> str:
+        return f"struct({', '.join(xs)})"
+
+
+class Duck(Spark):
+    name = "duckdb"
+
+    def compact(self, x: str) -> str:
+        return f"regexp_replace(upper({x}), '[^A-Z0-9]+', '', 'g')"
+
+    def replace(self, x: str, pattern: str, to: str) -> str:
+        return f"regexp_replace({x}, '{pattern}', '{to.replace('$', chr(92))}', 'g')"
+
+    def tokens(self, x: str) -> str:
+        return f"regexp_extract_all(upper({x}), '[A-Z0-9]+')"
+
+    def like(self, x: str, pattern: str) -> str:
+        return f"regexp_matches({x}, '{pattern}')"
+
+    def size(self, a: str) -> str:
+        return f"len({a})"
+
+    def part(self, a: str, i: str, j: str) -> str:
+        return f"array_to_string(list_slice({a}, {i}, {j}), '')"
+
+    def upto(self, n: str, start: str = "1") -> str:
+        return f"unnest(generate_series({start}, {n}))"
+
+    def every(self, a: str, cond: str) -> str:
+        return f"(len(list_filter({a}, lambda t: not ({cond}))) = 0)"
+
+    def joined(self, x: str, order: str) -> str:
+        return f"string_agg(cast({x} as varchar), ',' order by {order})"
+
+    def first_by(self, x: str, order: str) -> str:
+        return f"arg_min({x}, {order})"
+
+    def letters(self, x: str) -> str:
+        return f"list_distinct(string_split({x}, ''))"
+
+    def lacking(self, a: str, b: str) -> str:
+        return f"len(list_filter({a}, lambda t: not list_contains({b}, t)))"
+
+    def row(self, *xs: str) -> str:
+        return f"row({', '.join(xs)})"
+
+
+SPARK, DUCK = Spark(), Duck()
