@@ -199,7 +199,7 @@ def _sets_of(size: int, wanted, bitmaps: bool):
                     rows.append(i)
             if rows:
                 flat = np.concatenate([values[ends[i] - sizes[i] : ends[i]] for i in rows])
-                own = flat if not bitmaps else np.concatenate(parts := [np.frombuffer(x, np.uint64) for x in signatures(flat, sizes[rows], 1)])
+                own = flat if not bitmaps else np.concatenate(parts := [np.frombuffer(x, np.uint64) for x in signatures(flat, sizes[rows], 2)])
                 offsets = np.r_[0, np.cumsum([len(x) for x in parts] if bitmaps else sizes[rows])].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(sizes[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(own)))], names=["node", "size", "tokens"])
 
