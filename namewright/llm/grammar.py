@@ -1,7 +1,7 @@
 """Token-id files with Re-Pair grammar compression.
 
 A shard's ids are rewritten in passes: the most frequent id pairs each become a nonterminal, whose rule and expansion
-length are stored.  No pair begins with the end id, so documents start at symbol boundaries and any of them, or any range
+length are stored.  No pair begins with a symbol that closes a document, so documents start at symbol boundaries and any of them, or any range
 of ids, is decoded without what stands before it.
 
 Defined results: a null text is an empty one (its end id alone); documents are in ascending doc_id order, null ids first,
@@ -39,6 +39,8 @@ def pair_bins(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def compress(ids: np.ndarray, vocab: int, end_id: int, passes: int = 3, top: int = 65536, least: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (rule r is symbol vocab + r: its two symbols).  ids: uint32."""
     seq, rules = ids.astype(np.uint32), np.empty((0, 2), np.uint32)
+    final = np.zeros(max(top, vocab), bool)  # symbols whose expansion closes a document
+    final[end_id] = True
     room = min(top - vocab, 1 << 16)
     for k in range(passes):
         share = (room - len(rules)) // (passes - k)
@@ -55,7 +57,7 @@ def compress(ids: np.ndarray, vocab: int, end_id: int, passes: int = 3, top: int
         at[h] = np.arange(len(h))
         pl, pr = np.full(BINS, 0xFFFFFFFF, np.uint32), np.zeros(BINS, np.uint32)
         pl[places], pr[places] = left[at[places]], right[at[places]]
-        pl[places[pl[places] == end_id]] = 0xFFFFFFFF
+        pl[places[final[pl[places]]]] = 0xFFFFFFFF
         found = np.flatnonzero((pl[h] == left) & (pr[h] == right))
         # of overlapping pairs in a run every other one, from the left
         fresh = np.r_[True, found[1:] != found[:-1] + 1] if len(found) else np.empty(0, bool)
@@ -69,6 +71,7 @@ def compress(ids: np.ndarray, vocab: int, end_id: int, passes: int = 3, top: int
         number[kept] = vocab + len(rules) + np.arange(len(kept), dtype=np.uint32)
         found = found[used[h[found]] >= least]
         new = number[h[found]]
+        final[number[kept]] = final[pr[kept]]
         rules = np.vstack([rules, np.stack([pl[kept], pr[kept]], 1)])
         seq = seq.copy()
         seq[found] = new
@@ -123,7 +126,9 @@ def pack_block(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray,
     symbols, rules = compress(ids, vocab, end_id)
     size = expansion_lengths(rules, vocab)
     id_at = np.r_[0, np.cumsum(lengths)].astype(np.int64)
-    symbol_at = np.searchsorted(np.r_[0, np.cumsum(size[symbols])], id_at)
+    bounds = np.r_[0, np.cumsum(size[symbols])]
+    symbol_at = np.searchsorted(bounds, id_at)
+    assert (bounds[symbol_at] == id_at).all()  # documents begin where symbols do
     small = np.uint16 if vocab + len(rules) <= 1 << 16 else np.uint32
     out = io.BytesIO()
     np.savez(out, doc_ids=np.array([x or 0 for x in doc_ids], np.int64), known=np.array([x is not None for x in doc_ids]), symbol_at=symbol_at, id_at=id_at, rules=rules.astype(small), lengths=size[vocab:].astype(np.uint32), symbols=symbols.astype(small), vocab=np.int64(vocab))
