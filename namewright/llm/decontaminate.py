@@ -71,13 +71,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, perce
     probes = sketch.select("hash", "len").distinct()
     # equal hashes of several items are one probe; the items come back after it
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), words_of().alias("w"))
-    hashes = F.flatten(F.array(*[F.transform(gram_hashes("w", k), lambda h, k=k: F.struct(F.lit(k).alias("len"), h.alias("hash"))) for k in lengths])) if len(lengths) > 1 else None
     if not lengths:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_found long")
-    if hashes is None:
-        grams = rows.select("doc_id", F.explode(gram_hashes("w", lengths[0])).alias("hash")).withColumn("len", F.lit(lengths[0]))
-    else:
-        grams = rows.select("doc_id", F.explode(hashes).alias("e")).select("doc_id", "e.len", "e.hash")
+    by_length = F.array(*[F.struct(F.lit(k).alias("len"), gram_hashes("w", k).alias("hashes")) for k in lengths])
+    grams = rows.select("doc_id", F.explode(by_length).alias("e")).select("doc_id", "e.len", F.explode("e.hashes").alias("hash"))
     hits = grams.join(F.broadcast(probes) if small else probes, ["len", "hash"]).groupBy("doc_id", "len", "hash").count().drop("count")
     pairs = materialize(hits.join(F.broadcast(sketch) if small else sketch, ["len", "hash"]).groupBy("doc_id", "item_id").count().drop("count"), "bench-pairs")
     found = pairs.select("doc_id").distinct()

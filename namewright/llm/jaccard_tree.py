@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -65,6 +66,7 @@ def set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return mix((total[ends] - total[ends - sizes]) * np.uint64(0x9E3779B97F4A7C15) + sizes.astype(np.uint64))
 
 
+@lru_cache
 def bands(percent: int, largest: int = 1 << 40, ratio: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
     """Where each band of sizes begins, and its number of parts.  Sizes below the first only link when equal."""
     ratio = max(ratio, 100 / percent)
@@ -83,7 +85,7 @@ def spare_parts(parts: np.ndarray) -> np.ndarray:
 
 def roots(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Root keys of each set and the set's number, for its band and for the next one if a linked set can be there."""
-    low, parts = bands(percent, int(sizes.max(initial=1)) + 1)
+    low, parts = bands(percent)  # of any size, so that all tasks cut alike
     spare = spare_parts(parts)
     parts = parts + spare
     band = np.searchsorted(low, sizes, "right") - 1

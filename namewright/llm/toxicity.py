@@ -94,7 +94,9 @@ def gather(x: np.ndarray, starts: np.ndarray, left: np.ndarray) -> tuple[np.ndar
     """Windows (time x window x inputs) and which places hold words."""
     at = starts[None, :] + np.arange(WINDOW)[:, None]
     real = np.arange(WINDOW)[:, None] < np.minimum(left, WINDOW)[None, :]
-    return np.where(real[:, :, None], x[np.minimum(at, max(len(x) - 1, 0))] if len(x) else np.float32(0), np.float32(0)), real
+    if not len(x):
+        return np.zeros((WINDOW, len(starts), INPUTS), np.float32), real
+    return np.where(real[:, :, None], x[np.minimum(at, len(x) - 1)], np.float32(0)), real
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
