@@ -53,4 +53,15 @@ def op10_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op2_log_frequency_bloom_lm, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts, op6_language_mixture, op7_benchmark_containment, op8_toxicity_bigru, op9_conflict_best_fit, op10_risk_controlled_quality)}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _shingles(table_name: str, key: str) -> str:
+    """Distinct runs of five words; benchmark items have fifteen words at least."""
+    words = f"select {key}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w from {table_name} where {key} is not null"
+    return f"select distinct {key}, array_to_string(w[k:k + 4], ' ') as g from (select {key}, w, unnest(generate_series(1, len(w) - 4)) as k from ({words}) a where len(w) >= 5) b"
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_benchmark_containment": f"""with bs as ({_shingles("benchmark", "item_id")}), n as (select item_id, count(*) as n_shingles from bs group by item_id), ds as ({_shingles("documents", "doc_id")})
+      select doc_id, item_id, n_shingles, count(*) as n_found from ds join bs using (g) join n using (item_id) group by doc_id, item_id, n_shingles having 100 * count(*) >= 80 * n_shingles"""
+}
