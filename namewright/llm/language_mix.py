@@ -64,7 +64,7 @@ def gram_buckets(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _learner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (lang, bucket, n): what the task has counted, once for each."""
     found: dict[str, np.ndarray] = {}
-    for batch in slices(batches, "text", 4 << 20):
+    for batch in slices(batches, "text", 2 << 20):
         langs, texts = batch.column("lang").to_pylist(), as_bytes(batch.column("text"))
         for lang in sorted(set(langs)):
             own, _ = folded([t for t, x in zip(texts, langs, strict=True) if x == lang])
@@ -173,7 +173,7 @@ def predictions(text: pa.Array, names: list[str], table: np.ndarray) -> tuple[li
 
 def _predictor(names: list[str], table: np.ndarray, held: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             pred, score = predictions(batch.column("text"), names, table)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.compute.equal(batch.column("part"), held), pa.array(pred, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
@@ -187,7 +187,7 @@ def with_language(docs: DataFrame, least_share: float = 0.4, modulus: int = 3, h
     names, table = learn(rows.where(F.col("part") != held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             pred, score = predictions(batch.column("text"), names, table)
             yield batch.filter(pa.array([p != "und" and s >= least_share for p, s in zip(pred, score.tolist(), strict=True)]))
 
