@@ -1,7 +1,10 @@
 """N-gram Jaccard self-join with signature trees: documents whose word-shingle sets are alike, as components.
 
 1. Documents become sets of hashed shingles; equal sets are one node.
-2. The forest's roots partition the nodes.  A set's tokens are ordered by how often they occur (a table of bounded size,
+2. The forest's roots partition the nodes.  Where a part of the token space that linked sets must agree on holds
+   PART_TOKENS tokens or more (at 90 percent), the roots are parts: for each band of set sizes the token space is cut
+   into more parts than a linked pair can differ in, and a root is (band, part, hash of the set's tokens in it).  At
+   lower similarities parts are too small to be selective, and the roots are tokens.  A set's tokens are ordered by how often they occur (a table of bounded size,
    filled from all documents, holds levels of upper bounds), rarest first.  A set of n tokens needs ceil(n * percent /
    100) of them in a linked set, so linked sets share a token among the first n - ceil(n * percent / 100) + 1 of each:
    those tokens are the set's roots.  The order decides how selective roots are, never which links are found.
@@ -19,8 +22,10 @@ columns are ignored.  Sets are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import as_bytes, hashed_words, materialize, mix, prepare, signed, slices, windows
 
 FANOUT = 32
+PART_TOKENS = 8
 BLOCK = 512
 #: Cells of the table of token counts, a power of two: 8 MB as levels, broadcast; cut in chunks where tasks' counts are added.
 CELLS, CHUNK = 1 << 23, 1 << 17
@@ -69,12 +75,62 @@ def set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return mix((total[ends] - total[ends - sizes]) * np.uint64(0x9E3779B97F4A7C15) + sizes.astype(np.uint64))
 
 
+@lru_cache
+def bands(percent: int, largest: int = 1 << 40, ratio: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
+    """Where each band of sizes begins, and its number of parts.  Sizes below the first only link when equal."""
+    ratio = max(ratio, 100 / percent)
+    slack = (100 - percent) / (100 + percent)
+    low = [next(n for n in range(1, 10_000) if math.floor(2 * n * slack + 1e-9) >= 1)]
+    while low[-1] < largest:
+        low.append(math.ceil(low[-1] * ratio) + 1)
+    parts = [math.floor(2 * (b - 1) * slack + 1e-9) + 1 for b in low[1:]]
+    return np.array(low[:-1], np.int64), np.array(parts, np.int64)
+
+
+def spare_parts(parts: np.ndarray) -> np.ndarray:
+    """Parts beyond those that must be: with s of them linked sets agree on 1 + s parts, so that up to s parts which hold next to nothing need no root."""
+    return np.maximum(2, parts // 12)
+
+
+def part_roots(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Root keys of each set and the set's number, for its band and for the next one if a linked set can be there."""
+    low, parts = bands(percent)  # of any size, so that all tasks cut alike
+    spare = spare_parts(parts)
+    parts = parts + spare
+    band = np.searchsorted(low, sizes, "right") - 1
+    out, owners = [], []
+    mixed = mix(values + np.uint64(0xD1B54A32D192ED03))
+    for step in (0, 1):
+        own_band = band + step
+        use = (band >= 0) & (own_band < len(low)) if step == 0 else (own_band >= 0) & (own_band < len(low))
+        if step == 1:
+            use &= 100 * sizes >= percent * low[np.clip(own_band, 0, len(low) - 1)]
+        n_parts = np.where(use, parts[np.clip(own_band, 0, len(low) - 1)], 0)
+        at = np.r_[0, np.cumsum(n_parts)]
+        sums = np.zeros(at[-1], np.uint64)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        sel = use[owner]
+        part = ((values[sel] >> np.uint64(32)) * n_parts[owner[sel]].astype(np.uint64)) >> np.uint64(32)
+        with np.errstate(over="ignore"):
+            place = at[owner[sel]] + part.astype(np.int64)
+            np.add.at(sums, place, mixed[sel])
+            whose = np.repeat(np.arange(len(sizes)), n_parts)
+            number = np.arange(len(sums)) - at[whose]
+            # parts of one token or none are shared by unlike sets; a set with more of them than are spare keeps all
+            light = np.bincount(place, minlength=len(sums)) < 2
+            keep = ~light | (np.bincount(whose[light], minlength=len(sizes)) > spare[np.clip(own_band, 0, len(low) - 1)])[whose]
+            whose, number, sums = whose[keep], number[keep], sums[keep]
+            out.append(mix(sums + mix((own_band[whose] * 1_000_003 + number).astype(np.uint64) + np.uint64(77))))
+        owners.append(whose)
+    return np.concatenate(out), np.concatenate(owners)
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
     """Counts as bytes that rise with them, eight steps each time they double; 0 where a cell was hit once at most."""
     return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
 
 
-def roots(values: np.ndarray, sizes: np.ndarray, percent: int, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def rare_roots(values: np.ndarray, sizes: np.ndarray, percent: int, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The root keys of each set, and the set's number: its rarest tokens but those that no other document has."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
     held = level[values & np.uint64(len(level) - 1)]
@@ -88,18 +144,19 @@ def roots(values: np.ndarray, sizes: np.ndarray, percent: int, level: np.ndarray
     return mixed[use], owner[use]
 
 
-def _nodes(size: int):
-    """Rows of documents, and at the end the task's counts of tokens, cut in chunks."""
+def _nodes(size: int, counting: bool):
+    """Rows of documents; if counting, at the end the task's counts of tokens, cut in chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts = np.zeros(CELLS if counting else 0, np.uint32)
         names = ["doc_id", "n_shingles", "node", "chunk", "counts"]
         for batch in slices(batches, "text", SLICE):
             values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
-            np.add.at(counts, values & np.uint64(CELLS - 1), np.uint32(1))
+            if counting:
+                np.add.at(counts, values & np.uint64(CELLS - 1), np.uint32(1))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(signed(set_keys(values, sizes))), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
-        for k in range(CELLS // CHUNK):
+        for k in range(len(counts) // CHUNK):
             if (part := counts[k * CHUNK : (k + 1) * CHUNK]).any():
                 packed = zlib.compress(part.tobytes(), 1)
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([packed], pa.binary())], names=names)
@@ -148,7 +205,7 @@ def _roots(size: int, percent: int, level):
 
         for batch in slices(batches, "text", SLICE):
             values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
-            root, owner = roots(values, sizes, percent, level.value)
+            root, owner = rare_roots(values, sizes, percent, level.value) if level is not None else part_roots(values, sizes, percent)
             if len(root):
                 held.append((root, set_keys(values, sizes)[owner]))
                 n += len(root)
@@ -386,9 +443,10 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     spark: SparkSession = docs.sparkSession
     prepare(spark)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    counted = materialize(rows.mapInArrow(_nodes(size), "doc_id long, n_shingles long, node long, chunk int, counts binary"), "jaccard-members")
+    by_parts = (100 + percent) >= PART_TOKENS * 2 * (100 - percent)
+    counted = materialize(rows.mapInArrow(_nodes(size, not by_parts), "doc_id long, n_shingles long, node long, chunk int, counts binary"), "jaccard-members")
     members = counted.where("chunk is null").select("doc_id", "n_shingles", "node")
-    level = spark.sparkContext.broadcast(frequency_levels(counted))
+    level = None if by_parts else spark.sparkContext.broadcast(frequency_levels(counted))
     text = rows.select("text").where("text is not null")
     dealt = text.mapInArrow(_roots(size, percent, level), "root long, node long, hub long")
     # rows that are paired already needn't meet others of their root
