@@ -32,6 +32,7 @@ MASTER = f"""master as (select cast(p_partkey as varchar(20)) as code, p_partkey
   {BRAND} || ' ' || {VARIANT} || ' ' || cast(p_size as varchar(9)) || ' MG ' || p_type as product from part)"""
 PHRASES = "phrases as (select * from (values ('GRANDTOTAL'), ('TOTAL'), ('SUBTOTAL'), ('PAGENO'), ('')) v(phrase))"
 META = "meta as (select * from (values ('TOTAL'), ('PAGE'), ('SALE'), ('STOCK'), ('GRAND'), ('DATE'), ('QTY')) v(word))"
+LINK_CODE = "case when status = 'GARBAGE' then '1' when status in ('NO_BRAND', 'NO_CANDIDATES') then '0' else found end"
 FORM, QUANTITY = "(TAB|CAP|SYRUP|INJ|CREAM|GEL|DROP)", "[0-9]+ *(MG|ML|GM|MCG)"
 
 
@@ -136,9 +137,14 @@ def pack_value(d: Spark) -> str:
     return f"with {MASTER} select code, pack, {a} * {b} as pack_num from master"
 
 
-def pack_size_extract(d: Spark) -> str:
+def name_pack(d: Spark) -> str:
+    """The pack size that a name states, or null."""
     a, b, t = (d.real(d.extract("upper(name)", p)) for p in ("([0-9]+) *X *[0-9]+", "[0-9]+ *X *([0-9]+)", "([0-9]+) *(?:TAB|CAP|STRIP)"))
-    return f"with {NAMES} select row_id, case when {a} <= 10 and {b} <= 100 then {a} * {b} when {t} > 0 and {t} <= 100 then {t} end as pack from names"
+    return f"case when {a} <= 10 and {b} <= 100 then {a} * {b} when {t} > 0 and {t} <= 100 then {t} end"
+
+
+def pack_size_extract(d: Spark) -> str:
+    return f"with {NAMES} select row_id, {name_pack(d)} as pack from names"
 
 
 def combo_dose(d: Spark) -> str:
@@ -178,9 +184,9 @@ def attribute_vocab(d: Spark) -> str:
 
 
 def master_evidence_match(d: Spark) -> str:
-    """Rows that hold a brand, and of one of its products variant and strength."""
-    return f"""with {NAMES}, {MASTER} select row_id, {d.first_by('code', 'ord')} as code from names n join master m on position(m.brand in {d.compact('n.name')}) > 0 and position(m.variant in upper(n.name)) > 0 and position(m.sub_variant || ' MG' in upper(n.name)) > 0
-      where n.brand = m.brand group by row_id"""
+    """Rows that hold a brand of four letters or more, and of one of its products variant and strength."""
+    return f"""with {NAMES}, {MASTER}, held as (select row_id, name, b.brand from names n join (select distinct brand from master where length(brand) >= 4) b on position(b.brand in {d.compact('n.name')}) > 0)
+      select row_id, {d.first_by('code', 'ord')} as code from held h join master m on h.brand = m.brand and position(m.variant in upper(h.name)) > 0 and position(m.sub_variant || ' MG' in upper(h.name)) > 0 group by row_id"""
 
 
 def master_variant_glue(d: Spark) -> str:
@@ -188,8 +194,8 @@ def master_variant_glue(d: Spark) -> str:
 
 
 def candidates(d: Spark) -> str:
-    """Candidates of each name: its brand's products."""
-    return f"{NAMES}, {MASTER}, cand as (select n.row_id, n.name, m.* from names n join master m on n.brand = m.brand)"
+    """Candidates of each name: the products of the brand that the classifier finds in it; garbage and unknown brands have none."""
+    return f"{classified(d)}, {MASTER}, cand as (select c.row_id, c.name, m.* from classes c join master m on c.matched = m.brand where c.class = '0')"
 
 
 def keep_if_any(hit: str, source: str = "cand") -> str:
@@ -211,14 +217,16 @@ def name_strength_filter(d: Spark) -> str:
 
 
 def pack_filter_closest(d: Spark) -> str:
-    """Equal pack, else unpacked, else the closest."""
+    """The name's pack, else unpacked, else the closest; without a pack in the name unpacked, else the smallest."""
     num = d.real(d.extract("pack", "[0-9]+ *X *([0-9]+)"))
-    return f"""with {candidates(d)}, w as (select row_id, ord, {num} as num, 10.0 as want from cand), r as (select *, row_number() over (partition by row_id order by case when num = want then 0 when num is null then 1 else 2 end, abs(num - want), ord) as rn from w)
+    return f"""with {candidates(d)}, w as (select row_id, ord, {num} as num, {name_pack(d)} as want from cand), r as (select *, row_number() over (partition by row_id order by case when num = want then 0 when num is null then 1 else 2 end, coalesce(abs(num - want), num, 0), ord) as rn from w)
       select row_id, ord, num from r where rn = 1"""
 
 
 def form_priority(d: Spark) -> str:
-    return f"with {candidates(d)} select row_id, count(*) as n from {keep_if_any('form = ' + chr(39) + 'STANDARD' + chr(39))} v group by row_id"
+    """Products of a form that is a word of the name, or all."""
+    hit = "position(' ' || form || ' ' in ' ' || upper(name) || ' ') > 0"
+    return f"with {candidates(d)} select row_id, count(*) as n from {keep_if_any(hit)} v group by row_id"
 
 
 def most_specific_variant(d: Spark) -> str:
@@ -254,23 +262,25 @@ def nearest_brand(d: Spark) -> str:
 
 
 def linked(d: Spark) -> str:
-    return f"""{ranked(d)}, links as (select row_id, code as found, product as found_name, case when next_score is null or (score >= 90 and score - next_score >= 8) then 'MATCHED' when score >= 90 then 'RECOVERED_LOCAL_ONLY' else 'NO_CANDIDATES' end as status from ranked where rn = 1)"""
+    """Every name's status; garbage isn't linked, nor are names without a brand."""
+    return f"""{ranked(d)}, links as (select c.row_id, code as found, product as found_name, case when class = '1' then 'GARBAGE' when code is null then 'NO_BRAND' when next_score is null or (score >= 90 and score - next_score >= 8) then 'MATCHED' when score >= 90 then 'RECOVERED_LOCAL_ONLY' else 'NO_CANDIDATES' end as status
+    from classes c left join (select * from ranked where rn = 1) r on c.row_id = r.row_id)"""
 
 
 def status_to_code(d: Spark) -> str:
-    return f"with {linked(d)} select row_id, status, case when status = 'NO_CANDIDATES' then '0' else found end as product_code, case when status = 'NO_CANDIDATES' then 'NO SUGGESTION' else found_name end as product_name from links"
+    return f"with {linked(d)} select row_id, status, {LINK_CODE} as product_code, case when status = 'GARBAGE' then 'GARBAGE' when status in ('NO_BRAND', 'NO_CANDIDATES') then 'NO SUGGESTION' else found_name end as product_name from links"
 
 
 def result_join_back(d: Spark) -> str:
-    return f"with {linked(d)} select n.row_id, n.name, coalesce(case when l.status <> 'NO_CANDIDATES' then l.found end, '0') as product_code from names n left join links l on n.row_id = l.row_id"
+    return f"with {linked(d)} select n.row_id, n.name, coalesce({LINK_CODE}, '0') as product_code from names n left join links l on n.row_id = l.row_id"
 
 
 def review_sheet(d: Spark) -> str:
-    return f"with {linked(d)} select n.row_id, n.name, l.status from names n join links l on n.row_id = l.row_id where l.status <> 'MATCHED'"
+    return f"with {linked(d)} select n.row_id, n.name, l.status from names n join links l on n.row_id = l.row_id where l.status not in ('MATCHED', 'GARBAGE')"
 
 
 def review_diff(d: Spark) -> str:
-    return f"with {linked(d)} select l.row_id, case when upper(trim(l.found)) <> upper(trim(m.code)) then 'Suggested change' else 'Needs manual review' end as review from links l join master m on m.ord = l.row_id where l.row_id % 3 = 0"
+    return f"with {linked(d)} select l.row_id, case when upper(trim(l.found)) <> upper(trim(m.code)) then 'Suggested change' else 'Needs manual review' end as review from links l join master m on m.ord = l.row_id where l.row_id % 3 = 0 and l.status <> 'GARBAGE'"
 
 
 def status_breakdown(d: Spark) -> str:

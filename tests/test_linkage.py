@@ -70,3 +70,35 @@ def test_cascade_and_sources(spark):
     assert [(r.variant, r.sub_variant) for r in master.collect()] == [("PLAIN", "PLAIN")]
     with pytest.raises(ValueError):
         tables.resolve(names, "other")
+
+
+def planned(con, name):
+    rows = con.execute(catalog.ORACLE_SQL[name])
+    names = [d[0] for d in rows.description]
+    return [dict(zip(names, r, strict=True)) for r in rows.fetchall()]
+
+
+def test_links_use_the_name_only():
+    """The noun of a part reaches neither candidates nor statuses but through its noisy name."""
+    con = duckdb.connect()
+    con.execute(f"create view part as select * from '{SF}/part.parquet'")
+    names = {r["row_id"]: r["class"] for r in planned(con, "classify_full")}
+    unlinked = {i for i, c in names.items() if c != "0"}
+    assert {i for i in names if i % 8 in (6, 7)} <= unlinked
+    for name in ("rank_candidates", "variant_filter", "subvariant_filter", "confidence_gap", "top3_suggestions", "pack_filter_closest", "form_priority"):
+        assert {r["row_id"] for r in planned(con, name)} == set(names) - unlinked
+    assert not {r["row_id"] for r in planned(con, "master_evidence_match")} & {i for i in names if i % 8 in (6, 7)}
+    status = {r["row_id"]: r for r in planned(con, "status_to_code")}
+    assert set(status) == set(names) and all((status[i]["status"], status[i]["product_code"]) == (("GARBAGE", "1") if names[i] == "1" else ("NO_BRAND", "0")) for i in unlinked)
+    assert not {r["row_id"] for r in planned(con, "review_sheet")} & {i for i, c in names.items() if c == "1"}
+
+
+def test_pack_and_form_are_the_name_s():
+    con = duckdb.connect()
+    con.execute("create table part(p_partkey bigint, p_name varchar, p_type varchar, p_size int)")
+    # numbers of packs: 4 none, 1 ten, 2 fifteen, 3 five; names: 1 'BXLT RED 7 MG 10 TAB', 3 'RNIG 7 CAP', 4 'RINGSMALL 7 SYRUP 1X10'
+    con.execute("insert into part values (1, 'red bolt', 'LARGE', 7), (2, 'red bolt', 'PROMO', 7), (9, 'large bolt', 'PROMO', 7), (12, 'small ring', 'SMALL', 7), (8, 'small bolt', 'SMALL', 7), (16, 'promo bolt', 'LARGE', 7)")
+    packs = {r["row_id"]: (r["ord"], r["num"]) for r in planned(con, "pack_filter_closest")}
+    assert packs[1] == (1, 10.0) and packs[8] == (8, None)  # 10 in the name, none in the name
+    forms = {r["row_id"]: r["n"] for r in planned(con, "form_priority")}
+    assert forms[8] == 1 and forms[9] == 2 and forms[16] == 2 and forms[1] == 5  # SMALL, LARGE and PROMO in the name, none
