@@ -3,11 +3,13 @@
 Each rule rejects a document whose statistic is above a cutoff.  The cutoff of a rule in a stratum is the strictest one
 for which labelled good documents show, by an exact binomial test, that at most `rule_risk` of good documents are
 rejected.  Cutoffs are tried from the loosest on and the first that fails ends the search, which needs no correction
-along the ladder; over rules and strata the error level is divided (Bonferroni).  So with probability 1 - delta no rule
-rejects more than rule_risk of a stratum's good documents, and all rules together at most rule_risk times their number.
+along the ladder; over rules and groups of strata the error level is divided (Bonferroni).  So with probability 1 - delta
+no rule rejects more than rule_risk of a group's good documents, and all rules together at most rule_risk times their number.
 
-Strata are classes of text length, so neither language nor source is needed.  A rule without enough labelled documents
-in a stratum rejects nothing there.
+Strata are classes of text length, so neither language nor source is needed.  Neighbouring strata share cutoffs where one
+alone holds too few good labelled documents to certify any: groups are chosen by these numbers only, never by what rules
+reject, as many groups as can each certify a cutoff.  With fewer documents in all than one group takes (2300 at the
+defaults) nothing can be certified and only the base rule rejects.
 
 Defined results: a null text has no words (and fails the base rule); labels of ids that are null or unknown are ignored,
 of several labels for an id the worst counts; repeated rows each get their result; extra columns are ignored.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -98,14 +101,29 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
 
 
+def stratum_groups(good: dict[int, int], rule_risk: float, delta: float) -> list[tuple[int, ...]]:
+    """Runs of neighbouring strata: as many as each hold enough good documents to certify a cutoff that rejects none, of these the most even; one run where none does."""
+    strata = sorted(good)
+    for cuts in range(len(strata) - 1, 0, -1):
+        splits = [[tuple(strata[a:b]) for a, b in pairwise((0, *at, len(strata)))] for at in combinations(range(1, len(strata)), cuts)]
+        least, best = max((min(sum(good[s] for s in group) for group in split), split) for split in splits)
+        if binomial_tail(0, least, rule_risk) <= delta / len(best) / len(RULES):
+            return best
+    return [tuple(strata)]
+
+
 def chosen_cutoffs(rejected: dict[tuple[int, str], list[int]], good: dict[int, int], rule_risk: float, delta: float) -> dict[tuple[int, str], int]:
     """The strictest certified cutoff's place in its ladder, for each stratum and rule that has one.  rejected: good documents above each cutoff."""
-    level, out = delta / (len(STRATA) + 1) / len(RULES), {}
-    for (stratum, rule), counts in rejected.items():
-        for place, k in enumerate(counts):
-            if k > 2 * rule_risk * good[stratum] + 50 or binomial_tail(k, good[stratum], rule_risk) > level:
-                break
-            out[stratum, rule] = place
+    groups, out = stratum_groups(good, rule_risk, delta), {}
+    level = delta / len(groups) / len(RULES)
+    for group in groups:
+        n = sum(good[s] for s in group)
+        for rule, (_, ladder) in RULES.items():
+            for place in range(len(ladder)):
+                k = sum(rejected[s, rule][place] for s in group if (s, rule) in rejected)
+                if k > 2 * rule_risk * n + 50 or binomial_tail(k, n, rule_risk) > level:
+                    break
+                out |= {(s, rule): place for s in group}
     return out
 
 

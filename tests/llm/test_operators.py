@@ -190,6 +190,19 @@ def test_quality(spark, docs, rows):
     assert quality.risk_controlled(empty(docs), labels).count() == 0 and quality.risk_controlled(docs, empty(labels)).count() == docs.count()
 
 
+def test_quality_rejects_planted_junk(spark):
+    """Strata that hold too few good documents alone share their cutoffs."""
+    texts = [" ".join(f"word{i}x{k}" for k in range(30 if i % 2 else 150)) for i in range(2400)]
+    junk = [" ".join(f"#*$%& |<>{i} ab{k}" for k in range(15)) for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts + junk)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 2400)) for i in range(2420)], "doc_id long, quality int")
+    got = quality.risk_controlled(docs, labels).collect()
+    assert not any(r.base_failed for r in got) and {r.doc_id for r in got if not r.kept} == set(range(2400, 2420))
+    assert quality.stratum_groups({0: 371, 1: 1835, 2: 992, 3: 104}, 0.002, 0.05) == [(0, 1, 2, 3)]
+    assert quality.stratum_groups({0: 3000, 1: 2000, 2: 1200, 3: 10}, 0.002, 0.05) == [(0,), (1, 2, 3)]
+    assert not quality.chosen_cutoffs({(0, r): [0] * len(c) for r, (_, c) in quality.RULES.items()}, {0: 2200, 1: 0, 2: 0, 3: 0}, 0.002, 0.05)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
