@@ -2,8 +2,8 @@
 
 Inputs of a word: how much likelier toxic documents hold it (word input), and the largest and the mean such value of its
 character n-grams (character inputs), each as a lower confidence bound, so that rare coincidences weigh nothing.  A
-window's states are pooled by attention to one logit; all overlapping windows of the whole text are scored and the
-highest is the document's score.
+window's states are pooled by attention to one logit; all overlapping windows of the whole text (32 words, from each word
+on: stride 1) are scored, in training too, and the highest is the document's score.
 
 The network and the inputs' tables are fitted on a bounded sample of labelled rows (`per_class` toxic ones and twice as
 many others, by hash of the id, texts of at most `sample_bytes`).  A toxic document's label is known, not where the toxic
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, crc_mod, materialize, mix, prepare, slices, span_hashes, word_spans
 
-WINDOW, STRIDE, HIDDEN, INPUTS = 32, 24, 12, 4
+WINDOW, HIDDEN, INPUTS = 32, 12, 4
 BUCKETS = 1 << 18
 PER_CLASS, SAMPLE_BYTES = 1500, 20_000
-BATCH = 4096
+BATCH = 2048
 _T = [(mix(np.arange(256, dtype=np.uint64) + np.uint64(7 + 999 * k)) >> np.uint64(30)).astype(np.uint32) for k in range(5)]
 
 
@@ -82,12 +82,12 @@ def inputs(texts: list[bytes], tables: list[np.ndarray]) -> tuple[np.ndarray, np
 
 
 def window_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where all windows begin, in the row of all texts' words, and whose they are; the last one ends with the text."""
-    windows = np.maximum(1, -(-(counts - WINDOW) // STRIDE) + 1)
+    """Where all windows begin, in the row of all texts' words, and whose they are: at every word but the last ones, a short text has one."""
+    windows = np.maximum(1, counts - WINDOW + 1)
     owner = np.repeat(np.arange(len(counts)), windows)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
     first = np.cumsum(counts) - counts
-    return first[owner] + np.minimum(number * STRIDE, np.maximum(counts[owner] - WINDOW, 0)), owner
+    return first[owner] + number, owner
 
 
 def gather(x: np.ndarray, starts: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +135,33 @@ class Network:
         pooled = (weight[:, :, None] * out).sum(axis=0)
         return pooled @ p["w"] + p["c"], (both, kept, out, weight, pooled) if keep else None
 
+    def run_logits(self, x: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+        """Logits of the windows from each place of a run of words (words x inputs); hidden: what is added to a place's attention."""
+        p, h = self.p, HIDDEN
+        n = len(x) - WINDOW + 1
+        half = np.r_[np.full(2 * h, 0.5), np.ones(h)].astype(x.dtype)[:, None]  # of the gates, as sigmoid(x) is tanh(x / 2) / 2 + 1 / 2
+        probe = np.zeros((WINDOW, 2, n), x.dtype)  # attention and output, all that pooling takes of the states
+        for k in range(2):
+            gx, u = half * (p["W"][k].T @ x.T + p["b"][k][:, None]), half * p["U"][k].T
+            ends = np.stack([p["v"][k * h : k * h + h], p["w"][k * h : k * h + h]])
+            state, gh, zr, new = np.zeros((h, n), x.dtype), np.empty((3 * h, n), x.dtype), np.empty((2 * h, n), x.dtype), np.empty((h, n), x.dtype)
+            for place in range(WINDOW) if k == 0 else range(WINDOW - 1, -1, -1):
+                np.matmul(u, state, out=gh)
+                np.add(gh[: 2 * h], gx[: 2 * h, place : place + n], out=zr)
+                np.tanh(zr, out=zr)
+                zr *= 0.5
+                zr += 0.5
+                np.multiply(zr[h:], gh[2 * h :], out=new)
+                new += gx[2 * h :, place : place + n]
+                np.tanh(new, out=new)
+                state -= new
+                state *= zr[:h]
+                state += new
+                probe[place] += ends @ state
+        score = probe[:, 0] + np.lib.stride_tricks.sliding_window_view(hidden, n)
+        weight = np.exp(score - score.max(axis=0))
+        return (weight * probe[:, 1]).sum(axis=0) / weight.sum(axis=0) + p["c"]
+
     def gradients(self, x: np.ndarray, real: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross-entropy and its gradients, by backpropagation through time."""
         p, h = self.p, HIDDEN
@@ -184,8 +211,21 @@ def window_logits(net: Network, x: np.ndarray, counts: np.ndarray) -> tuple[np.n
     """Logits of all windows, where they begin and whose they are."""
     starts, owner = window_starts(counts)
     left = (np.cumsum(counts))[owner] - starts
-    parts = [net.forward(*gather(x, starts[a : a + BATCH], left[a : a + BATCH]))[0] for a in range(0, len(starts), BATCH)]
-    return np.concatenate(parts) if parts else np.empty(0, np.float32), starts, owner
+    # a row of words in which each text has a window's places at least
+    places = np.maximum(counts, WINDOW)
+    shift = np.cumsum(places - counts) - (places - counts)
+    at = np.arange(len(x)) + np.repeat(shift, counts)
+    padded, hidden = np.zeros((places.sum(), INPUTS), x.dtype), np.full(places.sum(), -30, x.dtype)
+    padded[at], hidden[at] = x, 0
+    begin, out = starts + shift[owner], np.empty(len(starts), x.dtype)
+    for a in range(0, len(starts), BATCH):
+        own = begin[a : a + BATCH]
+        run = slice(own[0], own[-1] + WINDOW)
+        if own[-1] - own[0] < 2 * len(own):  # windows across texts are computed too, and left out
+            out[a : a + BATCH] = net.run_logits(padded[run], hidden[run])[own - own[0]]
+        else:
+            out[a : a + BATCH] = net.forward(*gather(x, starts[a : a + BATCH], left[a : a + BATCH]))[0]
+    return out, starts, owner
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 3, epochs: int = 6) -> tuple[Network, list[np.ndarray]]:
@@ -198,7 +238,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 3, epochs: int = 6)
     total = np.r_[0, np.cumsum(np.maximum(x[:, :2], 0).sum(axis=1))] if len(x) else np.zeros(1)
     score = total[np.minimum(starts + np.minimum(left, WINDOW), len(x))] - total[np.minimum(starts, len(x))]
     rng = np.random.default_rng(11)
-    for _ in range(rounds):
+    for turn in range(rounds):
         # of each document its highest window, and of clean ones another
         order = np.lexsort((-score, owner))
         best = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
@@ -209,7 +249,8 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 3, epochs: int = 6)
         again = np.flatnonzero(label == 1)
         chosen = np.r_[chosen, np.repeat(chosen[again], max(0, (label == 0).sum() // max(len(again), 1) - 1))]
         net.train(*gather(x, starts[chosen], left[chosen]), toxic[owner[chosen]].astype(np.float32), epochs)
-        score = window_logits(net, x, counts)[0]
+        if turn < rounds - 1:
+            score = window_logits(net, x, counts)[0]
     return net, tables
 
 

@@ -163,6 +163,27 @@ def test_toxicity(spark, docs):
         assert abs((losses[0] - losses[1]) / 2e-5 - g[k][at]) < 1e-6
 
 
+def test_toxicity_scores_every_window():
+    """A passage's score doesn't depend on where in a text it stands, and runs of windows score as single ones do."""
+    net, rng = toxicity.Network(), np.random.default_rng(1)
+    counts = np.array([100, 0, 5, 32, 33, 700])
+    x = rng.normal(size=(counts.sum(), toxicity.INPUTS)).astype(np.float32)
+    logit, starts, owner = toxicity.window_logits(net, x, counts)
+    assert np.bincount(owner).tolist() == [69, 1, 1, 1, 2, 669]
+    one_by_one = net.forward(*toxicity.gather(x, starts, np.cumsum(counts)[owner] - starts))[0]
+    assert np.abs(logit - one_by_one).max() < 1e-4
+    short = np.full(90, 3)
+    spread, at, whose = toxicity.window_logits(net, x[:270], short)
+    assert np.abs(spread - net.forward(*toxicity.gather(x[:270], at, np.cumsum(short)[whose] - at))[0]).max() < 1e-4
+    held = np.zeros((200, toxicity.INPUTS), np.float32)
+    found = []
+    for k in range(40, 72):
+        text = held.copy()
+        text[k : k + 32] = x[:32]
+        found.append(toxicity.window_logits(net, text, np.array([200]))[0][k])
+    assert np.ptp(found) < 1e-4
+
+
 def test_packing(docs):
     got = packing.pack(docs, capacity=256, per_source=2, shard_pieces=64).toPandas()
     assert got.groupby(["shard", "bin"])["length"].sum().max() <= 256 and (got["offset"] + got["length"] <= 256).all()
