@@ -77,14 +77,21 @@ def _learner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(count[at].astype(np.int64))], names=["lang", "bucket", "n"])
 
 
-def learn(docs: DataFrame, languages: int = 64) -> tuple[list[str], np.ndarray]:
-    """Names and log-probabilities (language x bucket).  docs: text and lang.  At most `languages` languages, those of most n-grams, are known: the model goes to each worker."""
+def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Names and log-probabilities (language x bucket) of all languages.  docs: text and lang.  The model goes to each worker, 128 KB a language."""
     counted = materialize(docs.where("lang is not null and text is not null").select("text", "lang").mapInArrow(_learner, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-grams")
-    names = sorted(r[0] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect())
-    table = np.full((len(names), BUCKETS), 0.5)
-    for r in counted.where(F.col("lang").isin(names)).toLocalIterator() if names else ():  # languages x buckets at most
-        table[names.index(r["lang"]), r["bucket"]] += r["n"]
-    return names, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32) if names else table.astype(np.float32)
+    names = sorted(r[0] for r in counted.select("lang").distinct().collect())
+    place, table = {name: k for k, name in enumerate(names)}, np.empty((len(names), BUCKETS), np.float32)
+    for r in counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("e")).select("lang", "e.bucket", "e.n").toLocalIterator():  # buckets at most in a row
+        row = np.full(BUCKETS, 0.5)
+        row[r["bucket"]] += r["n"]
+        table[place[r["lang"]]] = np.log(row / row.sum())
+    return names, table
+
+
+def slice_bytes(languages: int) -> int:
+    """Texts that are worked on at once: each word has a likelihood for each language."""
+    return (1 << 26) // max(64, languages)
 
 
 def word_likelihoods(text: np.ndarray, starts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +180,7 @@ def predictions(text: pa.Array, names: list[str], table: np.ndarray) -> tuple[li
 
 def _predictor(names: list[str], table: np.ndarray, held: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", slice_bytes(len(names))):
             pred, score = predictions(batch.column("text"), names, table)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.compute.equal(batch.column("part"), held), pa.array(pred, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
@@ -187,7 +194,7 @@ def with_language(docs: DataFrame, least_share: float = 0.4, modulus: int = 3, h
     names, table = learn(rows.where(F.col("part") != held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", slice_bytes(len(names))):
             pred, score = predictions(batch.column("text"), names, table)
             yield batch.filter(pa.array([p != "und" and s >= least_share for p, s in zip(pred, score.tolist(), strict=True)]))
 

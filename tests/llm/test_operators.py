@@ -137,6 +137,20 @@ def test_language(docs):
     assert language_mix.identify(empty(docs)).count() == 0
 
 
+def test_language_learns_every_language(spark):
+    """Seventy languages, the last ones with the fewest texts."""
+    rng, rows = np.random.default_rng(5), []
+    for k in range(70):
+        vocabulary = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(12)]
+        rows += [(len(rows) + i, " ".join(rng.choice(vocabulary, 80 if k < 64 else 40)), f"l{k:02}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, table = language_mix.learn(docs)
+    assert names == sorted({r[2] for r in rows}) and table.shape == (70, language_mix.BUCKETS)
+    got = {r.doc_id: r.lang_pred for r in language_mix.identify(docs).collect()}
+    taught = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1}
+    assert len(taught) > 64 and all(got[i] == lang for i, _, lang in rows if lang in taught)
+
+
 def test_decontamination(spark, docs):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, "solo words"), (3, None), (4, "")], "item_id long, text string")
     texts = spark.createDataFrame([(1, "xx Alpha, beta gamma delta epsilon zeta eta theta iota kappa yy"), (2, "alpha beta gamma delta epsilon"), (3, "the solo; words here"), (4, None), (5, "")], "doc_id long, text string")
