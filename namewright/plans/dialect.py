@@ -37,6 +37,10 @@ class Spark:
     def every(self, a: str, cond: str) -> str:
         return f"forall({a}, t -> {cond})"
 
+    def some_upto(self, n: str, cond: str) -> str:
+        """Whether cond holds for a k from 1 to n."""
+        return f"exists(sequence(1, greatest({n}, 1)), k -> {cond})"
+
     def joined(self, x: str, order: str) -> str:
         return f"array_join(transform(array_sort(collect_list(struct({order} as o, {x} as x))), s -> cast(s.x as string)), ',')"
 
@@ -83,6 +87,9 @@ class Duck(Spark):
     def every(self, a: str, cond: str) -> str:
         return f"(len(list_filter({a}, lambda t: not ({cond}))) = 0)"
 
+    def some_upto(self, n: str, cond: str) -> str:
+        return f"(len(list_filter(generate_series(1, greatest({n}, 1)), lambda k: {cond})) > 0)"
+
     def joined(self, x: str, order: str) -> str:
         return f"string_agg(cast({x} as varchar), ',' order by {order})"
 

@@ -63,17 +63,25 @@ def vocab_exact_match(d: Spark) -> str:
     return f"with {exact_match(d)} select row_id, brand from exact"
 
 
+def swapped(d: Spark, a: str, b: str) -> str:
+    """Whether a is b but for two neighbours that changed places; substr takes int places."""
+    k = "cast(k as int)"
+    return f"(length({a}) = length({b}) and {d.some_upto(f'length({a}) - 1', f'substr({a}, 1, {k} - 1) || substr({a}, {k} + 1, 1) || substr({a}, {k}, 1) || substr({a}, {k} + 2) = {b}')})"
+
+
 def fuzzy_match(d: Spark) -> str:
-    """One edit at most, for names without an exact hit: lengths are joined first, then character sets, then distances."""
+    """One edit or swap of neighbours at most, two edits for brands of ten letters on, for names without an exact hit: lengths are joined first, then character sets, then distances."""
     return f"""{exact_match(d)}, rest as (select s.* from spans s left join exact e on s.row_id = e.row_id where e.row_id is null),
-  near as (select row_id, i, j, norm, b.brand, b.ord, case when length(norm) = length(b.brand) then 0 when length(norm) < length(b.brand) then 1 else 2 end as rnk
-    from rest join (select brand, ord, length(brand) + k as len from brands cross join (values (-1), (0), (1)) v(k) where length(brand) >= 4) b on length(norm) = b.len
-    where {d.lacking(d.letters('norm'), d.letters('b.brand'))} <= 1 and levenshtein(norm, b.brand) = 1),
+  close as (select row_id, i, j, norm, b.brand, b.ord, levenshtein(norm, b.brand) as dist
+    from rest join (select brand, ord, length(brand) + k as len, case when length(brand) >= 10 then 2 else 1 end as most from brands cross join (values (-2), (-1), (0), (1), (2)) v(k) where length(brand) >= 4 and (abs(k) <= 1 or length(brand) >= 10)) b on length(norm) = b.len
+    where {d.lacking(d.letters('norm'), d.letters('b.brand'))} <= b.most),
+  near as (select row_id, i, j, norm, brand, ord, case when dist = 1 then case when length(norm) = length(brand) then 0 when length(norm) < length(brand) then 1 else 2 end when {swapped(d, 'norm', 'brand')} then 3 else 4 end as rnk
+    from close where dist = 1 or (dist = 2 and (length(brand) >= 10 or {swapped(d, 'norm', 'brand')}))),
   fuzzy as (select row_id, {d.first_by('brand', d.row('rnk', '-length(norm)', 'ord', 'i'))} as brand, min(rnk) as rnk from near group by row_id)"""
 
 
 def fuzzy_edit1(d: Spark) -> str:
-    return f"with {fuzzy_match(d)} select row_id, brand, case rnk when 0 then '1-substitution' when 1 then '1-insertion' else '1-deletion' end as match_type from fuzzy"
+    return f"with {fuzzy_match(d)} select row_id, brand, case rnk when 0 then '1-substitution' when 1 then '1-insertion' when 2 then '1-deletion' when 3 then '1-transposition' else '2-edit' end as match_type from fuzzy"
 
 
 def charset_prefilter(d: Spark) -> str:
@@ -88,16 +96,22 @@ def pattern_garbage(d: Spark) -> str:
     return f"with {NAMES} select row_id from names where {d.like('upper(trim(name))', '^(TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)')} or length({d.compact('name')}) <= 3"
 
 
+INSIDE_META = "t in ('TOTAL', 'PAGE', 'SALE', 'STOCK', 'GRAND', 'DATE', 'QTY')"
+
+
 def metadata_garbage(d: Spark) -> str:
     words = f"(select row_id, {d.letter_runs('name')} as t from names) w"
-    inside = "t in ('TOTAL', 'PAGE', 'SALE', 'STOCK', 'GRAND', 'DATE', 'QTY')"
-    return f"with {NAMES} select row_id from {words} where {d.size('t')} > 0 and {d.every('t', inside)}"
+    return f"with {NAMES} select row_id from {words} where {d.size('t')} > 0 and {d.every('t', INSIDE_META)}"
+
+
+def garbage_near(d: Spark) -> str:
+    return f"""garbage_near as (select row_id, p.phrase, case when length(norm) = length(phrase) then 0 when length(norm) < length(phrase) then 1 else 2 end as rnk
+      from (select row_id, {d.compact('name')} as norm from names) n join phrases p on abs(length(norm) - length(p.phrase)) <= 1 and length(p.phrase) >= 4 and levenshtein(norm, p.phrase) <= 1)"""
 
 
 def fuzzy_garbage(d: Spark) -> str:
-    return f"""with {NAMES}, {PHRASES}, near as (select row_id, p.phrase, case when length(norm) = length(phrase) then 0 when length(norm) < length(phrase) then 1 else 2 end as rnk
-      from (select row_id, {d.compact('name')} as norm from names) n join phrases p on abs(length(norm) - length(p.phrase)) <= 1 and length(p.phrase) >= 4 and levenshtein(norm, p.phrase) <= 1)
-    select row_id, {d.first_by('phrase', d.row('rnk', '-length(phrase)', 'phrase'))} as phrase from near group by row_id"""
+    return f"""with {NAMES}, {PHRASES}, {garbage_near(d)}
+    select row_id, {d.first_by('phrase', d.row('rnk', '-length(phrase)', 'phrase'))} as phrase from garbage_near group by row_id"""
 
 
 def maybe_product(d: Spark) -> str:
@@ -106,10 +120,11 @@ def maybe_product(d: Spark) -> str:
 
 def classified(d: Spark) -> str:
     """The cascade: exact or fuzzy brand, then kinds of garbage, then signals of a product."""
-    return f"""{fuzzy_match(d)}, {PHRASES}, classes as (select n.row_id, n.name, coalesce(e.brand, f.brand) as matched,
+    return f"""{fuzzy_match(d)}, {PHRASES}, {garbage_near(d)}, words as (select row_id, {d.letter_runs('name')} as t from names),
+  junk as (select row_id from garbage_near union select row_id from words where {d.size('t')} > 0 and {d.every('t', INSIDE_META)}), classes as (select n.row_id, n.name, coalesce(e.brand, f.brand) as matched,
       case when e.brand is not null then 'exact' when f.brand is not null then 'fuzzy' end as match_type,
-      case when e.brand is not null or f.brand is not null then '0' when p.phrase is not null or {d.like('upper(trim(n.name))', '^(TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)')} or length({d.compact('n.name')}) <= 3 then '1' else 'MAYBE_PRODUCT' end as class
-    from names n left join exact e on n.row_id = e.row_id left join fuzzy f on n.row_id = f.row_id left join phrases p on {d.compact('n.name')} = p.phrase)"""
+      case when e.brand is not null or f.brand is not null then '0' when p.phrase is not null or {d.like('upper(trim(n.name))', '^(TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)')} or length({d.compact('n.name')}) <= 3 or g.row_id is not null then '1' else 'MAYBE_PRODUCT' end as class
+    from names n left join exact e on n.row_id = e.row_id left join fuzzy f on n.row_id = f.row_id left join phrases p on {d.compact('n.name')} = p.phrase left join junk g on n.row_id = g.row_id)"""
 
 
 def classify_full(d: Spark) -> str:

@@ -102,3 +102,22 @@ def test_pack_and_form_are_the_name_s():
     assert packs[1] == (1, 10.0) and packs[8] == (8, None)  # 10 in the name, none in the name
     forms = {r["row_id"]: r["n"] for r in planned(con, "form_priority")}
     assert forms[8] == 1 and forms[9] == 2 and forms[16] == 2 and forms[1] == 5  # SMALL, LARGE and PROMO in the name, none
+
+
+def test_fuzzy_takes_swaps_and_two_edits_of_long_brands():
+    con = duckdb.connect()
+    con.execute("create table part(p_partkey bigint, p_name varchar, p_type varchar, p_size int)")
+    con.execute("insert into part values (3, 'red plate', 'LARGE', 7), (8, 'red stock', 'LARGE', 7), (2, 'red gearboxhousing', 'LARGE', 7), (6, 'red rod', 'LARGE', 7)")
+    got = {r["row_id"]: (r["brand"], r["match_type"]) for r in planned(con, "fuzzy_edit1")}
+    assert got[3] == ("PLATE", "1-transposition") and got[2] == ("GEARBOXHOUSING", "1-insertion")  # PALTE, GERBOXHOUSING
+    two = catalog.ORACLE_SQL["fuzzy_edit1"].replace("substr(brand, 1, 2) || substr(brand, 4)", "'GRBOXHOUSING'")
+    assert con.execute(two + " where row_id = 2").fetchall() == [(2, "GEARBOXHOUSING", "2-edit")]
+
+
+def test_cascade_finds_all_kinds_of_garbage():
+    con = duckdb.connect()
+    con.execute("create table part(p_partkey bigint, p_name varchar, p_type varchar, p_size int)")
+    con.execute("insert into part values (6, 'red rod', 'LARGE', 7)")
+    for name, want in (("STOCK DATE 12", "1"), ("GRANDTOTL", "1"), ("GRXNDTOTAL", "1"), ("ZORVEX 5 MG TAB", "MAYBE_PRODUCT")):
+        plan = catalog.ORACLE_SQL["classify_full"].replace("'TOTAL PAGE ' || p_partkey", f"'{name}'")
+        assert [r[4] for r in con.execute(plan).fetchall()] == [want]
