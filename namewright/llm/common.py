@@ -27,15 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one made here where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in one process alone (tests), one made here."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isDefined():
             found = jsc.getCheckpointDir().get()
-        else:
+        elif spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
             found = "file://" + tempfile.mkdtemp(prefix="namewright-")
             spark.sparkContext.setCheckpointDir(found)
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return found.rstrip("/")
 
 
@@ -47,7 +49,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage is cut and lost executors lose nothing."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() has written, once nothing reads them any more."""
+    for df in tables:
+        remove(df.sparkSession, df.written_to)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(jsc.hadoopConfiguration()).delete(at, True)
 
 
 def prepare(spark: SparkSession) -> None:

@@ -1,13 +1,11 @@
 """N-gram Jaccard self-join with signature trees: documents whose word-shingle sets are alike, as components.
 
-1. Documents become sets of hashed shingles; equal sets are one node.
-2. The forest's roots partition the nodes.  Where a part of the token space that linked sets must agree on holds
-   PART_TOKENS tokens or more (at 90 percent), the roots are parts: for each band of set sizes the token space is cut
-   into more parts than a linked pair can differ in, and a root is (band, part, hash of the set's tokens in it).  At
-   lower similarities parts are too small to be selective, and the roots are tokens.  A set's tokens are ordered by how often they occur (a table of bounded size,
-   filled from all documents, holds levels of upper bounds), rarest first.  A set of n tokens needs ceil(n * percent /
-   100) of them in a linked set, so linked sets share a token among the first n - ceil(n * percent / 100) + 1 of each:
-   those tokens are the set's roots.  The order decides how selective roots are, never which links are found.
+1. Documents become sets of hashed shingles (tokens); equal sets are one node.  For each token the number of documents
+   that hold it is looked up (`lookup`).
+2. A set of n tokens needs ceil(n * percent / 100) of them in any set that it links with: a set with fewer tokens that
+   other documents hold, too, links with nothing.  The forest's roots are tokens: a set's tokens are ordered by how many
+   documents hold them, rarest first, and linked sets share a token among the first n - ceil(n * percent / 100) + 1 of
+   each.  Those tokens, but for those that no other document has, are the set's roots.
 3. Within a root every node is paired with the root's smallest node (per task first, then over all tasks): as many pairs
    as members.  Pairs are verified exactly and give first components.
 4. Roots that still hold several components get signature trees: nodes carry OR-combined token bitmaps and size ranges; a
@@ -15,17 +13,16 @@
    already.  What is left is verified exactly.  Roots of many members are cut into blocks, joined block by block.
 
 Defined results: a text without words, or null, has an empty set, is linked with nothing and is its own component; a text
-with fewer words than a shingle has is one shingle; rows of one doc_id are one document; null ids count as documents
-without a name (they link others, their component_id is the smallest id that there is, null if there is none); extra
-columns are ignored.  Sets are compared by 64-bit hashes.
+with fewer words than a shingle has is one shingle; rows of one doc_id are one document, which links whatever one of its
+texts links; null ids count as documents without a name (they link others, their component_id is the smallest id that
+there is, null if there is none); repeated rows each get their result; extra columns, whatever their names, are ignored;
+an empty table gives an empty result.  Very long texts are held whole by one task.  Sets are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-import math
-import zlib
+import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,18 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, hashed_words, materialize, mix, prepare, signed, slices, windows
+from . import lookup
+from .common import as_bytes, discard, hashed_words, materialize, mix, prepare, remove, signed, windows
 
 FANOUT = 32
-PART_TOKENS = 8
 BLOCK = 512
-#: Cells of the table of token counts, a power of two: 8 MB as levels, broadcast; cut in chunks where tasks' counts are added.
-CELLS, CHUNK = 1 << 23, 1 << 17
-DEAL_TOKENS = 8 << 20
+DEAL_TOKENS = 1 << 20
 FLUSH = 1 << 19
-SLICE = 2 << 20
-#: Node keys of at most this many nodes are broadcast (8 bytes each); more are joined.
-BROADCAST_NODES = 2_000_000
+ROUNDS = 100
 
 
 def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,120 +68,52 @@ def set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return mix((total[ends] - total[ends - sizes]) * np.uint64(0x9E3779B97F4A7C15) + sizes.astype(np.uint64))
 
 
-@lru_cache
-def bands(percent: int, largest: int = 1 << 40, ratio: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
-    """Where each band of sizes begins, and its number of parts.  Sizes below the first only link when equal."""
-    ratio = max(ratio, 100 / percent)
-    slack = (100 - percent) / (100 + percent)
-    low = [next(n for n in range(1, 10_000) if math.floor(2 * n * slack + 1e-9) >= 1)]
-    while low[-1] < largest:
-        low.append(math.ceil(low[-1] * ratio) + 1)
-    parts = [math.floor(2 * (b - 1) * slack + 1e-9) + 1 for b in low[1:]]
-    return np.array(low[:-1], np.int64), np.array(parts, np.int64)
-
-
-def spare_parts(parts: np.ndarray) -> np.ndarray:
-    """Parts beyond those that must be: with s of them linked sets agree on 1 + s parts, so that up to s parts which hold next to nothing need no root."""
-    return np.maximum(2, parts // 12)
-
-
-def part_roots(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Root keys of each set and the set's number, for its band and for the next one if a linked set can be there."""
-    low, parts = bands(percent)  # of any size, so that all tasks cut alike
-    spare = spare_parts(parts)
-    parts = parts + spare
-    band = np.searchsorted(low, sizes, "right") - 1
-    out, owners = [], []
-    mixed = mix(values + np.uint64(0xD1B54A32D192ED03))
-    for step in (0, 1):
-        own_band = band + step
-        use = (band >= 0) & (own_band < len(low)) if step == 0 else (own_band >= 0) & (own_band < len(low))
-        if step == 1:
-            use &= 100 * sizes >= percent * low[np.clip(own_band, 0, len(low) - 1)]
-        n_parts = np.where(use, parts[np.clip(own_band, 0, len(low) - 1)], 0)
-        at = np.r_[0, np.cumsum(n_parts)]
-        sums = np.zeros(at[-1], np.uint64)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        sel = use[owner]
-        part = ((values[sel] >> np.uint64(32)) * n_parts[owner[sel]].astype(np.uint64)) >> np.uint64(32)
-        with np.errstate(over="ignore"):
-            place = at[owner[sel]] + part.astype(np.int64)
-            np.add.at(sums, place, mixed[sel])
-            whose = np.repeat(np.arange(len(sizes)), n_parts)
-            number = np.arange(len(sums)) - at[whose]
-            # parts of one token or none are shared by unlike sets; a set with more of them than are spare keeps all
-            light = np.bincount(place, minlength=len(sums)) < 2
-            keep = ~light | (np.bincount(whose[light], minlength=len(sizes)) > spare[np.clip(own_band, 0, len(low) - 1)])[whose]
-            whose, number, sums = whose[keep], number[keep], sums[keep]
-            out.append(mix(sums + mix((own_band[whose] * 1_000_003 + number).astype(np.uint64) + np.uint64(77))))
-        owners.append(whose)
-    return np.concatenate(out), np.concatenate(owners)
-
-
 def levels(counts: np.ndarray) -> np.ndarray:
-    """Counts as bytes that rise with them, eight steps each time they double; 0 where a cell was hit once at most."""
+    """Counts as bytes that rise with them, eight steps each time they double; 0 for what one document has."""
     return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
 
 
-def rare_roots(values: np.ndarray, sizes: np.ndarray, percent: int, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The root keys of each set, and the set's number: its rarest tokens but those that no other document has."""
+def rare_roots(values: np.ndarray, sizes: np.ndarray, held: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The root keys of each set, and the set's number.  held: the level of each token."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    held = level[values & np.uint64(len(level) - 1)]
+    need = (percent * sizes + 99) // 100
+    can = np.bincount(owner[held > 0], minlength=len(sizes)) >= need
+    at = np.flatnonzero(can[owner])
+    values, held, owner = values[at], held[at], owner[at]
+    sizes, need = np.where(can, sizes, 0), np.where(can, need, 0)
     mixed = mix(values + np.uint64(0xD1B54A32D192ED03))
     # one key in the order of levels, then hashes; the sort by owner keeps it
     order = np.argsort((held.astype(np.uint64) << np.uint64(56)) | (mixed >> np.uint64(8)), kind="stable")
     order = order[np.argsort(owner[order], kind="stable")]
     rank = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    first = sizes - (percent * sizes + 99) // 100 + 1
-    use = order[(rank < first[owner]) & (held[order] > 0)]
+    use = order[(rank < (sizes - need + 1)[owner]) & (held[order] > 0)]
     return mixed[use], owner[use]
 
 
-def _nodes(size: int, counting: bool):
-    """Rows of documents; if counting, at the end the task's counts of tokens, cut in chunks."""
+def _tokens_of(size: int):
+    def keys(batch: pa.RecordBatch) -> list:
+        return [(shingle_sets(as_bytes(batch.column("text")), size)[0], None)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS if counting else 0, np.uint32)
-        names = ["doc_id", "n_shingles", "node", "chunk", "counts"]
-        for batch in slices(batches, "text", SLICE):
-            values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
-            if counting:
-                np.add.at(counts, values & np.uint64(CELLS - 1), np.uint32(1))
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(signed(set_keys(values, sizes))), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
-        for k in range(len(counts) // CHUNK):
-            if (part := counts[k * CHUNK : (k + 1) * CHUNK]).any():
-                packed = zlib.compress(part.tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([packed], pa.binary())], names=names)
+    return keys
 
-    return run
 
+ROOTED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("name", pa.string()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("root", pa.int64()), ("hub", pa.int64()), ("tokens", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+ROOTED_DDL = "kind int, doc_id long, name string, n_shingles long, node long, root long, hub long, tokens array<long>, bits array<long>"
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the counts of whole chunks: their sums, as levels."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, packed in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            part = np.frombuffer(zlib.decompress(packed), np.uint32)
-            sums[k] = sums[k] + part if k in sums else part.astype(np.uint64)
-    for k, part in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([levels(part).tobytes()], pa.binary())], names=["chunk", "level"])
 
+def _rows(n: int, **cols) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(n, f.type)) for f in ROOTED], schema=ROOTED)
 
-def frequency_levels(counted: DataFrame) -> np.ndarray:
-    """The level of each cell of the token table; a table of CELLS bytes, whatever the input's size."""
-    level = np.zeros(CELLS, np.uint8)
-    dealt = counted.where("chunk is not null").select("chunk", "counts").repartition(CELLS // CHUNK, "chunk")
-    for k, part in dealt.mapInArrow(_summed, "chunk int, level binary").collect():
-        level[k * CHUNK : (k + 1) * CHUNK] = np.frombuffer(part, np.uint8)
-    return level
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in parts])].astype(np.int32)), pa.array(signed(np.concatenate(parts))))
 
-def _roots(size: int, percent: int, level):
-    """Rows (root, node, hub): hub is set where the task has paired the node already."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+def _rooted(size: int, percent: int):
+    """Rows of three kinds: 0 a document and its node; 1 a root and one of its nodes (hub: what the task has paired the node with already); 2 a node that has roots, with its set and bitmap."""
+
+    def run(answered: Iterator[tuple[pa.RecordBatch, list, list]]) -> Iterator[pa.RecordBatch]:
+        held, n, seen = [], 0, set()
 
         def flush() -> Iterator[pa.RecordBatch]:
             root, node = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
@@ -197,18 +122,32 @@ def _roots(size: int, percent: int, level):
             first = np.r_[True, root[1:] != root[:-1]]
             again = np.r_[False, (root[1:] == root[:-1]) & (node[1:] == node[:-1])]
             hub = node[np.maximum.accumulate(np.where(first, np.arange(len(root)), 0))]
-            keep = ~again
-            root, node, hub, first = root[keep], node[keep], hub[keep], first[keep]
+            root, node, hub, first = root[~again], node[~again], hub[~again], first[~again]
             for a in range(0, len(root), 200_000):
                 s = slice(a, a + 200_000)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(root[s])), pa.array(signed(node[s])), pa.array(signed(hub[s]), mask=first[s])], names=["root", "node", "hub"])
+                yield _rows(len(root[s]), kind=pa.array(np.ones(len(root[s]), np.int32)), root=pa.array(signed(root[s])), node=pa.array(signed(node[s])), hub=pa.array(signed(hub[s]), mask=first[s]))
 
-        for batch in slices(batches, "text", SLICE):
+        for batch, _, (level,) in answered:
             values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
-            root, owner = rare_roots(values, sizes, percent, level.value) if level is not None else part_roots(values, sizes, percent)
-            if len(root):
-                held.append((root, set_keys(values, sizes)[owner]))
-                n += len(root)
+            node, rows = set_keys(values, sizes), batch.num_rows
+            yield _rows(rows, kind=pa.array(np.zeros(rows, np.int32)), doc_id=batch.column("doc_id"), name=batch.column("name"), n_shingles=pa.array(sizes), node=pa.array(signed(node)))
+            root, owner = rare_roots(values, sizes, level, percent)
+            if not len(root):
+                continue
+            held.append((root, node[owner]))
+            n += len(root)
+            if len(seen) > 500_000:
+                seen.clear()
+            ends, fresh = np.cumsum(sizes), []
+            for i in np.unique(owner).tolist():
+                if (key := int(node[i])) not in seen:
+                    seen.add(key)
+                    fresh.append(i)
+            for a in range(0, len(fresh), 500):
+                own = fresh[a : a + 500]
+                sets = [values[ends[i] - sizes[i] : ends[i]] for i in own]
+                bits = [np.frombuffer(x, np.uint64) for x in signatures(np.concatenate(sets), sizes[own], 2)]
+                yield _rows(len(own), kind=pa.array(np.full(len(own), 2, np.int32)), n_shingles=pa.array(sizes[own]), node=pa.array(signed(node[own])), tokens=_lists(sets), bits=_lists(bits))
             if n >= FLUSH:
                 yield from flush()
                 held, n = [], 0
@@ -238,37 +177,11 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(root[use]), pa.array(node[use]), pa.array(hub[use])], names=["root", "a", "b"])
 
 
-def _sets_of(size: int, wanted, bitmaps: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        keys = wanted.value if wanted is not None else None
-        for batch in slices(batches, "text", SLICE):
-            values, sizes = shingle_sets(as_bytes(batch.column("text")), size)
-            node = signed(set_keys(values, sizes))
-            if keys is not None:
-                at = np.minimum(np.searchsorted(keys, node), len(keys) - 1)
-                use = np.flatnonzero(keys[at] == node).tolist()
-            else:
-                use = range(len(node))
-            ends = np.cumsum(sizes)
-            rows = []
-            for i in use:
-                if len(seen) > 500_000:
-                    seen.clear()
-                if (key := int(node[i])) not in seen:
-                    seen.add(key)
-                    rows.append(i)
-            if rows:
-                flat = np.concatenate([values[ends[i] - sizes[i] : ends[i]] for i in rows])
-                own = flat if not bitmaps else np.concatenate(parts := [np.frombuffer(x, np.uint64) for x in signatures(flat, sizes[rows], 2)])
-                offsets = np.r_[0, np.cumsum([len(x) for x in parts] if bitmaps else sizes[rows])].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(sizes[rows]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(own)))], names=["node", "size", "tokens"])
-
-    return run
-
+def components(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(node, component) of all ends of the edges (a, b): alternating large and small stars, written after each round.
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) of all ends of the edges (a, b): alternating large and small stars, written after each round."""
+    Rounds grow with the logarithm of the longest chain; if they don't end within `rounds`, an error says so.
+    """
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).groupBy("a", "b").count().drop("count"), "edges")
     state = None
     for _ in range(rounds):
@@ -276,14 +189,18 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "stars")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").groupBy("a", "b").count().drop("count")
         large = materialize(large, "edges")
+        discard(now, least)
         least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "stars")
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b")
         now = materialize(small.groupBy("a", "b").count().drop("count"), "edges")
-        found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(found) == state:
-            break
-        state = tuple(found)
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        discard(large, least)
+        found = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if found == state:
+            out = now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            out.written_to = now.written_to
+            return out
+        state = found
+    raise RuntimeError(f"components aren't found after {rounds} rounds")
 
 
 def signatures(values: np.ndarray, sizes: np.ndarray, each: int = 8) -> list[bytes]:
@@ -438,86 +355,107 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", common.alias("n"), (F.size("ta") + F.size("tb")).alias("both")).where(100 * F.col("n") >= percent * (F.col("both") - F.col("n"))).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row.  Two rows link when 100 * intersection >= percent * union."""
+def tree_links(seen: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links within roots that hold several components.  seen: (root, a, b, ca, cb), pairs with their components."""
+    # a root of one pair is decided; so is one whose members are all one component
+    open_roots = materialize(seen.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("ca", "cb")).alias("family"), F.max((F.col("ca") != F.col("cb")).cast("int")).alias("open")).where("open = 1 and n > 1").select("root", "n", "family"), "jaccard-open")
+    if open_roots.isEmpty():
+        discard(open_roots)
+        return None
+    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("component")), F.struct(F.col("b").alias("node"), F.col("cb").alias("component"))))
+    held = seen.join(open_roots, "root").select("root", "n", "family", ends.alias("e")).select("root", "n", "family", "e.*").distinct()
+    blocks = F.ceil((F.col("n") + 1) / BLOCK).cast("int")
+    held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
+    dealt = held.join(bitmaps.select("node", "size"), "node")
+    dealt = materialize(dealt.select("root", "family", "node", "component", "block", "size", F.explode(both).alias("k")).select("root", "family", "node", "component", "block", "size", "k.x", "k.y"), "jaccard-dealt")
+    # roots of one family go together, as its sets are needed in each of them, as far as a bounded size allows
+    weights = materialize(dealt.groupBy("family").agg(F.ceil(F.sum("size") / DEAL_TOKENS).alias("cuts"), F.sum("size").alias("size")), "jaccard-families")
+    deals = max(1, (weights.agg(F.sum("size")).first()[0] or 0) // DEAL_TOKENS)
+    cut = F.pmod(F.xxhash64("root", "x", "y"), F.col("cuts"))
+    deal = F.when(F.col("cuts") > 1, F.xxhash64("family", cut)).otherwise(F.pmod(F.xxhash64("family"), F.lit(deals)))
+    dealt = materialize(dealt.join(weights.select("family", "cuts"), "family").select("root", "node", "component", "block", "x", "y", deal.alias("deal")), "jaccard-deals")
+    shipped = lambda at, sets: at.select(F.col("deal").alias("at"), F.col("node").alias("key")).distinct().join(sets.select(F.col("node").alias("key"), "size", "tokens"), "key")
+    # bitmaps first: most members can't have a link, and their sets aren't sent
+    can = materialize(dealt.groupBy("deal").cogroup(shipped(dealt, bitmaps).groupBy("at")).applyInPandas(_tree_join(percent, True), "deal long, node long"), "jaccard-can")
+    left = dealt.join(can.distinct(), ["deal", "node"], "left_semi")
+    links = materialize(left.groupBy("deal").cogroup(shipped(can, sets).groupBy("at")).applyInPandas(_tree_join(percent, False), "a long, b long"), "jaccard-tree-links")
+    discard(open_roots, weights, dealt, can)
+    return links
+
+
+def labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, name, n_shingles, node, label, component_id) of each row, written.  label: of the row's component; name: of the row's text where it has no id."""
     spark: SparkSession = docs.sparkSession
     prepare(spark)
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    by_parts = (100 + percent) >= PART_TOKENS * 2 * (100 - percent)
-    counted = materialize(rows.mapInArrow(_nodes(size, not by_parts), "doc_id long, n_shingles long, node long, chunk int, counts binary"), "jaccard-members")
-    members = counted.where("chunk is null").select("doc_id", "n_shingles", "node")
-    level = None if by_parts else spark.sparkContext.broadcast(frequency_levels(counted))
-    text = rows.select("text").where("text is not null")
-    dealt = text.mapInArrow(_roots(size, percent, level), "root long, node long, hub long")
+    text = docs["text"].cast("string")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.when(docs["doc_id"].isNull(), F.sha2(F.coalesce(text, F.lit("")), 256)).alias("name"), text.alias("text"))
+    pieces = lookup.store(rows, "jaccard-texts")
+    segments, tokens = lookup.segments_of(pieces), _tokens_of(size)
+    owned = lookup.asked(pieces, tokens, [lambda _, n: levels(n)], segments)
+    rooted = materialize(lookup.used(owned, tokens, [np.uint8], segments, _rooted(size, percent), ROOTED_DDL), "jaccard-rooted")
+    for path in [r[0] for r in pieces.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1)).distinct().collect()]:  # one folder
+        remove(spark, path)
+    members = rooted.where("kind = 0").select("doc_id", "name", "n_shingles", "node")
     # rows that are paired already needn't meet others of their root
     deal = F.when(F.col("hub").isNull(), F.col("root")).otherwise(F.xxhash64("root", "node"))
-    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), deal).sortWithinPartitions("root", "node")
+    dealt = rooted.where("kind = 1").select("root", "node", "hub").repartition(deal).sortWithinPartitions("root", "node")
     stars = materialize(dealt.mapInArrow(_stars, "root long, a long, b long"), "jaccard-stars")
     pairs = materialize(stars.groupBy("a", "b").count().drop("count"), "jaccard-pairs")
-    named = members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("component"))
+    # rows of one id are one document, whatever their texts
+    same = members.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b <> most").select("doc_id", "b")
+    same = members.where("n_shingles > 0").join(same, "doc_id").select(F.col("node").alias("a"), "b").where("a <> b")
+    edges = [materialize(same, "jaccard-same")]
     if not pairs.isEmpty():
-        nodes_of = lambda df: df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
-        def looked_up(wanted: DataFrame, bitmaps: bool) -> DataFrame:
-            """(node, size, tokens) of the wanted nodes; tokens: the set or its bitmap."""
-            wanted = materialize(wanted, "jaccard-wanted")
-            if wanted.count() <= BROADCAST_NODES:
-                keys = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.toLocalIterator()], np.int64)))
-                found = text.mapInArrow(_sets_of(size, keys, bitmaps), "node long, size long, tokens array<long>")
-            else:
-                chosen = materialize(members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).drop("node"), "jaccard-chosen")
-                found = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(size, None, bitmaps), "node long, size long, tokens array<long>")
-            return materialize(found.groupBy("node").agg(F.any_value("size").alias("size"), F.any_value("tokens").alias("tokens")), "jaccard-sets")
-
-        bitmaps = looked_up(nodes_of(pairs), True)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        known = rooted.where("kind = 2").join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("n_shingles").alias("size"), F.any_value("tokens").alias("tokens"), F.any_value("bits").alias("bits"))
+        known = materialize(known, "jaccard-sets")
+        bitmaps, sets = known.select("node", "size", F.col("bits").alias("tokens")), known.select("node", "size", "tokens")
         near = materialize(plausible(pairs, bitmaps, percent), "jaccard-near")
-        sets = looked_up(nodes_of(near), False)
-        links = materialize(verified(near, sets, percent), "jaccard-links")
-        first = materialize(components(links), "jaccard-first")
+        edges.append(materialize(verified(near, sets, percent), "jaccard-links"))
+        discard(near)
+        first = components(edges[-1])
         label = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
         seen = stars.join(label("a"), "a", "left").join(label("b"), "b", "left").select("root", "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
         seen = materialize(seen, "jaccard-seen")
-        # a root of one pair is decided; so is one whose members are all one component
-        open_roots = materialize(seen.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("ca", "cb")).alias("family"), F.max((F.col("ca") != F.col("cb")).cast("int")).alias("open")).where("open = 1 and n > 1").select("root", "n", "family"), "jaccard-open")
-        if not open_roots.isEmpty():
-            ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("component")), F.struct(F.col("b").alias("node"), F.col("cb").alias("component"))))
-            held = seen.join(open_roots, "root").select("root", "n", "family", ends.alias("e")).select("root", "n", "family", "e.*").distinct()
-            blocks = F.ceil((F.col("n") + 1) / BLOCK).cast("int")
-            held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
-            dealt = held.join(bitmaps.select("node", "size"), "node")
-            dealt = materialize(dealt.select("root", "family", "node", "component", "block", "size", F.explode(both).alias("k")).select("root", "family", "node", "component", "block", "size", "k.x", "k.y"), "jaccard-dealt")
-            # roots of one family go together, as its sets are needed in each of them, as far as a bounded size allows
-            weights = materialize(dealt.groupBy("family").agg(F.ceil(F.sum("size") / DEAL_TOKENS).alias("cuts"), F.sum("size").alias("size")), "jaccard-families")
-            deals = max(1, (weights.agg(F.sum("size")).first()[0] or 0) // DEAL_TOKENS)
-            cut = F.pmod(F.xxhash64("root", "x", "y"), F.col("cuts"))
-            deal = F.when(F.col("cuts") > 1, F.xxhash64("family", cut)).otherwise(F.pmod(F.xxhash64("family"), F.lit(deals)))
-            dealt = materialize(dealt.join(weights.select("family", "cuts"), "family").select("root", "node", "component", "block", "x", "y", deal.alias("deal")), "jaccard-deals")
-            shipped = lambda at, sets: at.select(F.col("deal").alias("at"), F.col("node").alias("key")).distinct().join(sets.select(F.col("node").alias("key"), "size", "tokens"), "key")
-            # bitmaps first: most members can't have a link, and their sets aren't sent
-            can = dealt.groupBy("deal").cogroup(shipped(dealt, bitmaps).groupBy("at")).applyInPandas(_tree_join(percent, True), "deal long, node long")
-            can = materialize(can, "jaccard-can")
-            if not can.isEmpty():
-                sets = looked_up(can.select("node").distinct(), False)
-                left = materialize(dealt.join(can.distinct(), ["deal", "node"], "left_semi"), "jaccard-left")
-                more = left.groupBy("deal").cogroup(shipped(can, sets).groupBy("at")).applyInPandas(_tree_join(percent, False), "a long, b long")
-                links = materialize(links.unionByName(more), "jaccard-links")
-        on = lambda c: named.select(F.col("node").alias(c), F.col("component").alias(f"d{c}"))
-        edges = links.join(on("a"), "a").join(on("b"), "b").where("da is not null and db is not null").select(F.col("da").alias("a"), F.col("db").alias("b"))
-        reach = components(edges).select(F.col("node").alias("component"), F.col("component").alias("reached"))
-        named = named.join(reach, "component", "left").select("node", F.coalesce("reached", "component").alias("component"))
-    named = materialize(named, "jaccard-named")
-    joined = members.join(named.withColumnRenamed("component", "found"), "node", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
+        discard(first)
+        if (more := tree_links(seen, bitmaps, sets, percent)) is not None:
+            edges.append(more)
+        discard(seen, known)
+    discard(stars, pairs)
+    reach = components(edges[0].unionByName(edges[1]).unionByName(edges[2]) if len(edges) == 3 else edges[0].unionByName(edges[1]) if len(edges) == 2 else edges[0])
+    named = members.join(reach.select(F.col("node").alias("of"), "component"), F.col("node") == F.col("of"), "left")
+    # an empty set is its own component: its row's id or nothing
+    named = materialize(named.select("doc_id", "name", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).alias("label")), "jaccard-named")
+    least = named.where("label is not null").groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("least"))
+    out = named.join(least, F.col("label") == F.col("of"), "left")
+    out = materialize(out.select("doc_id", "name", "n_shingles", "node", "label", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")), "jaccard-labelled")
+    discard(rooted, reach, named, *edges)
+    return out
+
+
+def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row.  Two rows link when 100 * intersection >= percent * union."""
+    return labelled(docs, size, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, whole: of each component the document of smallest id; of rows of one id (or of equal texts without an id) one."""
-    found = materialize(jaccard_components(docs, size, percent), "jaccard-components")
+    """The rows of docs, whole: of each component one document, that of smallest id.
+
+    Defined results: of rows of one id one stays; a row without an id goes where its component has an id, else the one
+    whose text has the smallest hash stays; a text without words is alone in its component, but of rows without an id
+    that have equal texts one stays; extra columns, whatever their names, are kept; an empty table gives an empty result.
+    """
+    found = labelled(docs, size, percent)
     lost = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "jaccard-lost")
-    kept = docs.join(lost.withColumnRenamed("doc_id", "_lost"), F.col("doc_id") == F.col("_lost"), "left_anti")
+    kept = docs.join(lost, docs["doc_id"].cast("long") == lost["doc_id"], "left_anti")
     counts = found.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
     if counts[0] == counts[1]:
         return kept
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
-    return kept.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    nameless = found.where("doc_id is null")
+    first = nameless.where("label is not null").groupBy("label").agg(F.min("name").alias("first"))
+    gone = nameless.join(first.select(F.col("label").alias("of"), "first"), F.col("label") == F.col("of"), "left").where("component_id is not null or name <> first").select("name").distinct()
+    gone = materialize(gone, "jaccard-nameless")
+    own = f"_{uuid.uuid4().hex}"
+    kept = kept.withColumn(own, F.coalesce(kept["doc_id"].cast("string"), F.sha2(F.coalesce(kept["text"].cast("string"), F.lit("")), 256)))
+    return kept.join(gone, kept["doc_id"].isNull() & (kept[own] == gone["name"]), "left_anti").dropDuplicates([own]).drop(own)

@@ -127,6 +127,43 @@ def test_jaccard(spark, docs, rows, size, percent):
 
 def test_jaccard_empty(docs):
     assert jaccard_tree.jaccard_components(empty(docs)).count() == 0
+    assert jaccard_tree.one_of_each(empty(docs)).count() == 0
+
+
+def test_jaccard_joins_the_texts_of_one_id(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = spark.createDataFrame([(0, one), (5, one), (5, two), (7, two), (None, one + " more"), (None, "z y x w v u"), (None, "z y x w v u"), (8, None), (9, "")], "doc_id long, text string")
+    got = sorted(((-1 if r.doc_id is None else r.doc_id), r.n_shingles, r.component_id) for r in jaccard_tree.jaccard_components(rows).collect())
+    assert got == [(-1, 4, None), (-1, 4, None), (-1, 29, 0), (0, 28, 0), (5, 28, 0), (5, 28, 0), (7, 28, 0), (8, 0, 8), (9, 0, 9)]
+
+
+def test_one_of_each(spark):
+    """Rows without an id, repeated rows, and columns of any name."""
+    one = " ".join(f"a{k}" for k in range(60))
+    rows = [(3, one, 1), (4, one + " b", 2), (4, one + " b", 2), (None, one + " c", 3), (None, "z y x w v u", 4), (None, "z y x w v u", 5), (6, None, 6), (7, "", 7), (None, None, 8), (None, "", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key int")
+    for name in ("_key", "_lost", "node", "component_id", "name"):
+        out = jaccard_tree.one_of_each(df.withColumnRenamed("_key", name))
+        assert out.columns == ["doc_id", "text", name]
+        got = sorted(((-1 if r[0] is None else r[0]), r[1] or "") for r in out.collect())
+        assert got == [(-1, ""), (-1, "z y x w v u"), (3, one), (6, ""), (7, "")]
+
+
+def test_components_say_when_they_do_not_end(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    assert {r.component for r in jaccard_tree.components(chain).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        jaccard_tree.components(chain, 1)
+
+
+def test_blocks_of_large_roots(spark, monkeypatch):
+    """Many members of one root that stay apart, cut into blocks and dealt to several tasks."""
+    monkeypatch.setattr(jaccard_tree, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_tree, "DEAL_TOKENS", 500)
+    common = [f"c{k}" for k in range(40)]
+    rows = [(i, " ".join(common + [f"x{i // 2}y{k}" for k in range(20)] + [f"z{i}"])) for i in range(60)]
+    got = {r.doc_id: r.component_id for r in jaccard_tree.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90).collect()}
+    assert got == {i: i // 2 * 2 for i in range(60)}
 
 
 def test_language(docs):
