@@ -1,17 +1,21 @@
 """Toxicity: a bidirectional GRU with attention pooling over character and word inputs, trained in numpy.
 
-Inputs of a word: how much likelier toxic documents hold it (word input), and the largest and the mean such value of its
-character n-grams (character inputs), each as a lower confidence bound, so that rare coincidences weigh nothing.  A
-window's states are pooled by attention to one logit; all overlapping windows of the whole text (32 words, from each word
-on: stride 1) are scored, in training too, and the highest is the document's score.
-
-The network and the inputs' tables are fitted on a bounded sample of labelled rows (`per_class` toxic ones and twice as
-many others, by hash of the id, texts of at most `sample_bytes`).  A toxic document's label is known, not where the toxic
-words are: training begins with its window of largest inputs, then takes the one that the network scores highest.
-
-Defined results: a null or empty text scores as one empty window; without labels of both classes all scores are 0; rows
-without a doc_id are scored, not learned from; of several labels for an id the highest counts; repeated rows are scored
-each; extra columns are ignored.
+A word's inputs are its own embedding, and the mean and the maximum of the embeddings of its character n-grams (four and
+five bytes).  Embeddings start as small random numbers, their first coordinate as shrunken log-odds that one half of the
+sample's labels gives; network and embeddings are then trained together on the other half, by backpropagation through
+time.  A forward and a backward GRU run over the text in blocks of 256 words, each of which begins 32 words before its
+first word (the backward one as many after its last), so that time and memory are bounded however long the text is.
+Attention pools the states of each window of 32 words to a logit; the windows at all words of the whole text are scored
+(stride 1), as sums over a window are slid along the text.  The highest is the document's score.
+
+The network is fitted on a bounded sample of labelled rows (`per_class` toxic ones and twice as many others, by hash of the
+id, texts of at most `sample_bytes`).  A toxic document's label is known, not where the toxic words are: training begins
+with its window of largest inputs, then takes the one that the network scores highest.
+
+Defined results: a null or empty text scores as a window without words; without labels of both classes all scores are 0;
+rows without a doc_id are scored, not learned from; of several labels for an id the highest counts, of several texts the
+first in order; repeated rows and ties are scored each; extra columns, whatever their names, are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,64 +25,107 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, crc_mod, materialize, mix, prepare, slices, span_hashes, word_spans
 
-WINDOW, HIDDEN, INPUTS = 32, 12, 4
+WINDOW, HIDDEN, SPAN = 32, 16, 4
+#: A word's embedding, the mean and the maximum of its n-grams' embeddings, and a constant.
+INPUTS = 3 * SPAN + 1
 BUCKETS = 1 << 18
-PER_CLASS, SAMPLE_BYTES = 1500, 20_000
-BATCH = 2048
+BLOCK, CONTEXT = 256, 32
+PER_CLASS, SAMPLE_BYTES = 800, 20_000
+#: Bound of the attention's exponents.
+STEEP = 20
 _T = [(mix(np.arange(256, dtype=np.uint64) + np.uint64(7 + 999 * k)) >> np.uint64(30)).astype(np.uint32) for k in range(5)]
 
 
-def char_grams(raw: bytes) -> list[np.ndarray]:
-    """Buckets of the four- and five-byte n-grams that end at each byte."""
-    text = np.frombuffer(b"    " + raw, np.uint8)
-    n = len(raw)
-    with np.errstate(over="ignore"):
-        four = _T[1][text[1 : n + 1]] + _T[2][text[2 : n + 2]] + _T[3][text[3 : n + 3]] + _T[4][text[4 : n + 4]]
-        five = four + _T[0][text[:n]] * np.uint32(3)
-        fold = lambda h: (((h ^ (h >> np.uint32(16))) * np.uint32(0x2C1B3C6D)) >> np.uint32(14)).astype(np.int32)
-        return [fold(four), fold(five)]
-
-
-def words_and_grams(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Word buckets, character n-gram buckets at each byte, starts and ends of words, and words of each text."""
-    raw, starts, ends, counts = word_spans(texts)
-    word = (span_hashes(raw, starts, ends) & np.uint64(BUCKETS - 1)).astype(np.int32)
-    return word, char_grams(raw), starts, ends, counts
-
-
-def odds(texts: list[bytes], toxic: np.ndarray) -> list[np.ndarray]:
-    """Tables of bounded log-odds by bucket: of words, and of both kinds of character n-grams."""
-    seen = [np.zeros((2, BUCKETS)) for _ in range(3)]
-    for text, label in zip(texts, toxic.tolist(), strict=True):
-        word, grams, *_ = words_and_grams([text])
-        for table, own in zip(seen, (word, *grams), strict=True):
-            table[label, np.unique(own)] += 1
-    total = np.array([(toxic == 0).sum(), (toxic == 1).sum()])
-    out = []
-    for table in seen:
-        a, b = table[1] + 0.5, table[0] + 0.5
-        log = np.log(a / (total[1] + 1)) - np.log(b / (total[0] + 1))
-        out.append((np.sign(log) * np.maximum(np.abs(log) - 1.5 * np.sqrt(1 / a + 1 / b), 0)).astype(np.float32))
-    return out
-
-
-def inputs(texts: list[bytes], tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The inputs of each word, and the words of each text."""
-    word, grams, starts, ends, counts = words_and_grams(texts)
-    if not len(word):
-        return np.zeros((0, INPUTS), np.float32), counts
-    value = np.maximum(tables[1][grams[0]], tables[2][grams[1]])
-    edges = np.stack([starts, ends], 1).ravel()
-    if edges[-1] == len(value):
-        value = np.r_[value, np.float32(0)]
-    most = np.maximum.reduceat(value, edges)[::2]
-    mean = np.add.reduceat(value, edges)[::2] / (ends - starts)
-    return np.stack([tables[0][word], most, mean, np.ones(len(word), np.float32)], 1).astype(np.float32) * np.float32([0.5, 0.5, 0.5, 1]), counts
+class Words:
+    """The distinct words of some texts: where each word of the texts is among them, and their buckets."""
+
+    def __init__(self, texts: list[bytes]):
+        raw, starts, ends, self.counts = word_spans(texts)
+        found, first, self.at = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        self.word = (found & np.uint64(BUCKETS - 1)).astype(np.int64)
+        starts, sizes = starts[first], ends[first] - starts[first]
+        # the words one after the other, four blanks before each and one behind it
+        room = sizes + 5
+        begin = np.cumsum(room) - room
+        text = np.full(int(room.sum()) + 4, 32, np.uint8)
+        step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        text[np.repeat(begin + 4, sizes) + step] = np.frombuffer(raw, np.uint8)[np.repeat(starts, sizes) + step]
+        # n-grams that end at a byte of the word or at the blank behind it
+        n = sizes + 1
+        stop = np.repeat(begin + 4, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        with np.errstate(over="ignore"):
+            four = _T[1][text[stop - 3]] + _T[2][text[stop - 2]] + _T[3][text[stop - 1]] + _T[4][text[stop]]
+            five = four + _T[0][text[stop - 4]] * np.uint32(3)
+            fold = lambda h: (((h ^ (h >> np.uint32(16))) * np.uint32(0x2C1B3C6D)) >> np.uint32(14)).astype(np.int64)
+            self.grams = np.stack([fold(four), fold(five)], 1).ravel()
+        self.gram_counts = 2 * n
+        self.gram_at = np.cumsum(self.gram_counts) - self.gram_counts
+
+    def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The n-grams of some distinct words one after the other, where each word's begin, and how many they are."""
+        n = self.gram_counts[words]
+        begin = np.cumsum(n) - n
+        return self.grams[np.repeat(self.gram_at[words] - begin, n) + np.arange(int(n.sum()))], begin, n
+
+
+class Embedding:
+    """Tables of words and of character n-grams."""
+
+    def __init__(self, seed: int = 5):
+        rng = np.random.default_rng(seed)
+        self.word, self.gram = (rng.normal(0, 0.05, (BUCKETS, SPAN)).astype(np.float32) for _ in range(2))
+        self.paces: list[np.ndarray] = []
+
+    def start(self, texts: list[bytes], toxic: np.ndarray) -> None:
+        """Sets the first coordinates to log-odds, each as a lower confidence bound, so that rare coincidences weigh nothing."""
+        total = np.array([(toxic == 0).sum(), (toxic == 1).sum()])
+        seen = np.zeros((2, 2, BUCKETS))
+        for text, label in zip(texts, toxic.tolist(), strict=True):
+            words = Words([text])
+            seen[0, label, np.unique(words.word)] += 1
+            seen[1, label, np.unique(words.grams)] += 1
+        for table, (clean, bad) in zip((self.word, self.gram), seen, strict=True):
+            a, b = bad + 0.5, clean + 0.5
+            log = np.log(a / (total[1] + 1)) - np.log(b / (total[0] + 1))
+            table[:, 0] = 0.5 * np.sign(log) * np.maximum(np.abs(log) - 1.5 * np.sqrt(1 / a + 1 / b), 0)
+
+    def inputs(self, words: Words, which: np.ndarray) -> np.ndarray:
+        """The inputs of some of the distinct words."""
+        out = np.ones((len(which), INPUTS), self.word.dtype)
+        if len(which):
+            grams, begin, n = words.grams_of(which)
+            value = self.gram[grams]
+            out[:, :SPAN] = self.word[words.word[which]]
+            out[:, SPAN : 2 * SPAN] = np.add.reduceat(value, begin) / n[:, None]
+            out[:, 2 * SPAN : 3 * SPAN] = np.maximum.reduceat(value, begin)
+        return out
+
+    def gradients(self, words: Words, which: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of the word rows and of the n-gram rows (as grams_of gives them), of those of the inputs."""
+        grams, begin, n = words.grams_of(which)
+        value = self.gram[grams]
+        owner = np.repeat(np.arange(len(which)), n)
+        d_gram = (d[:, SPAN : 2 * SPAN] / n[:, None])[owner]
+        top = value == np.maximum.reduceat(value, begin)[owner]
+        d_gram += np.where(top, d[:, 2 * SPAN : 3 * SPAN][owner], 0) / np.maximum(np.add.reduceat(top, begin, dtype=np.int64), 1)[owner]
+        return d[:, :SPAN], d_gram
+
+    def learn(self, words: Words, which: np.ndarray, d: np.ndarray, rate: float) -> None:
+        """A step of Adagrad, of the rows that the words touch."""
+        if not self.paces:
+            self.paces = [np.full(BUCKETS, 1e-4), np.full(BUCKETS, 1e-4)]
+        for table, pace, at, g in zip((self.word, self.gram), self.paces, (words.word[which], words.grams_of(which)[0]), self.gradients(words, which, d), strict=True):
+            rows, own = np.unique(at, return_inverse=True)
+            total = np.zeros((len(rows), SPAN))
+            np.add.at(total, own, g)
+            pace[rows] += (total * total).mean(axis=1)
+            table[rows] -= (rate * total / np.sqrt(pace[rows])[:, None]).astype(table.dtype)
 
 
 def window_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,15 +137,6 @@ def window_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[owner] + number, owner
 
 
-def gather(x: np.ndarray, starts: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows (time x window x inputs) and which places hold words."""
-    at = starts[None, :] + np.arange(WINDOW)[:, None]
-    real = np.arange(WINDOW)[:, None] < np.minimum(left, WINDOW)[None, :]
-    if not len(x):
-        return np.zeros((WINDOW, len(starts), INPUTS), np.float32), real
-    return np.where(real[:, :, None], x[np.minimum(at, len(x) - 1)], np.float32(0)), real
-
-
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -112,191 +150,222 @@ class Network:
         self.p = {"W": rng.normal(0, 0.5, (2, INPUTS, 3 * h)), "U": rng.normal(0, 0.3, (2, h, 3 * h)), "b": np.zeros((2, 3 * h)), "v": rng.normal(0, 0.3, 2 * h), "w": rng.normal(0, 0.3, 2 * h), "c": np.zeros(1)}
         self.p = {k: v.astype(kind) for k, v in self.p.items()}
 
-    def forward(self, x: np.ndarray, real: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple | None]:
-        """Logits of windows x (time x window x inputs)."""
+    def states(self, x: np.ndarray, at: np.ndarray, real: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """Both directions' states (2 x time x sequence x H).  x: inputs of distinct words, at (time x sequence): which stands where, real: whether one does."""
         p, h = self.p, HIDDEN
-        steps, n, _ = x.shape
-        both = np.stack([x, x[::-1]])  # direction x time x window x inputs
-        gx = np.matmul(both, p["W"][:, None]) + p["b"][:, None, None, :]
-        state, states, kept = np.zeros((2, n, h), x.dtype), np.empty((2, steps, n, h), x.dtype), []
-        for t in range(steps):
-            gh = np.matmul(state, p["U"])
-            zr = sigmoid(gx[:, t, :, : 2 * h] + gh[:, :, : 2 * h])
-            z, r = zr[:, :, :h], zr[:, :, h:]
-            new = np.tanh(gx[:, t, :, 2 * h :] + r * gh[:, :, 2 * h :])
-            if keep:
-                kept.append((state, z, r, new, gh[:, :, 2 * h :]))
-            state = new + z * (state - new)
-            states[:, t] = state
-        out = np.concatenate([states[0], states[1][::-1]], axis=2)  # time x window x 2H
-        score = out @ p["v"] + np.where(real, np.float32(0), np.float32(-30))
-        weight = np.exp(score - score.max(axis=0))
-        weight /= weight.sum(axis=0)
-        pooled = (weight[:, :, None] * out).sum(axis=0)
-        return pooled @ p["w"] + p["c"], (both, kept, out, weight, pooled) if keep else None
-
-    def run_logits(self, x: np.ndarray, hidden: np.ndarray) -> np.ndarray:
-        """Logits of the windows from each place of a run of words (words x inputs); hidden: what is added to a place's attention."""
-        p, h = self.p, HIDDEN
-        n = len(x) - WINDOW + 1
-        half = np.r_[np.full(2 * h, 0.5), np.ones(h)].astype(x.dtype)[:, None]  # of the gates, as sigmoid(x) is tanh(x / 2) / 2 + 1 / 2
-        probe = np.zeros((WINDOW, 2, n), x.dtype)  # attention and output, all that pooling takes of the states
+        steps, n = at.shape
+        out = np.empty((2, steps, n, h), x.dtype)
         for k in range(2):
-            gx, u = half * (p["W"][k].T @ x.T + p["b"][k][:, None]), half * p["U"][k].T
-            ends = np.stack([p["v"][k * h : k * h + h], p["w"][k * h : k * h + h]])
-            state, gh, zr, new = np.zeros((h, n), x.dtype), np.empty((3 * h, n), x.dtype), np.empty((2 * h, n), x.dtype), np.empty((h, n), x.dtype)
-            for place in range(WINDOW) if k == 0 else range(WINDOW - 1, -1, -1):
-                np.matmul(u, state, out=gh)
-                np.add(gh[: 2 * h], gx[: 2 * h, place : place + n], out=zr)
-                np.tanh(zr, out=zr)
-                zr *= 0.5
-                zr += 0.5
-                np.multiply(zr[h:], gh[2 * h :], out=new)
-                new += gx[2 * h :, place : place + n]
-                np.tanh(new, out=new)
-                state -= new
-                state *= zr[:h]
-                state += new
-                probe[place] += ends @ state
-        score = probe[:, 0] + np.lib.stride_tricks.sliding_window_view(hidden, n)
-        weight = np.exp(score - score.max(axis=0))
-        return (weight * probe[:, 1]).sum(axis=0) / weight.sum(axis=0) + p["c"]
-
-    def gradients(self, x: np.ndarray, real: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy and its gradients, by backpropagation through time."""
+            gates = x @ p["W"][k] + p["b"][k]
+            state, u = np.zeros((n, h), x.dtype), p["U"][k]
+            for t in range(steps) if k == 0 else range(steps - 1, -1, -1):
+                gx, gh = gates[at[t]], state @ u
+                zr = sigmoid(gx[:, : 2 * h] + gh[:, : 2 * h])
+                z, r = zr[:, :h], zr[:, h:]
+                new = np.tanh(gx[:, 2 * h :] + r * gh[:, 2 * h :])
+                if keep is not None:
+                    keep.append((k, t, state, z, r, new, gh[:, 2 * h :]))
+                state = (new + z * (state - new)) * real[t][:, None]
+                out[k, t] = state
+        return out
+
+    def pooled(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What pooling takes of the states: attention's exponent and the output, of each place."""
         p, h = self.p, HIDDEN
-        logit, (both, kept, out, weight, pooled) = self.forward(x, real, True)
+        score = states[0] @ p["v"][:h] + states[1] @ p["v"][h:]
+        return np.clip(score, -STEEP, STEEP), states[0] @ p["w"][:h] + states[1] @ p["w"][h:]
+
+    def gradients(self, x: np.ndarray, at: np.ndarray, real: np.ndarray, inside: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross-entropy of one window for each sequence, of the places `inside`, and its gradients; those of x too, as "x"."""
+        p, h, kept = self.p, HIDDEN, []
+        states = self.states(x, at, real, kept)
+        score, value = self.pooled(states)
+        weight = np.exp(score) * inside
+        total = weight.sum(axis=0)
+        share = weight / np.where(total > 0, total, 1)
+        logit = (share * value).sum(axis=0) + p["c"]
         loss = float(np.mean(np.logaddexp(0, logit) - label * logit))
         d = ((sigmoid(logit) - label) / len(label)).astype(x.dtype)
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        g["w"], g["c"] = pooled.T @ d, np.array([d.sum()], x.dtype)
-        d_pooled = d[:, None] * p["w"]
-        d_out = weight[:, :, None] * d_pooled
-        d_weight = (out * d_pooled).sum(axis=2)
-        d_score = weight * (d_weight - (weight * d_weight).sum(axis=0))
-        g["v"] = np.einsum("tn,tnh->h", d_score, out)
-        d_out = d_out + d_score[:, :, None] * p["v"]
-        d_states = np.stack([d_out[:, :, :h], d_out[::-1, :, h:]])
-        carry = np.zeros_like(kept[0][0])
-        for t in range(len(kept) - 1, -1, -1):
-            before, z, r, new, uh = kept[t]
-            dh = d_states[:, t] + carry
+        g = {k: np.zeros_like(v) for k, v in p.items()} | {"x": np.zeros_like(x)}
+        g["c"] = np.array([d.sum()], x.dtype)
+        d_value = share * d
+        d_score = share * (value - (share * value).sum(axis=0)) * d * (np.abs(score) < STEEP)
+        for k in range(2):
+            part = slice(k * h, k * h + h)
+            g["v"][part] = np.einsum("tn,tnh->h", d_score, states[k])
+            g["w"][part] = np.einsum("tn,tnh->h", d_value, states[k])
+        carry = None
+        for k, t, before, z, r, new, uh in reversed(kept):
+            if t == (at.shape[0] - 1 if k == 0 else 0):
+                carry, d_gates = np.zeros_like(before), np.zeros((len(x), 3 * h), x.dtype)
+            part = slice(k * h, k * h + h)
+            dh = (d_score[t][:, None] * p["v"][part] + d_value[t][:, None] * p["w"][part] + carry) * real[t][:, None]
             d_new = dh * (1 - z) * (1 - new * new)
             dz, dr = dh * (before - new) * z * (1 - z), d_new * uh * r * (1 - r)
-            gx = np.concatenate([dz, dr, d_new], axis=2)
-            gh = np.concatenate([dz, dr, d_new * r], axis=2)
-            g["W"] += np.matmul(both[:, t].transpose(0, 2, 1), gx)
-            g["b"] += gx.sum(axis=1)
-            g["U"] += np.matmul(before.transpose(0, 2, 1), gh)
-            carry = dh * z + np.matmul(gh, p["U"].transpose(0, 2, 1))
+            gh = np.concatenate([dz, dr, d_new * r], axis=1)
+            np.add.at(d_gates, at[t], np.concatenate([dz, dr, d_new], axis=1))
+            g["U"][k] += before.T @ gh
+            carry = dh * z + gh @ p["U"][k].T
+            if t == (0 if k == 0 else at.shape[0] - 1):
+                g["W"][k], g["b"][k] = x.T @ d_gates, d_gates.sum(axis=0)
+                g["x"] += d_gates @ p["W"][k].T
         return loss, g
 
-    def train(self, x: np.ndarray, real: np.ndarray, label: np.ndarray, epochs: int, rate: float = 0.02, batch: int = 128, seed: int = 3) -> None:
-        """Adam over shuffled batches; classes weigh the same by repetition of the smaller one."""
-        rng = np.random.default_rng(seed)
-        m, s, step = {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}, 0
-        for _ in range(epochs):
-            order = rng.permutation(len(label))
-            for a in range(0, len(order), batch):
-                at = order[a : a + batch]
-                _, g = self.gradients(x[:, at], real[:, at], label[at])
-                step += 1
-                for k in self.p:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    s[k] = 0.999 * s[k] + 0.001 * g[k] * g[k]
-                    self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-7)).astype(self.p[k].dtype)
-
-
-def window_logits(net: Network, x: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logits of all windows, where they begin and whose they are."""
-    starts, owner = window_starts(counts)
-    left = (np.cumsum(counts))[owner] - starts
+
+def spread(starts: np.ndarray, stops: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of words from starts to stops as (time x sequence), and which places hold words."""
+    steps = np.arange(max(1, int((stops - starts).max(initial=1))))[:, None]
+    real = steps < (stops - starts)[None, :]
+    place = np.where(real, starts[None, :] + steps, 0)
+    return (at[place] if len(at) else np.zeros(place.shape, np.int64)), real
+
+
+def window_logits(net: Network, x: np.ndarray, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits of all windows, where they begin and whose they are.  x: inputs of distinct words, at: which each word is."""
+    first = np.cumsum(counts) - counts
+    blocks = -(-counts // BLOCK)
+    text = np.repeat(np.arange(len(counts)), blocks)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    begin = first[text] + number * BLOCK
+    end = np.minimum(begin + BLOCK, first[text] + counts[text])
+    start, stop = np.maximum(begin - CONTEXT, first[text]), np.minimum(end + CONTEXT, first[text] + counts[text])
+    exponent, value = np.empty(len(at), x.dtype), np.empty(len(at), x.dtype)
+    order = np.argsort(stop - start, kind="stable")
+    sizes = (stop - start)[order]
+    cut = 0
+    while cut < len(order):  # sequences of much the same length go together
+        most = max(24, int(sizes[cut] * 1.25))
+        to = min(int(np.searchsorted(sizes, most, "right")), cut + 2048)
+        own = order[cut:to]
+        places, real = spread(start[own], stop[own], at)
+        score, out = net.pooled(net.states(x, places, real.astype(x.dtype)))
+        step = np.arange(places.shape[0])[:, None] + start[own][None, :]
+        inside = (step >= begin[own]) & (step < end[own])
+        exponent[step[inside]], value[step[inside]] = score[inside], out[inside]
+        cut = to
     # a row of words in which each text has a window's places at least
     places = np.maximum(counts, WINDOW)
     shift = np.cumsum(places - counts) - (places - counts)
-    at = np.arange(len(x)) + np.repeat(shift, counts)
-    padded, hidden = np.zeros((places.sum(), INPUTS), x.dtype), np.full(places.sum(), -30, x.dtype)
-    padded[at], hidden[at] = x, 0
-    begin, out = starts + shift[owner], np.empty(len(starts), x.dtype)
-    for a in range(0, len(starts), BATCH):
-        own = begin[a : a + BATCH]
-        run = slice(own[0], own[-1] + WINDOW)
-        if own[-1] - own[0] < 2 * len(own):  # windows across texts are computed too, and left out
-            out[a : a + BATCH] = net.run_logits(padded[run], hidden[run])[own - own[0]]
-        else:
-            out[a : a + BATCH] = net.forward(*gather(x, starts[a : a + BATCH], left[a : a + BATCH]))[0]
-    return out, starts, owner
-
-
-def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 3, epochs: int = 6) -> tuple[Network, list[np.ndarray]]:
-    tables = odds(texts, toxic)
-    x, counts = inputs(texts, tables)
-    net = Network()
+    put = np.arange(len(at)) + np.repeat(shift, counts)
+    weight, product = np.zeros((2, int(places.sum()) + WINDOW), x.dtype)
+    weight[put] = np.exp(exponent)
+    product[put] = weight[put] * value
+    for k in (1, 2, 4, 8, 16):  # sums of 2, 4, ..., 32 places from each on
+        weight, product = weight[: len(weight) - k] + weight[k:], product[: len(product) - k] + product[k:]
     starts, owner = window_starts(counts)
-    ends = np.cumsum(counts)
-    left = ends[owner] - starts
-    total = np.r_[0, np.cumsum(np.maximum(x[:, :2], 0).sum(axis=1))] if len(x) else np.zeros(1)
-    score = total[np.minimum(starts + np.minimum(left, WINDOW), len(x))] - total[np.minimum(starts, len(x))]
+    here = starts + shift[owner]
+    total = weight[here]
+    return np.where(total > 0, product[here] / np.where(total > 0, total, 1), 0) + net.p["c"], starts, owner
+
+
+def train(net: Network, table: Embedding, words: Words, starts: np.ndarray, owner: np.ndarray, label: np.ndarray, epochs: int, rate: float = 0.02, batch: int = 128, seed: int = 3) -> None:
+    """Adam for the network, Adagrad for the embeddings, over shuffled batches of windows, each with some words of context."""
+    rng, ends = np.random.default_rng(seed), np.cumsum(words.counts)
+    m, s, step = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
+    for _ in range(epochs):
+        order = rng.permutation(len(starts))
+        for a in range(0, len(order), batch):
+            own = order[a : a + batch]
+            low, high = ends[owner[own]] - words.counts[owner[own]], ends[owner[own]]
+            begin, end = np.maximum(starts[own] - 8, low), np.minimum(starts[own] + WINDOW + 8, high)
+            at, real = spread(begin, end, words.at)
+            place = np.arange(len(at))[:, None] + begin[None, :]
+            inside = real & (place >= starts[own]) & (place < starts[own] + WINDOW)
+            which, at = np.unique(at, return_inverse=True)
+            x = table.inputs(words, which) if len(words.word) else np.ones((1, INPUTS), np.float32)
+            _, g = net.gradients(x, at.reshape(real.shape), real.astype(x.dtype), inside.astype(x.dtype), label[own].astype(x.dtype))
+            step += 1
+            if len(words.word):
+                table.learn(words, which, g.pop("x"), 0.05)
+            for k in net.p:
+                m[k] = 0.9 * m[k] + 0.1 * g[k]
+                s[k] = 0.999 * s[k] + 0.001 * g[k] * g[k]
+                net.p[k] = (net.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-7)).astype(net.p[k].dtype)
+
+
+def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 2, epochs: int = 5) -> tuple[Network, Embedding]:
+    """Embeddings start from every other document of each class, all training is on the rest (on all, where classes are too small)."""
+    net, table = Network(), Embedding()
+    half = np.zeros(len(texts), bool)
+    for c in (0, 1):
+        half[np.flatnonzero(toxic == c)[::2]] = True
+    parts = (half, ~half) if min((toxic[~half] == c).sum() for c in (0, 1)) >= 20 else (half | True, half | True)
+    table.start([t for t, use in zip(texts, parts[0], strict=True) if use], toxic[parts[0]])
+    texts, toxic = [t for t, use in zip(texts, parts[1], strict=True) if use], toxic[parts[1]]
+    words = Words(texts)
+    every = np.arange(len(words.word))
+    starts, owner = window_starts(words.counts)
+    x = table.inputs(words, every)
+    worth = np.maximum(x[:, 0], 0) + np.maximum(x[:, 2 * SPAN], 0)
+    total = np.r_[0, np.cumsum(worth[words.at])] if len(x) else np.zeros(1)
+    stop = np.minimum(starts + WINDOW, np.cumsum(words.counts)[owner])
+    score = total[stop] - total[np.minimum(starts, stop)]
     rng = np.random.default_rng(11)
     for turn in range(rounds):
         # of each document its highest window, and of clean ones another
         order = np.lexsort((-score, owner))
         best = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
         clean = np.flatnonzero(toxic[owner] == 0)
-        more = rng.choice(clean, min(len(clean), int((toxic == 0).sum())), replace=False) if len(clean) else clean
-        chosen = np.unique(np.r_[best, more])
+        chosen = np.unique(np.r_[best, rng.choice(clean, min(len(clean), int((toxic == 0).sum())), replace=False)])
         label = toxic[owner[chosen]]
-        again = np.flatnonzero(label == 1)
-        chosen = np.r_[chosen, np.repeat(chosen[again], max(0, (label == 0).sum() // max(len(again), 1) - 1))]
-        net.train(*gather(x, starts[chosen], left[chosen]), toxic[owner[chosen]].astype(np.float32), epochs)
+        again = chosen[label == 1]
+        chosen = np.r_[chosen, np.repeat(again, max(0, (label == 0).sum() // max(len(again), 1) - 1))]
+        train(net, table, words, starts[chosen], owner[chosen], toxic[owner[chosen]], epochs)
         if turn < rounds - 1:
-            score = window_logits(net, x, counts)[0]
-    return net, tables
+            score = window_logits(net, table.inputs(words, every), words.at, words.counts)[0]
+    table.paces = []
+    return net, table
 
 
-def scores_of(texts: list[bytes], net: Network, tables: list[np.ndarray]) -> np.ndarray:
-    x, counts = inputs(texts, tables)
-    logit, _, owner = window_logits(net, x, counts)
+def scores_of(texts: list[bytes], net: Network, table: Embedding) -> np.ndarray:
+    words = Words(texts)
+    x = table.inputs(words, np.arange(len(words.word))) if len(words.word) else np.ones((1, INPUTS), np.float32)
+    logit, _, owner = window_logits(net, x, words.at, words.counts)
     return sigmoid(np.maximum.reduceat(logit, np.searchsorted(owner, np.arange(len(texts)))).astype(np.float64))
 
 
-def _scorer(net: Network | None, tables: list[np.ndarray] | None, held: int):
+def _scorer(model: Broadcast, held: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             texts = as_bytes(batch.column("text"))
-            score = np.zeros(len(texts)) if net is None else scores_of(texts, net, tables)
+            score = np.zeros(len(texts)) if model.value is None else scores_of(texts, *model.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.compute.equal(batch.column("part"), held), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return run
 
 
 def sample(rows: DataFrame, labels: DataFrame, held: int, modulus: int, per_class: int, sample_bytes: int) -> tuple[list[bytes], np.ndarray]:
-    """At most per_class toxic texts and twice as many others, of at most sample_bytes each."""
+    """At most per_class toxic texts and twice as many others, of at most sample_bytes each.  rows: doc_id and text."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     known = known.where(crc_mod(F.col("doc_id"), modulus) != held)
-    short = rows.where((F.length(F.encode(F.col("text"), "UTF-8")) <= sample_bytes) & F.col("doc_id").isNotNull()).select("doc_id").join(known, "doc_id")
-    short = materialize(short.distinct(), "toxicity-labelled")
+    short = rows.where((F.octet_length("text") <= sample_bytes) & F.col("doc_id").isNotNull())
+    there = materialize(short.select("doc_id").join(known, "doc_id").distinct(), "toxicity-labelled")
     order = F.xxhash64("doc_id")
-    chosen = short.where("toxic = 1").orderBy(order).limit(per_class).unionByName(short.where("toxic <> 1").orderBy(order).limit(2 * per_class))
+    chosen = there.where("toxic = 1").orderBy(order).limit(per_class).unionByName(there.where("toxic <> 1").orderBy(order).limit(2 * per_class))
     chosen = materialize(chosen, "toxicity-sample")
-    got = rows.where(F.length(F.encode(F.col("text"), "UTF-8")) <= sample_bytes).join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text").toPandas()
-    got = got.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
+    got = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).toPandas()
+    got = got.sort_values("doc_id", kind="stable")
     return [t.encode("utf-8", "surrogatepass") for t in got["text"]], (got["toxic"].to_numpy() == 1).astype(np.int64)
 
 
-def trained(rows: DataFrame, labels: DataFrame, modulus: int, held: int, per_class: int, sample_bytes: int) -> tuple[Network | None, list[np.ndarray] | None]:
+def trained(rows: DataFrame, labels: DataFrame, modulus: int, held: int, per_class: int, sample_bytes: int) -> Broadcast:
+    """Network and embeddings (8 MB), or nothing, given to workers."""
     texts, toxic = sample(rows, labels, held, modulus, per_class, sample_bytes)
-    return fit(texts, toxic) if len(set(toxic.tolist())) == 2 else (None, None)
+    return rows.sparkSession.sparkContext.broadcast(fit(texts, toxic) if len(set(toxic.tolist())) == 2 else None)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, per_class: int = PER_CLASS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """The rows of docs, whole, that aren't predicted to be toxic."""
+    """The rows of docs, whole, that aren't predicted to be toxic.
+
+    Defined results are those of `score_texts`: a null or empty text stays unless empty windows are toxic to the network;
+    all rows stay where there are no labels of both classes; repeated rows stay or go together; extra columns are kept.
+    """
     prepare(docs.sparkSession)
-    net, tables = trained(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels, modulus, held, per_class, sample_bytes)
+    model = trained(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")), labels, modulus, held, per_class, sample_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            yield batch if net is None else batch.filter(pa.array(scores_of(as_bytes(batch.column("text")), net, tables) < 0.5))
+            yield batch if model.value is None else batch.filter(pa.array(scores_of(as_bytes(batch.column("text")), *model.value) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -304,6 +373,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: in
 def score_texts(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, per_class: int = PER_CLASS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """doc_id, held_out, score and predicted of each row; learns from labels of ids whose crc32 mod `modulus` is not `held`."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), crc_mod(F.col("doc_id"), modulus).cast("int").alias("part"))
-    net, tables = trained(rows, labels, modulus, held, per_class, sample_bytes)
-    return rows.mapInArrow(_scorer(net, tables, held), "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), crc_mod(docs["doc_id"], modulus).cast("int").alias("part"))
+    model = trained(rows, labels, modulus, held, per_class, sample_bytes)
+    return rows.mapInArrow(_scorer(model, held), "doc_id long, held_out boolean, score double, predicted int")

@@ -201,38 +201,72 @@ def test_toxicity(spark, docs):
     assert toxicity.score_texts(docs, empty(labels)).count() == docs.count() and toxicity.score_texts(empty(docs), labels).count() == 0
     net = toxicity.Network(kind=np.float64)
     rng = np.random.default_rng(0)
-    x, real, y = rng.normal(size=(32, 5, 4)), np.ones((32, 5), bool), np.array([0, 1, 1, 0, 1.0])
-    _, g = net.gradients(x, real, y)
-    for k, v in net.p.items():
-        at = tuple(rng.integers(s) for s in v.shape)
-        held = v[at]
-        losses = []
-        for e in (1e-5, -1e-5):
-            v[at] = held + e
-            losses.append(net.gradients(x, real, y)[0])
-        v[at] = held
-        assert abs((losses[0] - losses[1]) / 2e-5 - g[k][at]) < 1e-6
-
-
-def test_toxicity_scores_every_window():
-    """A passage's score doesn't depend on where in a text it stands, and runs of windows score as single ones do."""
+    x, at = rng.normal(size=(9, toxicity.INPUTS)), rng.integers(9, size=(7, 5))
+    real = (np.arange(7)[:, None] < np.array([7, 7, 3, 5, 0])).astype(float)
+    inside, y = real * (np.arange(7)[:, None] > 0), np.array([0, 1, 1, 0, 1.0])
+    _, g = net.gradients(x, at, real, inside, y)
+    for k, v in (net.p | {"x": x}).items():
+        for _ in range(4):
+            place = tuple(rng.integers(s) for s in v.shape)
+            held = v[place]
+            losses = []
+            for e in (1e-5, -1e-5):
+                v[place] = held + e
+                losses.append(net.gradients(x, at, real, inside, y)[0])
+            v[place] = held
+            assert abs((losses[0] - losses[1]) / 2e-5 - g[k][place]) < 1e-6
+    table, words = toxicity.Embedding(), toxicity.Words([b"one two ones a", b"", b"two b"])
+    table.word, table.gram = table.word.astype(float), table.gram.astype(float)
+    which, d = np.arange(5), rng.normal(size=(5, toxicity.INPUTS))
+    g_word, g_gram = table.gradients(words, which, d)
+    for rows, at, g in ((table.word, words.word, g_word), (table.gram, words.grams_of(which)[0], g_gram)):
+        for k in range(0, len(at), 3):
+            held = rows[at[k], 1]
+            sums = []
+            for e in (1e-6, -1e-6):
+                rows[at[k], 1] = held + e
+                sums.append((table.inputs(words, which) * d).sum())
+            rows[at[k], 1] = held
+            assert abs((sums[0] - sums[1]) / 2e-6 - g[at == at[k], 1].sum()) < 1e-4
+
+
+def test_toxicity_scores_every_window(monkeypatch):
+    """Windows' logits are those of pooling each window's states alone; blocks change next to nothing; a text's neighbours nothing."""
     net, rng = toxicity.Network(), np.random.default_rng(1)
     counts = np.array([100, 0, 5, 32, 33, 700])
-    x = rng.normal(size=(counts.sum(), toxicity.INPUTS)).astype(np.float32)
-    logit, starts, owner = toxicity.window_logits(net, x, counts)
+    x, at = rng.normal(size=(50, toxicity.INPUTS)).astype(np.float32), rng.integers(50, size=counts.sum())
+    logit, starts, owner = toxicity.window_logits(net, x, at, counts)
     assert np.bincount(owner).tolist() == [69, 1, 1, 1, 2, 669]
-    one_by_one = net.forward(*toxicity.gather(x, starts, np.cumsum(counts)[owner] - starts))[0]
-    assert np.abs(logit - one_by_one).max() < 1e-4
-    short = np.full(90, 3)
-    spread, at, whose = toxicity.window_logits(net, x[:270], short)
-    assert np.abs(spread - net.forward(*toxicity.gather(x[:270], at, np.cumsum(short)[whose] - at))[0]).max() < 1e-4
-    held = np.zeros((200, toxicity.INPUTS), np.float32)
-    found = []
-    for k in range(40, 72):
-        text = held.copy()
-        text[k : k + 32] = x[:32]
-        found.append(toxicity.window_logits(net, text, np.array([200]))[0][k])
-    assert np.ptp(found) < 1e-4
+    monkeypatch.setattr(toxicity, "BLOCK", 100_000)
+    whole = toxicity.window_logits(net, x, at, counts)[0]
+    assert np.abs(logit - whole).max() < 0.05
+    ends = np.cumsum(counts)
+    for k, (n, end) in enumerate(zip(counts.tolist(), ends.tolist(), strict=True)):
+        if n:
+            score, value = net.pooled(net.states(x, at[end - n : end, None], np.ones((n, 1), np.float32)))
+            for i, s in enumerate(starts[owner == k] - (end - n)):
+                e = np.exp(score[s : s + 32, 0])
+                assert abs((e * value[s : s + 32, 0]).sum() / e.sum() + net.p["c"][0] - whole[owner == k][i]) < 1e-4
+        assert np.abs(toxicity.window_logits(net, x, at[end - n : end], np.array([n]))[0] - whole[owner == k]).max() < 1e-4
+
+
+def test_toxicity_learns(spark):
+    """Held-out documents with a few bad words among many, which other documents taught."""
+    rng = np.random.default_rng(4)
+    bad = ["grumpf", "blixed", "norkle"]
+    rows = []
+    for i in range(400):
+        w = [f"w{k}" for k in rng.zipf(1.3, rng.integers(20, 400)) % 5000]
+        if i % 4 == 0:
+            for k in rng.integers(len(w), size=3):
+                w[k] = bad[rng.integers(3)]
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame([*rows, (None, "grumpf x", )], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)] + [(4, 0), (4, 1), (None, 1), (5, None)], "doc_id long, toxic int")
+    got = [r for r in toxicity.score_texts(docs, labels).collect() if r.doc_id is not None]
+    assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in got if r.held_out]) > 0.95
+    left = {r.doc_id for r in toxicity.without_toxic(docs, labels).collect()}
+    assert left - {None} == {r.doc_id for r in got if not r.predicted}
 
 
 def test_packing(docs):
