@@ -1,238 +1,189 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Counts of words and word pairs of the training texts are quantised to levels of a logarithmic scale; a Bloom filter holds
-each n-gram with every level up to its own, so that a count is read by probing levels upwards until one is missing.  A
-token's probability is its pair's count, smoothed by a Dirichlet prior on the add-one unigram:
-
-    p(w | v) = (min(c(v w), c(v)) + mu * p1(w)) / (c(v) + mu),   p1(w) = (c(w) + 1) / (N + V + 1)
-
-with c(v w) and c(v) from the filter and c(w), N and V exact.  A text is its words and an end token; the first word
-follows an end token.
-
-The filter is cut into segments by the n-gram's hash.  Segments are written to the shared folder; a worker maps those
-files.  Filter and vocabulary grow with the corpus, so they are only given to workers whole while they are at most
-`most_bytes`.  Beyond that the texts' distinct n-grams are looked up segment by segment and joined back; scores are the
-same.
-
-Defined results: a null text is an end token alone; a null doc_id is hashed as an empty text; rows are scored each; extra
-columns are ignored; without training texts N and V are 0 and every token has base probability 1; an empty table gives an
-empty result.
+Counts of pairs and triples of words in the training texts are quantised to levels (every count up to EXACT is a level,
+then STEPS of them each time counts double); a Bloom filter holds each n-gram with every level up to its own, so that a
+count is read by probing levels until one is missing: 1, 2, 4, ... and then between the last two.  With q for a quantised
+count (never above the true one), c for a true one and m for the largest count that the context's level stands for,
+
+    p1(w)     = (c(w) + 1) / (N + V + 1)
+    p2(w | v) = (q(v w) + MU2 * p1(w)) / (c(v) + MU2)
+    p3(w | u v) = (min(q(u v w), m(u v)) + MU3 * p2(w | v)) / (m(u v) + MU3)
+
+so that a context's probabilities never add up to more than 1, but for the filter's false hits, and to 1 where counts are
+up to EXACT: beyond, a share of at most 1 / STEPS of the counted mass is lost to rounding.  A text is its words and an end
+token; its first word follows an end token and has p2, all others have p3.  Unknown words are one word.
+
+The filter grows with the corpus, so it isn't given to workers whole: the n-grams of all texts travel to the segments of
+the key space (`lookup`), where a segment's filter is built, probed for every n-gram that a text has, and dropped.  Word
+counts are exact and looked up in the same way.  That is one way for every size; no table or key is in one place.
+
+Defined results: a null text is an end token alone; a null doc_id is hashed as an empty text; rows, repeated ones and
+ties too, are scored each; extra columns, whatever their names, are ignored; without training texts N and V are 0 and
+every token has base probability 1; an empty table gives an empty result; a very long text is held whole by one task.
 """
 
 from __future__ import annotations
 
-import io
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, crc_mod, fresh_path, fs_and_path, hashed_words, materialize, mix, prepare, signed, slices
+from . import lookup
+from .common import as_bytes, crc_mod, hashed_words, materialize, mix, prepare
 
-#: Levels are BASE ** k for k = 0, 1, ...
-BASE = 2.0
+EXACT, STEPS = 64, 16
 BITS_PER_KEY, PROBES = 10, 5
-MU = 50.0
-#: At least so many segments, and more for more than so many n-grams each.
-SEGMENTS, SEGMENT_KEYS = 64, 4_000_000
-MOST_BYTES = 256 << 20
-FLUSH = 1 << 21
+MU2, MU3 = 20.0, 2.0
+#: Bytes of text for each segment: a text has some n-grams for each word.
+SEGMENT_BYTES = 8 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 
 
+def _values() -> np.ndarray:
+    """The count that each level stands for; level 0 is none."""
+    out = list(range(EXACT + 1))
+    while out[-1] < 1 << 48:
+        out.append(int(EXACT * 2 ** ((len(out) - EXACT) / STEPS)))
+    return np.array(out, np.int64)
+
+
+VALUES = _values()
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    """The highest level that stands for no more than each count."""
+    return np.searchsorted(VALUES, counts, "right") - 1
+
+
+def most(level: np.ndarray) -> np.ndarray:
+    """The largest count of a level."""
+    return np.where(level > 0, VALUES[np.minimum(level + 1, len(VALUES) - 1)] - 1, 0)
+
+
 def token_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The token hashes of all texts in a row, an end token after each, and how many tokens each has."""
     words, counts = hashed_words(texts)
     return np.insert(words, np.cumsum(counts), END), counts + 1
 
 
-def pair_keys(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A hash of each token and the one before it; each text's first follows an end token."""
-    before = np.r_[END, tokens[:-1]]
+def chained(context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """A hash of each context followed by a token."""
     with np.errstate(over="ignore"):
-        return mix(mix(before * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) + tokens)
-
-
-def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, order, n), added up within the task a few millions of tokens at a time."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    n = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for order in (1, 2):
-            keys, count = np.unique(np.concatenate([h[order - 1] for h in held]), return_counts=True)
-            for a in range(0, len(keys), 200_000):
-                k = pa.array(signed(keys[a : a + 200_000]))
-                yield pa.RecordBatch.from_arrays([k, pa.array(np.full(len(k), order, np.int32)), pa.array(count[a : a + 200_000].astype(np.int64))], names=["key", "order", "n"])
-
-    for batch in slices(batches, "text"):
-        tokens, counts = token_stream(as_bytes(batch.column("text")))
-        held.append((tokens, pair_keys(tokens, counts)))
-        n += len(tokens)
-        if n >= FLUSH:
-            yield from flush()
-            held, n = [], 0
-    if held:
-        yield from flush()
+        return mix(mix(context * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) + tokens)
 
 
-def levels(counts: np.ndarray) -> np.ndarray:
-    """How many levels a count reaches: 1 for a count of 1."""
-    return 1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(BASE) + 1e-9).astype(np.int64)
+def pairs_and_triples(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the pair that ends at each token, of the triple, and which tokens have one: all but each text's first."""
+    pair = chained(np.r_[END, tokens[:-1]], tokens)
+    triple = chained(np.r_[END, pair[:-1]], tokens)
+    later = np.ones(len(tokens), bool)
+    later[np.cumsum(counts) - counts] = False
+    return pair, triple, later
 
 
-def bit_places(keys: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
+def bit_places(keys: np.ndarray, level: np.ndarray | int, bits: int, probes: int = PROBES) -> Iterator[np.ndarray]:
     with np.errstate(over="ignore"):
-        h = mix(keys + np.uint64(level) * np.uint64(0xD1B54A32D192ED03))
+        h = mix(keys + np.uint64(level) * np.uint64(0xD1B54A32D192ED03) if np.isscalar(level) else keys + level.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
         step = (h >> np.uint64(32)) | np.uint64(1)
-        return [((h + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32) for i in range(PROBES)]
+        for i in range(probes):
+            yield ((((h + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)) * np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
 
 
-def build_segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The bits of a filter that holds the keys with all levels up to their counts'."""
+def build_filter(keys: np.ndarray, counts: np.ndarray, bits_per_key: int = BITS_PER_KEY, probes: int = PROBES) -> np.ndarray:
+    """The bits (as booleans) of a filter that holds the keys with all levels up to their counts'."""
     level = levels(counts)
-    bits = max(64, int(level.sum()) * BITS_PER_KEY + 7 >> 3 << 3)
-    assert bits < 1 << 32
+    bits = max(64, int(level.sum()) * bits_per_key)
+    if bits >= 1 << 32:
+        raise ValueError(f"a segment of {len(keys)} n-grams is too large for its filter; more segments are needed")
     flat = np.zeros(bits, bool)
     for k in range(1, int(level.max(initial=0)) + 1):
-        own = keys[level >= k]
-        for at in bit_places(own, k, bits):
-            flat[at.astype(np.int64)] = True
-    return np.packbits(flat, bitorder="little")
+        keys, level = keys[level >= k], level[level >= k]
+        for at in bit_places(keys, k, bits, probes):
+            flat[at] = True
+    return flat
+
+
+def has(flat: np.ndarray, keys: np.ndarray, level: np.ndarray, probes: int = PROBES) -> np.ndarray:
+    """Whether the filter has each key at its level."""
+    here = np.arange(len(keys))
+    for at in bit_places(keys, level, len(flat), probes):
+        here = here[flat[at[here]]]
+    out = np.zeros(len(keys), bool)
+    out[here] = True
+    return out
 
 
-def probe(segment: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def probe(flat: np.ndarray, keys: np.ndarray, probes: int = PROBES) -> np.ndarray:
     """The level that the filter has for each key; 0: none."""
-    out, here, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
-    while len(here):
-        own, hit = keys[here], None
-        for at in bit_places(own, level, len(segment) * 8):
-            got = (segment[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-            hit = got if hit is None else hit & got
-        here = here[hit.astype(bool)]
-        out[here] = level
-        level += 1
-    return out
+    low, high = np.zeros(len(keys), np.int64), np.ones(len(keys), np.int64)
+    here = np.arange(len(keys))
+    while len(here):  # doubled as long as there is a hit
+        hit = has(flat, keys[here], high[here], probes)
+        here = here[hit]
+        low[here] = high[here]
+        high[here] *= 2
+        here = here[high[here] < len(VALUES)]
+    here = np.flatnonzero(high - low > 1)
+    while len(here):  # halved
+        middle = (low[here] + high[here]) // 2
+        hit = has(flat, keys[here], middle, probes)
+        low[here] = np.where(hit, middle, low[here])
+        high[here] = np.where(hit, high[here], middle)
+        here = here[high[here] - low[here] > 1]
+    return low
 
 
-def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
-    return ((keys >> np.uint64(40)) % np.uint64(segments)).astype(np.int64)
-
-
-def _builder(folder: str):
-    """Writes the filter segment and the exact words of each segment that the partition holds; rows come in segment order."""
-
-    def write(segment: int, parts: list) -> tuple:
-        key, order, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        fs, top = fs_and_path(folder)
-        fs.create_dir(top, recursive=True)
-        one = order == 1
-        place = np.argsort(key[one])
-        out = io.BytesIO()
-        # pairs and words share the filter: a word is held as context
-        np.savez(out, bits=build_segment(key, n), words=key[one][place], counts=n[one][place])
-        raw = out.getvalue()
-        with fs.open_output_stream(f"{top}/{segment}.npz", compression=None) as f:
-            f.write(raw)
-        return segment, len(raw)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts, done = None, [], []
-        for batch in batches:
-            segment = batch.column("segment").to_numpy(zero_copy_only=False)
-            cols = [batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64), batch.column("order").to_numpy(zero_copy_only=False), batch.column("n").to_numpy(zero_copy_only=False)]
-            cuts = np.r_[0, np.flatnonzero(segment[1:] != segment[:-1]) + 1, len(segment)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if a == b:
-                    continue
-                if segment[a] != now:
-                    if parts:
-                        done.append(write(now, parts))
-                    now, parts = int(segment[a]), []
-                parts.append([c[a:b] for c in cols])
-        if parts:
-            done.append(write(now, parts))
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int32()), pa.array([d[1] for d in done], pa.int64())], names=["segment", "n_bytes"])
+def _words(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.int64)
 
-    return run
 
+def _ngrams(bits_per_key: int, probes: int):
+    def answer(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        known = counts > 0
+        return probe(build_filter(keys[known], counts[known], bits_per_key, probes), keys, probes).astype(np.uint16)
 
-class Model:
-    """What workers know: segments of the filter and of the exact word counts."""
-
-    held: tuple[str, Model] | None = None
-
-    def __init__(self, folder: str, present: list[int], segments: int):
-        fs, top = fs_and_path(folder)
-        self.segments, self.parts = segments, {}
-        for s in present:
-            with fs.open_input_stream(f"{top}/{s}.npz", compression=None) as f:
-                z = np.load(io.BytesIO(f.read()), allow_pickle=False)
-                self.parts[s] = (z["bits"], z["words"], z["counts"])
-
-    @classmethod
-    def of(cls, folder: str, present: list[int], segments: int) -> Model:
-        """The worker process keeps the model that it used last."""
-        name = f"{folder}:{present}"
-        if cls.held is None or cls.held[0] != name:
-            cls.held = None
-            cls.held = (name, cls(folder, present, segments))
-        return cls.held[1]
-
-    def levels_and_counts(self, keys: np.ndarray, exact: bool) -> np.ndarray:
-        """Of distinct keys: filter levels, or exact word counts."""
-        out = np.zeros(len(keys), np.int64)
-        own = segment_of(keys, self.segments)
-        order = np.argsort(own, kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(self.segments + 1))
-        for s in range(self.segments):
-            at = order[cuts[s] : cuts[s + 1]]
-            if len(at) and s in self.parts:
-                bits, words, counts = self.parts[s]
-                if exact:
-                    place = np.minimum(np.searchsorted(words, keys[at]), max(len(words) - 1, 0))
-                    out[at] = np.where(words[place] == keys[at], counts[place], 0) if len(words) else 0
-                else:
-                    out[at] = probe(bits, keys[at])
-        return out
-
-
-def scores(tokens: np.ndarray, counts: np.ndarray, n: np.ndarray, context_level: np.ndarray, pair_level: np.ndarray, total: int, distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Known tokens, base score and model score of each text; n and the levels are given for each token."""
-    value = lambda level: np.where(level > 0, BASE ** (np.maximum(level, 1) - 1), 0.0)
+    return answer
+
+
+def _keys_of(held: int):
+    """Words, and pairs and triples, of a piece's texts; only those of training texts count."""
+
+    def keys(batch: pa.RecordBatch) -> list:
+        tokens, counts = token_stream(as_bytes(batch.column("text")))
+        teaches = np.repeat(batch.column("part").to_numpy(zero_copy_only=False) != held, counts).astype(np.int64)
+        pair, triple, later = pairs_and_triples(tokens, counts)
+        return [(mix(tokens), teaches), (np.r_[pair, triple[later]], np.r_[teaches, teaches[later]])]
+
+    return keys
+
+
+def log_scores(counts: np.ndarray, n: np.ndarray, pair: np.ndarray, triple: np.ndarray, total: int, distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Known tokens, base score and model score of each text.  n: the words' counts; pair, triple: levels at each token (first tokens have no triple)."""
+    first = np.cumsum(counts) - counts
     p1 = (n + 1) / (total + distinct + 1)
-    context = np.r_[0.0, value(context_level)[:-1]]
-    ends = np.cumsum(counts)
-    first = ends - counts
-    end_value = value(context_level[ends - 1])  # the end token's own, which texts begin after
-    context[first] = end_value
-    pair = np.minimum(value(pair_level), context)
-    p = (pair + MU * p1) / (context + MU)
-
-    def per_text(x: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(x, first)
-
-    return per_text((n > 0).astype(np.int64)), per_text(np.log10(p1)), per_text(np.log10(p))
-
-
-def _scorer(folder: str, present: list[int], segments: int, total: int, distinct: int, modulus: int, held: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.of(folder, present, segments)
-        for batch in slices(batches, "text"):
-            tokens, counts = token_stream(as_bytes(batch.column("text")))
-            words, which = np.unique(tokens, return_inverse=True)
-            n, level = model.levels_and_counts(words, True)[which], model.levels_and_counts(words, False)[which]
-            # pairs of a word that the filter doesn't have, or after one, can't be in it
-            pairs = pair_keys(tokens, counts)
-            can = (level > 0) & (np.r_[1, level[:-1]] > 0)
-            pair_level = np.zeros(len(pairs), np.int64)
-            pair_level[can] = model.levels_and_counts(pairs[can], False)
-            known, base, score = scores(tokens, counts, n, level, pair_level, total, distinct)
+    before = np.r_[0, n[:-1]]
+    before[first] = n[np.cumsum(counts) - 1]  # an end token's own, which texts begin after
+    p2 = (np.minimum(VALUES[pair], before) + MU2 * p1) / (before + MU2)
+    context = most(np.r_[0, pair[:-1]])
+    p3 = (np.minimum(VALUES[triple], context) + MU3 * p2) / (context + MU3)
+    p3[first] = p2[first]
+    per_text = lambda x: np.add.reduceat(x, first)
+    return per_text((n > 0).astype(np.int64)), per_text(np.log10(p1)), per_text(np.log10(p3))
+
+
+def _scorer(total: int, distinct: int, held: int):
+    def run(answered: Iterator[tuple[pa.RecordBatch, list, list]]) -> Iterator[pa.RecordBatch]:
+        for batch, (words, _), (n, level) in answered:
+            counts = np.diff(np.r_[np.flatnonzero(np.r_[True, words[:-1] == mix(np.array([END]))[0]]), len(words)])
+            pair, triple = level[: len(words)].astype(np.int64), np.zeros(len(words), np.int64)
+            later = np.ones(len(words), bool)
+            later[np.cumsum(counts) - counts] = False
+            triple[later] = level[len(words) :]
+            known, base, score = log_scores(counts, n, pair, triple, total, distinct)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.compute.equal(batch.column("part"), held), pa.array(counts), pa.array(known), pa.array(np.full(len(counts), total, np.int64)), pa.array(base), pa.array(score)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
@@ -244,78 +195,12 @@ def _scorer(folder: str, present: list[int], segments: int, total: int, distinct
 SCORE_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_corpus(docs: DataFrame, modulus: int = 7, held: int = 2, segments: int = SEGMENTS, most_bytes: int = MOST_BYTES) -> DataFrame:
+def score_corpus(docs: DataFrame, modulus: int = 7, held: int = 2, segment_bytes: int = SEGMENT_BYTES, bits_per_key: int = BITS_PER_KEY, probes: int = PROBES) -> DataFrame:
     """Learns from the rows whose crc32(doc_id as text) mod `modulus` is not `held`, and scores all rows."""
-    spark: SparkSession = docs.sparkSession
-    prepare(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), crc_mod(F.col("doc_id"), modulus).cast("int").alias("part"))
-    counted = rows.where(F.col("part") != held).select("text").mapInArrow(_counter, "key long, order int, n long")
-    grams = counted.groupBy("key", "order").agg(F.sum("n").alias("n"))
-    grams = materialize(grams.select("key", "order", "n"), "lm-grams")
-    word = F.col("order") == 1
-    sums = grams.agg(F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)), F.count(F.when(word, 1)), F.count(F.lit(1))).first()
-    total, distinct, segments = int(sums[0]), int(sums[1]), max(segments, -(-int(sums[2]) // SEGMENT_KEYS))
-    grams = grams.withColumn("segment", F.pmod(F.shiftrightunsigned("key", 40), F.lit(segments)).cast("int"))
-    folder = fresh_path(spark, "lm-segments")
-    dealt = grams.repartition(segments, "segment").sortWithinPartitions("segment")
-    written = materialize(dealt.mapInArrow(_builder(folder), "segment int, n_bytes long"), "lm-written").collect()  # a row for each segment
-    present, size = sorted(r["segment"] for r in written), sum(r["n_bytes"] for r in written)
-    if size <= most_bytes:
-        return rows.mapInArrow(_scorer(folder, present, segments, total, distinct, modulus, held), SCORE_DDL)
-    return _joined(rows, total, distinct, held, folder, segments)
-
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, part, row, key, pair): distinct pairs with the words they are of, and how often the text has them."""
-    for batch in slices(batches, "text", 2 << 20):
-        tokens, counts = token_stream(as_bytes(batch.column("text")))
-        owner = np.repeat(np.arange(len(counts)), counts)
-        pairs, before = pair_keys(tokens, counts), np.r_[END, tokens[:-1]]
-        order = np.lexsort((pairs, owner))
-        first = np.r_[True, (pairs[order][1:] != pairs[order][:-1]) | (owner[order][1:] != owner[order][:-1])]
-        at = order[first]
-        times = np.diff(np.r_[np.flatnonzero(first), len(order)])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pa.array(owner[at])), batch.column("part").take(pa.array(owner[at])), batch.column("row").take(pa.array(owner[at])), pa.array(signed(tokens[at])), pa.array(signed(before[at])), pa.array(signed(pairs[at])), pa.array(times)],
-            names=["doc_id", "part", "row", "word", "before", "pair", "times"],
-        )
-
-
-def _prober(folder: str, segments: int):
-    """Looks keys up in their segment; rows come in segment order, so one segment is held at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-            own = segment_of(keys, segments)
-            level, n = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-            for s in np.unique(own).tolist():
-                try:
-                    model = Model.of(folder, [s], segments)
-                except FileNotFoundError:
-                    continue
-                at = own == s
-                level[at], n[at] = model.levels_and_counts(keys[at], False), model.levels_and_counts(keys[at], True)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(level), pa.array(n)], names=["key", "level", "n"])
-
-    return run
-
-
-def _joined(rows: DataFrame, total: int, distinct: int, held: int, folder: str, segments: int) -> DataFrame:
-    """The same scores where the model is too large for a worker: distinct keys are looked up segment by segment and joined back."""
-    named = rows.withColumn("row", F.monotonically_increasing_id())
-    spread = materialize(named.mapInArrow(_spread, "doc_id long, part int, row long, word long, before long, pair long, times long"), "lm-spread")
-    keys = spread.select(F.explode(F.array("word", "before", "pair")).alias("key")).groupBy("key").count().drop("count")
-    segment = F.pmod(F.shiftrightunsigned("key", 40), F.lit(segments)).cast("int")
-    found = keys.repartition(segments, segment).sortWithinPartitions(segment).mapInArrow(_prober(folder, segments), "key long, level long, n long")
-    found = materialize(found, "lm-found")
-    as_ = lambda c: found.select(F.col("key").alias(c), F.col("level").alias(f"{c}_level"), F.col("n").alias(f"{c}_n"))
-    all_ = spread.join(as_("word"), "word").join(as_("before"), "before").join(as_("pair"), "pair")
-    value = lambda c: F.when(F.col(c) > 0, F.pow(F.lit(BASE), F.col(c) - 1)).otherwise(F.lit(0.0))
-    p1 = (F.col("word_n") + 1) / F.lit(float(total + distinct + 1))
-    context = value("before_level")
-    pair = F.when((F.col("word_level") > 0) & (F.col("before_level") > 0), F.least(value("pair_level"), context)).otherwise(F.lit(0.0))
-    p = (pair + MU * p1) / (context + MU)
-    added = lambda c: F.sum(c * F.col("times"))
-    out = all_.groupBy("doc_id", "row", "part").agg(F.sum("times").alias("n_tokens"), added((F.col("word_n") > 0).cast("long")).alias("n_known"), added(F.log10(p1)).alias("base_score"), added(F.log10(p)).alias("score"))
-    return out.select("doc_id", (F.col("part") == held).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    prepare(docs.sparkSession)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), crc_mod(docs["doc_id"], modulus).cast("int").alias("part"))
+    pieces = lookup.store(rows, "lm-texts")
+    segments, keys = lookup.segments_of(pieces, segment_bytes), _keys_of(held)
+    owned = materialize(lookup.asked(pieces, keys, [_words, _ngrams(bits_per_key, probes)], segments), "lm-levels")
+    sums = owned.groupBy("segment").agg(F.first("total").alias("total"), F.first("kinds").alias("kinds")).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    return lookup.used(owned, keys, [np.int64, np.uint16], segments, _scorer(int(sums[0]), int(sums[1]), held), SCORE_DDL)

@@ -51,24 +51,55 @@ def test_warc(spark):
     assert warc.archive_digests(empty(pages)).count() == 0
 
 
-def test_lm(docs, rows):
-    got = sorted([(r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 5)) for r in lm.score_corpus(docs).collect()])
-    other = sorted([(r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 5)) for r in lm.score_corpus(docs, most_bytes=0).collect()])
-    assert got == other
-    toks = [(i, words(t) + [None]) for i, t in rows]
-    count = Counter()
+def brute_lm(toks):
+    """(base, score) of each text, of true counts; toks: (id, words and None)."""
+    count, pairs, triples = Counter(), Counter(), Counter()
     for i, w in toks:
         if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2:
             count.update(w)
+            pairs.update(zip([None, *w], w, strict=False))
+            triples.update(zip([None, *w], w, w[1:], strict=False))
     n, v = sum(count.values()), len(count)
-    want = sorted((i or -1, len(w), sum(count[x] > 0 for x in w), n, round(sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), 6)) for i, w in toks)
-    assert [g[:4] for g in got] == [w[:4] for w in want] and all(abs(g[4] - w[4]) < 1e-4 for g, w in zip(got, want, strict=True))
-    keys, counts = np.arange(1, 5000, dtype=np.uint64), np.arange(1, 5000) % 40 + 1
-    level = lm.probe(lm.build_segment(keys, counts), keys)
-    assert (level >= lm.levels(counts)).all() and (level == lm.levels(counts)).mean() > 0.95
+    floor = lambda c: max(x for x in lm.VALUES.tolist()[:400] if x <= c)
+    ceil = lambda c: min(x for x in lm.VALUES.tolist()[:400] if x > c) - 1 if c else 0
+    p1 = lambda w: (count[w] + 1) / (n + v + 1)
+    p2 = lambda a, w: (floor(pairs[a, w]) + lm.MU2 * p1(w)) / (count[a] + lm.MU2)
+    p3 = lambda a, b, w: (min(floor(triples[a, b, w]), ceil(pairs[a, b])) + lm.MU3 * p2(b, w)) / (ceil(pairs[a, b]) + lm.MU3)
+    out = []
+    for i, w in toks:
+        p = [p2(None, w[0])] + [p3(w[k - 2] if k > 1 else None, w[k - 1], w[k]) for k in range(1, len(w))]
+        out.append((i, len(w), sum(count[x] > 0 for x in w), n, sum(map(math.log10, map(p1, w))), sum(map(math.log10, p))))
+    return out, count, p2, p3, pairs
+
+
+def test_lm(docs, rows):
+    got = sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm.score_corpus(docs).collect())
+    toks = [(i, words(t) + [None]) for i, t in rows]
+    want, count, p2, p3, pairs = brute_lm(toks)
+    want = sorted((i or -1, *w) for i, *w in want)
+    assert [g[:4] for g in got] == [w[:4] for w in want] and all(abs(g[4] - w[4]) < 1e-6 * abs(w[4]) for g, w in zip(got, want, strict=True))
+    # but for false hits, of which a filter of 10 bits a key has some in a hundred
+    assert np.median([abs(g[5] - w[5]) / abs(w[5]) for g, w in zip(got, want, strict=True)]) < 0.01
+    known = [*count, "never seen"]
+    for a, b in [*list(pairs)[:20], *[p for p, _ in pairs.most_common(20) if p[1] is not None]]:
+        if b is not None:
+            assert 0.95 < sum(p2(b, w) for w in known) <= 1 + 1e-9 and 0.9 < sum(p3(a, b, w) for w in known) <= 1 + 1e-9
+    exact = sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm.score_corpus(docs, segment_bytes=20_000, bits_per_key=60, probes=16).collect())
+    assert all(abs(g[5] - w[5]) < 1e-6 * abs(w[5]) for g, w in zip(exact, want, strict=True))
     assert lm.score_corpus(empty(docs)).count() == 0
 
 
+def test_lm_levels():
+    keys, counts = np.arange(1, 5000, dtype=np.uint64), np.arange(1, 5000) % 300 + 1
+    flat = lm.build_filter(keys, counts)
+    level = lm.probe(flat, keys)
+    assert (level >= lm.levels(counts)).all() and (level == lm.levels(counts)).mean() > 0.95
+    assert (lm.probe(flat, keys + np.uint64(10_000)) > 0).mean() < 0.03
+    counts = np.array([1, 2, 64, 65, 66, 1000, 10**6, 10**12])
+    assert (lm.VALUES[lm.levels(counts)] <= counts).all() and (lm.most(lm.levels(counts)) >= counts).all()
+    assert (lm.VALUES[lm.levels(counts)] > counts * (1 - 1 / lm.STEPS)).all() and lm.most(np.array([0, 1, 63, 64])).tolist() == [0, 1, 63, 65]
+
+
 def test_grammar_and_counts(docs, rows):
     from tokenizers import Tokenizer
 
