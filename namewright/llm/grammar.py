@@ -1,11 +1,14 @@
 """Token-id files with Re-Pair grammar compression.
 
-A shard's ids are rewritten in passes: the most frequent id pairs each become a nonterminal, whose rule and expansion
-length are stored.  No pair begins with a symbol that closes a document, so documents start at symbol boundaries and any of them, or any range
+A block's ids are rewritten until no pair of neighbours is frequent (once in FREQUENT symbols of the block, five times at
+least): in each pass every frequent pair becomes a nonterminal, whose rule and expansion length are stored; of pairs that
+overlap the one on the left is replaced.  Pairs are told apart by bins of a hash; what shares a bin waits for a later pass.
+No pair begins with a symbol that closes a document, so documents start at symbol boundaries and any of them, or any range
 of ids, is decoded without what stands before it.
 
 Defined results: a null text is an empty one (its end id alone); documents are in ascending doc_id order, null ids first,
-equal ids by text; repeated rows are kept; extra columns are ignored; an empty table gives no file and an empty result.
+equal ids by text; repeated rows are kept; extra columns, whatever their names, are ignored; an empty table gives no file
+and an empty result; a very long text is encoded whole by one task and is a block of its own size.
 """
 
 from __future__ import annotations
@@ -22,11 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh_path, fs_and_path, materialize, prepare, slices
-from .tokens import held_bpe
+from .tokens import held_encoder
 
 MAGIC = b"NWRP1\n"
 BLOCK_IDS = 4 << 20
 BINS = 1 << 20
+FREQUENT = 20_000
 MANIFEST_DDL = "part int, block int, path string, at long, n_bytes long, n_ids long, n_docs long"
 
 
@@ -36,22 +40,17 @@ def pair_bins(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(12)
 
 
-def compress(ids: np.ndarray, vocab: int, end_id: int, passes: int = 3, top: int = 65536, least: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, vocab: int, end_id: int, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (rule r is symbol vocab + r: its two symbols).  ids: uint32."""
     seq, rules = ids.astype(np.uint32), np.empty((0, 2), np.uint32)
-    final = np.zeros(max(top, vocab), bool)  # symbols whose expansion closes a document
+    final = np.zeros(vocab, bool)  # symbols whose expansion closes a document
     final[end_id] = True
-    room = min(top - vocab, 1 << 16)
-    for k in range(passes):
-        share = (room - len(rules)) // (passes - k)
-        if len(seq) < 2 or share < 1:
-            break
+    least = max(5, len(ids) // frequent)
+    while len(seq) >= 2:
         left, right = seq[:-1], seq[1:]
         h = pair_bins(left, right)
         count = np.bincount(h, minlength=BINS)
         places = np.flatnonzero(count >= least)
-        if len(places) > share:
-            places = places[np.argpartition(count[places], len(places) - share)[-share:]]
         # a bin's pair is one that stands in it; what else falls there is left for a later pass
         at = np.zeros(BINS, np.int64)
         at[h] = np.arange(len(h))
@@ -71,7 +70,7 @@ def compress(ids: np.ndarray, vocab: int, end_id: int, passes: int = 3, top: int
         number[kept] = vocab + len(rules) + np.arange(len(kept), dtype=np.uint32)
         found = found[used[h[found]] >= least]
         new = number[h[found]]
-        final[number[kept]] = final[pr[kept]]
+        final = np.r_[final, final[pr[kept]]]
         rules = np.vstack([rules, np.stack([pl[kept], pr[kept]], 1)])
         seq = seq.copy()
         seq[found] = new
@@ -137,7 +136,7 @@ def pack_block(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray,
 
 def _writer(folder: str, path: str, end_id: int, block_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part = held_bpe(path), TaskContext.get().partitionId()
+        bpe, part = held_encoder(path), TaskContext.get().partitionId()
         vocab = bpe.vocab
         fs, top = fs_and_path(folder)
         fs.create_dir(top, recursive=True)
@@ -164,7 +163,7 @@ def _writer(folder: str, path: str, end_id: int, block_ids: int):
         for batch in slices(batches, "text", 4 << 20):
             ids, own = bpe.encode([x or "" for x in batch.column("text").to_pylist()])
             ends = np.cumsum(own)
-            ids = np.insert(ids, ends, np.uint16(end_id))
+            ids = np.insert(ids, ends, bpe.kind(end_id))
             doc_ids += batch.column("doc_id").to_pylist()
             counts += (own + 1).tolist()
             held.append(ids)
@@ -184,7 +183,7 @@ def _writer(folder: str, path: str, end_id: int, block_ids: int):
 def write_ids(docs: DataFrame, path: str, end_id: int = 2, block_ids: int = BLOCK_IDS, parts: int | None = None) -> DataFrame:
     """Writes all documents' ids in ascending doc_id order; returns the manifest, a row for each block, with `start`: the ids before it."""
     spark = docs.sparkSession
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     manifest = materialize(ordered.mapInArrow(_writer(fresh_path(spark, "ids"), path, end_id, block_ids), MANIFEST_DDL), "ids-manifest")

@@ -1,14 +1,15 @@
 """Language identification by mixture inference.
 
-A language is a distribution over hashed character n-grams (1 to 3 bytes of lower-cased words, with word borders),
+A language is a distribution over hashed character n-grams (two and three bytes of lower-cased words, with word borders),
 learned from all labelled texts.  A document's words come from a mixture of languages: expectation-maximisation finds the
 proportions that make the words' n-gram likelihoods largest.  The set of languages is chosen by penalised likelihood:
-languages join in the order of their share as long as log-likelihood minus half the number of free proportions times the
-log of the number of words grows.  The prediction is the language of largest share; the score is that share.
+languages join in the order of their share as long as log-likelihood minus PENALTY times the number of free proportions
+times the log of the number of words grows (half of it would be the Bayesian criterion; words aren't independent).  The prediction is the language of largest share; the score is that share.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; so is any text when nothing was learned;
 rows with a null lang teach nothing; ties go to the name first in order; repeated rows each get their result; extra
-columns are ignored.
+columns, whatever their names, are ignored; an empty table gives an empty result; a very long text is held whole by one
+task; the driver and each worker hold 128 KB for each language that there is.
 """
 
 from __future__ import annotations
@@ -188,9 +189,13 @@ def _predictor(names: list[str], table: np.ndarray, held: int):
 
 
 def with_language(docs: DataFrame, least_share: float = 0.4, modulus: int = 3, held: int = 1) -> DataFrame:
-    """The rows of docs, whole, that have a language: one that holds least_share of the text."""
+    """The rows of docs, whole, that have a language: one that holds least_share of the text.
+
+    Defined results are those of `identify`: rows that are `und` there (null and empty texts, texts without a letter, all
+    rows where nothing was learned) go; repeated rows stay or go together; extra columns, whatever their names, are kept.
+    """
     prepare(docs.sparkSession)
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), crc_mod(F.col("doc_id"), modulus).alias("part"))
+    rows = docs.select(docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"), crc_mod(docs["doc_id"], modulus).alias("part"))
     names, table = learn(rows.where(F.col("part") != held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

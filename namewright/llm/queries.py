@@ -45,7 +45,7 @@ def op8_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_conflict_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary(BPE))
 
 
 def op10_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ follows a character which is none.  Both pre-tokenizers at hand cut there whatev
 left and right of it is what the whole text gives.  Without such a boundary in the overlap the overlap is doubled, up to
 the whole rest of the text.
 
-Defined results: a null text has no tokens; ties, repeated rows and extra columns change nothing (each row gets its own
-result); an empty table gives an empty result.
+Defined results: a null text has no tokens; ties, repeated rows and extra columns, whatever their names, change nothing
+(each row gets its own result); an empty table gives an empty result; a very long text is encoded in chunks where its
+tokenizer has the boundary, else whole.
 """
 
 from __future__ import annotations
@@ -54,9 +55,9 @@ class Encoder:
             with open(path) as f:
                 spec = json.load(f)
             pre = spec.get("pre_tokenizer") or {}
-            self.byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer") and self.tok.get_vocab_size() <= 1 << 16
-            # only byte-level and word-end pre-tokenizers have the proven boundary; others encode whole texts
-            self.stable = pre.get("type") in ("ByteLevel", "Sequence", "Split") and not any(re.search(r"\s", x["content"]) or x["lstrip"] or x["rstrip"] for x in spec.get("added_tokens") or [])
+            self.byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
+            # only byte-level pre-tokenizers have the proven boundary; others, and sentencepiece, encode whole texts
+            self.stable = self.byte_level and not any(re.search(r"\s", x["content"]) or x["lstrip"] or x["rstrip"] for x in spec.get("added_tokens") or [])
         else:
             import sentencepiece
 
@@ -95,7 +96,7 @@ class Encoder:
                 continue
             last = int(np.searchsorted(begins, cut))
             yield here.ids[first:last]
-            # the next chunk begins some characters before the cut, at a stable boundary, and drops what is before it
+            # the next chunk begins at the cut, which is a stable boundary
             start, skip, overlap = cut, cut, self.overlap
 
     def counts(self, texts: list[str]) -> list[int]:
@@ -146,7 +147,7 @@ def pre_tokens(chars: np.ndarray) -> np.ndarray:
 
 
 class CachedByteBpe:
-    """Ids of byte-level BPE as 16-bit integers.
+    """Ids of byte-level BPE, as 16-bit integers where the vocabulary allows.
 
     The library encodes each distinct pre-token once, as long as it is among the last `limit` ones; texts with unusual
     characters or with a special token's string are given to it whole.  A pre-token's ids don't depend on its neighbours,
@@ -157,19 +158,19 @@ class CachedByteBpe:
         self.encoder, self.limit = Encoder(path), limit
         self.special = [x.content for x in self.encoder.tok.get_added_tokens_decoder().values()]
         self.vocab = self.encoder.tok.get_vocab_size()
-        assert self.vocab <= 1 << 16
+        self.kind = np.uint16 if self.vocab <= 1 << 16 else np.uint32
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.at, self.n = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.flat, self.used = np.empty(1 << 16, np.uint16), 0
+        self.flat, self.used = np.empty(1 << 16, self.kind), 0
 
     def learn(self, keys: np.ndarray, words: list[str]) -> None:
         """Adds sorted new keys, whose pre-tokens are words."""
         got, owner = [], []
         for a in range(0, len(words), 5000):
             e = self.encoder.tok.encode(words[a : a + 5000], is_pretokenized=True, add_special_tokens=False)
-            got.append(np.array(e.ids, np.uint16))
+            got.append(np.array(e.ids, self.kind))
             owner.append(np.array(e.word_ids, np.int64) + a)
         ids, owner = np.concatenate(got), np.concatenate(owner)
         n = np.bincount(owner, minlength=len(words))
@@ -208,7 +209,7 @@ class CachedByteBpe:
         if len(new):
             self.learn(keys[new], [raw[a:b].decode() for a, b in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
         if not len(keys):
-            return np.empty(0, np.uint16), np.zeros(len(texts), np.int64)
+            return np.empty(0, self.kind), np.zeros(len(texts), np.int64)
         place = np.searchsorted(self.keys, keys)[where]
         n = self.n[place]
         ids = self.flat[np.repeat(self.at[place] - np.cumsum(n) + n, n) + np.arange(n.sum())]
@@ -216,21 +217,35 @@ class CachedByteBpe:
 
     def _mixed(self, texts: list[str], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         plain = [i for i in range(len(texts)) if not odd[i]]
-        ids, n = self.encode([texts[i] for i in plain]) if plain else (np.empty(0, np.uint16), np.empty(0, np.int64))
+        ids, n = self.encode([texts[i] for i in plain]) if plain else (np.empty(0, self.kind), np.empty(0, np.int64))
         parts: dict[int, np.ndarray] = dict(zip(plain, np.split(ids, np.cumsum(n)[:-1]), strict=True)) if plain else {}
         whole = np.flatnonzero(odd).tolist()
         for i in whole:
-            parts[i] = np.concatenate([np.array(p, np.uint16) for p in self.encoder.spliced(texts[i])])
+            parts[i] = np.concatenate([np.array(p, self.kind) for p in self.encoder.spliced(texts[i])])
         return np.concatenate([parts[i] for i in range(len(texts))]), np.array([len(parts[i]) for i in range(len(texts))], np.int64)
 
 
-_HELD: dict[str, CachedByteBpe] = {}
+class WholeTexts:
+    """Ids as the library gives them, of tokenizers that aren't byte-level BPE."""
 
+    kind = np.uint32
 
-def held_bpe(path: str) -> CachedByteBpe:
+    def __init__(self, path: str):
+        self.encoder = Encoder(path)
+        self.vocab = self.encoder.tok.get_vocab_size() if self.encoder.tok is not None else self.encoder.piece.vocab_size()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [np.array(x, self.kind) for x in self.encoder.ids(texts)]
+        return np.concatenate([*got, np.empty(0, self.kind)]), np.array([len(x) for x in got], np.int64)
+
+
+_HELD: dict[str, CachedByteBpe | WholeTexts] = {}
+
+
+def held_encoder(path: str) -> CachedByteBpe | WholeTexts:
     """This worker process's encoder, kept from task to task with the pre-tokens that it has seen."""
     if path not in _HELD:
-        _HELD[path] = CachedByteBpe(path)
+        _HELD[path] = CachedByteBpe(path) if Encoder(path).byte_level else WholeTexts(path)
     return _HELD[path]
 
 
@@ -239,7 +254,7 @@ def _counter(path: str, limit: int):
         if not encoder.byte_level:
             return encoder.counts(texts)
         short = [i for i, x in enumerate(texts) if len(x) <= encoder.chunk]
-        out = dict(zip(short, held_bpe(path).encode([texts[i] for i in short])[1].tolist(), strict=True)) if short else {}
+        out = dict(zip(short, held_encoder(path).encode([texts[i] for i in short])[1].tolist(), strict=True)) if short else {}
         return [out[i] if i in out else sum(map(len, encoder.spliced(x))) for i, x in enumerate(texts)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,11 +1,12 @@
 """WARC: a chunked record table that is written to archives and read back as a stream.
 
-Payloads travel as rows (record, chunk number, bytes); no process ever holds a whole record.  Each row that is read
-back carries the SHA-1 of all bytes up to its end, so the last chunk's digest is the record's.
+Payloads travel as rows (record identifier, chunk number, bytes), each with the SHA-1 of all bytes up to its end, so the
+last chunk's digest is the record's.  The table of pages has a payload in one cell, which Spark holds while it reads the
+row; from there on, writing and reading, no process holds more of a record than some chunks.
 
 Defined results: a null payload is an empty one; a null or repeated page_id is kept (equal payload and equal largest
 page_id: each such row is a response; a null id is less than any other); a null url gives a record without target;
-extra columns are ignored; an empty table gives an empty result.
+extra columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -47,14 +48,45 @@ def revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 def chunk_table(pages: DataFrame, min_bytes: int = 0, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The rows to write: one for each chunk of a response's payload, one without data for each revisit."""
-    records = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.encode(F.col("html"), "UTF-8"), F.lit(b"")).alias("payload"))
+    records = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), F.coalesce(F.encode(pages["html"].cast("string"), "UTF-8"), F.lit(b"")).alias("payload"))
     again = revisits(records, min_bytes).select(F.col("page_id").alias("_page"), F.col("sha").alias("_sha"), "refers_to")
     held = records.withColumn("sha", F.sha1("payload")).withColumn("n_bytes", F.length("payload").cast("long"))
     held = held.join(again, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("sha") == F.col("_sha")), "left")
-    last = F.when(F.col("refers_to").isNull(), F.greatest(F.lit(0), F.floor((F.col("n_bytes") - 1) / chunk_bytes))).otherwise(F.lit(0)).cast("int")
-    rows = held.withColumn("last", last).select("page_id", "url", "n_bytes", "sha", "refers_to", "last", "payload", F.explode(F.sequence(F.lit(0), "last")).alias("chunk_no"))
-    data = F.when(F.col("refers_to").isNull(), F.substring(F.col("payload"), F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes))).otherwise(F.lit(b""))
-    return rows.select("page_id", "url", "n_bytes", "sha", "refers_to", "chunk_no", (F.col("chunk_no") == F.col("last")).alias("is_last"), data.alias("data"))
+    return held.select("page_id", "url", "n_bytes", "sha", "refers_to", F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload")).mapInArrow(_chunker(chunk_bytes), PIECES_DDL)
+
+
+PIECES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("n_bytes", pa.int64()), ("sha", pa.string()), ("refers_to", pa.int64()), ("chunk_no", pa.int64()), ("chunk_offset", pa.int64()), ("digest_so_far", pa.string()), ("is_last", pa.bool_()), ("data", pa.binary())])
+PIECES_DDL = "page_id long, url string, n_bytes long, sha string, refers_to long, chunk_no long, chunk_offset long, digest_so_far string, is_last boolean, data binary"
+
+
+def _chunker(chunk_bytes: int, most_bytes: int = 4 << 20):
+    """A record's payload as chunks, with the digest of all bytes up to each chunk's end."""
+
+    def chunks(batch: pa.RecordBatch) -> Iterator[tuple]:
+        columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "n_bytes", "sha", "refers_to")]
+        for k, (page, url, n_bytes, sha, refers) in enumerate(zip(*columns, strict=True)):
+            payload, so_far = memoryview(batch.column("payload")[k].as_buffer()), hashlib.sha1()
+            for at in range(0, max(1, len(payload)), chunk_bytes):
+                data = payload[at : at + chunk_bytes]
+                so_far.update(data)
+                is_last = at + chunk_bytes >= len(payload)
+                if is_last and refers is None and so_far.hexdigest() != sha:
+                    raise ValueError(f"record {page}: chunks don't add up to the payload")
+                yield page, url, n_bytes, sha, refers, at // chunk_bytes, at, base32_of(sha if refers is not None else so_far.hexdigest()), is_last, data
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for row in chunks(batch):
+                rows.append((*row[:-1], bytes(row[-1])))
+                held += len(row[-1]) + 300
+                if held >= most_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PIECES, strict=True)], schema=PIECES)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PIECES, strict=True)], schema=PIECES)
+
+    return run
 
 
 def base32_of(sha_hex: str) -> str:
@@ -173,7 +205,7 @@ def records_of(stream) -> Iterator[tuple[dict, int, Iterator[bytes]]]:
             pass
 
 
-def _reader(chunk_bytes: int, with_data: bool, only_last: bool):
+def _reader(chunk_bytes: int, with_data: bool):
     def rows_of(path: str) -> Iterator[tuple]:
         fs, at = fs_and_path(path)
         with fs.open_input_stream(at, compression=None) as stream:
@@ -186,9 +218,8 @@ def _reader(chunk_bytes: int, with_data: bool, only_last: bool):
                     sha.update(piece)
                     held += piece
                     while len(held) >= chunk_bytes and offset + len(held) < length:
-                        if not only_last:
-                            # the running digest covers all that has been read, whole pieces at a time
-                            yield page, no, offset, bytes(held) if with_data else None, base64.b32encode(sha.digest()).decode(), False, length, said, kind, refers, headers.get("warc-target-uri")
+                        # the running digest covers all that has been read, whole pieces at a time
+                        yield page, no, offset, bytes(held) if with_data else None, base64.b32encode(sha.digest()).decode(), False, length, said, kind, refers, headers.get("warc-target-uri")
                         no, offset = no + 1, offset + len(held)
                         held.clear()
                 digest = said if kind == "revisit" else base64.b32encode(sha.digest()).decode()
@@ -212,14 +243,15 @@ def _reader(chunk_bytes: int, with_data: bool, only_last: bool):
     return read
 
 
-def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES, with_data: bool = True, only_last: bool = False) -> DataFrame:
-    """The archives' chunk rows.  only_last: a row for each record, with its final digest."""
+def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES, with_data: bool = True) -> DataFrame:
+    """The archives' chunk rows; a record's last one has its final digest."""
     files = max(1, min(manifest.count(), 20_000))
-    return manifest.select("path").repartition(files).mapInArrow(_reader(chunk_bytes, with_data, only_last), CHUNKS_DDL)
+    return manifest.select("path").repartition(files).mapInArrow(_reader(chunk_bytes, with_data), CHUNKS_DDL)
 
 
 def archive_digests(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Writes the pages to archives, reads those back and returns what they say of each page."""
+    """Writes the pages to archives, reads those back and returns what the last chunk rows say of each page."""
     prepare(pages.sparkSession)
     manifest = write_archives(chunk_table(pages, min_bytes))
-    return read_archives(manifest, with_data=False, only_last=True).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
+    last = read_archives(manifest, with_data=False).where("is_last")
+    return last.select("page_id", "payload_bytes", F.col("digest_so_far").alias("payload_digest"), "record_type", "refers_to", "target_uri")

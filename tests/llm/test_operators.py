@@ -45,10 +45,15 @@ def test_warc(spark):
     digest = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
     want = [(1, 700_000, digest("a" * 700_000), "revisit", 2), (2, 700_000, digest("a" * 700_000), "response", None), (3, 0, digest(""), "revisit", 4), (4, 0, digest(""), "response", None), (5, 8, digest("é\r\n\r\nx"), "response", None), (-1, 8, digest("é\r\n\r\nx"), "revisit", 5), (7, 2, digest("rr"), "response", None), (7, 2, digest("rr"), "response", None)]
     assert [x[:4] for x in got] == sorted(x[:4] for x in [(w[0], len("é\r\n\r\nx".encode()) if w[2] == digest("é\r\n\r\nx") else w[1], *w[2:]) for w in want])
+    table = sorted(warc.chunk_table(pages.where("page_id = 2"), chunk_bytes=1000).collect(), key=lambda r: r.chunk_no)
+    assert [r.chunk_offset for r in table] == list(range(0, 700_000, 1000)) and all(r.digest_so_far == digest("a" * (r.chunk_offset + 1000)) for r in table) and [r.is_last for r in table].index(True) == 699
     manifest = warc.write_archives(warc.chunk_table(pages.where("page_id = 2"), chunk_bytes=1000))
     chunks = sorted(warc.read_archives(manifest, chunk_bytes=100_000).collect(), key=lambda r: r.chunk_no)
     assert len(chunks) > 4 and b"".join(bytes(c.data) for c in chunks) == b"a" * 700_000
+    assert all(c.digest_so_far == digest("a" * (c.chunk_offset + len(c.data))) for c in chunks)
     assert warc.archive_digests(empty(pages)).count() == 0
+    extra = pages.selectExpr("*", "1 as sha", "2 as payload", "3 as refers_to", "4 as n_bytes")
+    assert warc.archive_digests(extra).count() == 8
 
 
 def brute_lm(toks):
@@ -223,6 +228,10 @@ def test_decontamination(spark, docs):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, "solo words"), (3, None), (4, "")], "item_id long, text string")
     texts = spark.createDataFrame([(1, "xx Alpha, beta gamma delta epsilon zeta eta theta iota kappa yy"), (2, "alpha beta gamma delta epsilon"), (3, "the solo; words here"), (4, None), (5, "")], "doc_id long, text string")
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.contamination(texts, bench).collect()) == [(1, 1), (3, 2)]
+    more = texts.union(spark.createDataFrame([(None, "solo words of no one"), (1, "other"), (6, "solo words " * 4000)], texts.schema)).selectExpr("*", "1 as _bad", "2 as hash", "3 as w", "4 as item_id")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.contamination(more, bench).collect()) == [(1, 1), (3, 2), (6, 2)]
+    left = decontaminate.without_items(more, bench)
+    assert left.columns == more.columns and sorted(r.doc_id for r in left.collect()) == [2, 4, 5]
     assert decontaminate.contamination(empty(texts), bench).count() == 0 and decontaminate.contamination(texts, empty(bench)).count() == 0
 
 
@@ -300,16 +309,61 @@ def test_toxicity_learns(spark):
     assert left - {None} == {r.doc_id for r in got if not r.predicted}
 
 
-def test_packing(docs):
-    got = packing.pack(docs, capacity=256, per_source=2, shard_pieces=64).toPandas()
+def brute_best_fit(pieces, capacity, per_source):
+    """Each piece into the bin of least room that has enough and no conflict, the oldest of equals; else a new one."""
+    bins, out = [], []
+    for n, source, cluster in pieces:
+        can = [k for k, b in enumerate(bins) if capacity - sum(x[0] for x in b) >= n and (cluster is None or all(x[2] != cluster for x in b)) and (source is None or sum(x[1] == source for x in b) < per_source)]
+        k = min(can, key=lambda k: (capacity - sum(x[0] for x in bins[k]), k), default=len(bins))
+        if k == len(bins):
+            bins.append([])
+        out.append((k, sum(x[0] for x in bins[k])))
+        bins[k].append((n, source, cluster))
+    return out
+
+
+def test_best_fit_is_the_tightest_compatible_bin():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        pieces = [(int(n), None if s == 4 else f"s{s}", None if c == 9 else int(c)) for n, s, c in zip(sorted(rng.integers(1, 100, 80), reverse=True), rng.integers(0, 5, 80), rng.integers(0, 10, 80), strict=True)]
+        got = packing.best_fit(*map(list, zip(*pieces, strict=True)), 100, 2)
+        assert list(zip(*got, strict=True)) == brute_best_fit(pieces, 100, 2)
+
+
+def test_packing(docs, rows):
+    from tokenizers import Tokenizer
+
+    got = packing.pack(docs, BPE, capacity=256, per_source=2, shard_pieces=64).toPandas()
     assert got.groupby(["shard", "bin"])["length"].sum().max() <= 256 and (got["offset"] + got["length"] <= 256).all()
-    want = Counter()
-    for r in docs.collect():
-        want[r.doc_id] += len((r.text or "").encode().split()) + 1
+    t, want = Tokenizer.from_file(BPE), Counter()
+    for i, x in rows:
+        want[i] += len(t.encode(x, add_special_tokens=False).ids) + 1
     assert got.fillna({"doc_id": -1}).groupby("doc_id")["length"].sum().to_dict() == {(-1 if k is None else k): v for k, v in want.items()}
-    bins, offsets = packing.best_fit([6, 5, 4, 4, 3], list("aabbc"), [1, 2, 3, 3, None], 10, 1)
-    assert bins == [0, 1, 0, 1, 2] or (bins[0] != bins[1] and bins[2] != bins[3])
-    assert packing.pack(empty(docs)).count() == 0
+    assert packing.pack(empty(docs), BPE).count() == 0
+
+
+def test_packing_keeps_conflicts_apart(spark):
+    """Copies and pieces of one document are in bins of their own, sources are bounded, and equal rows without an id go to many shards."""
+    texts = [(k, f"Copy  of text {k // 3}" if k % 2 else f"copy of TEXT {k // 3}", f"s{k % 3}") for k in range(300)] + [(1000, "long " * 900, "s1")] + [(None, "no id", None)] * 400
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string").selectExpr("*", "1 as salt", "2 as cluster", "3 as n")
+    got = packing.pack(docs, BPE, capacity=300, per_source=4, shard_pieces=50).toPandas()
+    source, group = {k: s for k, _, s in texts}, {k: x.lower().split()[-1] for k, x, _ in texts if k is not None and k < 1000}
+    assert len(got) == 700 + 4 and got[got["doc_id"].isna()]["shard"].nunique() > 5
+    for _, own in got.groupby(["shard", "bin"]):
+        ids = own["doc_id"].dropna().astype(int).tolist()
+        assert max(Counter(source[i] for i in ids).values(), default=0) <= 4 and len(ids) == len({group.get(i, i) for i in ids}) and own["doc_id"].isna().sum() <= 1
+
+
+def test_grammar_ends_when_no_pair_is_frequent():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(3, 90_000, 500).astype(np.uint32)
+    ids = np.concatenate([np.r_[passage, rng.integers(3, 90_000, 20).astype(np.uint32), np.uint32(2)] for _ in range(200)])
+    for vocab in (90_000, 1 << 20):
+        symbols, rules = grammar.compress(ids, vocab, 2)
+        assert len(symbols) < 200 * 40 and len(rules) > 400
+        assert max(n for (a, _), n in Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True)).items() if a != 2) < 5
+        block = grammar.Block(grammar.pack_block(list(range(200)), np.full(200, 521), ids, vocab, 2))
+        assert (block.expand(block.symbols) == ids).all() and (block.ids(521 * 7 + 5, 521 * 9) == ids[521 * 7 + 5 : 521 * 9]).all()
 
 
 def test_quality(spark, docs, rows):
