@@ -393,7 +393,7 @@ def labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
     pieces = lookup.store(rows, "jaccard-texts")
     segments, tokens = lookup.segments_of(pieces), _tokens_of(size)
     owned = lookup.asked(pieces, tokens, [lambda _, n: levels(n)], segments)
-    rooted = materialize(lookup.used(owned, tokens, [np.uint8], segments, _rooted(size, percent), ROOTED_DDL), "jaccard-rooted")
+    rooted = materialize(lookup.used(pieces, owned, tokens, [np.uint8], segments, _rooted(size, percent), ROOTED_DDL), "jaccard-rooted")
     for path in [r[0] for r in pieces.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1)).distinct().collect()]:  # one folder
         remove(spark, path)
     members = rooted.where("kind = 0").select("doc_id", "name", "n_shingles", "node")
@@ -427,10 +427,12 @@ def labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
     named = members.join(reach.select(F.col("node").alias("of"), "component"), F.col("node") == F.col("of"), "left")
     # an empty set is its own component: its row's id or nothing
     named = materialize(named.select("doc_id", "name", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).alias("label")), "jaccard-named")
-    least = named.where("label is not null").groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("least"))
+    # written, so that the join is one of two exchanges, of which a skewed one can be split
+    least = named.where("label is not null").groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    least = materialize(least.where("n > 1").select("of", "least"), "jaccard-least")
     out = named.join(least, F.col("label") == F.col("of"), "left")
-    out = materialize(out.select("doc_id", "name", "n_shingles", "node", "label", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")), "jaccard-labelled")
-    discard(rooted, reach, named, *edges)
+    out = materialize(out.select("doc_id", "name", "n_shingles", "node", "label", F.coalesce("least", "doc_id").alias("component_id")), "jaccard-labelled")
+    discard(rooted, reach, named, least, *edges)
     return out
 
 

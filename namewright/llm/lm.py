@@ -203,4 +203,4 @@ def score_corpus(docs: DataFrame, modulus: int = 7, held: int = 2, segment_bytes
     segments, keys = lookup.segments_of(pieces, segment_bytes), _keys_of(held)
     owned = materialize(lookup.asked(pieces, keys, [_words, _ngrams(bits_per_key, probes)], segments), "lm-levels")
     sums = owned.groupBy("segment").agg(F.first("total").alias("total"), F.first("kinds").alias("kinds")).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
-    return lookup.used(owned, keys, [np.int64, np.uint16], segments, _scorer(int(sums[0]), int(sums[1]), held), SCORE_DDL)
+    return lookup.used(pieces, owned, keys, [np.int64, np.uint16], segments, _scorer(int(sums[0]), int(sums[1]), held), SCORE_DDL)

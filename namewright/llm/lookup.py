@@ -184,21 +184,25 @@ def _use(keys_of: Callable, kinds: list, segments: int, use: Callable):
     return run
 
 
+def tasks_of(manifest: DataFrame) -> int:
+    """Tasks for work on all pieces: what a piece costs is known, so they needn't be told by the bytes that are sent."""
+    pieces = manifest.count()
+    return max(1, min(pieces, max(4 * manifest.sparkSession.sparkContext.defaultParallelism, pieces // 8)))
+
+
 def asked(manifest: DataFrame, keys_of: Callable, answers: list[Callable], segments: int) -> DataFrame:
     """(path, piece, segment, answers a0, a1, ..., total and kinds: the first kind's sum of counts and number of counted keys in the segment)."""
-    pieces = manifest.count()
-    tasks = max(1, min(pieces, max(2 * manifest.sparkSession.sparkContext.defaultParallelism, pieces // 16)))
-    kinds = len(answers)
+    tasks, kinds = tasks_of(manifest), len(answers)
     ddl = "segment int, path string, piece int, " + ", ".join(f"k{k} binary, n{k} binary" for k in range(kinds))
     sent = manifest.select("path", "piece").repartition(tasks).mapInArrow(_ask(keys_of, kinds, segments), ddl)
     ddl = "path string, piece int, segment int, " + ", ".join(f"a{k} binary" for k in range(kinds)) + ", total long, kinds long"
-    return sent.repartition("segment").sortWithinPartitions("segment").mapInArrow(_own(answers), ddl)
+    return sent.repartition(segments, "segment").sortWithinPartitions("segment").mapInArrow(_own(answers), ddl)
 
 
-def used(owned: DataFrame, keys_of: Callable, kinds: list, segments: int, use: Callable, schema: str) -> DataFrame:
+def used(manifest: DataFrame, owned: DataFrame, keys_of: Callable, kinds: list, segments: int, use: Callable, schema: str) -> DataFrame:
     """What `use` makes of the pieces' rows and answers (arrays of numpy types `kinds`, a value for each key)."""
     cols = ["path", "piece", "segment"] + [f"a{k}" for k in range(len(kinds))]
-    back = owned.select(*cols).repartition("path", "piece").sortWithinPartitions("path", "piece")
+    back = owned.select(*cols).repartition(tasks_of(manifest), "path", "piece").sortWithinPartitions("path", "piece")
     return back.mapInArrow(_use(keys_of, kinds, segments, use), schema)
 
 
