@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -85,6 +86,15 @@ def fs_and_path(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
+def release() -> None:
+    """Gives memory that numpy and Arrow have freed back to the system, so that a worker process between tasks holds next to nothing."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20, most_rows: int = 2000) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that one piece holds a bounded amount of text, or one row."""
     for batch in batches:
@@ -99,6 +109,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 <
                 start, held = i, 0
             held += n
         yield batch.slice(start)
+    release()
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import fresh_path, fs_and_path, materialize, slices
+from .common import fresh_path, fs_and_path, materialize, release, slices
 
 PIECE_BYTES = 4 << 20
 #: Bytes of text for each segment of the key space.
@@ -116,6 +116,7 @@ def _ask(keys_of: Callable, kinds: int, segments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release()
             for path, piece in zip(batch.column("path").to_pylist(), batch.column("piece").to_pylist(), strict=True):
                 cols, some = [], np.zeros(segments, bool)
                 some[0] = True  # a piece without keys gets an answer, too
@@ -157,6 +158,7 @@ def _own(answers: list[Callable]):
         rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         for segment, own in groupby(rows, key=lambda r: r[0]):
             yield from close(segment, [r[1:] for r in own])
+            release()
 
     return run
 
@@ -180,6 +182,7 @@ def _use(keys_of: Callable, kinds: list, segments: int, use: Callable):
                 yield batch, held, values
 
         yield from use(answered())
+        release()
 
     return run
 

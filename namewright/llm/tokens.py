@@ -154,7 +154,7 @@ class CachedByteBpe:
     so the result is the library's own.
     """
 
-    def __init__(self, path: str, limit: int = 2_000_000):
+    def __init__(self, path: str, limit: int = 500_000):
         self.encoder, self.limit = Encoder(path), limit
         self.special = [x.content for x in self.encoder.tok.get_added_tokens_decoder().values()]
         self.vocab = self.encoder.tok.get_vocab_size()
