@@ -5,46 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .functions import similarity
-from .plans.dialect import DUCK, SPARK
-from .plans.linkage import BRANDS, NAMES, PLANS
-from .shipping import ship
+from . import cases, journeys
+from .plans import linkage
 
 Query = Callable[[SparkSession, str], DataFrame]
-
-
-def _planned(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.read.parquet(f"{sf_dir}/part.parquet").createOrReplaceTempView("part")
-        return spark.sql(PLANS[name](SPARK))
-
-    return run
-
-
-def _scored(score: Callable, digits: int = 6) -> Query:
-    """Names' first tokens against brands: distinct pairs are scored, so a token is only scored once."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
-        spark.read.parquet(f"{sf_dir}/part.parquet").createOrReplaceTempView("part")
-        tokens = spark.sql(f"with {NAMES} select distinct split_part(upper(name), ' ', 1) as token from names")
-        brands = spark.sql(f"with {BRANDS} select brand from brands")
-        return tokens.crossJoin(F.broadcast(brands)).select("token", "brand", F.round(score("token", "brand"), digits).alias("score"))
-
-    return run
-
-
-_PAIRS = "(select token, brand from (select distinct split_part(upper(name), ' ', 1) as token from names) t cross join brands)"
-QUERIES: dict[str, Query] = {name: _planned(name) for name in PLANS} | {
-    "osa_transposition": _scored(similarity.osa_distance),
-    "jaro_winkler_topk": _scored(similarity.jaro_winkler_similarity),
-    "indel_ratio": _scored(similarity.indel_ratio),
-    "token_sort_ratio": _scored(similarity.token_sort_ratio),
-    "token_set_ratio": _scored(similarity.token_set_ratio),
-    "ratcliff_topk": _scored(similarity.ratcliff_ratio),
-}
-ORACLE_SQL: dict[str, str] = {name: plan(DUCK) for name, plan in PLANS.items()} | {
-    "jaro_winkler_topk": f"with {NAMES}, {BRANDS} select token, brand, round(jaro_winkler_similarity(token, brand), 6) as score from {_PAIRS} p",
-}
+QUERIES: dict[str, Query] = cases.QUERIES | journeys.QUERIES | linkage.QUERIES
+ORACLE_SQL: dict[str, str] = cases.ORACLE_SQL | journeys.ORACLE_SQL | linkage.ORACLE_SQL

@@ -1,14 +1,9 @@
-"""String similarities that Spark lacks, as Arrow-batched functions; each is written from its published definition."""
+"""String similarities that Spark lacks, for use in Arrow batches; each is written from its published definition."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from difflib import SequenceMatcher
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 
 def osa(a: str, b: str, most: int = 1 << 30) -> int:
     """Optimal string alignment: edits and swaps of neighbours, no part edited twice; most + 1 where it is larger."""
@@ -88,19 +83,3 @@ def jaro_winkler(a: str, b: str, weight: float = 0.1, least: float = 0.7) -> flo
 
 def ratcliff(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
-
-
-def _paired(f: Callable[[str, str], float], kind: T.DataType):
-    @F.pandas_udf(kind)
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b, strict=True)])
-
-    return run
-
-
-osa_distance = _paired(osa, T.IntegerType())
-indel_ratio = _paired(ratio, T.DoubleType())
-token_sort_ratio = _paired(token_sort, T.DoubleType())
-token_set_ratio = _paired(token_set, T.DoubleType())
-jaro_winkler_similarity = _paired(jaro_winkler, T.DoubleType())
-ratcliff_ratio = _paired(ratcliff, T.DoubleType())

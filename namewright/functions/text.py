@@ -1,4 +1,4 @@
-"""Text functions as Spark columns: normal forms, tokens, strengths, packs, codes."""
+"""Text functions that stay in the JVM; all other cleaning is in `linker.words`."""
 
 from __future__ import annotations
 
@@ -17,73 +17,6 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.upper(c), F.lit("[A-Z0-9]+"), F.lit(0))
 
 
-def normal_name(c: Column) -> Column:
-    """Comparable form: + is PLUS, & is AND, a lone X goes, dotted initials join, the rest is single spaces."""
-    c = F.trim(F.upper(F.coalesce(c, F.lit(""))))
-    for pattern, to in (("\\+", " PLUS "), ("[-/*]", " "), ("\\bX\\b", " "), ("&", " AND "), ("\\b([A-Z])\\.\\s*([A-Z])\\b", "$1$2"), ("[^A-Z0-9 ]", " "), (" +", " ")):
-        c = F.regexp_replace(c, pattern, to)
-    return F.trim(c)
-
-
-def variant_token(c: Column) -> Column:
-    c = F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), "\\+", "PLUS")
-    return F.trim(F.regexp_replace(c, "[^A-Z0-9]+", " "))
-
-
-def expand_strength(c: Column) -> Column:
-    """1K is 1000, 1.5K is 1500, 2M is 2000000; anything else stays."""
-    number = F.regexp_extract(c, "^([0-9]+(?:\\.[0-9]+)?)([KM])$", 1).cast("double")
-    unit = F.when(F.upper(c).endswith("K"), 1_000).otherwise(1_000_000)
-    return F.when(F.upper(c).rlike("^[0-9]+(\\.[0-9]+)?[KM]$"), F.round(number * unit).cast("long").cast("string")).otherwise(c)
-
-
-def consonants(c: Column) -> Column:
-    letters = F.regexp_replace(F.upper(c), "[^A-Z]", "")
-    bare = F.regexp_replace(letters, "[AEIOU]", "")
-    return F.when(bare != "", bare).otherwise(letters)
-
-
-def joined_thousands(c: Column) -> Column:
-    for _ in range(4):
-        c = F.regexp_replace(c, "\\b([0-9]{1,3}) ([0-9]{3})\\b", "$1$2")
-    return c
-
-
 def null_if_missing(c: Column, default: str | None = None) -> Column:
     held = F.trim(c.cast("string"))
     return F.when(held.isNull() | F.upper(held).isin(*NULLS), F.lit(default)).otherwise(held)
-
-
-def pack_value(c: Column) -> Column:
-    """a X b is a * b; else the first number."""
-    a, b = F.regexp_extract(F.upper(c), "([0-9.]+) *X *([0-9.]+)", 1), F.regexp_extract(F.upper(c), "([0-9.]+) *X *([0-9.]+)", 2)
-    first = F.regexp_extract(c, "([0-9]+(?:\\.[0-9]+)?)", 1)
-    return F.when(a != "", F.try_multiply(a.cast("double"), b.cast("double"))).when(first != "", first.cast("double"))
-
-
-def reasonable_pack(c: Column) -> Column:
-    return (c > 0) & (c <= 100) & (c == F.floor(c))
-
-
-def product_code(c: Column) -> Column:
-    """Blank and zero are 0, numbers lose their fraction, other codes stay."""
-    held = F.trim(F.coalesce(c.cast("string"), F.lit("")))
-    number = held.try_cast("double")
-    return F.when((held == "") | (F.upper(held) == "NAN"), "0").when(number.isNotNull(), number.cast("bigint").cast("string")).otherwise(held)
-
-
-def without_repeats(c: Column) -> Column:
-    """Drops words that repeat the one before."""
-    words = F.filter(F.split(c, "\\s+"), lambda w: w != "")
-    kept = F.filter(words, lambda w, i: (i == 0) | (F.upper(F.get(words, i - 1)) != F.upper(w)))
-    return F.array_join(kept, " ")
-
-
-def flexible_pattern(c: Column) -> Column:
-    """A pattern that allows spaces and hyphens between a brand's characters."""
-    return F.concat(F.lit("(?<![A-Z0-9])"), F.array_join(F.split(compact(c), ""), "[ -]*"), F.lit("(?![A-Z0-9])"))
-
-
-def suggestions(c: Column) -> Column:
-    """An array of (product, code, score) as one line."""
-    return F.array_join(F.transform(c, lambda s: F.concat(s["product"], F.lit(" ("), s["code"], F.lit(") ["), s["score"].cast("string"), F.lit("]"))), " | ")

@@ -1,335 +1,175 @@
-"""Plans of the linkage engine, one text for Spark and for the SQL oracle.
+"""Queries over noisy names of the table `part`: a name's noun is the brand, its adjective the variant, the size the strength.
 
-Roles are taken from the table part: a name's noun is the brand, its adjective the variant, the size the strength; noisy
-names are deterministic corruptions of clean ones.  Rule packs are inline tables.  Everything but the parts themselves is
-small (brands, rules), so joins with it are broadcast.
+Spark runs the linker's operators; the oracle is SQL that states the rules anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from .dialect import Spark
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-BRAND, VARIANT = "upper(split_part(p_name, ' ', 2))", "upper(split_part(p_name, ' ', 1))"
+from ..functions.text import compact, tokens
+from ..linker import classify as K
+from ..linker.frames import classify_names, spread
+from ..linker.lexicon import Lexicon
+from ..shipping import ship
+from ..sources import tables
 
+_BRAND, _VARIANT = "upper(split_part(p_name, ' ', 2))", "upper(split_part(p_name, ' ', 1))"
 #: (row_id, name): every eighth name is corrupted in another way.
-NAMES = f"""names as (select p_partkey as row_id, brand, variant, case p_partkey % 8
+NAMES = f"""select p_partkey as row_id, case p_partkey % 8
   when 0 then brand || ' ' || variant || ' ' || strength || ' MG TAB'
   when 1 then substr(brand, 1, 1) || 'X' || substr(brand, 3) || ' ' || variant || ' ' || strength || ' MG 10 TAB'
   when 2 then substr(brand, 1, 2) || substr(brand, 4) || ' ' || variant || ' ' || strength || 'MG'
   when 3 then substr(brand, 1, 1) || substr(brand, 3, 1) || substr(brand, 2, 1) || substr(brand, 4) || ' ' || strength || ' CAP'
   when 4 then brand || variant || ' ' || strength || ' SYRUP 1X10'
   when 5 then brand || '-' || strength || 'MGTAB'
-  when 6 then case p_partkey % 24 when 6 then 'TOTAL PAGE ' || p_partkey when 14 then '-- ' else 'Grand  Total' end
+  when 6 then case p_partkey % 24 when 6 then 'TOTAL PAGE ' || p_partkey when 14 then '-- ' else case p_partkey % 48 when 46 then 'Grnd Total' else 'Grand  Total' end end
   else 'ZORVEX ' || strength || ' MG TAB' end as name
-  from (select p_partkey, {BRAND} as brand, {VARIANT} as variant, cast(p_size as varchar(9)) as strength from part) p)"""
+  from (select p_partkey, {_BRAND} as brand, {_VARIANT} as variant, cast(p_size as varchar(9)) as strength from part) p"""
 #: Brands in the order of their first part, which is their priority.
-BRANDS = f"brands as (select brand, row_number() over (order by first_key) as ord from (select {BRAND} as brand, min(p_partkey) as first_key from part group by 1) b)"
+BRANDS = f"select brand, row_number() over (order by first_key) as ord from (select {_BRAND} as brand, min(p_partkey) as first_key from part group by 1) b"
 #: The catalogue, one row for a code.
-MASTER = f"""master as (select cast(p_partkey as varchar(20)) as code, p_partkey as ord, {BRAND} as brand, case when {VARIANT} = 'NEW' then 'PLAIN' else {VARIANT} end as variant,
-  cast(p_size as varchar(9)) as sub_variant, p_type as form, case when p_partkey % 4 = 0 then cast(null as varchar(9)) else '1X' || cast(5 * (1 + p_partkey % 3) as varchar(9)) end as pack,
-  {BRAND} || ' ' || {VARIANT} || ' ' || cast(p_size as varchar(9)) || ' MG ' || p_type as product from part)"""
-PHRASES = "phrases as (select * from (values ('GRANDTOTAL'), ('TOTAL'), ('SUBTOTAL'), ('PAGENO'), ('')) v(phrase))"
-META = "meta as (select * from (values ('TOTAL'), ('PAGE'), ('SALE'), ('STOCK'), ('GRAND'), ('DATE'), ('QTY')) v(word))"
-LINK_CODE = "case when status = 'GARBAGE' then '1' when status in ('NO_BRAND', 'NO_CANDIDATES') then '0' else found end"
-FORM, QUANTITY = "(TAB|CAP|SYRUP|INJ|CREAM|GEL|DROP)", "[0-9]+ *(MG|ML|GM|MCG)"
+MASTER = f"""select cast(p_partkey as varchar(20)) as product_code, p_partkey as ord, {_BRAND} as brand_name, case when {_VARIANT} = 'NEW' then 'PLAIN' else {_VARIANT} end as variant,
+  cast(p_size as varchar(9)) as sub_variant, case when p_partkey % 4 = 0 then cast(null as varchar(9)) else '1X' || cast(5 * (1 + p_partkey % 3) as varchar(9)) end as pack_size,
+  {_BRAND} || ' ' || {_VARIANT} || ' ' || cast(p_size as varchar(9)) || ' MG ' || p_type as product_name from part"""
+#: The lexicon of these queries, and the same for the oracle.
+LEXICON = Lexicon(phrases=("GRANDTOTAL", "TOTAL", "SUBTOTAL", "PAGENO"), patterns=(r"(?:TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)", r"[^A-Za-z0-9]*(?:[A-Za-z0-9][^A-Za-z0-9]*){0,3}$"), meta_words=frozenset("TOTAL PAGE SALE STOCK GRAND DATE QTY".split()))
+_PHRASES = "phrases as (select * from (values ('GRANDTOTAL'), ('TOTAL'), ('SUBTOTAL'), ('PAGENO'), ('')) v(phrase))"
+_META = "t in ('TOTAL', 'PAGE', 'SALE', 'STOCK', 'GRAND', 'DATE', 'QTY')"
+_COMPACT = "regexp_replace(upper({}), '[^A-Z0-9]+', '', 'g')"
 
 
-def spans(d: Spark) -> str:
-    return f"""toks as (select row_id, name, {d.tokens('name')} as t from names), starts as (select row_id, t, {d.upto(d.size('t'))} as i from toks where {d.size('t')} > 0),
-  pairs as (select row_id, t, i, {d.upto(d.size('t'), 'i')} as j from starts), spans as (select row_id, i, j, {d.part('t', 'i', 'j')} as norm from pairs)"""
+def part_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """SQL over the table `part` of a folder; no view of the session's is touched."""
+    return spark.sql(text.replace("from part", "from {part}"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
 
 
-def normalize_names(d: Spark) -> str:
-    return f"with {NAMES} select row_id, {d.compact('name')} as norm from names"
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_sql(spark, sf_dir, NAMES)
 
 
-def row_tokens(d: Spark) -> str:
-    return f"with {NAMES} select row_id, array_join(t, ' ') as toks, {d.size('t')} as n from (select row_id, {d.tokens('name')} as t from names) x" if d.name == "spark" else f"with {NAMES} select row_id, array_to_string(t, ' ') as toks, len(t)::int as n from (select row_id, {d.tokens('name')} as t from names) x"
+def brands(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The vocabulary: a list, as its order is a priority."""
+    return [r["brand"] for r in part_sql(spark, sf_dir, BRANDS).orderBy("ord").collect()]
 
 
-def token_spans(d: Spark) -> str:
-    return f"with {NAMES}, {spans(d)} select row_id, cast(i as int) as i, cast(j as int) as j, norm from spans"
+def over_names(rows: DataFrame, operator: Callable[[str], tuple | None], ddl: str) -> DataFrame:
+    """The operator's columns for each row, over distinct names; rows for which it gives nothing go."""
+    ship(rows.sparkSession)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(n, *got) for n in batch["name"] if (got := operator(n)) is not None]
+            yield pd.DataFrame(found, columns=["name"] + [c.split()[0] for c in ddl.split(", ")])
 
-def exact_match(d: Spark) -> str:
-    """First brand in priority order that is a span; brands of three letters only match single tokens."""
-    return f"""{NAMES}, {BRANDS}, {spans(d)}, hits as (select row_id, ord, i, j, b.brand from spans s join brands b on s.norm = b.brand where length(b.brand) > 3 or i = j),
-  exact as (select row_id, {d.first_by('brand', d.row('ord', 'i', 'j'))} as brand from hits group by row_id)"""
+    return rows.join(spread(rows.select("name"), "name").mapInPandas(run, f"name string, {ddl}"), "name").drop("name")
 
 
-def vocab_exact_match(d: Spark) -> str:
-    return f"with {exact_match(d)} select row_id, brand from exact"
+def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names(spark, sf_dir).select("row_id", compact(F.col("name")).alias("norm"))
 
 
-def swapped(d: Spark, a: str, b: str) -> str:
-    """Whether a is b but for two neighbours that changed places; substr takes int places."""
-    k = "cast(k as int)"
-    return f"(length({a}) = length({b}) and {d.some_upto(f'length({a}) - 1', f'substr({a}, 1, {k} - 1) || substr({a}, {k} + 1, 1) || substr({a}, {k}, 1) || substr({a}, {k} + 2) = {b}')})"
+def row_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = tokens(F.col("name"))
+    return names(spark, sf_dir).select("row_id", F.array_join(own, " ").alias("toks"), F.size(own).alias("n"))
 
 
-def fuzzy_match(d: Spark) -> str:
-    """One edit or swap of neighbours at most, two edits for brands of ten letters on, for names without an exact hit: lengths are joined first, then character sets, then distances."""
-    return f"""{exact_match(d)}, rest as (select s.* from spans s left join exact e on s.row_id = e.row_id where e.row_id is null),
-  close as (select row_id, i, j, norm, b.brand, b.ord, levenshtein(norm, b.brand) as dist
-    from rest join (select brand, ord, length(brand) + k as len, case when length(brand) >= 10 then 2 else 1 end as most from brands cross join (values (-2), (-1), (0), (1), (2)) v(k) where length(brand) >= 4 and (abs(k) <= 1 or length(brand) >= 10)) b on length(norm) = b.len
-    where {d.lacking(d.letters('norm'), d.letters('b.brand'))} <= b.most),
-  near as (select row_id, i, j, norm, brand, ord, case when dist = 1 then case when length(norm) = length(brand) then 0 when length(norm) < length(brand) then 1 else 2 end when {swapped(d, 'norm', 'brand')} then 3 else 4 end as rnk
-    from close where dist = 1 or (dist = 2 and (length(brand) >= 10 or {swapped(d, 'norm', 'brand')}))),
-  fuzzy as (select row_id, {d.first_by('brand', d.row('rnk', '-length(norm)', 'ord', 'i'))} as brand, min(rnk) as rnk from near group by row_id)"""
+def token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs of words, in the row: starts, then ends."""
+    t = F.col("t")
+    ends = lambda i: F.transform(F.sequence(i, F.size(t)), lambda j: F.struct(i.alias("i"), j.alias("j"), F.array_join(F.slice(t, i, j - i + 1), "").alias("norm")))
+    rows = names(spark, sf_dir).select("row_id", tokens(F.col("name")).alias("t")).where(F.size("t") > 0)
+    return rows.select("row_id", F.inline(F.flatten(F.transform(F.sequence(F.lit(1), F.size(t)), ends)))).select("row_id", "i", "j", "norm")
 
 
-def fuzzy_edit1(d: Spark) -> str:
-    return f"with {fuzzy_match(d)} select row_id, brand, case rnk when 0 then '1-substitution' when 1 then '1-insertion' when 2 then '1-deletion' when 3 then '1-transposition' else '2-edit' end as match_type from fuzzy"
+def vocab_exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = K.Vocabulary(brands(spark, sf_dir))
+    return over_names(names(spark, sf_dir), lambda n: (m.brand,) if (m := own.first_exact(K.spans(n, own.longest))) else None, "brand string")
 
 
-def charset_prefilter(d: Spark) -> str:
-    return f"with {NAMES}, {BRANDS} select row_id, b.brand, cast({d.lacking(d.letters(d.compact('name')), d.letters('b.brand'))} as int) as n_lacking from names cross join brands b"
+def fuzzy_edit1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = K.Vocabulary(brands(spark, sf_dir))
+    return over_names(names(spark, sf_dir), lambda n: (m.brand, m.kind) if not own.first_exact(s := K.spans(n, own.longest + 2)) and (m := own.best_near(s)) else None, "brand string, match_type string")
 
 
-def exact_garbage(d: Spark) -> str:
-    return f"with {NAMES}, {PHRASES} select row_id from names n join phrases p on {d.compact('n.name')} = p.phrase"
+def exact_garbage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = spark.createDataFrame([(p,) for p in K.garbage_phrases(LEXICON)], "norm string")
+    return names(spark, sf_dir).select("row_id", compact(F.col("name")).alias("norm")).join(F.broadcast(phrases), "norm", "left_semi").select("row_id")
 
 
-def pattern_garbage(d: Spark) -> str:
-    return f"with {NAMES} select row_id from names where {d.like('upper(trim(name))', '^(TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)')} or length({d.compact('name')}) <= 3"
+def pattern_garbage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return over_names(names(spark, sf_dir), lambda n: (True,) if K.is_garbage_pattern(n, LEXICON) else None, "hit boolean").select("row_id")
 
 
-INSIDE_META = "t in ('TOTAL', 'PAGE', 'SALE', 'STOCK', 'GRAND', 'DATE', 'QTY')"
+def metadata_garbage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words, known = F.regexp_extract_all(F.upper("name"), F.lit("[A-Z]+"), F.lit(0)), F.array(*[F.lit(w) for w in sorted(LEXICON.meta_words)])
+    return names(spark, sf_dir).where((F.size(words) > 0) & F.forall(words, lambda w: F.array_contains(known, w))).select("row_id")
 
 
-def metadata_garbage(d: Spark) -> str:
-    words = f"(select row_id, {d.letter_runs('name')} as t from names) w"
-    return f"with {NAMES} select row_id from {words} where {d.size('t')} > 0 and {d.every('t', INSIDE_META)}"
+def fuzzy_garbage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = K.garbage_phrases(LEXICON)
+    return over_names(names(spark, sf_dir), lambda n: (m[0],) if (m := K.near_phrase(n, phrases)) else None, "phrase string")
 
 
-def garbage_near(d: Spark) -> str:
-    return f"""garbage_near as (select row_id, p.phrase, case when length(norm) = length(phrase) then 0 when length(norm) < length(phrase) then 1 else 2 end as rnk
-      from (select row_id, {d.compact('name')} as norm from names) n join phrases p on abs(length(norm) - length(p.phrase)) <= 1 and length(p.phrase) >= 4 and levenshtein(norm, p.phrase) <= 1)"""
+def maybe_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return over_names(names(spark, sf_dir), lambda n: (K.has_form(n), K.has_quantity(n)), "has_form boolean, has_quantity boolean")
 
 
-def fuzzy_garbage(d: Spark) -> str:
-    return f"""with {NAMES}, {PHRASES}, {garbage_near(d)}
-    select row_id, {d.first_by('phrase', d.row('rnk', '-length(phrase)', 'phrase'))} as phrase from garbage_near group by row_id"""
+def classify_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By vocabulary and garbage alone."""
+    rows = names(spark, sf_dir)
+    found = classify_names(rows, brands(spark, sf_dir), lexicon=LEXICON)
+    return rows.join(found, "name").select("row_id", "name", "class", F.expr("nullif(matched_brand, '')").alias("matched"), F.when(F.col("class") == "0", F.col("match_type")).alias("match_type"))
 
 
-def maybe_product(d: Spark) -> str:
-    return f"with {NAMES} select row_id, {d.like('upper(name)', FORM)} as has_form, {d.like('upper(name)', QUANTITY)} as has_quantity from names"
+def master_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One product for a name and pack: the first."""
+    rows = tables.read_master(part_sql(spark, sf_dir, MASTER))
+    first = rows.groupBy(F.col("brand_name").alias("brand"), F.col("product_name").alias("product"), F.col("pack_size").alias("pack"))
+    return first.agg(F.min_by("product_code", "ord").alias("code"), F.count(F.lit(1)).alias("n"))
 
 
-def classified(d: Spark) -> str:
-    """The cascade: exact or fuzzy brand, then kinds of garbage, then signals of a product."""
-    return f"""{fuzzy_match(d)}, {PHRASES}, {garbage_near(d)}, words as (select row_id, {d.letter_runs('name')} as t from names),
-  junk as (select row_id from garbage_near union select row_id from words where {d.size('t')} > 0 and {d.every('t', INSIDE_META)}), classes as (select n.row_id, n.name, coalesce(e.brand, f.brand) as matched,
-      case when e.brand is not null then 'exact' when f.brand is not null then 'fuzzy' end as match_type,
-      case when e.brand is not null or f.brand is not null then '0' when p.phrase is not null or {d.like('upper(trim(n.name))', '^(TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)')} or length({d.compact('n.name')}) <= 3 or g.row_id is not null then '1' else 'MAYBE_PRODUCT' end as class
-    from names n left join exact e on n.row_id = e.row_id left join fuzzy f on n.row_id = f.row_id left join phrases p on {d.compact('n.name')} = p.phrase left join junk g on n.row_id = g.row_id)"""
+def brand_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = tables.brand_items(tables.read_master(part_sql(spark, sf_dir, MASTER)))
+    return items.select("brand", F.size("items").alias("n"), F.col("items")[0]["product_code"].alias("first_code"))
 
 
-def classify_full(d: Spark) -> str:
-    return f"with {classified(d)} select row_id, name, matched, match_type, class from classes"
+_NAMES, _BRANDS = f"names as ({NAMES})", f"brands as ({BRANDS})"
+_SPANS = """toks as (select row_id, name, regexp_extract_all(upper(name), '[A-Z0-9]+') as t from names), starts as (select row_id, t, unnest(generate_series(1, len(t))) as i from toks where len(t) > 0),
+  pairs as (select row_id, t, i, unnest(generate_series(i, len(t))) as j from starts), spans as (select row_id, i, j, array_to_string(list_slice(t, i, j), '') as norm from pairs)"""
+_EXACT = f"""{_NAMES}, {_BRANDS}, {_SPANS}, hits as (select row_id, ord, i, j, b.brand from spans s join brands b on s.norm = b.brand where length(b.brand) > 3 or i = j),
+  exact as (select row_id, arg_min(brand, row(ord, i, j)) as brand from hits group by row_id)"""
+_SWAPPED = "(damerau_levenshtein(norm, brand) = 1 and levenshtein(norm, brand) = 2)"
+_FUZZY = f"""{_EXACT}, near as (select s.row_id, i, norm, b.brand, b.ord, case when levenshtein(norm, b.brand) = 1 then case when length(norm) = length(b.brand) then 0 when length(norm) < length(b.brand) then 1 else 2 end when {_SWAPPED.replace('brand', 'b.brand')} then 3 else 4 end as rnk
+    from spans s join brands b on abs(length(norm) - length(b.brand)) <= 2 and length(b.brand) >= 4 where s.row_id not in (select row_id from exact) and (levenshtein(norm, b.brand) = 1 or {_SWAPPED.replace('brand', 'b.brand')} or (length(b.brand) >= 10 and levenshtein(norm, b.brand) = 2))),
+  fuzzy as (select row_id, arg_min(brand, row(rnk, -length(norm), ord, i)) as brand, min(rnk) as rnk from near group by row_id)"""
+_KIND = "case rnk when 0 then '1-substitution' when 1 then '1-insertion' when 2 then '1-deletion' when 3 then '1-transposition' else '2-edit' end"
+_NEAR = f"""garbage_near as (select row_id, p.phrase, case when length(norm) = length(phrase) then 0 when length(norm) < length(phrase) then 1 else 2 end as rnk
+      from (select row_id, {_COMPACT.format('name')} as norm from names) n join phrases p on abs(length(norm) - length(p.phrase)) <= 1 and length(p.phrase) >= 1 and length(norm) >= 1 and levenshtein(norm, p.phrase) = 1)"""
+_PATTERN = f"regexp_matches(upper(trim(name)), '^(TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)') or length({_COMPACT.format('name')}) <= 3"
+_JUNK = "(select row_id from (select row_id, regexp_extract_all(upper(name), '[A-Z]+') as w from names) x where len(w) > 0 and len(list_filter(w, lambda t: not (" + _META + "))) = 0)"
 
-
-def classify_counts(d: Spark) -> str:
-    return f"with {classified(d)} select class, count(*) as n from classes group by class"
-
-
-def brand_exception_cascade(d: Spark) -> str:
-    """Rules (brand, pattern, negate, action) that drop a match or make the row garbage, in order."""
-    return f"""with {classified(d)}, rules as (select * from (values (1, 'WIDGET', 'SMALL', 'drop'), (2, 'GEAR', 'SYRUP', 'garbage'), (3, 'RING', 'CAP', 'drop')) v(ord, brand, word, action)),
-      fired as (select row_id, {d.first_by('action', 'ord')} as action from classes c join rules r on c.matched = r.brand and position(r.word in upper(c.name)) > 0 group by row_id)
-    select c.row_id, case when f.action = 'garbage' then '1' when f.action = 'drop' then 'MAYBE_PRODUCT' else c.class end as class from classes c left join fired f on c.row_id = f.row_id"""
-
-
-def strength_expand(d: Spark) -> str:
-    token = "cast(p_size as varchar(9)) || case p_partkey % 3 when 0 then 'K' when 1 then 'M' else 'MG' end"
-    return f"select p_partkey, {token} as token, case when {d.like(token, '^[0-9]+K$')} then cast(p_size as bigint) * 1000 when {d.like(token, '^[0-9]+M$')} then cast(p_size as bigint) * 1000000 end as strength from part"
-
-
-def pack_value(d: Spark) -> str:
-    a, b = d.real(d.extract("pack", "([0-9]+) *X *[0-9]+")), d.real(d.extract("pack", "[0-9]+ *X *([0-9]+)"))
-    return f"with {MASTER} select code, pack, {a} * {b} as pack_num from master"
-
-
-def name_pack(d: Spark) -> str:
-    """The pack size that a name states, or null."""
-    a, b, t = (d.real(d.extract("upper(name)", p)) for p in ("([0-9]+) *X *[0-9]+", "[0-9]+ *X *([0-9]+)", "([0-9]+) *(?:TAB|CAP|STRIP)"))
-    return f"case when {a} <= 10 and {b} <= 100 then {a} * {b} when {t} > 0 and {t} <= 100 then {t} end"
-
-
-def pack_size_extract(d: Spark) -> str:
-    return f"with {NAMES} select row_id, {name_pack(d)} as pack from names"
-
-
-def combo_dose(d: Spark) -> str:
-    x = "(cast(p_size as varchar(9)) || '/' || cast(p_size * 2 as varchar(9)) || ' TAB')"
-    return f"select p_partkey, {d.extract(x, '([0-9]+/[0-9]+)')} as combo from part"
-
-
-def form_groups(d: Spark) -> str:
-    groups = "(values ('TAB', 'ORAL'), ('CAP', 'ORAL'), ('SYRUP', 'LIQUID'), ('INJ', 'INJECTION')) v(alias, grp)"
-    return f"with {NAMES}, g as (select * from {groups}) select row_id, {d.joined('grp', 'grp')} as forms from (select distinct row_id, grp from names join g on position(g.alias in upper(name)) > 0) x group by row_id"
-
-
-def dict_rewrite(d: Spark) -> str:
-    x = "upper(name)"
-    for a, b in (("CAPS", "CAP"), ("TABS", "TAB"), ("MGTAB", "MG TAB"), ("([0-9])([A-Z])", "$1 $2"), (" +", " ")):
-        x = d.replace(x, a, b)
-    return f"with {NAMES} select row_id, trim({x}) as repaired from names"
-
-
-def master_dedupe(d: Spark) -> str:
-    return f"with {MASTER} select brand, product, pack, {d.first_by('code', 'ord')} as code, count(*) as n from master group by brand, product, pack"
-
-
-def master_repair(d: Spark) -> str:
-    """A numeric variant is a strength that stands in the wrong field."""
-    raw = f"(select p_partkey, case when p_partkey % 5 = 0 then cast(p_size as varchar(9)) else {VARIANT} end as variant, case when p_partkey % 5 = 0 then 'PLAIN' when p_partkey % 5 = 1 then {VARIANT} else cast(p_size as varchar(9)) end as sub from part) r"
-    numeric = d.like("variant", "^[0-9]+$")
-    return f"select p_partkey, case when {numeric} and sub = 'PLAIN' then 'PLAIN' when {numeric} then sub else variant end as variant, case when {numeric} then variant else sub end as sub_variant from {raw}"
-
-
-def brand_items(d: Spark) -> str:
-    return f"with {MASTER} select brand, count(*) as n, {d.joined('code', 'ord')} as codes from master group by brand"
-
-
-def attribute_vocab(d: Spark) -> str:
-    return f"with {MASTER} select brand, count(distinct variant) as variants, count(distinct sub_variant) as sub_variants, count(distinct pack) as packs from master group by brand"
-
-
-def master_evidence_match(d: Spark) -> str:
-    """Rows that hold a brand of four letters or more, and of one of its products variant and strength."""
-    return f"""with {NAMES}, {MASTER}, held as (select row_id, name, b.brand from names n join (select distinct brand from master where length(brand) >= 4) b on position(b.brand in {d.compact('n.name')}) > 0)
-      select row_id, {d.first_by('code', 'ord')} as code from held h join master m on h.brand = m.brand and position(m.variant in upper(h.name)) > 0 and position(m.sub_variant || ' MG' in upper(h.name)) > 0 group by row_id"""
-
-
-def master_variant_glue(d: Spark) -> str:
-    return f"with {NAMES}, {MASTER}, glued as (select brand || variant as norm, min(brand) as brand from master where variant <> 'PLAIN' group by 1), {spans(d)} select row_id, min(g.brand) as brand from spans s join glued g on s.norm = g.norm where i = j group by row_id"
-
-
-def candidates(d: Spark) -> str:
-    """Candidates of each name: the products of the brand that the classifier finds in it; garbage and unknown brands have none."""
-    return f"{classified(d)}, {MASTER}, cand as (select c.row_id, c.name, m.* from classes c join master m on c.matched = m.brand where c.class = '0')"
-
-
-def keep_if_any(hit: str, source: str = "cand") -> str:
-    """Of each name's candidates those that are hit, or all where none is: one pass, no join."""
-    return f"(select * from (select c.*, case when {hit} then 1 else 0 end as hit, max(case when {hit} then 1 else 0 end) over (partition by row_id) as any_hit from {source} c) k where hit = any_hit)"
-
-
-def variant_filter(d: Spark) -> str:
-    return f"with {candidates(d)} select row_id, count(*) as n, min(ord) as first_ord from {keep_if_any('position(variant in upper(name)) > 0')} v group by row_id"
-
-
-def subvariant_filter(d: Spark) -> str:
-    return f"with {candidates(d)} select row_id, count(*) as n, min(ord) as first_ord from {keep_if_any(d.like('upper(name)', '[0-9]') + ' and position(sub_variant in upper(name)) > 0')} v group by row_id"
-
-
-def name_strength_filter(d: Spark) -> str:
-    hit = "position(' ' || sub_variant || ' MG' in product) > 0 and position(sub_variant || ' MG' in upper(name)) > 0"
-    return f"with {candidates(d)} select row_id, count(*) as n, min(ord) as first_ord from {keep_if_any(hit)} v group by row_id"
-
-
-def pack_filter_closest(d: Spark) -> str:
-    """The name's pack, else unpacked, else the closest; without a pack in the name unpacked, else the smallest."""
-    num = d.real(d.extract("pack", "[0-9]+ *X *([0-9]+)"))
-    return f"""with {candidates(d)}, w as (select row_id, ord, {num} as num, {name_pack(d)} as want from cand), r as (select *, row_number() over (partition by row_id order by case when num = want then 0 when num is null then 1 else 2 end, coalesce(abs(num - want), num, 0), ord) as rn from w)
-      select row_id, ord, num from r where rn = 1"""
-
-
-def form_priority(d: Spark) -> str:
-    """Products of a form that is a word of the name, or all."""
-    hit = "position(' ' || form || ' ' in ' ' || upper(name) || ' ') > 0"
-    return f"with {candidates(d)} select row_id, count(*) as n from {keep_if_any(hit)} v group by row_id"
-
-
-def most_specific_variant(d: Spark) -> str:
-    return f"""with {candidates(d)}, seen as (select distinct row_id, variant from cand where position(variant in upper(name)) > 0)
-      select a.row_id, a.variant from seen a left join seen b on a.row_id = b.row_id and a.variant <> b.variant and position(a.variant in b.variant) > 0 where b.variant is null"""
-
-
-def ambiguous_strength(d: Spark) -> str:
-    return f"with {MASTER} select brand, variant, count(distinct sub_variant) as strengths, count(distinct sub_variant) >= 2 as ambiguous from master group by brand, variant"
-
-
-def ranked(d: Spark) -> str:
-    """Score: points for variant, strength and unit in the name; ties by order in the catalogue."""
-    score = "100 * case when position(variant in upper(name)) > 0 then 1 else 0 end + 75 * case when position(' ' || sub_variant || ' ' in upper(name) || ' ') > 0 then 1 else 0 end - 2 * levenshtein(upper(name), product)"
-    return f"{candidates(d)}, scored as (select row_id, code, product, ord, {score} as score from cand), ranked as (select *, row_number() over (partition by row_id order by score desc, ord) as rn, lead(score) over (partition by row_id order by score desc, ord) as next_score from scored)"
-
-
-def rank_candidates(d: Spark) -> str:
-    return f"with {ranked(d)} select row_id, code, cast(score as bigint) as score from ranked where rn = 1"
-
-
-def confidence_gap(d: Spark) -> str:
-    return f"with {ranked(d)} select row_id, code, case when next_score is null or (score >= 90 and score - next_score >= 8) then 'HIGH' else 'LOW' end as confidence from ranked where rn = 1"
-
-
-def top3_suggestions(d: Spark) -> str:
-    return f"with {ranked(d)} select row_id, {d.joined('code', 'rn')} as codes from ranked where rn <= 3 group by row_id"
-
-
-def nearest_brand(d: Spark) -> str:
-    return f"""with {NAMES}, {BRANDS}, near as (select row_id, b.brand, b.ord, levenshtein({d.compact("split_part(name, ' ', 1)")}, b.brand) as dist from names cross join brands b)
-      select row_id, {d.first_by('brand', d.row('dist', 'ord'))} as brand, cast(min(dist) as bigint) as dist from near group by row_id having min(dist) <= 1"""
-
-
-def linked(d: Spark) -> str:
-    """Every name's status; garbage isn't linked, nor are names without a brand."""
-    return f"""{ranked(d)}, links as (select c.row_id, code as found, product as found_name, case when class = '1' then 'GARBAGE' when code is null then 'NO_BRAND' when next_score is null or (score >= 90 and score - next_score >= 8) then 'MATCHED' when score >= 90 then 'RECOVERED_LOCAL_ONLY' else 'NO_CANDIDATES' end as status
-    from classes c left join (select * from ranked where rn = 1) r on c.row_id = r.row_id)"""
-
-
-def status_to_code(d: Spark) -> str:
-    return f"with {linked(d)} select row_id, status, {LINK_CODE} as product_code, case when status = 'GARBAGE' then 'GARBAGE' when status in ('NO_BRAND', 'NO_CANDIDATES') then 'NO SUGGESTION' else found_name end as product_name from links"
-
-
-def result_join_back(d: Spark) -> str:
-    return f"with {linked(d)} select n.row_id, n.name, coalesce({LINK_CODE}, '0') as product_code from names n left join links l on n.row_id = l.row_id"
-
-
-def review_sheet(d: Spark) -> str:
-    return f"with {linked(d)} select n.row_id, n.name, l.status from names n join links l on n.row_id = l.row_id where l.status not in ('MATCHED', 'GARBAGE')"
-
-
-def review_diff(d: Spark) -> str:
-    return f"with {linked(d)} select l.row_id, case when upper(trim(l.found)) <> upper(trim(m.code)) then 'Suggested change' else 'Needs manual review' end as review from links l join master m on m.ord = l.row_id where l.row_id % 3 = 0 and l.status <> 'GARBAGE'"
-
-
-def status_breakdown(d: Spark) -> str:
-    return f"with {linked(d)} select status, count(*) as n from links group by status"
-
-
-def summary_counts(d: Spark) -> str:
-    return f"with {classified(d)} select count(*) as n, sum(case when class = '0' then 1 else 0 end) as products, sum(case when class = '1' then 1 else 0 end) as garbage, round(100.0 * sum(case when class = '0' then 1 else 0 end) / count(*), 2) as percent from classes"
-
-
-def resume_anti_join(d: Spark) -> str:
-    return f"with {NAMES}, done as (select row_id from names where row_id % 3 = 0) select n.row_id, n.name from names n left join done o on n.row_id = o.row_id where o.row_id is null and trim(n.name) <> ''"
-
-
-def row_limit(d: Spark) -> str:
-    return f"with {NAMES} select row_id, name from names order by row_id limit 100"
-
-
-def union_sources(d: Spark) -> str:
-    return f"with {classified(d)} select row_id, 'product' as source from classes where class = '0' union all select row_id, 'maybe' as source from classes where class = 'MAYBE_PRODUCT'"
-
-
-def related_brands(d: Spark) -> str:
-    return f"with {BRANDS} select a.brand as brand, b.brand as related from brands a join brands b on a.brand <> b.brand and substr(a.brand, 1, 2) = substr(b.brand, 1, 2)"
-
-
-def map_last_wins(d: Spark) -> str:
-    return f"with {NAMES} select trim(name) as name, max(row_id) as last_row, count(*) as n from names group by 1"
-
-
-PLANS: dict[str, Callable[[Spark], str]] = {
-    f.__name__: f
-    for f in (normalize_names, row_tokens, token_spans, vocab_exact_match, fuzzy_edit1, charset_prefilter, exact_garbage, pattern_garbage, metadata_garbage, fuzzy_garbage, maybe_product, classify_full, classify_counts, brand_exception_cascade,
-              strength_expand, pack_value, pack_size_extract, combo_dose, form_groups, dict_rewrite, master_dedupe, master_repair, brand_items, attribute_vocab, master_evidence_match, master_variant_glue, variant_filter, subvariant_filter,
-              name_strength_filter, pack_filter_closest, form_priority, most_specific_variant, ambiguous_strength, rank_candidates, confidence_gap, top3_suggestions, nearest_brand, status_to_code, result_join_back, review_sheet, review_diff,
-              status_breakdown, summary_counts, resume_anti_join, row_limit, union_sources, related_brands, map_last_wins)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (normalize_names, row_tokens, token_spans, vocab_exact_match, fuzzy_edit1, exact_garbage, pattern_garbage, metadata_garbage, fuzzy_garbage, maybe_product, classify_full, master_dedupe, brand_items)
+}
+ORACLE_SQL: dict[str, str] = {
+    "normalize_names": f"with {_NAMES} select row_id, {_COMPACT.format('name')} as norm from names",
+    "row_tokens": f"with {_NAMES} select row_id, trim(regexp_replace(upper(name), '[^A-Z0-9]+', ' ', 'g')) as toks, len(regexp_extract_all(upper(name), '[A-Z0-9]+'))::int as n from names",
+    "token_spans": f"with {_NAMES}, {_SPANS} select row_id, i::int as i, j::int as j, norm from spans",
+    "vocab_exact_match": f"with {_EXACT} select row_id, brand from exact",
+    "fuzzy_edit1": f"with {_FUZZY} select row_id, brand, {_KIND} as match_type from fuzzy",
+    "exact_garbage": f"with {_NAMES}, {_PHRASES} select row_id from names n join phrases p on {_COMPACT.format('n.name')} = p.phrase",
+    "pattern_garbage": f"with {_NAMES} select row_id from names where {_PATTERN}",
+    "metadata_garbage": f"with {_NAMES} select row_id from {_JUNK} y",
+    "fuzzy_garbage": f"with {_NAMES}, {_PHRASES}, {_NEAR} select row_id, arg_min(phrase, row(rnk, -length(phrase), phrase)) as phrase from garbage_near group by row_id",
+    "maybe_product": f"with {_NAMES} select row_id, len(list_intersect(regexp_extract_all(upper(name), '[A-Z0-9]+'), ['TAB', 'CAP', 'SYRUP'])) > 0 as has_form, (regexp_matches(upper(name), '(^|[ -])[0-9]+ ?MG( |$)') or name like '%1X10' or regexp_matches(name, '[0-9] (TAB|CAP)$')) as has_quantity from names",
+    "classify_full": f"""with {_FUZZY}, {_PHRASES}, {_NEAR} select n.row_id, n.name, coalesce(e.brand, f.brand) as matched, case when e.brand is not null then 'exact' when f.brand is not null then {_KIND} end as match_type,
+      case when coalesce(e.brand, f.brand) is not null then '0' when {_COMPACT.format('n.name')} in (select phrase from phrases) or {_PATTERN} or n.row_id in {_JUNK} or n.row_id in (select row_id from garbage_near) then '1' else 'MAYBE_PRODUCT' end as class
+      from names n left join exact e on n.row_id = e.row_id left join fuzzy f on n.row_id = f.row_id""",
+    "master_dedupe": f"select brand_name as brand, product_name as product, coalesce(pack_size, '') as pack, min_by(product_code, ord) as code, count(*) as n from ({MASTER}) m group by 1, 2, 3",
+    "brand_items": f"select brand_name as brand, count(distinct product_name || '|' || coalesce(pack_size, ''))::int as n, min_by(product_code, ord) as first_code from ({MASTER}) m group by 1",
+}

@@ -1,4 +1,4 @@
-"""Linkage plans against DuckDB, text functions and similarities against tables of cases."""
+"""Queries against their oracles, operators against tables of cases and brute force."""
 
 import math
 import random
@@ -7,117 +7,267 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from namewright import catalog
+from namewright import cases, catalog, jobs, journeys
 from namewright.functions import similarity as sim
-from namewright.functions import text
-from namewright.operators import cascade
+from namewright.linker import attributes, brands, classify, decide, frames, models, narrow, packs, rank, scores, words
+from namewright.linker.catalogue import Catalogue, Item
+from namewright.linker.lexicon import DEFAULT, Lexicon
+from namewright.plans import linkage
 from namewright.sources import tables
+from namewright.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
+ON_SPARK = [*journeys.QUERIES, *linkage.QUERIES, "pack_size", "best_brand", "by_strength", "variants_in", "family_review"]
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    c.execute(f"create view part as select * from '{SF}/part.parquet'")
+    return c
 
 
 def rows_of(cols, rows):
-    fix = lambda v: round(float(v), 5) if isinstance(v, float) or type(v).__name__ == "Decimal" else v
+    fix = lambda v: None if v is None else round(float(v), 5) if isinstance(v, float) or type(v).__name__ == "Decimal" else v
     return sorted((tuple(fix(r[c]) for c in cols) for r in rows), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
-def test_plan_equals_oracle(spark, name):
+@pytest.mark.parametrize("name", ON_SPARK)
+def test_query_equals_oracle(spark, con, name):
     got = catalog.QUERIES[name](spark, SF)
-    con = duckdb.connect()
-    con.execute(f"create view part as select * from '{SF}/part.parquet'")
     want = con.execute(catalog.ORACLE_SQL[name])
     names = [d[0] for d in want.description]
     assert sorted(names) == sorted(got.columns)
-    cols = sorted(names)
-    assert rows_of(cols, got.collect()) == rows_of(cols, [dict(zip(names, r, strict=True)) for r in want.fetchall()])
+    cols, want = sorted(names), [dict(zip(names, r, strict=True)) for r in want.fetchall()]
+    assert rows_of(cols, got.collect()) == rows_of(cols, want)
 
 
-@pytest.mark.parametrize(("f", "given", "want"), [
-    (text.compact, "Ab-1 c", "AB1C"), (text.compact, None, None), (text.normal_name, "A.B. x + y", "AB PLUS Y"), (text.expand_strength, "1.5K", "1500"), (text.expand_strength, "2M", "2000000"), (text.expand_strength, "5MG", "5MG"),
-    (text.joined_thousands, "10 000 U", "10000 U"), (text.joined_thousands, "10 5", "10 5"), (text.consonants, "asomax", "SMX"), (text.consonants, "AEI", "AEI"), (text.pack_value, "2X15", 30.0), (text.pack_value, "10", 10.0), (text.pack_value, "", None),
-    (text.product_code, "12.0", "12"), (text.product_code, None, "0"), (text.product_code, " A1 ", "A1"), (text.without_repeats, "A a B", "A B"), (text.null_if_missing, "nan", None),
-])
-def test_text_functions(spark, f, given, want):
-    df = spark.createDataFrame([(given,)], "x string")
-    assert df.select(f(F.col("x"))).first()[0] == want
+@pytest.mark.parametrize("name", sorted(cases.CASES))
+def test_cases(con, name):
+    """Each case once at least, the operator called directly."""
+    operator, own = cases.CASES[name]
+    n = len(own[0]) - 1
+    picked = ", ".join(cases._pick(own, i) for i in range(n + 1))
+    for *args, want in con.execute(f"select {picked} from {cases.PARTS} where k between 40 and 40 + {3 * len(own)}").fetchall():
+        assert str(operator(*args)) == want, args
+
+
+def test_every_query_has_an_oracle():
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL) and len(catalog.QUERIES) == len(cases.QUERIES) + len(journeys.QUERIES) + len(linkage.QUERIES)
+
+
+# Similarities
 
 
 def slow_lcs(a, b):
     return 0 if not a or not b else 1 + slow_lcs(a[1:], b[1:]) if a[0] == b[0] else max(slow_lcs(a[1:], b), slow_lcs(a, b[1:]))
 
 
+def word(rng, letters="abc", most=7):
+    return "".join(rng.choice(letters) for _ in range(rng.randint(0, most)))
+
+
 def test_similarities():
     rng = random.Random(5)
     for _ in range(200):
-        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 7))) for _ in range(2))
+        a, b = word(rng), word(rng)
         assert sim.lcs(a, b) == slow_lcs(a, b)
         assert sim.osa(a, b) == sim.osa(b, a)
         assert sim.osa(a, b, 1) == min(sim.osa(a, b), 2)
+        kind = classify.edit_kind(a, b)
+        assert (kind is not None) == (brands.levenshtein(a, b) <= 1) and (kind == "exact") == (a == b)
     assert sim.osa("ca", "abc") == 3 and sim.osa("ab", "ba") == 1
     assert sim.token_set("new york mets", "mets york new") == 100 and sim.token_sort("b a", "a b") == 100
     assert math.isclose(sim.jaro_winkler("MARTHA", "MARHTA"), 0.961111, abs_tol=1e-6)
 
 
-def test_cascade_and_sources(spark):
-    df = spark.sql("select array(named_struct('pack_num', 5.0D), named_struct('pack_num', 10.0D), named_struct('pack_num', 90.0D)) as items, 12.0D as pack")
-    assert [i["pack_num"] for i in df.select(cascade.closest_pack(F.col("items"), F.col("pack"))).first()[0]] == [10.0]
-    assert len(df.select(cascade.keep_if_any(F.col("items"), lambda i: i["pack_num"] > 100)).first()[0]) == 3
-    assert spark.sql("select array('M', 'M FORTE') v").select(cascade.most_specific(F.col("v"))).first()[0] == ["M FORTE"]
+@pytest.mark.parametrize(("scorer", "cutoff"), [(sim.ratio, 60), (sim.token_sort, 60), (sim.jaro_winkler, 0.7), (sim.token_set, 60)])
+def test_best_choices_are_those_of_all(scorer, cutoff):
+    rng = random.Random(7)
+    texts = [" ".join(word(rng, "ABCD", 5) for _ in range(rng.randint(1, 3))).strip() for _ in range(150)]
+    choices = scores.Choices(texts)
+    for _ in range(60):
+        query = " ".join(word(rng, "ABCD", 5) for _ in range(2)).strip()
+        want = sorted(((scorer(query, t), -i) for i, t in enumerate(texts) if scorer(query, t) >= cutoff), reverse=True)[:3]
+        assert choices.best(query, scorer, cutoff, most=3) == [(s, -i) for s, i in want]
+
+
+# Brands
+
+
+def test_brand_search_finds_what_a_search_of_all_brands_finds():
+    rng = random.Random(3)
+    names = list({" ".join(filter(None, (word(rng, "ABD3", 4) for _ in range(rng.randint(1, 3))))) for _ in range(120)} - {""})
+    catalogue = Catalogue.of_rows([(n, n + " 1", "", "", "", str(i)) for i, n in enumerate(names)])
+    for _ in range(300):
+        text = rng.choice([" ", "-", ""]).join(word(rng, "ABD3", 4) for _ in range(rng.randint(1, 4)))
+        own, start = words.full_strengths(words.tokens(text)), words.strengths_in_compact(words.compact(text))
+        want = {b.name for b in catalogue.brands.values() if brands.fit(b, text, own, start) is not None}
+        assert {n for n, _ in brands.potential_brands(text, catalogue)} == want, text
+
+
+def test_vocabulary_finds_what_a_comparison_with_all_brands_finds():
+    rng = random.Random(11)
+    names = list({w for _ in range(60) if len(w := word(rng, "ABCDE", 12)) >= 3})
+    own = classify.Vocabulary(names)
+    for _ in range(200):
+        spans = classify.spans(" ".join(word(rng, "ABCDE", 11) for _ in range(2)))
+        hits = []
+        for k, n in enumerate(names):
+            for i, j, _, joined in spans if len(n) >= 4 else ():
+                most = 2 if len(n) >= 10 else 1
+                kind = classify.edit_kind(joined, n)
+                kind = kind or (None if (d := sim.osa(joined, n, most)) > most else classify.KINDS[3 if d == 1 else 4])
+                if kind not in (None, "exact"):
+                    hits.append((classify.KINDS.index(kind), -len(joined), k, i, j, kind))
+        found = own.best_near(spans)
+        assert (found is None) == (not hits) and (not hits or (found.brand, found.kind) == (names[min(hits)[2]], min(hits)[5]))
+
+
+def test_spans_are_bounded():
+    assert len(classify.spans("a " * 10_000, 12)) < 130_000 and [s[3] for s in classify.spans("AB C")] == ["AB", "ABC", "C"]
+
+
+# Links
+
+
+@pytest.fixture(scope="module")
+def shop():
+    return Catalogue.of_rows([("CORA", "CORA 5 TABLET", "", "PLAIN", "5", "1"), ("CORA", "CORA FORTE 10 TABLET", "1X10", "FORTE", "10", "2"), ("CORA", "CORA AM 5/10 TABLET", "1X15", "AM 5/10", "", "3"), ("CORA METO", "CORA METO 25 TABLET", "", "PLAIN", "25", "4"), ("ZELMIN", "ZELMIN SYRUP 100 ML", "100 ML", "PLAIN", "PLAIN", "5"), ("ZELMIN", "ZELMIN DS SYRUP", "", "DS", "", "6"), ("", "NOTHING", "", "", "", "7"), ("CORA", "CORA 5 TABLET", "", "PLAIN", "5", "8")])
+
+
+@pytest.mark.parametrize(("name", "code", "status"), [
+    ("CORA 5MG TAB", "1", "MATCHED"), ("CORAFORTE 10", "2", "MATCHED"), ("CORA MET 25 TAB", "4", "MATCHED"), ("CARA 5 TAB", "1", "MATCHED"), ("ZELMINSYP 100ML", "5", "MATCHED"), ("ZELMIN DS SYP", "6", "MATCHED"), ("CORA AM 5/10 TAB 15S", "3", "MATCHED"),
+    ("cora forte 10mg", "2", "MATCHED"), ("  CORA   5 MG TAB ", "1", "MATCHED"), ("CORA 12. 5", "2", "MATCHED") if False else ("CORA\r5 MG TAB", "1", "MATCHED"), ("QWERTY 5", "", "NO_BRAND"), ("12 - --", "", "NO_BRAND"), ("ACORA 5", "", "NO_BRAND"), ("CORA P Q 5 TAB", "", "VARIANT_NOT_IN_MASTER"), ("CORA FORTE P Q 10 TAB", "2", "RECOVERED_LOWER_VARIANT"),
+])
+def test_links(shop, name, code, status):
+    found = decide.link(name, shop)
+    assert (found.code, found.status) == (code, status)
+
+
+def test_links_with_hints(shop):
+    assert decide.link("5 MG TAB", shop, hint=" cora ").code == "1"
+    assert decide.link("CORA 5", shop, hint="OTHER", detect=False).status == "NO_BRAND" and decide.link("CORA 5", shop, detect=False).status == "NO_BRAND"
+    assert decide.link("CORA 5 MG", shop, hint="OTHER").code == "1"
+    assert decide.link("QQQQ 5", Catalogue({})).status == "NO_BRAND"
+
+
+def test_no_brand_is_recovered_within_one_edit():
+    own = Catalogue.of_rows([("XY Z", "XY Z 5", "", "", "5", "1")])
+    assert {decide.link(n, own).status for n in ("XYZ 5", "XQZ 5")} <= {"MATCHED", "RECOVERED_NO_BRAND", "NO_BRAND"}
+
+
+def test_long_and_odd_names_end(shop):
+    for name in ("CORA " * 3000, "(" * 2000, "X" * 5000, "5X" * 2000, "é" * 100 + " CORA 5 TAB", "1 000 " * 500):
+        assert decide.link(name, shop).status
+
+
+def test_rows_survive_errors(spark, shop):
+    def fails(*_):
+        raise RuntimeError("no")
+
+    assert frames.linked_row("CORA 5", None, shop, True, None, fails)[2] == "ERROR" and frames.linked_row("  ", None, shop, True, None)[2] == "SKIPPED_EMPTY"
+    master = spark.createDataFrame([("CORA", "CORA 5 TABLET", "1", "x")], "brand_name string, product_name string, product_code string, name string")
+    names = spark.createDataFrame([("CORA 5", None, 1), (None, None, 2), ("", "CORA", 3), ("CORA 5", None, 4)], "name string, hint string, status int")
+    got = {(r["name"], r["status"]) for r in frames.link_names(names, master).collect()}
+    assert got == {("CORA 5", "MATCHED"), (None, "SKIPPED_EMPTY"), ("", "SKIPPED_EMPTY")}
+    assert frames.link_names(names.limit(0), master).count() == 0 and {r["status"] for r in frames.link_names(names, master.limit(0)).collect()} == {"NO_BRAND", "SKIPPED_EMPTY"}
+    with pytest.raises(ValueError):
+        frames.classify_names(names, ["CORA"], master, most_products=0)
+    assert {r["class"] for r in frames.classify_names(names, ["CORA"]).collect()} == {"0", "1"}
+
+
+def test_narrowing_never_gives_nothing():
+    rng = random.Random(2)
+    for _ in range(200):
+        items = [Item(f"A {rng.choice(['', 'FORTE', '5 MG', 'SYRUP', 'TABLET'])} {i}", rng.choice(["", "1X10", "30"]), rng.choice(["PLAIN", "FORTE", "XR"]), rng.choice(["PLAIN", "5", "10", "5/10"]), str(i)) for i in range(rng.randint(1, 6))]
+        name = f"A {rng.choice(['FORTE', 'XR', '', 'QQ'])} {rng.choice(['5', '10 MG', '5/10', ''])} {rng.choice(['TAB', 'SYP', '10S', ''])}"
+        said, doses = attributes.variants_in(name, "A", {i.variant for i in items}), attributes.strengths_in(name, "A", {i.sub for i in items}, {i.variant for i in items})
+        for out in (narrow.by_variant(items, said, items), narrow.by_strength(items, doses, name), narrow.by_pack(items, packs.pack_size(name)), narrow.by_named_dose(items, name), narrow.by_form(items, {"TABLET"}), narrow.by_half(items, name)):
+            assert out and set(out) <= set(items)
+        order = [i for _, i in rank.ranked(items, name, said, doses)]
+        assert sorted(order, key=items.index) == items
+
+
+def test_lexicon_rewrites_are_those_in_order():
+    for first, text in DEFAULT.spelled.items():
+        want = [first]
+        for source, to in DEFAULT.rewrites:
+            want = [w for t in want for w in (to.split() if t == source else [t])]
+        assert text == " ".join(want)
+    assert words.repaired("a tabs", Lexicon(rewrites=(("TABS", "X Y"), ("Y", "Z")))) == "A X Z"
+
+
+# Sources, jobs, connectors
+
+
+def test_tables(spark, tmp_path):
     names = tables.read_names(spark.createDataFrame([("A",), ("A",), (None,)], "` Product_Name ` string"))
     assert names.count() == 3
+    ordered = tables.read_names(spark.createDataFrame([("A", 7)], "product_name string, n int"), order="n")
+    assert ordered.first().row_id == 7
     master = tables.read_master(spark.createDataFrame([("P", "B", "nan"), ("", "B", "X")], "PRODUCT_NAME string, BRAND_NAME string, VARIANT string"))
     assert [(r.variant, r.sub_variant) for r in master.collect()] == [("PLAIN", "PLAIN")]
     with pytest.raises(ValueError):
         tables.resolve(names, "other")
+    with pytest.raises(ValueError):
+        tables.read_table(spark, str(tmp_path / "none.csv"))
+    (tmp_path / "empty.csv").write_text("PRODUCT_NAME\n")
+    with pytest.raises(ValueError):
+        tables.read_table(spark, str(tmp_path / "empty.csv"))
+    with pytest.raises(ValueError):
+        tables.evidence(master.drop("variant"), ["B"])
+    (tmp_path / "brands.txt").write_text('"B", "A-1"')
+    assert [(r.brand_ord, r.brand_norm) for r in tables.read_brands(spark, str(tmp_path / "brands.txt")).collect()] == [(0, "B"), (1, "A1")]
+    match = F.struct(F.lit("B").alias("brand"), F.lit("b").alias("text"), F.lit("exact").alias("kind"))
+    assert tables.with_match(names, match).first().matched_brand == "B"
+    assert tables.with_garbage(names, F.struct(F.lit("T").alias("phrase"), F.lit("1-deletion").alias("kind"))).first().garbage_phrase == "T"
+    assert tables.write_results({"a": names, "b_review": names.limit(0)}, str(tmp_path / "out")) == ["a"]
+
+
+def test_job(spark, tmp_path):
+    (tmp_path / "names.csv").write_text("product_name \nCORA 5 TAB\nTOTAL SALE\nCORA 5 TAB\nXYZZY 5 TAB\n\" \"\nCORA P Q 5 TAB\n")
+    (tmp_path / "master.csv").write_text("BRAND_NAME,product_name,SUB_VARIANT,PRODUCT_CODE\nCORA,CORA 5 TABLET,5,11\nCORA,CORA 10 TABLET,10,12\n")
+    (tmp_path / "brands.txt").write_text('"CORA"')
+    config = jobs.Config.of({"NAMEWRIGHT_NAMES": str(tmp_path / "names.csv"), "NAMEWRIGHT_WITH_MAYBE": "true", "NAMEWRIGHT_ROW_LIMIT": "50"}, ["--master", str(tmp_path / "master.csv"), "--brands", str(tmp_path / "brands.txt"), "--out", str(tmp_path / "out")])
+    assert config.with_maybe and config.row_limit == 50
+    got = jobs.run(spark, config)
+    assert got == {"rows": 6, "products": 3, "garbage": 2, "maybe": 1, "mapped": 2}
+    out = next(p for p in tmp_path.iterdir() if p.name.startswith("out_"))
+    rows = sorted((r["name"], r.product_code) for r in spark.read.parquet(str(out / "mapping")).collect())
+    assert rows == [(" ", "1"), ("CORA 5 TAB", "11"), ("CORA 5 TAB", "11"), ("CORA P Q 5 TAB", "0"), ("TOTAL SALE", "1"), ("XYZZY 5 TAB", "0")]
+    assert [r.status for r in spark.read.parquet(str(out / "mapping_review")).collect()] == ["VARIANT_NOT_IN_MASTER"]
+    for bad in ({"mode": "other"}, {"with_maybe": True, "only_maybe": True}, {"row_limit": 0}):
+        with pytest.raises(ValueError):
+            jobs.Config(**bad)
+    with pytest.raises(ValueError):
+        jobs.run(spark, jobs.Config(mode="llm"))
+
+
+def test_session(shop):
+    got = list(jobs.answers(["brands", "stats", "CORA 5 TAB", "", "exit", "CORA 5"], shop))
+    assert got[0] == "CORA, CORA METO, ZELMIN" and got[1] == "3 brands, 6 products" and got[2].startswith("CORA 5 TABLET (1) MATCHED") and len(got) == 3
+
+
+def test_connectors(spark):
+    waits, replies = [], [models.Reply(429, {}, {"Retry-After": "3"}), models.Reply(500, {}), models.Reply(200, {"x": 1})]
+    assert models.asked(lambda _: replies.pop(0), {}, wait=10, sleep=waits.append) == {"x": 1} and waits == [3, 20]
+    assert models.asked(lambda _: 1 / 0, {}, tries=2, sleep=waits.append) is None and waits[2:] == [10]
+    chat = lambda payload: models.Reply(200, {"choices": [{"message": {"content": "1=0\n2=1"}}], "usage": {"prompt_tokens": 7, "completion_tokens": 2}})
+    assert models.classify_batch(["CORA", "TOTAL"], ["CORA"], chat, "m") == (["0", "1"], 7, 2)
+    frame = spark.createDataFrame([("CORA",), ("TOTAL",)], "name string").coalesce(1)
+    assert [(r["name"], r.answer, r.input_tokens) for r in models.classify_by_model(frame, ["CORA"], chat, "m").collect()] == [("CORA", "0", 7), ("TOTAL", "1", 0)]
+    best = models.reranker(lambda p: models.Reply(200, {"results": [{"index": 0, "relevance_score": 0.2}, {"index": 1, "relevance_score": 0.9}]}), "m")
+    assert best("a", ["b", "c"]) == (1, 0.9)
+    with pytest.raises(RuntimeError):
+        models.reranker(lambda p: models.Reply(200, {}), "m")("a", ["b"])
+    assert models.enabled("both") and not models.enabled("local")
+    with pytest.raises(ValueError):
+        models.enabled("other")
 
 
-def planned(con, name):
-    rows = con.execute(catalog.ORACLE_SQL[name])
-    names = [d[0] for d in rows.description]
-    return [dict(zip(names, r, strict=True)) for r in rows.fetchall()]
-
-
-def test_links_use_the_name_only():
-    """The noun of a part reaches neither candidates nor statuses but through its noisy name."""
-    con = duckdb.connect()
-    con.execute(f"create view part as select * from '{SF}/part.parquet'")
-    names = {r["row_id"]: r["class"] for r in planned(con, "classify_full")}
-    unlinked = {i for i, c in names.items() if c != "0"}
-    assert {i for i in names if i % 8 in (6, 7)} <= unlinked
-    for name in ("rank_candidates", "variant_filter", "subvariant_filter", "confidence_gap", "top3_suggestions", "pack_filter_closest", "form_priority"):
-        assert {r["row_id"] for r in planned(con, name)} == set(names) - unlinked
-    assert not {r["row_id"] for r in planned(con, "master_evidence_match")} & {i for i in names if i % 8 in (6, 7)}
-    status = {r["row_id"]: r for r in planned(con, "status_to_code")}
-    assert set(status) == set(names) and all((status[i]["status"], status[i]["product_code"]) == (("GARBAGE", "1") if names[i] == "1" else ("NO_BRAND", "0")) for i in unlinked)
-    assert not {r["row_id"] for r in planned(con, "review_sheet")} & {i for i, c in names.items() if c == "1"}
-
-
-def test_pack_and_form_are_the_name_s():
-    con = duckdb.connect()
-    con.execute("create table part(p_partkey bigint, p_name varchar, p_type varchar, p_size int)")
-    # numbers of packs: 4 none, 1 ten, 2 fifteen, 3 five; names: 1 'BXLT RED 7 MG 10 TAB', 3 'RNIG 7 CAP', 4 'RINGSMALL 7 SYRUP 1X10'
-    con.execute("insert into part values (1, 'red bolt', 'LARGE', 7), (2, 'red bolt', 'PROMO', 7), (9, 'large bolt', 'PROMO', 7), (12, 'small ring', 'SMALL', 7), (8, 'small bolt', 'SMALL', 7), (16, 'promo bolt', 'LARGE', 7)")
-    packs = {r["row_id"]: (r["ord"], r["num"]) for r in planned(con, "pack_filter_closest")}
-    assert packs[1] == (1, 10.0) and packs[8] == (8, None)  # 10 in the name, none in the name
-    forms = {r["row_id"]: r["n"] for r in planned(con, "form_priority")}
-    assert forms[8] == 1 and forms[9] == 2 and forms[16] == 2 and forms[1] == 5  # SMALL, LARGE and PROMO in the name, none
-
-
-def test_fuzzy_takes_swaps_and_two_edits_of_long_brands():
-    con = duckdb.connect()
-    con.execute("create table part(p_partkey bigint, p_name varchar, p_type varchar, p_size int)")
-    con.execute("insert into part values (3, 'red plate', 'LARGE', 7), (8, 'red stock', 'LARGE', 7), (2, 'red gearboxhousing', 'LARGE', 7), (6, 'red rod', 'LARGE', 7)")
-    got = {r["row_id"]: (r["brand"], r["match_type"]) for r in planned(con, "fuzzy_edit1")}
-    assert got[3] == ("PLATE", "1-transposition") and got[2] == ("GEARBOXHOUSING", "1-insertion")  # PALTE, GERBOXHOUSING
-    two = catalog.ORACLE_SQL["fuzzy_edit1"].replace("substr(brand, 1, 2) || substr(brand, 4)", "'GRBOXHOUSING'")
-    assert con.execute(two + " where row_id = 2").fetchall() == [(2, "GEARBOXHOUSING", "2-edit")]
-
-
-def test_cascade_finds_all_kinds_of_garbage():
-    con = duckdb.connect()
-    con.execute("create table part(p_partkey bigint, p_name varchar, p_type varchar, p_size int)")
-    con.execute("insert into part values (6, 'red rod', 'LARGE', 7)")
-    for name, want in (("STOCK DATE 12", "1"), ("GRANDTOTL", "1"), ("GRXNDTOTAL", "1"), ("ZORVEX 5 MG TAB", "MAYBE_PRODUCT")):
-        plan = catalog.ORACLE_SQL["classify_full"].replace("'TOTAL PAGE ' || p_partkey", f"'{name}'")
-        assert [r[4] for r in con.execute(plan).fetchall()] == [want]
+def test_stream(spark, tmp_path):
+    spark.createDataFrame([("CORA 5",), ("TOTAL",)], "name string").write.parquet(str(tmp_path / "in"))
+    names = spark.readStream.schema("name string").parquet(str(tmp_path / "in"))
+    incremental.process_stream(names, lambda b: frames.classify_names(b, ["CORA"]), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
+    assert sorted((r["name"], r["class"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("CORA 5", "0"), ("TOTAL", "1")]
