@@ -12,7 +12,9 @@ reject, as many groups as can each certify a cutoff.  With fewer documents in al
 defaults) nothing can be certified and only the base rule rejects.
 
 Defined results: a null text has no words (and fails the base rule); labels of ids that are null or unknown are ignored,
-of several labels for an id the worst counts; repeated rows each get their result; extra columns are ignored.
+of several labels for an id the worst counts; repeated rows and ties each get their result; a statistic equal to a cutoff
+isn't above it; extra columns, whatever their names, are ignored; an empty table gives an empty result, empty labels leave
+the base rule alone; a very long text is held whole by one task.
 """
 
 from __future__ import annotations

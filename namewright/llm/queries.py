@@ -55,13 +55,23 @@ def op10_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_archive, op2_log_frequency_bloom_lm, op3_token_id_grammar, op4_jaccard_signature_tree, op5_token_counts, op6_language_mixture, op7_benchmark_containment, op8_toxicity_bigru, op9_conflict_best_fit, op10_risk_controlled_quality)}
 
 
-def _shingles(table_name: str, key: str) -> str:
+def _five_words(table_name: str, key: str) -> str:
     """Distinct runs of five words; benchmark items have fifteen words at least."""
     words = f"select {key}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w from {table_name} where {key} is not null"
     return f"select distinct {key}, array_to_string(w[k:k + 4], ' ') as g from (select {key}, w, unnest(generate_series(1, len(w) - 4)) as k from ({words}) a where len(w) >= 5) b"
 
 
+_FIVE_BITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * i + 1}, 5))::int >> {b}) & 31) + 1, 1)" for i in range(8) for b in (15, 10, 5, 0))
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+_SETS = f"""w as (select doc_id, {_WORDS} as w from documents), n as (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) as k from w where len(w) > 0),
+  s as (select distinct doc_id, array_to_string(w[k:k + 2], ' ') as g from n), z as (select doc_id, count(*) as n from s group by doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
-    "op7_benchmark_containment": f"""with bs as ({_shingles("benchmark", "item_id")}), n as (select item_id, count(*) as n_shingles from bs group by item_id), ds as ({_shingles("documents", "doc_id")})
-      select doc_id, item_id, n_shingles, count(*) as n_found from ds join bs using (g) join n using (item_id) group by doc_id, item_id, n_shingles having 100 * count(*) >= 80 * n_shingles"""
+    "op1_warc_archive": f"""with p as (select page_id, url, coalesce(html, '') as t, sha1(coalesce(html, '')) as h from pages), m as (select h, max(page_id) as r from p group by h)
+      select page_id, octet_length(encode(t))::bigint as payload_bytes, {_FIVE_BITS} as payload_digest, case when page_id = r then 'response' else 'revisit' end as record_type, case when page_id <> r then r end as refers_to, nullif(url, '') as target_uri from p join m using (h)""",
+    "op4_jaccard_signature_tree": f"""with recursive {_SETS}, e as (select a.doc_id as x, b.doc_id as y from s a join s b on a.g = b.g and a.doc_id <> b.doc_id join z p on p.doc_id = a.doc_id join z q on q.doc_id = b.doc_id
+      group by a.doc_id, b.doc_id, p.n, q.n having 100 * count(*) >= 90 * (p.n + q.n - count(*))), r(x, y) as (select doc_id, doc_id from documents union select r.x, e.y from r join e on r.y = e.x)
+      select r.x as doc_id, coalesce(any_value(z.n), 0)::bigint as n_shingles, min(r.y) as component_id from r left join z on z.doc_id = r.x group by r.x""",
+    "op7_benchmark_containment": f"""with bs as ({_five_words("benchmark", "item_id")}), n as (select item_id, count(*) as n_shingles from bs group by item_id), ds as ({_five_words("documents", "doc_id")})
+      select doc_id, item_id, n_shingles, count(*) as n_found from ds join bs using (g) join n using (item_id) group by doc_id, item_id, n_shingles having 100 * count(*) >= 80 * n_shingles""",
 }

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from namewright.llm import decontaminate, grammar, jaccard_tree, language_mix, lm, packing, quality, tokens, toxicity, warc
+from namewright.llm import decontaminate, grammar, jaccard_tree, language_mix, lm, packing, quality, queries, tokens, toxicity, warc
 
 LOWER = bytes(range(256)).lower()
 SF = "/root/testdata/sf0.001"
@@ -205,8 +205,11 @@ def test_blocks_of_large_roots(spark, monkeypatch):
 def test_language(docs):
     got = {r.doc_id: r for r in language_mix.identify(docs).collect()}
     assert got[9001].lang_pred == got[9002].lang_pred == "und" and all(0 <= r.score <= 1 for r in got.values())
-    known = [r for r in docs.collect() if r.lang and r.text and len(r.text) > 200 and r.doc_id != 9005]
-    assert np.mean([got[r.doc_id].lang_pred == r.lang for r in known]) > 0.95
+    known = [r for r in docs.collect() if r.lang and r.text and len(r.text) > 200 and r.doc_id != 9005 and got[r.doc_id].held_out]
+    assert len(known) > 20 and np.mean([got[r.doc_id].lang_pred == r.lang for r in known]) > 0.95
+    assert all(r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 3 == 1) for r in got.values())
+    kept = [r.doc_id for r in language_mix.with_language(docs).collect()]
+    assert not {9001, 9002} & set(kept) and set(kept) <= set(got) and language_mix.with_language(empty(docs)).count() == 0
     assert language_mix.identify(empty(docs)).count() == 0
 
 
@@ -381,6 +384,42 @@ def test_quality(spark, docs, rows):
     assert quality.risk_controlled(empty(docs), labels).count() == 0 and quality.risk_controlled(docs, empty(labels)).count() == docs.count()
 
 
+def test_quality_against_brute_force(spark):
+    """Verdicts of all rows, with cutoffs found by trying every one with exact fractions."""
+    from fractions import Fraction
+
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(700):
+        w = [f"w{k}" + "x" * int(rng.integers(0, 6)) for k in rng.integers(0, 400, int(rng.choice([30, 60, 150, 500])))]
+        for k in rng.integers(0, len(w), int(rng.choice([0, 0, 1, 4, 20]))):
+            w[k] = "#$%"
+        texts.append("\n".join(" ".join(w[a : a + 10]) for a in range(0, len(w), 10)) + ("\nsame line here" * int(rng.choice([0, 0, 0, 3]))))
+    docs = spark.createDataFrame([*enumerate(texts), (None, "x " * 30), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(700)] + [(1, 0), (None, 1), (9999, 1), (2, None)], "doc_id long, quality int")
+    risk, delta = 0.05, 0.05
+    rows = [r.asDict() for r in quality.features(docs).collect()]
+    base = lambda r: r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
+    stat = {"symbols": lambda r: 1000 * r["n_symbols"] / r["n_words"], "duplicate_lines": lambda r: 1000 * r["n_dup_lines"] / max(r["n_lines"], 1), "repeated_words": lambda r: 1000 * r["n_repeat_words"] / r["n_words"], "long_words": lambda r: 1000 * r["word_chars"] / r["n_words"], "short_words": lambda r: -1000 * r["word_chars"] / r["n_words"]}
+    level = lambda r: sum(r["n_words"] >= n for n in quality.STRATA)
+    good = [r for r in rows if r["doc_id"] is not None and r["doc_id"] < 700 and r["doc_id"] % 5 > 0 and r["doc_id"] != 1 and not base(r)]
+    groups = quality.stratum_groups({s: sum(level(r) == s for r in good) for s in range(4)}, risk, delta)
+    assert len(groups) > 1
+    cut = {}
+    for group in groups:
+        own = [r for r in good if level(r) in group]
+        p, n = Fraction(1, 20), len(own)
+        for rule, (_, ladder) in quality.RULES.items():
+            for c in ladder:
+                k = sum(stat[rule](r) > c for r in own)
+                if sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)) > Fraction(1, 20) / len(groups) / 5:
+                    break
+                cut |= {(s, rule): c for s in group}
+    want = Counter((r["doc_id"], r["n_words"], not base(r) and not any(s == level(r) and stat[rule](r) > c for (s, rule), c in cut.items())) for r in rows)
+    assert len(cut) > 5 and Counter((r.doc_id, r.n_words, r.kept) for r in quality.risk_controlled(docs, labels, risk, delta).collect()) == want
+    assert 0 < sum(n for (_, _, kept), n in want.items() if not kept) < 600
+
+
 def test_quality_rejects_planted_junk(spark):
     """Strata that hold too few good documents alone share their cutoffs."""
     texts = [" ".join(f"word{i}x{k}" for k in range(30 if i % 2 else 150)) for i in range(2400)]
@@ -394,6 +433,33 @@ def test_quality_rejects_planted_junk(spark):
     assert not quality.chosen_cutoffs({(0, r): [0] * len(c) for r, (_, c) in quality.RULES.items()}, {0: 2200, 1: 0, 2: 0, 3: 0}, 0.002, 0.05)
 
 
+def test_mixtures(spark):
+    """Shares of a text that is half and half in two languages of other letters."""
+    one, two = ("".join(chr(a + k) for k in range(10)) for a in (97, 107))
+    rng = np.random.default_rng(3)
+    text = lambda own, n: " ".join("".join(rng.choice(list(own), 5)) for _ in range(n))
+    rows = [(i, text((one, two)[i % 2], 200), ("aa", "bb")[i % 2]) for i in range(40)]
+    names, table = language_mix.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    mixed = (text(one, 100) + " " + text(two, 100)).encode()
+    folds, starts = language_mix.folded([mixed, text(one, 50).encode(), b""])
+    like, owner = language_mix.word_likelihoods(folds, starts, table)
+    share = language_mix.proportions(like, owner, 3)
+    assert names == ["aa", "bb"] and abs(share[0] - 0.5).max() < 0.05 and share[1].tolist() == [1.0, 0.0] and share[2].sum() == 0
+
+
+@pytest.mark.parametrize("name", ["op1_warc_archive", "op4_jaccard_signature_tree", "op7_benchmark_containment"])
+def test_query_equals_oracle(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    got, want = queries.QUERIES[name](spark, SF), con.execute(queries.ORACLE_SQL[name])
+    cols = [d[0] for d in want.description]
+    assert sorted(cols) == sorted(got.columns)
+    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == sorted(want.fetchall()) if name != "op1_warc_archive" else sorted(str(tuple(r[c] for c in cols)) for r in got.collect()) == sorted(map(str, want.fetchall()))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
