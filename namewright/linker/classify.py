@@ -123,16 +123,30 @@ class Evidence:
                 self.strengths.setdefault(norm, set()).update({sub} if re.search(r"\d", sub) else ())
 
     @cached_property
-    def by_length(self) -> list[str]:
-        return sorted(self.names, key=len, reverse=True)
+    def order(self) -> dict[str, int]:
+        return {norm: k for k, norm in enumerate(self.products)}
+
+    @cached_property
+    def longest(self) -> int:
+        return max(map(len, self.names), default=0)
+
+    @cached_property
+    def by_size(self) -> dict[int, list[str]]:
+        out: dict[int, list[str]] = {}
+        for norm in self.names:
+            out.setdefault(len(norm), []).append(norm)
+        return out
+
+    def within(self, row: str) -> list[str]:
+        """Brands of four letters or more in a compact row, in the catalogue's order."""
+        found = {row[i : i + n] for i in range(len(row)) for n in range(4, min(self.longest, len(row) - i) + 1)}
+        return sorted((n for n in found if n in self.order), key=self.order.__getitem__)
 
     def product(self, value: object, own: list[tuple], lexicon: Lexicon = DEFAULT) -> Match | None:
         """A brand in the row of one of whose products variant, strength and form are there, too, one of them said."""
         row, words, forms, text = compact(value), set(tokens(value)), coarse_forms(value, lexicon), upper(value)
-        for norm, products in self.products.items():
-            if len(norm) < 4 or norm not in row:
-                continue
-            for variant, dose, made in products:
+        for norm in self.within(row):
+            for variant, dose, made in self.products[norm]:
                 has_variant = bool(variant) and (norm + variant in row or variant in words or (len(variant) > 1 and variant in row))
                 has_dose = bool(dose) and bool(
                     re.search(rf"{norm}{dose}(?!\d)", row) or re.search(rf"(?<!\d){dose}\s*(?:MG|MCG|GM|ML|IU|G|K)\b", text) or dose in words or (not dose.isdigit() and dose in row)
@@ -155,17 +169,18 @@ class Evidence:
         """A word that is a brand and one of its variants; the longest brand of the first such word."""
         for i, j, text, joined in own:
             if i == j:
-                for norm in self.by_length:
-                    if joined.startswith(norm) and joined[len(norm) :] in self.variants[norm]:
-                        return Match(self.names[norm], text, "master-variant")
+                for n in range(min(len(joined) - 1, self.longest), 0, -1):
+                    if joined[n:] in self.variants.get(joined[:n], ()):
+                        return Match(self.names[joined[:n]], text, "master-variant")
         return None
 
     def misspelt(self, value: object, own: list[tuple]) -> Match | None:
         """A word within two edits of a brand of eight letters or more, with one of its strengths in the row; none if two fit as well."""
         row, found = compact(value), []
         for i, j, text, joined in own:
-            for norm in self.names if i == j else ():
-                if len(norm) < 8 or abs(len(joined) - len(norm)) > 2 or norm.startswith(joined) or joined.startswith(norm):
+            near = [norm for n in range(max(8, len(joined) - 2), len(joined) + 3) for norm in self.by_size.get(n, ())] if i == j else []
+            for norm in near:
+                if norm.startswith(joined) or joined.startswith(norm) or len(set(joined) - set(norm)) > 2:
                     continue
                 if (d := osa(joined, norm, 2)) in (1, 2) and any(re.search(rf"(?<!\d){s}(?!\d)", row) for s in self.strengths[norm]):
                     found.append((d, -len(norm), self.names[norm], text))
