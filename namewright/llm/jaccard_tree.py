@@ -10,7 +10,8 @@
    as members.  Pairs are verified exactly and give first components.
 4. Roots that still hold several components get signature trees: nodes carry OR-combined token bitmaps and size ranges; a
    dual traversal drops node pairs whose largest possible overlap is too small or whose leaves are all one component
-   already.  What is left is verified exactly.  Roots of many members are cut into blocks, joined block by block.
+   already.  What is left is verified exactly.  Roots of many members are cut into blocks of sets of about one size (sets
+   that link are of one size class or of neighbouring ones), joined block by block.
 
 Defined results: a text without words, or null, has an empty set, is linked with nothing and is its own component; a text
 with fewer words than a shingle has is one shingle; rows of one doc_id are one document, which links whatever one of its
@@ -21,6 +22,7 @@ an empty table gives an empty result.  Very long texts are held whole by one tas
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -363,12 +365,20 @@ def tree_links(seen: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: in
         discard(open_roots)
         return None
     ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("component")), F.struct(F.col("b").alias("node"), F.col("cb").alias("component"))))
-    held = seen.join(open_roots, "root").select("root", "n", "family", ends.alias("e")).select("root", "n", "family", "e.*").distinct()
-    blocks = F.ceil((F.col("n") + 1) / BLOCK).cast("int")
-    held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
-    dealt = held.join(bitmaps.select("node", "size"), "node")
-    dealt = materialize(dealt.select("root", "family", "node", "component", "block", "size", F.explode(both).alias("k")).select("root", "family", "node", "component", "block", "size", "k.x", "k.y"), "jaccard-dealt")
+    held = seen.join(open_roots, "root").select("root", "family", ends.alias("e")).select("root", "family", "e.*").distinct()
+    # a class is a bit wider than the largest ratio of linked sets' sizes
+    size_class = F.floor(F.log("size") / (1.0001 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("size").cast("int")
+    held = materialize(held.join(bitmaps.select("node", "size"), "node").withColumn("class", size_class), "jaccard-held")
+    sizes = materialize(held.groupBy("root", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "jaccard-blocks")
+    near = sizes.select(F.col("root").alias("of"), "blocks", F.explode(F.array(*[F.struct((F.col("class") + k).alias("to"), F.lit(-k).alias("step")) for k in (-1, 0, 1)])).alias("e")).select("of", "blocks", "e.*")
+    near = near.groupBy("of", "to").agg(F.collect_list(F.struct("step", "blocks")).alias("near"))  # three at most
+    held = held.join(near, (F.col("root") == F.col("of")) & (F.col("class") == F.col("to")))
+    number = lambda level, k: level.cast("long") * (1 << 32) + k
+    mine = F.filter("near", lambda e: e["step"] == 0)[0]["blocks"]
+    held = held.withColumn("block", number(F.col("class"), F.pmod(F.xxhash64("node"), mine)))
+    others = F.flatten(F.transform("near", lambda e: F.transform(F.sequence(F.lit(0), e["blocks"] - 1), lambda k: number(F.col("class") + e["step"], k))))
+    both = F.transform(others, lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
+    dealt = materialize(held.select("root", "family", "node", "component", "block", "size", F.explode(both).alias("k")).select("root", "family", "node", "component", "block", "size", "k.x", "k.y"), "jaccard-dealt")
     # roots of one family go together, as its sets are needed in each of them, as far as a bounded size allows
     weights = materialize(dealt.groupBy("family").agg(F.ceil(F.sum("size") / DEAL_TOKENS).alias("cuts"), F.sum("size").alias("size")), "jaccard-families")
     deals = max(1, (weights.agg(F.sum("size")).first()[0] or 0) // DEAL_TOKENS)
@@ -380,7 +390,7 @@ def tree_links(seen: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: in
     can = materialize(dealt.groupBy("deal").cogroup(shipped(dealt, bitmaps).groupBy("at")).applyInPandas(_tree_join(percent, True), "deal long, node long"), "jaccard-can")
     left = dealt.join(can.distinct(), ["deal", "node"], "left_semi")
     links = materialize(left.groupBy("deal").cogroup(shipped(can, sets).groupBy("at")).applyInPandas(_tree_join(percent, False), "a long, b long"), "jaccard-tree-links")
-    discard(open_roots, weights, dealt, can)
+    discard(open_roots, sizes, weights, dealt, can)
     return links
 
 

@@ -200,6 +200,14 @@ def test_blocks_of_large_roots(spark, monkeypatch):
     rows = [(i, " ".join(common + [f"x{i // 2}y{k}" for k in range(20)] + [f"z{i}"])) for i in range(60)]
     got = {r.doc_id: r.component_id for r in jaccard_tree.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90).collect()}
     assert got == {i: i // 2 * 2 for i in range(60)}
+    # of several sizes, some pairs across the bounds of size classes
+    sized = [(i, " ".join([f"c{k}" for k in range(30 + i // 4)] + [f"x{i // 4}y{k}" for k in range(25)] + [f"z{i}q{k}" for k in range(i % 4)])) for i in range(160)]
+    sets = {i: set(t.split()) for i, t in sized}
+    up = {i: min(j for j in sets if 10 * len(sets[i] & sets[j]) >= 9 * len(sets[i] | sets[j])) for i in sets}
+    for _ in range(10):
+        up = {i: min(up[j] for j in sets if 10 * len(sets[i] & sets[j]) >= 9 * len(sets[i] | sets[j])) for i in sets}
+    got = {r.doc_id: r.component_id for r in jaccard_tree.jaccard_components(spark.createDataFrame(sized, "doc_id long, text string"), 1, 90).collect()}
+    assert got == up
 
 
 def test_language(docs):
