@@ -198,7 +198,7 @@ CASES: dict[str, tuple[Callable[..., object], list[tuple]]] = {
     "brand_like_words": (lambda t, b: ",".join(f"{x}:{w}" for x, w, _ in K.brand_candidates(t, b.split(","))), [("substr(b, 2) || ' ' || s", "b || ',QWQWQW'", "b || ':' || substr(b, 2)"), ("substr(b, 1, 5) || ' ' || substr(b, 6)", "b", "b || ':' || b"), ("s", "b", "''")]),
     "words_and_pairs": (lambda t: ",".join(K.words_and_pairs(t)), [("b || ' abc ' || s", "b || ',ABC,' || b || 'ABC'"), ("'AB ' || s", "''")]),
     "garbage_phrases": (lambda t: flag(K.is_garbage_phrase(t, K.garbage_phrases())), [("'Grand  Total'", "'yes'"), ("'-- '", "'yes'"), ("b", "'no'"), ("'TOTAL ' || b", "'no'")]),
-    "garbage_patterns": (lambda t: flag(K.is_garbage_pattern(t)), [("'total ' || b", "'yes'"), ("s || '.00'", "'yes'"), ("'A' || s", "case when length(s) <= 2 then 'yes' else 'no' end"), ("b || ' TOTAL'", "'no'")]),
+    "garbage_patterns": (lambda t: flag(K.is_garbage_pattern(t)), [("'total ' || b", "'yes'"), ("'TOTAL' || b", "'no'"), ("s || '.00'", "'yes'"), ("'A' || s", "case when length(s) <= 2 then 'yes' else 'no' end"), ("b || ' TOTAL'", "'no'")]),
     "metadata_rows": (lambda t: flag(K.is_metadata(t)), [("'STOCK DATE ' || s", "'yes'"), ("'LAST MONTH SALE MAY'", "'yes'"), ("'SALE ' || b", "'no'"), ("s", "'no'")]),
     "product_signals": (lambda t: flag(K.may_be_product(t, RULES)), [("b || ' TAB'", "'yes'"), ("b || ' ' || s || 'MG'", "'yes'"), ("b || ' 1*10'", "'yes'"), ("b || ' 10S'", "'yes'"), ("b || ' TAB SALE'", "'no'"), ("b", "'no'"), ("'KNOWNOL'", "'yes'")]),
     "form_and_quantity": (lambda t: flag(K.has_form(t)) + "/" + flag(K.has_quantity(t)), [("b || ' TAB ' || s || 'MG'", "'yes/yes'"), ("b || ' SUPP'", "'yes/no'"), ("b || ' PCS'", "'no/yes'"), ("b", "'no/no'")]),

@@ -138,23 +138,25 @@ def review(value: object, raw: object, brand: str, items: list[Item], lexicon: L
     return result("MISSING_VARIANT", agreeing if amounts or pack else pool, default, default is not None)
 
 
-def link(value: object, catalogue: Catalogue, hint: object = None, detect: bool = True, rerank: Reranker | None = None, retried: bool = False) -> Link:
+def link(value: object, catalogue: Catalogue, hint: object = None, detect: bool = True, rerank: Reranker | None = None) -> Link:
     """The product that a name means.  hint: its brand, if known; detect: look for one if it isn't; rerank: asked where ranking isn't sure."""
-    lexicon, raw = catalogue.lexicon, value
-    value = cleaned(value, catalogue, hint)
-    brand = catalogue.key(hint) if hint else None
-    items = list(catalogue.brands[brand].items) if brand else []
+    text, brand = cleaned(value, catalogue, hint), catalogue.key(hint) if hint else None
+    if brand is not None:
+        return resolve(text, value, brand, True, catalogue, rerank)
+    return resolve(text, value, best_brand(text, catalogue), False, catalogue, rerank) if detect else Link(NONE, status="NO_BRAND", confidence="NONE")
+
+
+def resolve(value: str, raw: object, brand: str | None, hinted: bool, catalogue: Catalogue, rerank: Reranker | None = None, retried: bool = False) -> Link:
+    """The link of a cleaned name whose brand has been found, or not.  hinted: only the brand's own products count, not related brands'."""
+    lexicon = catalogue.lexicon
     if brand is None:
-        if not detect:
-            return Link(NONE, status="NO_BRAND", confidence="NONE")
-        if (brand := best_brand(value, catalogue)) is None:
-            near = nearest_suggestions(value, catalogue)
-            found, _ = within_edits(value, [s.brand for s in near], lexicon=lexicon)
-            if found is None:
-                return Link(NONE, status="NO_BRAND", confidence="NONE", suggestions=near)
-            top = next(s for s in near if s.brand == found)
-            return Link(top.product, top.code, "RECOVERED_NO_BRAND", "LOW", 0, near, found)
-        items = family(brand, value, catalogue)
+        near = nearest_suggestions(value, catalogue)
+        found, _ = within_edits(value, [s.brand for s in near], lexicon=lexicon)
+        if found is None:
+            return Link(NONE, status="NO_BRAND", confidence="NONE", suggestions=near)
+        top = next(s for s in near if s.brand == found)
+        return Link(top.product, top.code, "RECOVERED_NO_BRAND", "LOW", 0, near, found)
+    items = list(catalogue.brands[brand].items) if hinted else family(brand, value, catalogue)
     done = lambda **more: replace(Link(NONE, confidence="NONE", brand=brand), **more)
     items = narrow.by_scope(items, brand, value, lexicon)
     if (reviewed := review(value, raw, brand, items, lexicon)) is not None:
@@ -174,7 +176,7 @@ def link(value: object, catalogue: Catalogue, hint: object = None, detect: bool
     if unknown:
         lower = squeezed(re.sub(r"\b(?:" + "|".join(map(re.escape, unknown)) + r")\b", " ", value))
         if not retried and lower and lower != value and variants_in(lower, brand, variants, lexicon=lexicon) != {"PLAIN"}:
-            found = link(lower, catalogue, hint, detect, rerank, True)
+            found = resolve(lower, lower, brand, hinted, catalogue, rerank, True)
             return replace(found, status="RECOVERED_LOWER_VARIANT", confidence="LOW") if found.status == "MATCHED" else found
         return done(status="VARIANT_NOT_IN_MASTER", candidates=len(scope), suggestions=suggested(scope, value, lexicon))
     said = variants_in(value, brand, variants, letters, scope, lexicon)

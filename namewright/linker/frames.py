@@ -18,13 +18,13 @@ from ..shipping import ship
 from .brands import best_brand, nearest_brands
 from .catalogue import Catalogue
 from .classify import Classifier, Verdict
-from .decide import NONE, Link, Reranker, cleaned, link, written
+from .decide import NONE, Link, Reranker, cleaned, link, resolve, written
 from .lexicon import DEFAULT, Lexicon
 from .words import comparable
 
 MOST_PRODUCTS = 300_000
-#: Names that are linked in one group, where products come by a join.
-GROUP_NAMES = 20_000
+#: Names and products that are linked in one group, where products come by a join (more products only where one root has them).
+GROUP_NAMES, GROUP_PRODUCTS = 20_000, 50_000
 MASTER = ("brand_name", "product_name", "pack_size", "variant", "sub_variant", "product_code")
 LINK_DDL = "output string, code string, status string, confidence string, candidates int, suggestions string, brand string"
 VERDICT_DDL = "class string, matched_brand string, matched_text string, match_type string, garbage_phrase string, garbage_match string"
@@ -107,7 +107,7 @@ def root(brand: object) -> str:
 
 
 def _found(finder: Given, lexicon: Lexicon, detect: bool):
-    """Rows (name, hint, root): the roots whose products a name's link needs."""
+    """Rows (name, hint, text, found, hinted, roots): the cleaned name, its brand, and the roots whose products its link needs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = finder.made(lambda v: Finder(*v, lexicon))
@@ -115,10 +115,11 @@ def _found(finder: Given, lexicon: Lexicon, detect: bool):
             out = []
             for name, hint in zip(batch["name"], batch["hint"], strict=True):
                 text = cleaned(name, own, hint) if name is not None else ""
-                brand = (own.key(hint) if hint else None) or (best_brand(text, own) if detect and text else None)
+                said = own.key(hint) if hint else None
+                brand = said or (best_brand(text, own) if detect and text else None)
                 roots = {root(brand)} if brand else {root(b) for b, _ in nearest_brands(text, own)} if detect and text else set()
-                out.append((name, hint, text, brand, sorted(roots) or [""]))
-            yield pd.DataFrame(out, columns=["name", "hint", "text", "found", "roots"])
+                out.append((name, hint, text, brand, said is not None, sorted(roots) or [""]))
+            yield pd.DataFrame(out, columns=["name", "hint", "text", "found", "hinted", "roots"])
 
     return run
 
@@ -127,14 +128,19 @@ def _link_by_join(own: DataFrame, rows: DataFrame, lexicon: Lexicon, detect: boo
     spark = own.sparkSession
     rows = rows.where("trim(brand_name) <> '' and trim(product_name) <> ''")
     word = lambda c: {r[0] for r in rows.select(F.explode(F.regexp_extract_all(F.upper(c), F.lit("[A-Z]{2,}"), F.lit(0))).alias("w")).distinct().collect()}  # noqa: E731  a language's words
-    brands = [r[0] for r in rows.groupBy("brand_name").agg(F.min("ord").alias("ord")).orderBy(F.upper("brand_name")).select("brand_name").collect()]
+    # a brand is named as in its first row, as in Catalogue.of_rows
+    names_of: dict[str, str] = {}
+    for (brand,) in rows.groupBy("brand_name").agg(F.min("ord").alias("ord")).orderBy("ord", "brand_name").select("brand_name").toLocalIterator():
+        names_of.setdefault(comparable(brand), brand.strip())
+    brands = [name for _, name in sorted(names_of.items())]
     tags: dict[str, set[str]] = {}
     for brand, tag in rows.where(F.upper("variant").rlike("^[A-Z]{1,4}$")).select("brand_name", F.upper("variant")).distinct().toLocalIterator():
-        tags.setdefault(brand, set()).add(tag)
+        tags.setdefault(names_of[comparable(brand)], set()).add(tag)
     finder = Given(spark, (brands, (frozenset(word("variant")), frozenset(word("sub_variant"))), tags))
-    names = own.mapInPandas(_found(finder, lexicon, detect), "name string, hint string, text string, found string, roots array<string>")
-    # a name without a brand needs the products of up to three roots: they travel under the name's first
-    first = names.withColumn("group", F.element_at("roots", 1))
+    names = own.mapInPandas(_found(finder, lexicon, detect), "name string, hint string, text string, found string, hinted boolean, roots array<string>")
+    # roots are dealt to groups; a name without a brand needs the products of up to three roots: they travel to the first one's group
+    groups = max(spark.sparkContext.defaultParallelism, -(-rows.count() // GROUP_PRODUCTS))
+    first = names.withColumn("group", F.pmod(F.xxhash64(F.element_at("roots", 1)), F.lit(groups)))
     sizes = first.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / GROUP_NAMES).cast("int").alias("salts"))
     dealt = first.join(sizes, "group").withColumn("salt", F.pmod(F.xxhash64("name"), F.col("salts")).cast("int"))
     root_of = F.udf(root, "string")
@@ -146,10 +152,12 @@ def _link_by_join(own: DataFrame, rows: DataFrame, lexicon: Lexicon, detect: boo
         products = products.sort_values("ord", kind="stable")
         catalogue = Catalogue.of_rows(products[list(MASTER)].itertuples(index=False, name=None), lexicon)
         out = []
-        for name, hint, text, found in group[["name", "hint", "text", "found"]].itertuples(index=False, name=None):
-            as_hint = found if found else hint
-            got = linked_row(name, hint, catalogue, detect, rerank, lambda *a, t=text, b=as_hint: link(t, catalogue, None if b is None or b != b else b, detect, rerank))  # noqa: PLR0124
-            out.append((name, hint, *got))
+        for name, hint, text, found, hinted in group[["name", "hint", "text", "found", "hinted"]].itertuples(index=False, name=None):
+
+            def find(*_, text=text, raw=name, brand=found or None, hinted=hinted) -> Link:
+                return resolve(text, raw, brand, hinted, catalogue, rerank) if brand or detect else Link(NONE, status="NO_BRAND", confidence="NONE")
+
+            out.append((name, hint, *linked_row(name, hint, catalogue, detect, rerank, find)))
         return pd.DataFrame(out, columns=["name", "hint"] + [c.split()[0] for c in LINK_DDL.split(", ")])
 
     return dealt.groupBy("group", "salt").cogroup(sent.groupBy("to_group", "to_salt")).applyInPandas(run, f"name string, hint string, {LINK_DDL}")

@@ -71,7 +71,7 @@ FORM_SIGNAL = (
 QUANTITY_SIGNAL = r"\b\d+\.?\d*\s*(?:MG|MCG|IU|ML|GM|G)\b|\b\d+\s*[X*]\s*\d+\b|\b\d+'?\s*S\b|\b\d+\s*(?:TAB|TABS|CAP|CAPS|VIAL|AMP)\b|\b\d+\s*MD\b|\bPCS\b"
 GUARD = "TOTAL SALE PURCHASE INVOICE STOCK VALUE REPORT SUMMARY IMPORT CALL".split()
 PHRASES = ("GRAND TOTAL", "TOTAL", "SUB TOTAL", "PAGE NO", "STOCK STATEMENT", "SALES REPORT", "PRODUCT NAME", "ITEM NAME")
-PATTERNS = (r"(?:TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)", r"\d[\d.,/ -]*$", r"[^A-Za-z0-9]*(?:[A-Za-z0-9][^A-Za-z0-9]*){0,3}$", r"(?:DATE|FROM|PERIOD)\s*[:.]", r"CONTINUED\b")
+PATTERNS = (r"(?:TOTAL|PAGE|SUB *TOTAL|GRAND +TOTAL)\b", r"\d[\d.,/ -]*$", r"[^A-Za-z0-9]*(?:[A-Za-z0-9][^A-Za-z0-9]*){0,3}$", r"(?:DATE|FROM|PERIOD)\s*[:.]", r"CONTINUED\b")
 META_WORDS = (
     "TOTAL SUBTOTAL GRAND GRANDTOTAL VALUE QUANTITY QTY AMOUNT NET GROSS SUM MRP RATE DISCOUNT CREDIT DEBIT BALANCE PURCHASE SALE SALES INVOICE RS PAGE REPORT SUMMARY ANALYSIS GROUP CATEGORY DIVISION COMPANY SUPPLIER "
     "MANUFACTURER DISTRIBUTOR DATE MONTH YEAR PERIOD CONTINUED STOCK CLOSING OPENING CARRY FORWARD PRODUCT ITEM NAME PACKING PACK UNIT UOM DETAIL DETAILS DESCRIPTION CODE TYPE SRNO SR ID NO COL BLANK HEADER PARTICULARS PKG "

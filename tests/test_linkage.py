@@ -177,6 +177,16 @@ def test_rows_survive_errors(spark, shop):
     assert {r["class"] for r in frames.classify_names(names, ["CORA"]).collect()} == {"0", "1"}
 
 
+def test_links_by_join_are_those_of_the_whole_catalogue(spark, shop):
+    """Brands spelled in two ways, hints, names without a brand, and more products than one group takes."""
+    rows = [("cora", "CORA 5 TABLET", "5", "1"), ("CORA", "CORA FORTE 10 TABLET", "10", "2"), ("CORA METO", "CORA METO 25 TABLET", "25", "3"), *((f"Q{chr(65 + k)}XYL", f"Q{chr(65 + k)}XYL 5 TABLET", "5", f"q{k}") for k in range(20))]
+    master = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "brand_name string, product_name string, sub_variant string, product_code string, ord long")
+    names = spark.createDataFrame([("CORA 5 TAB", None), ("CORA FORTE 10", None), ("CORA MET 25", None), ("QCXYL 5", None), ("QZXYLL 5", None), ("5 TAB", "Cora"), ("5 TAB", "none"), ("CORA P Q 5", None), (None, None), ("ZZZZ", "x")], "name string, hint string")
+    for detect in (True, False):
+        one, two = (sorted(map(str, frames.link_names(names, master, detect=detect, most_products=n).collect())) for n in (100, 0))
+        assert one == two and len(one) == 10
+
+
 def test_narrowing_never_gives_nothing():
     rng = random.Random(2)
     for _ in range(200):
