@@ -68,7 +68,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Gives workers the package, and bounds the Arrow batches that they get: rows can be long texts."""
+    """Gives workers the package, and bounds the Arrow batches that they get: rows can be long texts.
+
+    The session keeps the bound, as plans run after this call.
+    """
     ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 2000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

@@ -184,8 +184,9 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 2, block_ids: int = BLOC
     """Writes all documents' ids in ascending doc_id order; returns the manifest, a row for each block, with `start`: the ids before it."""
     spark = docs.sparkSession
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # ids that many rows share (null, above all) are cut by how their texts begin; tasks' sizes are Spark's to choose
+    keys = [F.col("doc_id"), F.substring("text", 1, 64)]
+    ordered = (rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)).sortWithinPartitions("doc_id", "text")
     manifest = materialize(ordered.mapInArrow(_writer(fresh_path(spark, "ids"), path, end_id, block_ids), MANIFEST_DDL), "ids-manifest")
     # a row for each block of millions of ids
     before = Window.orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)

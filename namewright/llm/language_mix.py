@@ -22,7 +22,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, crc_mod, materialize, mix, prepare, slices
+from .common import as_bytes, crc_mod, discard, materialize, mix, prepare, slices
 
 BUCKETS = 1 << 15
 ROUNDS = 12
@@ -87,6 +87,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         row = np.full(BUCKETS, 0.5)
         row[r["bucket"]] += r["n"]
         table[place[r["lang"]]] = np.log(row / row.sum())
+    discard(counted)
     return names, table
 
 

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, crc_mod, materialize, mix, prepare, slices, span_hashes, word_spans
+from .common import as_bytes, crc_mod, discard, materialize, mix, prepare, slices, span_hashes, word_spans
 
 WINDOW, HIDDEN, SPAN = 32, 16, 4
 #: A word's embedding, the mean and the maximum of its n-grams' embeddings, and a constant.
@@ -344,6 +344,7 @@ def sample(rows: DataFrame, labels: DataFrame, held: int, modulus: int, per_clas
     chosen = there.where("toxic = 1").orderBy(order).limit(per_class).unionByName(there.where("toxic <> 1").orderBy(order).limit(2 * per_class))
     chosen = materialize(chosen, "toxicity-sample")
     got = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).toPandas()
+    discard(there, chosen)
     got = got.sort_values("doc_id", kind="stable")
     return [t.encode("utf-8", "surrogatepass") for t in got["text"]], (got["toxic"].to_numpy() == 1).astype(np.int64)
 
