@@ -365,10 +365,10 @@ def tree_links(seen: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: in
         discard(open_roots)
         return None
     ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("component")), F.struct(F.col("b").alias("node"), F.col("cb").alias("component"))))
-    held = seen.join(open_roots, "root").select("root", "family", ends.alias("e")).select("root", "family", "e.*").distinct()
-    # a class is a bit wider than the largest ratio of linked sets' sizes
+    held = seen.join(open_roots, "root").select("root", "n", "family", ends.alias("e")).select("root", "n", "family", "e.*").distinct()
+    # a class is a bit wider than the largest ratio of linked sets' sizes; a root of one block has one class
     size_class = F.floor(F.log("size") / (1.0001 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("size").cast("int")
-    held = materialize(held.join(bitmaps.select("node", "size"), "node").withColumn("class", size_class), "jaccard-held")
+    held = materialize(held.join(bitmaps.select("node", "size"), "node").withColumn("class", F.when(F.col("n") < BLOCK, 0).otherwise(size_class)), "jaccard-held")
     sizes = materialize(held.groupBy("root", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "jaccard-blocks")
     near = sizes.select(F.col("root").alias("of"), "blocks", F.explode(F.array(*[F.struct((F.col("class") + k).alias("to"), F.lit(-k).alias("step")) for k in (-1, 0, 1)])).alias("e")).select("of", "blocks", "e.*")
     near = near.groupBy("of", "to").agg(F.collect_list(F.struct("step", "blocks")).alias("near"))  # three at most
