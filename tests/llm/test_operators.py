@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import zlib
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -65,8 +66,9 @@ def brute_lm(toks):
             pairs.update(zip([None, *w], w, strict=False))
             triples.update(zip([None, *w], w, w[1:], strict=False))
     n, v = sum(count.values()), len(count)
-    floor = lambda c: max(x for x in lm.VALUES.tolist()[:400] if x <= c)
-    ceil = lambda c: min(x for x in lm.VALUES.tolist()[:400] if x > c) - 1 if c else 0
+    values = lm.VALUES.tolist()
+    floor = lambda c: values[bisect_right(values, c) - 1]
+    ceil = lambda c: values[bisect_right(values, c)] - 1 if c else 0
     p1 = lambda w: (count[w] + 1) / (n + v + 1)
     p2 = lambda a, w: (floor(pairs[a, w]) + lm.MU2 * p1(w)) / (count[a] + lm.MU2)
     p3 = lambda a, b, w: (min(floor(triples[a, b, w]), ceil(pairs[a, b])) + lm.MU3 * p2(b, w)) / (ceil(pairs[a, b]) + lm.MU3)
