@@ -470,10 +470,45 @@ def test_query_equals_oracle(spark, name):
     assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == sorted(want.fetchall()) if name != "op1_warc_archive" else sorted(str(tuple(r[c] for c in cols)) for r in got.collect()) == sorted(map(str, want.fetchall()))
 
 
+def brute_components(sets, percent):
+    up = {i: i for i in sets}
+    for _ in range(len(sets)):
+        now = {i: min([up[i], *(up[j] for j in sets if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]))]) for i in sets}
+        if now == up:
+            return up
+        up = now
+    return up
+
+
 def test_pipeline(spark):
+    """Every stage's result from the one before it: models by their operators' scores, all else by brute force."""
+    import re
+
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
-    out = corpus_pipeline.run(spark, SF)
-    kept = {r.doc_id for r in out.select("doc_id").distinct().collect()}
-    bad = {r.doc_id for r in decontaminate.contamination(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
-    assert kept and not kept & bad
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, frames = docs.columns, [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(jaccard_tree.materialize(stage(spark, frames[-1], SF), f"test-{name}"))
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language", "near_duplicates", "decontamination", "packing"] and all(f.columns == columns for f in frames[:5])
+    rows = [{r.doc_id: r.text or "" for r in f.collect()} for f in frames[:5]]
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert set(rows[1]) == {r.doc_id for r in toxicity.score_texts(docs, labels).collect() if not r.predicted}
+    assert set(rows[2]) == {r.doc_id for r in language_mix.identify(frames[1]).collect() if r.lang_pred != "und" and r.score >= 0.4}
+    sets = {i: frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []) for i, t in rows[2].items() for w in [words(t)]}
+    found = brute_components(sets, 80)
+    assert set(rows[3]) == {i for i, c in found.items() if i == c} and len(rows[3]) < len(rows[2])
+    own = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
+    five = lambda t: {tuple(w[k : k + 5]) for w in [own(t)] for k in range(len(w) - 4)}
+    items = [five(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert set(rows[4]) == {i for i, t in rows[3].items() if not any(100 * len(x & five(t)) >= 80 * len(x) for x in items)} and len(rows[4]) < len(rows[3])
+    t, source = Tokenizer.from_file(BPE), {r.doc_id: r.source for r in frames[4].collect()}
+    pieces = frames[5].toPandas()
+    assert pieces.groupby("doc_id")["length"].sum().to_dict() == {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in rows[4].items()}
+    copies = {i: " ".join(x.lower().split()) for i, x in rows[4].items()}
+    for _, shard in pieces.groupby("shard"):
+        ordered = shard.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
+        want = brute_best_fit([(n, source[i], copies[i]) for n, i in zip(ordered["length"], ordered["doc_id"], strict=True)], packing.CAPACITY, packing.PER_SOURCE)
+        assert list(zip(ordered["bin"], ordered["offset"], strict=True)) == want
+    assert corpus_pipeline.run(spark, SF).count() == len(pieces)
