@@ -2,7 +2,8 @@
 
 A block's ids are rewritten until no pair of neighbours is frequent (once in FREQUENT symbols of the block, five times at
 least): in each pass every frequent pair becomes a nonterminal, whose rule and expansion length are stored; of pairs that
-overlap the one on the left is replaced.  Pairs are told apart by bins of a hash; what shares a bin waits for a later pass.
+overlap the one on the left is replaced.  Pairs are told apart by bins of a hash, another in each pass; what shares a bin
+waits for a later pass, and the passes end when two of them have found nothing.
 No pair begins with a symbol that closes a document, so documents start at symbol boundaries and any of them, or any range
 of ids, is decoded without what stands before it.
 
@@ -34,9 +35,10 @@ FREQUENT = 20_000
 MANIFEST_DDL = "part int, block int, path string, at long, n_bytes long, n_ids long, n_docs long"
 
 
-def pair_bins(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def pair_bins(left: np.ndarray, right: np.ndarray, turn: int = 0) -> np.ndarray:
+    """Bins of pairs, others in each turn."""
     with np.errstate(over="ignore"):
-        h = left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)
+        h = left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B) + np.uint32(turn)
         return (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(12)
 
 
@@ -46,30 +48,35 @@ def compress(ids: np.ndarray, vocab: int, end_id: int, frequent: int = FREQUENT)
     final = np.zeros(vocab, bool)  # symbols whose expansion closes a document
     final[end_id] = True
     least = max(5, len(ids) // frequent)
-    while len(seq) >= 2:
+    turn = idle = 0
+    while len(seq) >= 2 and idle < 2:  # a frequent pair may share its bin with another, but hardly twice
         left, right = seq[:-1], seq[1:]
-        h = pair_bins(left, right)
-        count = np.bincount(h, minlength=BINS)
-        places = np.flatnonzero(count >= least)
-        # a bin's pair is one that stands in it; what else falls there is left for a later pass
-        at = np.zeros(BINS, np.int64)
-        at[h] = np.arange(len(h))
+        h = pair_bins(left, right, turn)
+        many = np.bincount(h, minlength=BINS) >= least
+        at = np.flatnonzero(many[h])
+        own, one, two = h[at], left[at], right[at]
+        # a bin's pair is one that stands in it
+        pick, places = np.zeros(BINS, np.int64), np.flatnonzero(many)
+        pick[own] = np.arange(len(own))
         pl, pr = np.full(BINS, 0xFFFFFFFF, np.uint32), np.zeros(BINS, np.uint32)
-        pl[places], pr[places] = left[at[places]], right[at[places]]
+        pl[places], pr[places] = one[pick[places]], two[pick[places]]
         pl[places[final[pl[places]]]] = 0xFFFFFFFF
-        found = np.flatnonzero((pl[h] == left) & (pr[h] == right))
+        hit = (pl[own] == one) & (pr[own] == two)
+        found, own = at[hit], own[hit]
         # of overlapping pairs in a run every other one, from the left
         fresh = np.r_[True, found[1:] != found[:-1] + 1] if len(found) else np.empty(0, bool)
         run = np.maximum.accumulate(np.where(fresh, np.arange(len(found)), 0)) if len(found) else found
-        found = found[(np.arange(len(found)) - run) % 2 == 0]
-        used = np.bincount(h[found], minlength=BINS)
+        even = (np.arange(len(found)) - run) % 2 == 0
+        found, own = found[even], own[even]
+        used = np.bincount(own, minlength=BINS)
         kept = np.flatnonzero(used >= least)
+        turn, idle = turn + 1, 0 if len(kept) else idle + 1
         if not len(kept):
-            break
+            continue
         number = np.zeros(BINS, np.uint32)
         number[kept] = vocab + len(rules) + np.arange(len(kept), dtype=np.uint32)
-        found = found[used[h[found]] >= least]
-        new = number[h[found]]
+        enough = used[own] >= least
+        found, new = found[enough], number[own[enough]]
         final = np.r_[final, final[pr[kept]]]
         rules = np.vstack([rules, np.stack([pl[kept], pr[kept]], 1)])
         seq = seq.copy()
