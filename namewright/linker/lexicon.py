@@ -39,7 +39,7 @@ ORAL_WORDS = "TABLET TABLETS TAB TABS CAPSULE CAPSULES CAP CAPS SYRUP SYP DROPS
 DOSE_NOISE = "MG GM ML MCG G M IU UNIT TAB TABS TABLET TABLETS INJ INJECTION PFS VIAL AMP AMPS SYR SYRINGE PEN".split()
 #: Forms and how a name, or a product, says them.
 INPUT_FORMS = (
-    ("DROPS", r"\bDROPS?\b|\d+DROPS?\b|DROPS?[A-Z]*\b"), ("SUSPENSION", r"\bSUSPENSIONS?\b|\bSUSP\.?\b|\bSUSPN\b|\bSYRUPS?\b|\bSYP\.?\b|\d+SYP\b"), ("TABLET", r"\bTABLETS?\b|\bTABS?\.?\b|\bTA\b|\d+TABLETS?|\d+TABS?\b"),
+    ("DROPS", r"DROPS?\b|(?<![A-Z])DROPS?[A-Z]*\b"), ("SUSPENSION", r"\bSUSPENSIONS?\b|\bSUSP\.?\b|\bSUSPN\b|\bSYRUPS?\b|\bSYP\.?\b|\d+SYP\b"), ("TABLET", r"\bTABLETS?\b|\bTABS?\.?\b|\bTA\b|\d+TABLETS?|\d+TABS?\b"),
     ("CAPSULE", r"\bCAPSULES?\b|\bCAPS?\.?\b|\d+CAPSULES?|\d+CAPS?\b"), ("INJECTION", r"\bINJECTIONS?\b|\bINJ\.?\b|\bING\.?\b|\d+INJ\b|\bVIAL\b|\bPFS\b|\bAMPS?\b|\bSYR\.?\b|\d+SYR\.?\b|\bI\.?V\.?\b"), ("CREAM", r"\bCREAMS?\b|\bCRM\.?\b"),
     ("OINTMENT", r"\bOINTMENTS?\b|\bOI\.?\b|\bOINT\.?\b"), ("GEL", r"\bGELS?\b"), ("SOLUTION", r"\bSOLUTIONS?\b|\bSOL\.?\b"), ("POWDER", r"\bPOWDERS?\b|\bPOW\.?\b"), ("BAR", r"\bBARS?\b|\bSYNDET\b"),
     ("GRANULES", r"\bGRANULES?\b|\bGRANULS?\b"), ("SACHET", r"\bSACHETS?\b"), ("LOTION", r"\bLOTIONS?\b|\bLOT\.?\b|\bLO\b"), ("TONIC", r"\bTONICS?\b"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from namewright import cases, catalog, jobs, journeys
 from namewright.functions import similarity as sim
-from namewright.linker import attributes, brands, classify, decide, frames, models, narrow, packs, rank, scores, words
+from namewright.linker import attributes, brands, classify, decide, forms, frames, models, narrow, packs, rank, scores, words
 from namewright.linker.catalogue import Catalogue, Item
 from namewright.linker.lexicon import DEFAULT, Lexicon
 from namewright.plans import linkage
@@ -208,6 +208,11 @@ def test_lexicon_rewrites_are_those_in_order():
     assert words.repaired("a tabs", Lexicon(rewrites=(("TABS", "X Y"), ("Y", "Z")))) == "A X Z"
 
 
+def test_a_form_inside_the_letters_of_a_brand_is_none():
+    assert forms.forms_in_name("HEMADROPIF 6TAB") == {"TABLET"}
+    assert all("DROPS" in forms.forms_in_name(n) for n in ("CORA DROP", "CORADROPS", "CORA 10DROPS", "CORA DROPSX"))
+
+
 # Sources, jobs, connectors
 
 
