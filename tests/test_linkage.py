@@ -213,6 +213,17 @@ def test_a_form_inside_the_letters_of_a_brand_is_none():
     assert all("DROPS" in forms.forms_in_name(n) for n in ("CORA DROP", "CORADROPS", "CORA 10DROPS", "CORA DROPSX"))
 
 
+def test_semi_in_a_brand_that_the_name_says_costs_nothing():
+    assert rank.name_score("SEMIBGOFAV FORTE", "SEMIBGOFAV") == rank.EXTRA_WORD and rank.name_score("GOLIBSEMIL 7 MG", "GOLIBSEMIL 7", (), ("7",)) == 125
+    assert rank.name_score("SEMI CORA", "CORA") == rank.EXTRA_WORD + rank.HALF == rank.name_score("SEMICORA", "CORA")
+
+
+def test_a_compound_that_begins_a_word_isnt_looked_for_in_a_brand():
+    items = [Item(f"FOFORTEPAR {x}") for x in ("5 TABLET", "FORTE 10 TABLET", "FOR-TE 10")]
+    assert narrow.by_compound(items, ["FORTE"]) == items[1:]
+    assert narrow.by_compound([Item("CORAFORTE 5"), Item("CORA 5"), Item("CORA XR")], ["FORTE", "XR"]) == [Item("CORAFORTE 5"), Item("CORA XR")]
+
+
 # Sources, jobs, connectors
 
 
