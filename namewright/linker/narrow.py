@@ -28,18 +28,19 @@ def narrower(items: Items, hit: Callable[[Item], object]) -> Items:
 
 
 def by_compound(items: Items, compound: list[str]) -> Items:
-    """Products with one of the compound tokens: one of letters and digits is one to three words, another may be part of the name."""
-    if not compound:
-        return items
-
-    def hit(item: Item) -> bool:
-        name = upper(item.product).replace("-", " ").replace("_", " ")
-        own = tokens(name)
-        joined = {"".join(own[i : i + n]) for n in (1, 2, 3) for i in range(len(own) - n + 1)}
-        mixed = lambda t: re.fullmatch(r"[A-Z]+\d+|\d+[A-Z]+", t)
-        return any(variant_key(t) in joined if mixed(t) else t in name or variant_key(t) in variant_key(name) for t in compound if t)
-
-    return keep_if_any(items, hit)
+    """Products with one of the compound tokens: one of letters and digits is one to three words, another begins a word or, if it begins none, may be any part of the name."""
+
+    def hits(token: str) -> set[int]:
+        key = variant_key(token)
+        if re.fullmatch(r"[A-Z]+\d+|\d+[A-Z]+", token):
+            return {k for k, own in enumerate(spelled) if any(key == "".join(own[i : i + n]) for n in (1, 2, 3) for i in range(len(own) - n + 1))}
+        begun = {k for k, own in enumerate(spelled) if any("".join(own[i:]).startswith(key) for i in range(len(own)))} if key else set()
+        return begun or {k for k, name in enumerate(names) if token in name or key in variant_key(name)}
+
+    names = [upper(i.product).replace("-", " ").replace("_", " ") for i in items]
+    spelled = [tokens(n) for n in names]
+    found = set().union(*(hits(t) for t in compound if t)) if compound else set()
+    return [i for k, i in enumerate(items) if k in found] or items
 
 
 def by_abbreviation(items: Items, value: object, brand: object, lexicon: Lexicon = DEFAULT) -> Items:
