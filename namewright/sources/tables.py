@@ -53,12 +53,12 @@ def read_brands(spark: SparkSession, path: str) -> DataFrame:
     return quoted.withColumn("brand_norm", compact(F.col("brand")))
 
 
-def read_master(df: DataFrame) -> DataFrame:
-    """The catalogue: optional columns by default, null words as null, rows without name or brand dropped; a column `ord` is kept."""
+def read_master(df: DataFrame, *kept: str) -> DataFrame:
+    """The catalogue: optional columns by default, null words as null, rows without name or brand dropped; a column `ord` is kept, as are those named."""
     have = {c.strip().lower(): c for c in df.columns}
     cols = [(null_if_missing(F.col(f"`{have[c]}`"), default) if c in have else F.lit(default).cast("string")).alias(c) for c, default in MASTER_COLUMNS.items()]
     cols += [F.col(f"`{have['ord']}`").cast("long").alias("ord")] if "ord" in have else []
-    out = df.select(*cols).where("product_name is not null and brand_name is not null")
+    out = df.select(*cols, *kept).where("product_name is not null and brand_name is not null")
     return out.withColumns({"brand_norm": compact(F.col("brand_name")), "variant": F.upper("variant"), "sub_variant": F.upper("sub_variant")})
 
 
@@ -77,12 +77,12 @@ def evidence(master: DataFrame, brands: list[str]) -> DataFrame:
     return rows.groupBy("norm", "brand").agg(said("variant", F.col("variant") != "").alias("variants"), said("strength", F.col("strength").rlike("[0-9]")).alias("strengths"), F.collect_list(F.struct("variant", "strength", "forms")).alias("products"))
 
 
-def brand_items(master: DataFrame) -> DataFrame:
-    """(brand, items): a brand's products in order, the first of those with one name and pack."""
-    first = master.groupBy("brand_norm", "product_name", F.coalesce("pack_size", F.lit("")).alias("pack")).agg(F.min(F.struct("ord", "brand_name", "product_code", "variant", "sub_variant")).alias("r"))
+def brand_items(master: DataFrame, *by: str) -> DataFrame:
+    """(brand, items): a brand's products in order, the first of those with one name and pack.  by: columns that tell catalogues apart, each with brands of its own."""
+    first = master.groupBy(*by, "brand_norm", "product_name", F.coalesce("pack_size", F.lit("")).alias("pack")).agg(F.min(F.struct("ord", "brand_name", "product_code", "variant", "sub_variant")).alias("r"))
     item = F.struct("r.ord", F.col("product_name").alias("product"), "pack", "r.variant", "r.sub_variant", "r.product_code", "r.brand_name")
-    rows = first.groupBy("brand_norm").agg(F.array_sort(F.collect_list(item)).alias("items"))  # one brand's products
-    return rows.select(F.col("items")[0]["brand_name"].alias("brand"), "items")
+    rows = first.groupBy(*by, "brand_norm").agg(F.array_sort(F.collect_list(item)).alias("items"))  # one brand's products
+    return rows.select(*by, F.col("items")[0]["brand_name"].alias("brand"), "items")
 
 
 def has_result(value) -> F.Column:

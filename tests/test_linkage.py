@@ -56,6 +56,17 @@ def test_every_query_has_an_oracle():
     assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL) and len(catalog.QUERIES) == len(cases.QUERIES) + len(journeys.QUERIES) + len(linkage.QUERIES)
 
 
+@pytest.mark.parametrize("name", ["brand_families"])
+def test_families_with_the_brands_of_others(spark, tmp_path_factory, name):
+    """From family 102,400 on brands come again."""
+    folder, c = tmp_path_factory.mktemp("again"), duckdb.connect()
+    c.execute(f"copy (select p_partkey + {journeys.VOLUME_PARTS} * v as p_partkey, p_name, p_size from '{SF}/part.parquet', range(2) r(v) where p_partkey < 48) to '{folder}/part.parquet'")
+    c.execute(f"create view part as select * from '{folder}/part.parquet'")
+    got, want = catalog.QUERIES[name](spark, str(folder)), c.execute(catalog.ORACLE_SQL[name])
+    cols, want = [d[0] for d in want.description], want.fetchall()
+    assert rows_of(cols, got.collect()) == rows_of(cols, [dict(zip(cols, r, strict=True)) for r in want])
+
+
 # Similarities
 
 
