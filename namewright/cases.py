@@ -26,7 +26,7 @@ from .linker import rank as R
 from .linker import words as W
 from .linker.lexicon import DEFAULT, Exception_, Family, Lexicon, Pin, Scope
 from .linker.scores import Choices
-from .shipping import ship
+from .shipping import ship, tasks
 
 #: Letters that tell family number f: brands of ten letters, unlike each other in several of them.
 _C, _V = "'BCDFGHJKLMNPRSTV'", "'AEIOU'"
@@ -274,8 +274,8 @@ def _pick(cases: list[tuple], at: int) -> str:
 
 
 def parts(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    """SQL expressions over PARTS.  Fields are made once, behind a generator, so that they aren't written out wherever they are used."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", F.expr("cast(floor(p_partkey / 8) as bigint)").alias("f"))
+    """SQL expressions over PARTS, families spread over all cores.  Fields are made once, behind a generator, so that they aren't written out wherever they are used."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", F.expr("cast(floor(p_partkey / 8) as bigint)").alias("f")).repartition(tasks(spark), "f")
     made = F.struct(*[F.expr(x).alias(n) for n, x in _FIELDS.items()])
     return part.select(F.col("p_partkey").alias("k"), "f", F.inline(F.array(made))).selectExpr(*cols)
 

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from ..shipping import ship, tasks
 from .brands import best_brand, nearest_brands
 from .catalogue import Catalogue
 from .classify import Classifier, Verdict
@@ -75,9 +75,8 @@ def _linker(rows: Given, lexicon: Lexicon, detect: bool, rerank: Reranker | None
 
 def spread(names: DataFrame, *keys: str) -> DataFrame:
     """Distinct names over all cores: linking costs far more than reading them."""
-    parts = max(names.sparkSession.sparkContext.defaultParallelism, int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # by another expression than the keys: what a group-by has dealt by them already would stay, in as few tasks as its bytes ask for
-    return names.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).drop("times").repartition(parts, F.xxhash64(*keys))
+    return names.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).drop("times").repartition(tasks(names.sparkSession), F.xxhash64(*keys))
 
 
 def link_names(names: DataFrame, master: DataFrame, lexicon: Lexicon = DEFAULT, detect: bool = True, rerank: Reranker | None = None, most_products: int = MOST_PRODUCTS) -> DataFrame:

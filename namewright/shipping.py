@@ -12,6 +12,11 @@ from pyspark.sql import SparkSession
 _done: set[str] = set()
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks that use all cores."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def ship(spark: SparkSession) -> None:
     """Adds this package to the files of the session's application, once."""
     sc = spark.sparkContext

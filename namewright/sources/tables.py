@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import compact, null_if_missing
 from ..linker.forms import coarse_forms
 from ..linker.frames import link_names
+from ..shipping import ship
 
 MASTER_COLUMNS = {"product_name": None, "brand_name": None, "pack_size": "", "variant": "PLAIN", "sub_variant": "PLAIN", "product_code": ""}
 EVIDENCE_COLUMNS = ("brand_name", "variant", "sub_variant", "product_name")
@@ -63,16 +64,19 @@ def read_master(df: DataFrame, *kept: str) -> DataFrame:
 
 
 def evidence(master: DataFrame, brands: list[str]) -> DataFrame:
-    """(brand, variants, strengths, products) of the vocabulary's brands: what the catalogue says of each.  Its four columns must be there."""
+    """(brand, variants, strengths, products) of the vocabulary's brands: what the catalogue says of each, its rows for one name and pack once.  Its four columns must be there."""
     missing = [c for c in EVIDENCE_COLUMNS if c not in {x.lower() for x in master.columns}]
     if missing:
         raise ValueError(f"the catalogue has no {', '.join(missing)}")
     spark = master.sparkSession
+    ship(spark)
     known = spark.createDataFrame(list(enumerate(brands)), "ord int, brand string").select(compact(F.col("brand")).alias("norm"), "ord", "brand")
     known = known.groupBy("norm").agg(F.max_by("brand", "ord").alias("brand"))  # of equal norms the last name
     forms = F.udf(lambda x: sorted(coarse_forms(x)), "array<string>")
     text = lambda c: F.when(F.upper(F.trim(c)) == "PLAIN", "").otherwise(F.coalesce(compact(F.col(c)), F.lit("")))
-    rows = master.select(compact(F.col("brand_name")).alias("norm"), text("variant").alias("variant"), text("sub_variant").alias("strength"), forms("product_name").alias("forms")).join(F.broadcast(known), "norm")
+    pack = F.coalesce("pack_size", F.lit("")) if "pack_size" in {c.lower() for c in master.columns} else F.lit("")
+    rows = master.select(compact(F.col("brand_name")).alias("norm"), text("variant").alias("variant"), text("sub_variant").alias("strength"), "product_name", pack.alias("pack")).distinct()
+    rows = rows.withColumn("forms", forms("product_name")).join(F.broadcast(known), "norm")
     said = lambda c, ok: F.collect_set(F.when(ok, F.col(c)))
     return rows.groupBy("norm", "brand").agg(said("variant", F.col("variant") != "").alias("variants"), said("strength", F.col("strength").rlike("[0-9]")).alias("strengths"), F.collect_list(F.struct("variant", "strength", "forms")).alias("products"))
 

@@ -56,7 +56,7 @@ def test_every_query_has_an_oracle():
     assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL) and len(catalog.QUERIES) == len(cases.QUERIES) + len(journeys.QUERIES) + len(linkage.QUERIES)
 
 
-@pytest.mark.parametrize("name", ["brand_families"])
+@pytest.mark.parametrize("name", ["brand_families", "master_evidence_rows"])
 def test_families_with_the_brands_of_others(spark, tmp_path_factory, name):
     """From family 102,400 on brands come again."""
     folder, c = tmp_path_factory.mktemp("again"), duckdb.connect()
