@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _done: set[str] = set()
 
@@ -17,6 +17,11 @@ def tasks(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """The rows, made now and once: kept in spark.checkpoint.dir if there is one, else by the executors, until nothing refers to them."""
+    return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.localCheckpoint()
+
+
 def ship(spark: SparkSession) -> None:
     """Adds this package to the files of the session's application, once."""
     sc = spark.sparkContext

@@ -56,7 +56,7 @@ def test_every_query_has_an_oracle():
     assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL) and len(catalog.QUERIES) == len(cases.QUERIES) + len(journeys.QUERIES) + len(linkage.QUERIES)
 
 
-@pytest.mark.parametrize("name", ["brand_families", "master_evidence_rows"])
+@pytest.mark.parametrize("name", ["brand_families", "master_evidence_rows", "classify_rows", "class_counts", "classify_summary", "rows_to_link", "final_sheet", "review_rows", "link_rows", "link_statuses", "link_by_join", "linked_outputs", "review_changes"])
 def test_families_with_the_brands_of_others(spark, tmp_path_factory, name):
     """From family 102,400 on brands come again."""
     folder, c = tmp_path_factory.mktemp("again"), duckdb.connect()
@@ -188,6 +188,17 @@ def test_rows_survive_errors(spark, shop):
     assert {r["class"] for r in frames.classify_names(names, ["CORA"]).collect()} == {"0", "1"}
 
 
+def test_verdicts_by_join_are_those_of_the_whole_catalogue(spark):
+    """Of names of each kind, brands that share letters, and catalogues with rows that say the same."""
+    rows = [("Coradin", "CORADIN AT 25 TABLET", "AT", "25"), ("CORADIN", "CORADIN 99 SYRUP", None, "99"), ("ROSULIPID", "ROSULIPID 40 TABLET", "", "40"), ("DINO", "DINO GOLD TABLET", "GOLD", None), ("LIPI", "LIPI 40 CAPSULE", "PLAIN", "40"), ("OTHER", "OTHER 5 TABLET", "", "5")]
+    master = spark.createDataFrame([(*r, k % 4) for k, r in enumerate(rows)], "brand_name string, product_name string, variant string, sub_variant string, ord long")
+    texts = ["CORADINAT 25 TAB", "XCORADIN99SYP 10ML", "ROSULPIDX 40 MG TAB", "ROSXULPID 40 TAB", "DINOGOLD TAB", "QCORADIN LIPI 40MG CAP", "CORADIN 5", "CORDIN 5", "TOTAL SALE", "ZZZZ 5 TAB", "OTHER 5 TAB", "XYROSULIPIDLIPI40 CAP", "", None, "X" * 300 + " 5 TAB"]
+    names = spark.createDataFrame([(t,) for t in texts], "name string")
+    brands = ["CORADIN", "ROSULIPID", "DINO", "LIPI", "RO-SULIPID"]
+    one, two = (sorted(map(str, frames.classify_names(names, brands, master, given_products=n).collect())) for n in (100, 0))
+    assert one == two and len(one) == len(texts) and sum("master-" in r for r in one) >= 5
+
+
 def test_links_by_join_are_those_of_the_whole_catalogue(spark, shop):
     """Brands spelled in two ways, hints, names without a brand, and more products than one group takes."""
     rows = [("cora", "CORA 5 TABLET", "5", "1"), ("CORA", "CORA FORTE 10 TABLET", "10", "2"), ("CORA METO", "CORA METO 25 TABLET", "25", "3"), *((f"Q{chr(65 + k)}XYL", f"Q{chr(65 + k)}XYL 5 TABLET", "5", f"q{k}") for k in range(20))]
