@@ -7,7 +7,7 @@ arguments and applies the operator, the oracle only ever builds results.  Part k
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -43,13 +43,13 @@ PRODUCTS = [
 FAMILY = "(" + " || ';' || ".join(f"'{c}|' || b || ' {p}|{k}|{v}|{s}'" for c, p, k, v, s in PRODUCTS) + ")"
 
 
-@cache
+@lru_cache(maxsize=1 << 10)
 def items(text: str) -> tuple[C.Item, ...]:
     """code|product|pack|variant|sub;... as products."""
     return tuple(C.Item(p, k, v, s, c) for c, p, k, v, s in (x.split("|") for x in text.split(";"))) if text else ()
 
 
-@cache
+@lru_cache(maxsize=1 << 8)
 def brands(text: str, makers: str = "") -> C.Catalogue:
     """brand:products/... as a catalogue."""
     rows = []
@@ -275,7 +275,7 @@ def _pick(cases: list[tuple], at: int) -> str:
 
 def parts(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """SQL expressions over PARTS, families spread over all cores.  Fields are made once, behind a generator, so that they aren't written out wherever they are used."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", F.expr("cast(floor(p_partkey / 8) as bigint)").alias("f")).repartition(tasks(spark), "f")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", F.expr("cast(floor(p_partkey / 8) as bigint)").alias("f")).repartition(tasks(spark), "f").sortWithinPartitions("p_partkey")
     made = F.struct(*[F.expr(x).alias(n) for n, x in _FIELDS.items()])
     return part.select(F.col("p_partkey").alias("k"), "f", F.inline(F.array(made))).selectExpr(*cols)
 
