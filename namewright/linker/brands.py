@@ -194,9 +194,8 @@ def alike(value: object, catalogue: Catalogue) -> str | None:
     query = comparable(brand_query(value, lexicon))
     root, long = query.split()[:1], [t for t in query.split() if len(t) >= 4]
     allowed = catalogue.single_words.copy()
-    for i, b in enumerate(catalogue.brands.values()):
-        if not allowed[i] and b.first in text:
-            allowed[i] = True
+    for first in {text[i : i + n] for i in range(len(text)) for n in range(1, min(catalogue.longest_first, len(text) - i) + 1)}:
+        allowed[catalogue.of_words.get(first, [])] = True
     allowed = allowed if allowed.any() else None
     best = catalogue.names.best(query, ratio, SURE, allowed) if query else []
     tries = [(q, token_sort, SIMILAR) for q in (query, *root, *long, comparable(value))] + [(q, jaro_winkler, ALIKE) for q in (query, *root, *long)]

@@ -61,7 +61,10 @@ class Brand:
         self.first = self.text.split()[0] if self.text.split() else ""
         self.compact = strengths_in_compact(compact(name))
         self.plain = compact(name)
-        self.pattern = re.compile(rf"\b{re.escape(self.text)}\b")
+
+    @cached_property
+    def pattern(self) -> re.Pattern:
+        return re.compile(rf"\b{re.escape(self.text)}\b")
 
 
 class Catalogue:
@@ -99,7 +102,11 @@ class Catalogue:
         hint = upper(hint).strip()
         if hint in self.brands:
             return hint
-        return next((name for name in self.brands if name.upper() == hint), None) if hint else None
+        return self.by_upper.get(hint) if hint else None
+
+    @cached_property
+    def by_upper(self) -> dict[str, str]:
+        return {name.upper(): name for name in reversed(self.brands)}
 
     @cached_property
     def words(self) -> tuple[frozenset[str], frozenset[str]]:
@@ -127,6 +134,19 @@ class Catalogue:
     def single_words(self) -> np.ndarray:
         return np.array([len(b.name.split()) == 1 or not b.first for b in self.brands.values()], bool)
 
+    @cached_property
+    def of_words(self) -> dict[str, list[int]]:
+        """Places of the brands of several words, by their first."""
+        out: dict[str, list[int]] = {}
+        for i, b in enumerate(self.brands.values()):
+            if not self.single_words[i]:
+                out.setdefault(b.first, []).append(i)
+        return out
+
+    @cached_property
+    def longest_first(self) -> int:
+        return max(map(len, self.of_words), default=0)
+
     @cached_property
     def norms(self) -> tuple[Choices, list[str]]:
         """Comparable forms of the brands, one of each, and the brands they are of."""

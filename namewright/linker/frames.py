@@ -127,20 +127,20 @@ def _found(finder: Given, lexicon: Lexicon, detect: bool):
 
 def _link_by_join(own: DataFrame, rows: DataFrame, lexicon: Lexicon, detect: bool, rerank: Reranker | None) -> DataFrame:
     spark = own.sparkSession
-    rows = rows.where("trim(brand_name) <> '' and trim(product_name) <> ''")
+    rows = once(rows.where("trim(brand_name) <> '' and trim(product_name) <> ''"))
     word = lambda c: {r[0] for r in rows.select(F.explode(F.regexp_extract_all(F.upper(c), F.lit("[A-Z]{2,}"), F.lit(0))).alias("w")).distinct().collect()}  # noqa: E731  a language's words
     # a brand is named as in its first row, as in Catalogue.of_rows
     names_of: dict[str, str] = {}
-    for (brand,) in rows.groupBy("brand_name").agg(F.min("ord").alias("ord")).orderBy("ord", "brand_name").select("brand_name").toLocalIterator():
+    for (brand,) in rows.groupBy("brand_name").agg(F.min("ord").alias("ord")).orderBy("ord", "brand_name").select("brand_name").collect():
         names_of.setdefault(comparable(brand), brand.strip())
     brands = [name for _, name in sorted(names_of.items())]
     tags: dict[str, set[str]] = {}
-    for brand, tag in rows.where(F.upper("variant").rlike("^[A-Z]{1,4}$")).select("brand_name", F.upper("variant")).distinct().toLocalIterator():
+    for brand, tag in rows.where(F.upper("variant").rlike("^[A-Z]{1,4}$")).select("brand_name", F.upper("variant")).distinct().collect():
         tags.setdefault(names_of[comparable(brand)], set()).add(tag)
     finder = Given(spark, (brands, (frozenset(word("variant")), frozenset(word("sub_variant"))), tags))
-    names = own.mapInPandas(_found(finder, lexicon, detect), "name string, hint string, text string, found string, hinted boolean, roots array<string>")
+    names = once(own.mapInPandas(_found(finder, lexicon, detect), "name string, hint string, text string, found string, hinted boolean, roots array<string>"))
     # roots are dealt to groups; a name without a brand needs the products of up to three roots: they travel to the first one's group
-    groups = max(spark.sparkContext.defaultParallelism, -(-rows.count() // GROUP_PRODUCTS))
+    groups = max(16 * tasks(spark), -(-rows.count() // GROUP_PRODUCTS))  # many, so that tasks get equal shares
     first = names.withColumn("group", F.pmod(F.xxhash64(F.element_at("roots", 1)), F.lit(groups)))
     sizes = first.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / GROUP_NAMES).cast("int").alias("salts"))
     dealt = first.join(sizes, "group").withColumn("salt", F.pmod(F.xxhash64("name"), F.col("salts")).cast("int"))
@@ -153,6 +153,7 @@ def _link_by_join(own: DataFrame, rows: DataFrame, lexicon: Lexicon, detect: boo
         products = products.sort_values("ord", kind="stable")
         catalogue = Catalogue.of_rows(products[list(MASTER)].itertuples(index=False, name=None), lexicon)
         out = []
+        group = group.sort_values("found")  # what is made for a brand, patterns above all, serves all of its names
         for name, hint, text, found, hinted in group[["name", "hint", "text", "found", "hinted"]].itertuples(index=False, name=None):
 
             def find(*_, text=text, raw=name, brand=found or None, hinted=hinted) -> Link:

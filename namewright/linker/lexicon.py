@@ -164,6 +164,10 @@ class Lexicon:
     flavored: dict = field(default_factory=dict, hash=False)  # brand -> (word of the family, default flavour)
     dosed_tablets: frozenset[str] = frozenset()  # brands whose glued MG dose means tablets
 
+    def __hash__(self) -> int:
+        """Cheap, as it is taken for every text that is looked up; equal values have equal sizes."""
+        return len(self.phrases)
+
     @cached_property
     def skip(self) -> frozenset[str]:
         """Words that never make a brand longer."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from .lexicon import DEFAULT, Lexicon
 
@@ -113,7 +114,13 @@ def without_tags(text: object, tags: frozenset[str] | set[str] = frozenset()) ->
 
 def repaired(value: object, lexicon: Lexicon = DEFAULT) -> str:
     """Spellings in one way, thousands written out, numbers of a combination joined by /, packs cut from strengths."""
-    text = upper(value).replace("+", " PLUS ")
+    return _repaired(upper(value), lexicon)
+
+
+@lru_cache(maxsize=1 << 10)
+def _repaired(text: str, lexicon: Lexicon) -> str:
+    """One link asks for the same text many times."""
+    text = text.replace("+", " PLUS ")
     text = lexicon.rewrite_pattern.sub(lambda m: lexicon.spelled[m[0]], text)
 
     def thousand(m: re.Match) -> str:

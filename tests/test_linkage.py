@@ -139,6 +139,23 @@ def test_spans_are_bounded():
     assert len(classify.spans("a " * 10_000, 12)) < 130_000 and [s[3] for s in classify.spans("AB C")] == ["AB", "ABC", "C"]
 
 
+def test_brand_alike_is_that_of_a_search_of_all_brands():
+    """With brands of several words, which count only where the name has their first."""
+    rng = random.Random(19)
+    names = list({" ".join(filter(None, (word(rng, "ABCDEF", 7) for _ in range(rng.randint(1, 2))))) for _ in range(200)} - {""})
+    catalogue = Catalogue.of_rows([(n, n + " 1", "", "", "", str(i)) for i, n in enumerate(names)])
+    for _ in range(100):
+        text = " ".join(word(rng, "ABCDEF", 7) for _ in range(2)).strip()
+        allowed = [bool(catalogue.single_words[i]) or b.first in text for i, b in enumerate(catalogue.brands.values())]
+        got = scores.np.array(catalogue.single_words)
+        for first in catalogue.of_words:
+            got[catalogue.of_words[first]] |= first in text
+        assert got.tolist() == allowed
+        for scorer, cutoff in ((sim.token_sort, 55), (sim.ratio, 55), (sim.jaro_winkler, 0.6)):
+            want = sorted(((scorer(text, t), -i) for i, t in enumerate(catalogue.names.texts) if allowed[i] and scorer(text, t) >= cutoff), reverse=True)[:2]
+            assert catalogue.names.best(text, scorer, cutoff, scores.np.array(allowed), 2) == [(s, -i) for s, i in want]
+
+
 # Links
 
 
