@@ -248,8 +248,10 @@ def unknown_words(value: object, brand: str, variants, subs, items: list[Item],
     text, own = upper(value).replace("-", " "), upper(brand).replace("-", " ").strip()
 
     def found(needle: str) -> int:
-        m = re.search(rf"(?<![^\W_]){re.escape(needle)}(?![^\W_])", text) if needle else None
-        return m.start() if m else -1
+        at = text.find(needle) if needle else -1
+        while at >= 0 and (text[max(0, at - 1) : at].isalnum() or text[at + len(needle) : at + len(needle) + 1].isalnum()):
+            at = text.find(needle, at + 1)
+        return at
 
     first, query = own.split()[:1], brand_query(value, lexicon).split()[:1]
     at = found(own)

@@ -162,7 +162,10 @@ def _link_by_join(own: DataFrame, rows: DataFrame, lexicon: Lexicon, detect: boo
             out.append((name, hint, *linked_row(name, hint, catalogue, detect, rerank, find)))
         return pd.DataFrame(out, columns=["name", "hint"] + [c.split()[0] for c in LINK_DDL.split(", ")])
 
-    return dealt.groupBy("group", "salt").cogroup(sent.groupBy("to_group", "to_salt")).applyInPandas(run, f"name string, hint string, {LINK_DDL}")
+    # by number: groups are small in bytes but long in work, and would be put together into as few tasks as their bytes ask for
+    shares = 4 * tasks(spark)
+    left, right = dealt.repartition(shares, "group", "salt"), sent.repartition(shares, "to_group", "to_salt")
+    return left.groupBy("group", "salt").cogroup(right.groupBy("to_group", "to_salt")).applyInPandas(run, f"name string, hint string, {LINK_DDL}")
 
 
 def _verdicts(names, found: list[Verdict], **more) -> pd.DataFrame:

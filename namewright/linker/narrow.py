@@ -13,7 +13,7 @@ from .forms import forms_in_name, forms_of_product, groups, share_group
 from .lexicon import DEFAULT, Lexicon
 from .packs import has_combination, pack_value
 from .rank import by_name
-from .words import is_dose, joined_thousands, repaired, tokens, upper, variant_key
+from .words import bounded, is_dose, joined_thousands, repaired, tokens, upper, variant_key
 
 Items = list[Item]
 
@@ -46,12 +46,12 @@ def by_compound(items: Items, compound: list[str]) -> Items:
 def by_abbreviation(items: Items, value: object, brand: object, lexicon: Lexicon = DEFAULT) -> Items:
     """For each word behind the brand: products with the one longer word that begins with it, unless some has the word itself."""
     own = upper(brand).replace("-", " ").strip()
-    m = re.search(rf"\b{re.escape(own)}\b", upper(value)) if own else None
-    if not m or not items:
+    at = next(bounded(upper(value), own), None)
+    if at is None or not items:
         return items
     skip = lexicon.skip | set(own.split())
     words = lambda i: [w for w in re.findall(r"\b[A-Z]{2,}\b", upper(i.product).replace("-", " ")) if w not in skip]
-    for short in re.findall("[A-Z]{2,}", upper(value)[m.end() :]):
+    for short in re.findall("[A-Z]{2,}", upper(value)[at + len(own) :]):
         said = {w for i in items for w in words(i)}
         longer = {w for w in said if w.startswith(short)}
         if short not in lexicon.skip and short not in said and len(longer) == 1:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 from .lexicon import DEFAULT, Lexicon
 
@@ -49,6 +51,27 @@ def variant_key(value: object) -> str:
     return variant_form(value).replace(" ", "")
 
 
+def bounded(text: str, part: str) -> Iterator[int]:
+    r"""The places of \bpart\b.  A pattern for each brand would drive all others out of the cache of patterns."""
+    word = lambda i: 0 <= i < len(text) and (text[i].isalnum() or text[i] == "_")
+    at = text.find(part) if part else -1
+    while at >= 0:
+        end = at + len(part)
+        hit = word(at - 1) != word(at) and word(end - 1) != word(end)
+        if hit:
+            yield at
+        at = text.find(part, end if hit else at + 1)
+
+
+def without_bounded(text: str, part: str, most: int | None = None) -> str:
+    r"""A text without \bpart\b, all of them or the first ones."""
+    out, done = [], 0
+    for at in islice(bounded(text, part), most):
+        out.append(text[done:at])
+        done = at + len(part)
+    return "".join(out) + text[done:]
+
+
 def full_strength(token: str) -> str:
     """1.5K is 1500, 2M is 2000000; any other token stays."""
     if found := re.fullmatch(rf"({NUMBER})([KM])", upper(token)):
@@ -224,7 +247,8 @@ def without_brand(text: object, brand: object, variants=frozenset(), lexicon: Le
     if not own:
         return squeezed(text)
     loose = r"[-\s]+".join(map(re.escape, own.split()))
-    out = re.sub(rf"\b{re.escape(own)}\b", "", re.sub(rf"\b{loose}\b", "", text, count=1).strip()).strip()
+    first = without_bounded(text, own, 1) if own.split() == [own] else re.sub(rf"\b{loose}\b", "", text, count=1)
+    out = without_bounded(first.strip(), own).strip()
     if out == text and (pattern := spaced_pattern(own)):
         out = re.sub(pattern, "", text, count=1)
     return squeezed(out)

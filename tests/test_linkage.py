@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import duckdb
 import pytest
@@ -226,6 +227,45 @@ def test_links_by_join_are_those_of_the_whole_catalogue(spark, shop):
         assert one == two and len(one) == 10
 
 
+def test_links_by_join_are_spread_over_many_tasks(spark):
+    """However few bytes the groups have."""
+    master = spark.createDataFrame([(f"Q{a}{b}XYL", f"Q{a}{b}XYL 5 TABLET", "5") for a in "ABCDEFGH" for b in "ABCDEFGH"], "brand_name string, product_name string, sub_variant string")
+    names = master.selectExpr("concat(brand_name, ' 5 TAB') as name", "brand_name as hint")
+    assert frames.link_names(names, master, most_products=0).rdd.getNumPartitions() >= 4 * frames.tasks(spark)
+
+
+def test_links_of_many_brands_make_no_patterns_of_each(monkeypatch):
+    names = [f"{a}{b}NIXO" for a in "BCDFGHJKLM" for b in "AEIOU"]
+    catalogue = Catalogue.of_rows([(n, f"{n} {x}", "", v, "5", n + v) for n in names for v, x in (("PLAIN", "5 TABLET"), ("FORTE", "FORTE 5 TABLET"))])
+    assert decide.link(names[0] + " FORTE 5 TAB", catalogue, names[0]).code == names[0] + "FORTE"
+    made, compile_ = [], re._compiler.compile
+    monkeypatch.setattr(re._compiler, "compile", lambda p, flags=0: (made.append(p), compile_(p, flags))[1])
+    assert [decide.link(n + " FORTE 5 TAB", catalogue, n).code for n in names] == [n + "FORTE" for n in names]
+    assert not [p for p in made if any(n in str(p) for n in names)]
+
+
+def test_bounded_parts_are_those_of_patterns():
+    rng = random.Random(4)
+    for _ in range(20_000):
+        text, part = ("".join(rng.choice("AB1_- .é") for _ in range(rng.randint(0, n))) for n in (12, 3))
+        if part:
+            assert list(words.bounded(text, part)) == [m.start() for m in re.finditer(rf"\b{re.escape(part)}\b", text)]
+            for most in (None, 1):
+                assert words.without_bounded(text, part, most) == re.sub(rf"\b{re.escape(part)}\b", "", text, count=most or 0)
+
+
+def test_variants_in_are_the_same_whatever_was_asked_before():
+    rng, asked = random.Random(5), []
+    for _ in range(300):
+        value = " ".join(["A", *(rng.choice(["FORTE", "S", "10S", "XR", "5", "M2 FORTE", "T", "AM5", "TAB", "SYP", "M", "INJ"]) for _ in range(rng.randint(0, 4)))])
+        asked.append((value, frozenset(rng.sample(["PLAIN", "FORTE", "S", "T", "XR", "AM", "M", "M FORTE", "5", "SYRUP"], 4)), frozenset(rng.sample(["XR", "M", "S"], 1))))
+    ask = lambda v, own, cut: (attributes.variants_in(v, "A", own, cut), attributes.strengths_in(v, "A", {"5", "10", "2"}, own))
+    known = [ask(*a) for a in asked]
+    for a, found in zip(asked, known, strict=True):
+        attributes._stated.clear(), attributes.said_of.cache_clear(), attributes.parts_of.cache_clear()
+        assert ask(*a) == found
+
+
 def test_narrowing_never_gives_nothing():
     rng = random.Random(2)
     for _ in range(200):
