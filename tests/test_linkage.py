@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from functools import partial
 
 import duckdb
 import pytest
@@ -227,6 +228,14 @@ def test_links_by_join_are_those_of_the_whole_catalogue(spark, shop):
         assert one == two and len(one) == 10
 
 
+@pytest.mark.parametrize("name", ["final_sheet", "review_rows"])
+def test_names_are_resolved_where_the_catalogue_is_too_large_for_workers(spark, con, monkeypatch, name):
+    monkeypatch.setattr(journeys, "classify_names", partial(frames.classify_names, given_products=0))
+    monkeypatch.setattr(journeys, "link_names", partial(frames.link_names, most_products=0))
+    found = journeys.QUERIES[name](spark, SF)
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, con.execute(journeys.ORACLE_SQL[name]).fetchall()))
+
+
 def test_links_by_join_are_spread_over_many_tasks(spark):
     """However few bytes the groups have."""
     master = spark.createDataFrame([(f"Q{a}{b}XYL", f"Q{a}{b}XYL 5 TABLET", "5") for a in "ABCDEFGH" for b in "ABCDEFGH"], "brand_name string, product_name string, sub_variant string")
