@@ -146,9 +146,15 @@ def _writer(folder: str, level: int):
 
 
 def write_archives(rows: DataFrame, level: int = 1) -> DataFrame:
-    """Writes the chunk rows to .warc.gz files, a gzip member for each record; returns the files of the tasks that ended well."""
+    """Writes the chunk rows to .warc.gz files, a gzip member for each record; returns the files of the tasks that ended well.
+
+    The list of files is dealt by the tasks that wrote them, so that few tasks write it: for each file that the JVM makes in a
+    local folder it starts a process (chmod), which for a moment has all of the JVM's memory, as if that were there twice.
+    """
     folder = fresh_path(rows.sparkSession, "warc-archives")
-    return materialize(rows.mapInArrow(_writer(folder, level), "path string, n_records long, n_bytes long"), "warc-manifest")
+    done = rows.mapInArrow(_writer(folder, level), "path string, n_records long, n_bytes long")
+    # by the task's number, not its file's name: a task that runs again has another name, and its row must stay where it was
+    return materialize(done.withColumn("task", F.spark_partition_id()).repartition("task").drop("task"), "warc-manifest")
 
 
 class Inflated:

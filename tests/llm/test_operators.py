@@ -56,6 +56,12 @@ def test_warc(spark):
     extra = pages.selectExpr("*", "1 as sha", "2 as payload", "3 as refers_to", "4 as n_bytes")
     assert warc.archive_digests(extra).count() == 8
 
+def test_many_tasks_write_archives_and_one_writes_their_list(spark):
+    pages = spark.range(40).selectExpr("id as page_id", "cast(null as string) as url", "concat('page ', id % 10) as html").repartition(4)
+    manifest = warc.write_archives(warc.chunk_table(pages))
+    assert manifest.count() > 1 and len(manifest.inputFiles()) == 1
+    assert sum(r.n_records for r in manifest.collect()) == 40 == warc.read_archives(manifest).where("is_last").count()
+
 
 def brute_lm(toks):
     """(base, score) of each text, of true counts; toks: (id, words and None)."""
