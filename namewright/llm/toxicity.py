@@ -36,6 +36,8 @@ WINDOW, HIDDEN, SPAN = 32, 16, 4
 INPUTS = 3 * SPAN + 1
 BUCKETS = 1 << 18
 BLOCK, CONTEXT = 256, 32
+#: Distinct words whose n-grams are made or looked up at once.
+SOME = 1 << 13
 PER_CLASS, SAMPLE_BYTES = 800, 20_000
 #: Bound of the attention's exponents.
 STEEP = 20
@@ -58,14 +60,22 @@ class Words:
         text[np.repeat(begin + 4, sizes) + step] = np.frombuffer(raw, np.uint8)[np.repeat(starts, sizes) + step]
         # n-grams that end at a byte of the word or at the blank behind it
         n = sizes + 1
-        stop = np.repeat(begin + 4, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        self.gram_counts = 2 * n
+        self.gram_at = np.cumsum(self.gram_counts) - self.gram_counts
+        self.grams = np.empty(2 * int(n.sum()), np.int32)
+        for a in range(0, len(n), SOME):
+            own, at = slice(a, a + SOME), int(self.gram_at[a])
+            grams = self._grams(text, begin[own] + 4, n[own])
+            self.grams[at : at + len(grams)] = grams
+
+    @staticmethod
+    def _grams(text: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+        stop = np.repeat(begin, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         with np.errstate(over="ignore"):
             four = _T[1][text[stop - 3]] + _T[2][text[stop - 2]] + _T[3][text[stop - 1]] + _T[4][text[stop]]
             five = four + _T[0][text[stop - 4]] * np.uint32(3)
-            fold = lambda h: (((h ^ (h >> np.uint32(16))) * np.uint32(0x2C1B3C6D)) >> np.uint32(14)).astype(np.int64)
-            self.grams = np.stack([fold(four), fold(five)], 1).ravel()
-        self.gram_counts = 2 * n
-        self.gram_at = np.cumsum(self.gram_counts) - self.gram_counts
+            fold = lambda h: (((h ^ (h >> np.uint32(16))) * np.uint32(0x2C1B3C6D)) >> np.uint32(14)).astype(np.int32)
+            return np.stack([fold(four), fold(five)], 1).ravel()
 
     def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The n-grams of some distinct words one after the other, where each word's begin, and how many they are."""
@@ -98,12 +108,13 @@ class Embedding:
     def inputs(self, words: Words, which: np.ndarray) -> np.ndarray:
         """The inputs of some of the distinct words."""
         out = np.ones((len(which), INPUTS), self.word.dtype)
-        if len(which):
-            grams, begin, n = words.grams_of(which)
+        for a in range(0, len(which), SOME):
+            own, to = which[a : a + SOME], out[a : a + SOME]
+            grams, begin, n = words.grams_of(own)
             value = self.gram[grams]
-            out[:, :SPAN] = self.word[words.word[which]]
-            out[:, SPAN : 2 * SPAN] = np.add.reduceat(value, begin) / n[:, None]
-            out[:, 2 * SPAN : 3 * SPAN] = np.maximum.reduceat(value, begin)
+            to[:, :SPAN] = self.word[words.word[own]]
+            to[:, SPAN : 2 * SPAN] = np.add.reduceat(value, begin) / n[:, None]
+            to[:, 2 * SPAN : 3 * SPAN] = np.maximum.reduceat(value, begin)
         return out
 
     def gradients(self, words: Words, which: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,13 +161,13 @@ class Network:
         self.p = {"W": rng.normal(0, 0.5, (2, INPUTS, 3 * h)), "U": rng.normal(0, 0.3, (2, h, 3 * h)), "b": np.zeros((2, 3 * h)), "v": rng.normal(0, 0.3, 2 * h), "w": rng.normal(0, 0.3, 2 * h), "c": np.zeros(1)}
         self.p = {k: v.astype(kind) for k, v in self.p.items()}
 
-    def states(self, x: np.ndarray, at: np.ndarray, real: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """Both directions' states (2 x time x sequence x H).  x: inputs of distinct words, at (time x sequence): which stands where, real: whether one does."""
+    def steps(self, x: np.ndarray, at: np.ndarray, real: np.ndarray, keep: list | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Direction, time and state (sequence x H), step by step.  x: inputs of distinct words, at (time x sequence): which stands where, real: whether one does."""
         p, h = self.p, HIDDEN
         steps, n = at.shape
-        out = np.empty((2, steps, n, h), x.dtype)
         for k in range(2):
-            gates = x @ p["W"][k] + p["b"][k]
+            gates = x @ p["W"][k]
+            gates += p["b"][k]
             state, u = np.zeros((n, h), x.dtype), p["U"][k]
             for t in range(steps) if k == 0 else range(steps - 1, -1, -1):
                 gx, gh = gates[at[t]], state @ u
@@ -166,7 +177,13 @@ class Network:
                 if keep is not None:
                     keep.append((k, t, state, z, r, new, gh[:, 2 * h :]))
                 state = (new + z * (state - new)) * real[t][:, None]
-                out[k, t] = state
+                yield k, t, state
+
+    def states(self, x: np.ndarray, at: np.ndarray, real: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """Both directions' states (2 x time x sequence x H)."""
+        out = np.empty((2, *at.shape, HIDDEN), x.dtype)
+        for k, t, state in self.steps(x, at, real, keep):
+            out[k, t] = state
         return out
 
     def pooled(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,6 +192,15 @@ class Network:
         score = states[0] @ p["v"][:h] + states[1] @ p["v"][h:]
         return np.clip(score, -STEEP, STEEP), states[0] @ p["w"][:h] + states[1] @ p["w"][h:]
 
+    def outputs(self, x: np.ndarray, at: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """pooled(states(x, at, real)), without keeping the states: they are 16 times what is taken of them."""
+        p, h = self.p, HIDDEN
+        score, value = np.zeros((2, *at.shape), x.dtype)
+        for k, t, state in self.steps(x, at, real):
+            score[t] += state @ p["v"][k * h : k * h + h]
+            value[t] += state @ p["w"][k * h : k * h + h]
+        return np.clip(score, -STEEP, STEEP), value
+
     def gradients(self, x: np.ndarray, at: np.ndarray, real: np.ndarray, inside: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross-entropy of one window for each sequence, of the places `inside`, and its gradients; those of x too, as "x"."""
         p, h, kept = self.p, HIDDEN, []
@@ -238,7 +264,7 @@ def window_logits(net: Network, x: np.ndarray, at: np.ndarray, counts: np.ndarra
         to = min(int(np.searchsorted(sizes, most, "right")), cut + 2048)
         own = order[cut:to]
         places, real = spread(start[own], stop[own], at)
-        score, out = net.pooled(net.states(x, places, real.astype(x.dtype)))
+        score, out = net.outputs(x, places, real.astype(x.dtype))
         step = np.arange(places.shape[0])[:, None] + start[own][None, :]
         inside = (step >= begin[own]) & (step < end[own])
         exponent[step[inside]], value[step[inside]] = score[inside], out[inside]
@@ -320,7 +346,9 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 2, epochs: int = 5)
 def scores_of(texts: list[bytes], net: Network, table: Embedding) -> np.ndarray:
     words = Words(texts)
     x = table.inputs(words, np.arange(len(words.word))) if len(words.word) else np.ones((1, INPUTS), np.float32)
-    logit, _, owner = window_logits(net, x, words.at, words.counts)
+    at, counts = words.at, words.counts
+    del words  # the rest isn't needed any more
+    logit, _, owner = window_logits(net, x, at, counts)
     return sigmoid(np.maximum.reduceat(logit, np.searchsorted(owner, np.arange(len(texts)))).astype(np.float64))
 
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import tracemalloc
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -309,6 +310,21 @@ def test_toxicity_scores_every_window(monkeypatch):
         assert np.abs(toxicity.window_logits(net, x, at[end - n : end], np.array([n]))[0] - whole[owner == k]).max() < 1e-4
 
 
+def test_toxicity_scoring_holds_little():
+    """What scoring a slice of text holds at once is bounded; outputs are the pooled states to the last bit."""
+    rng = np.random.default_rng(3)
+    net, table, letters = toxicity.Network(), toxicity.Embedding(), np.array(list("abcdefghijklmnop"))
+    words = ["".join(w) for w in letters[rng.integers(16, size=(60_000, 5))]]
+    texts = [" ".join(words[i] for i in rng.integers(len(words), size=700)).encode() for _ in range(500)]
+    tracemalloc.start()
+    toxicity.scores_of(texts, net, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 2_000_000 and peak < 70e6
+    x, at, real = rng.normal(size=(50, toxicity.INPUTS)).astype(np.float32), rng.integers(50, size=(40, 6)), (rng.random((40, 6)) < 0.9).astype(np.float32)
+    assert all((a == b).all() for a, b in zip(net.outputs(x, at, real), net.pooled(net.states(x, at, real)), strict=True))
+
+
 def test_toxicity_learns(spark):
     """Held-out documents with a few bad words among many, which other documents taught."""
     rng = np.random.default_rng(4)
